@@ -66,13 +66,29 @@ def rate_or_zero(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.when(d > 0, col(num).cast("double") * 100.0 / d.cast("double")).otherwise(F.lit(0.0))
 
 
+def round_half_up(c: ColumnOrName, places: int) -> Column:
+    """floor(x * 10^n + 0.5) / 10^n on the double value.
+
+    Defined by IEEE arithmetic only, so every engine that computes the same
+    double rounds it the same way (round() differs between engines at ties)."""
+    k = 10 ** places
+    return F.floor(col(c).cast("double") * k + 0.5) / k
+
+
 def r4(c: ColumnOrName) -> Column:
-    """Double rounded to 4 places: the comparison form of every ratio."""
-    return F.round(col(c).cast("double"), 4)
+    """Ratios and means are published rounded to 4 places."""
+    return round_half_up(c, 4)
 
 
 def r2(c: ColumnOrName) -> Column:
-    return F.round(col(c).cast("double"), 2)
+    """Money is published rounded to cents."""
+    return round_half_up(c, 2)
+
+
+def mean(c: ColumnOrName) -> Column:
+    """Average as exact sum / count (decimal and integer sums are exact, so
+    the quotient does not depend on the summation order)."""
+    return F.sum(col(c)).cast("double") / F.count(col(c))
 
 
 # ---------------------------------------------------------------------------

@@ -227,3 +227,207 @@ def _order(names: list[str]) -> list[str]:
 def sql(names: list[str], body: str) -> str:
     parts = [f"{n} AS ({CTES[n][1].strip()})" for n in _order(names)]
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+
+# ---------------------------------------------------------------- lineitem facts
+cte("line_base", ["order_base"], """
+SELECT l.*, ob.o_custkey, ob.c_nationkey, ob.admission_date, CAST(l_quantity AS INTEGER) AS q,
+  CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) || '_' || CAST(l_partkey AS VARCHAR) || '_'
+    || CAST(l_suppkey AS VARCHAR) AS line_key,
+  ['LAB','MEDICATION','RADIOLOGY','PROCEDURE'][l_linenumber % 4 + 1] AS order_type,
+  ob.admission_date + to_hours(CAST(3 * l_linenumber AS INTEGER)) AS order_datetime
+FROM lineitem l JOIN order_base ob ON l.l_orderkey = ob.o_orderkey""")
+
+cte("r_billing", ["line_base"], f"""
+SELECT 'TXN_' || line_key AS transaction_id, {T('c_nationkey')} AS hospital_id,
+  'ENC_' || CAST(l_orderkey AS VARCHAR) AS encounter_id, 'PAT_' || CAST(o_custkey AS VARCHAR) AS patient_id,
+  'PAY_' || CAST(l_partkey % 10 AS VARCHAR) AS payer_id, l_shipdate AS transaction_date,
+  CAST(l_extendedprice AS DECIMAL(12,2)) AS charge_amount,
+  CAST(CASE payment_status WHEN 'Paid' THEN (ext_c * (100 - disc_c) + 50) // 100
+       WHEN 'Partial' THEN (ext_c * (100 - disc_c) + 100) // 200 ELSE 0 END / 100.0 AS DECIMAL(12,2)) AS payment_amount,
+  CAST(CASE WHEN payment_status IN ('Paid','Partial') THEN (ext_c * disc_c + 50) // 100 ELSE 0 END / 100.0
+       AS DECIMAL(12,2)) AS adjustment_amount,
+  CASE WHEN payment_status = 'Denied' THEN ['Prior authorization not obtained','Medical necessity not established',
+       'Duplicate claim'][l_orderkey % 3 + 1] END AS denial_reason,
+  payment_status, l_shipdate + INTERVAL 1 DAY AS _loaded_at
+FROM (SELECT *, CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'Paid' WHEN l_returnflag = 'A' THEN 'Partial'
+                     WHEN l_returnflag = 'R' THEN 'Denied' ELSE 'Pending' END AS payment_status,
+             CAST(round(l_extendedprice * 100) AS BIGINT) AS ext_c, CAST(round(l_discount * 100) AS BIGINT) AS disc_c
+      FROM line_base)""")
+
+cte("r_orders", ["line_base"], f"""
+SELECT 'ORD_' || line_key AS order_id, {T('c_nationkey')} AS hospital_id,
+  'ENC_' || CAST(l_orderkey AS VARCHAR) AS encounter_id, 'PAT_' || CAST(o_custkey AS VARCHAR) AS patient_id,
+  'PRV_' || CAST(l_suppkey AS VARCHAR) AS provider_id, order_type, order_status, order_datetime,
+  order_datetime + to_hours(CAST(l_partkey % 3 AS INTEGER)) AS scheduled_datetime,
+  CASE WHEN order_status = 'COMPLETED'
+       THEN order_datetime + to_hours(CAST(q % 6 + 12 * (l_partkey % 5) AS INTEGER)) END AS completed_datetime,
+  CASE WHEN l_suppkey % 5 = 0 THEN 'STAT' WHEN l_suppkey % 5 = 1 THEN 'URGENT' ELSE 'ROUTINE' END AS priority,
+  'PRV_' || CAST(l_suppkey AS VARCHAR) AS ordering_provider_id,
+  CASE WHEN order_type = 'MEDICATION' THEN {DRUGS}[l_partkey % 8 + 1] END AS medication_name,
+  CASE WHEN order_type = 'MEDICATION' THEN 'Q8H' END AS frequency,
+  CASE WHEN order_type = 'MEDICATION' THEN CAST(q % 14 AS BIGINT) END AS duration_days,
+  CASE WHEN order_type = 'LAB' THEN 'RES_' || line_key END AS result_id,
+  order_datetime + INTERVAL 1 DAY AS _loaded_at
+FROM (SELECT *, CASE WHEN (l_orderkey + l_linenumber) % 23 = 0 THEN 'CANCELLED' WHEN l_linestatus = 'F' THEN 'COMPLETED'
+                     WHEN l_returnflag = 'N' THEN 'ORDERED' ELSE 'IN_PROGRESS' END AS order_status FROM line_base)""")
+
+cte("r_results", ["line_base"], f"""
+SELECT 'RES_' || line_key AS result_id, {T('c_nationkey')} AS hospital_id, 'ORD_' || line_key AS order_id,
+  'PAT_' || CAST(o_custkey AS VARCHAR) AS patient_id, 'ENC_' || CAST(l_orderkey AS VARCHAR) AS encounter_id,
+  'LAB' AS result_type, 'T' || CAST(ti - 1 AS VARCHAR) AS test_code, {TESTS}[ti] AS test_name,
+  CAST(val AS DECIMAL(18,4)) AS result_value_numeric,
+  CAST(lo AS DECIMAL(18,4)) AS reference_range_low, CAST(hi AS DECIMAL(18,4)) AS reference_range_high,
+  CASE WHEN val > hi THEN 'H' WHEN val < lo THEN 'L' ELSE 'N' END AS abnormal_flag,
+  resulted AS result_datetime, collected AS collected_datetime, resulted AS resulted_datetime,
+  CASE WHEN l_returnflag = 'N' THEN 'PRELIMINARY' WHEN l_orderkey % 29 = 0 THEN 'CORRECTED' ELSE 'FINAL' END
+    AS result_status,
+  CAST(NULL AS VARCHAR) AS interpreting_provider_id, resulted + INTERVAL 2 HOUR AS _loaded_at
+FROM (SELECT *, round(lo + (hi - lo) * (q - 15) / 10.0, 4) AS val,
+             order_datetime + INTERVAL 1 HOUR + to_hours(CAST((q * 7) % 30 + 1 AS INTEGER)) AS resulted,
+             order_datetime + INTERVAL 1 HOUR AS collected
+      FROM (SELECT *, CAST(l_partkey % 8 + 1 AS INTEGER) AS ti,
+                   [70.0, 3.5, 135.0, 12.0, 0.6, 0.0, 0.5, 0.0][l_partkey % 8 + 1] AS lo,
+                   [100.0, 5.0, 145.0, 17.5, 1.3, 0.04, 2.2, 200.0][l_partkey % 8 + 1] AS hi
+            FROM line_base WHERE order_type = 'LAB'))""")
+
+cte("r_med_admin", ["line_base"], f"""
+SELECT 'ADM_' || line_key AS admin_id, {T('c_nationkey')} AS hospital_id,
+  'ENC_' || CAST(l_orderkey AS VARCHAR) AS encounter_id, 'PAT_' || CAST(o_custkey AS VARCHAR) AS patient_id,
+  'ORD_' || line_key AS order_id, {DRUGS}[l_partkey % 8 + 1] AS medication_name,
+  ['PO','IV','IM','SC'][l_partkey % 4 + 1] AS route, scheduled AS scheduled_datetime,
+  CASE WHEN status = 'GIVEN' THEN scheduled + to_minutes(CAST(q * 3 AS INTEGER)) END AS administered_datetime,
+  'PRV_' || CAST(l_suppkey AS VARCHAR) AS administered_by_provider_id, status AS administration_status,
+  l_partkey % 10 <> 0 AS barcode_scanned,
+  CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE 'PRV_' || CAST(l_suppkey + 25 AS VARCHAR) END AS witnessed_by_provider_id,
+  l_orderkey % 37 = 0 AS adverse_reaction_flag,
+  CASE WHEN l_orderkey % 37 = 0 THEN 'Rash' END AS reaction_description,
+  scheduled + INTERVAL 4 HOUR AS _loaded_at
+FROM (SELECT *, CASE l_suppkey % 20 WHEN 0 THEN 'REFUSED' WHEN 1 THEN 'HELD' WHEN 2 THEN 'MISSED' ELSE 'GIVEN' END
+                  AS status, order_datetime + INTERVAL 2 HOUR AS scheduled
+      FROM line_base WHERE order_type = 'MEDICATION')""")
+
+cte("latest_order", ["order_base"], """
+SELECT o_custkey AS user_id, max(o_orderkey) AS last_orderkey, arg_max(admission_date, o_orderkey) AS last_admission,
+  arg_max(c_nationkey, o_orderkey) AS nation
+FROM order_base GROUP BY o_custkey""")
+
+cte("r_vitals", ["latest_order"], f"""
+SELECT 'VIT_' || CAST(event_id AS VARCHAR) AS vital_id, {T('nation')} AS hospital_id,
+  'ENC_' || CAST(last_orderkey AS VARCHAR) AS encounter_id, 'PAT_' || CAST(e.user_id AS VARCHAR) AS patient_id,
+  last_admission + to_hours(CAST(event_id % 72 AS INTEGER)) + to_minutes(CAST(event_id % 60 AS INTEGER))
+    AS measurement_datetime,
+  CAST(94.0 + (event_id % 80) / 10.0 AS DECIMAL(5,2)) AS temperature_f,
+  CAST(35 + event_id * 7 % 110 AS BIGINT) AS heart_rate_bpm,
+  CAST(6 + event_id * 3 % 24 AS BIGINT) AS respiratory_rate,
+  CAST(80 + event_id * 11 % 150 AS BIGINT) AS systolic_bp,
+  CAST(50 + event_id * 5 % 50 AS BIGINT) AS diastolic_bp,
+  CAST(85 + event_id * 13 % 16 AS BIGINT) AS oxygen_saturation_pct,
+  CAST(event_id % 11 AS BIGINT) AS pain_score,
+  CAST(round((50 + e.user_id % 50) / (((150 + e.user_id % 40) / 100.0) * ((150 + e.user_id % 40) / 100.0)), 1)
+       AS DECIMAL(4,1)) AS bmi,
+  e.ts
+FROM events e JOIN latest_order lo ON e.user_id = lo.user_id""")
+
+# ---------------------------------------------------------------- staging facts
+cte("stg_billing", ["r_billing"], """
+SELECT *, CASE WHEN payment_status = 'Paid' THEN payment_amount ELSE 0 END AS collected_amount,
+  CASE WHEN payment_status = 'Denied' THEN charge_amount ELSE 0 END AS denied_amount,
+  coalesce(payment_status = 'Denied', FALSE) AS is_denied, coalesce(payment_status = 'Paid', FALSE) AS is_paid,
+  coalesce(payment_status = 'Pending', FALSE) AS is_pending
+FROM r_billing""")
+
+cte("stg_orders", ["r_orders"], """
+SELECT *, coalesce(order_status = 'COMPLETED', FALSE) AS is_completed,
+  date_diff('hour', order_datetime, completed_datetime) AS completion_time_hours
+FROM r_orders""")
+
+cte("stg_results", ["r_results"], """
+SELECT *, coalesce(abnormal_flag IN ('H','L','A'), FALSE) AS is_abnormal, coalesce(abnormal_flag = 'H', FALSE) AS is_high,
+  coalesce(abnormal_flag = 'L', FALSE) AS is_low, coalesce(result_status = 'FINAL', FALSE) AS is_final,
+  coalesce(result_status = 'PRELIMINARY', FALSE) AS is_preliminary,
+  date_diff('hour', collected_datetime, resulted_datetime) AS turnaround_time_hours,
+  CASE WHEN result_value_numeric > reference_range_high THEN result_value_numeric - reference_range_high
+       WHEN result_value_numeric < reference_range_low THEN reference_range_low - result_value_numeric
+       ELSE 0 END AS out_of_range_value
+FROM r_results""")
+
+cte("stg_med_admin", ["r_med_admin"], """
+SELECT *, administration_status = 'GIVEN' AS is_given, administration_status = 'REFUSED' AS is_refused,
+  administration_status = 'HELD' AS is_held, administration_status = 'MISSED' AS is_missed,
+  coalesce(barcode_scanned, FALSE) AS is_verified, witnessed_by_provider_id IS NOT NULL AS is_witnessed,
+  CASE WHEN administered_datetime IS NOT NULL AND scheduled_datetime IS NOT NULL
+       THEN date_diff('minute', scheduled_datetime, administered_datetime) END AS administration_delay_minutes,
+  coalesce(date_diff('minute', scheduled_datetime, administered_datetime) > 60, FALSE) AS is_late_administration
+FROM r_med_admin""")
+
+cte("stg_vitals", ["r_vitals"], """
+SELECT *, coalesce(temperature_f > 100.4, FALSE) AS is_febrile, coalesce(temperature_f < 95.0, FALSE) AS is_hypothermic,
+  coalesce(heart_rate_bpm > 100, FALSE) AS is_tachycardic, coalesce(heart_rate_bpm < 60, FALSE) AS is_bradycardic,
+  coalesce(respiratory_rate > 20, FALSE) AS is_tachypneic,
+  coalesce(systolic_bp > 140 OR diastolic_bp > 90, FALSE) AS is_hypertensive,
+  coalesce(systolic_bp < 90 OR diastolic_bp < 60, FALSE) AS is_hypotensive,
+  coalesce(oxygen_saturation_pct < 90, FALSE) AS is_hypoxic, coalesce(pain_score >= 7, FALSE) AS has_severe_pain,
+  CASE WHEN respiratory_rate <= 8 THEN 3 WHEN respiratory_rate BETWEEN 9 AND 11 THEN 1
+       WHEN respiratory_rate BETWEEN 21 AND 24 THEN 2 WHEN respiratory_rate >= 25 THEN 3 ELSE 0 END AS news_rr,
+  CASE WHEN oxygen_saturation_pct <= 91 THEN 3 WHEN oxygen_saturation_pct BETWEEN 92 AND 93 THEN 2
+       WHEN oxygen_saturation_pct BETWEEN 94 AND 95 THEN 1 ELSE 0 END AS news_o2,
+  CASE WHEN systolic_bp <= 90 THEN 3 WHEN systolic_bp BETWEEN 91 AND 100 THEN 2 WHEN systolic_bp BETWEEN 101 AND 110 THEN 1
+       WHEN systolic_bp >= 220 THEN 3 ELSE 0 END AS news_sbp,
+  CASE WHEN heart_rate_bpm <= 40 THEN 3 WHEN heart_rate_bpm BETWEEN 41 AND 50 THEN 1
+       WHEN heart_rate_bpm BETWEEN 91 AND 110 THEN 1 WHEN heart_rate_bpm BETWEEN 111 AND 130 THEN 2
+       WHEN heart_rate_bpm >= 131 THEN 3 ELSE 0 END AS news_hr
+FROM r_vitals""")
+
+# ---------------------------------------------------------------- intermediate facts
+cte("int_vitals", ["stg_vitals", "stg_encounters", "stg_patients", "stg_hospitals"], """
+SELECT v.*, news_rr + news_o2 + news_sbp + news_hr AS total_news_score,
+  CASE WHEN news_rr + news_o2 + news_sbp + news_hr >= 7 THEN 'High Risk'
+       WHEN news_rr + news_o2 + news_sbp + news_hr >= 5 THEN 'Medium Risk'
+       WHEN news_rr + news_o2 + news_sbp + news_hr >= 3 THEN 'Low Risk' ELSE 'Normal' END AS news_risk_category,
+  is_hypotensive AND is_tachycardic AND is_hypoxic AS sepsis_alert,
+  is_hypertensive AND has_severe_pain AS hypertensive_crisis_alert,
+  is_hypoxic AND is_tachypneic AS respiratory_distress_alert
+FROM (SELECT *,
+        coalesce(temperature_f - lag(temperature_f) OVER w > 2.0 OR heart_rate_bpm - lag(heart_rate_bpm) OVER w > 30
+                 OR systolic_bp - lag(systolic_bp) OVER w < -30
+                 OR oxygen_saturation_pct - lag(oxygen_saturation_pct) OVER w < -5, FALSE) AS rapid_deterioration_flag
+      FROM stg_vitals
+      WINDOW w AS (PARTITION BY patient_id, encounter_id ORDER BY measurement_datetime, vital_id)) v
+JOIN stg_hospitals h ON v.hospital_id = h.hospital_id
+JOIN stg_encounters e ON v.encounter_id = e.encounter_id
+JOIN stg_patients p ON v.patient_id = p.patient_id""")
+
+cte("int_labs", ["stg_results", "stg_orders", "stg_encounters", "stg_patients", "stg_hospitals"], """
+SELECT *, CASE WHEN result_value_numeric > prev THEN 'Increasing' WHEN result_value_numeric < prev THEN 'Decreasing'
+               WHEN result_value_numeric = prev THEN 'Stable' ELSE 'First Result' END AS trend_direction,
+  CASE WHEN lower(test_name) LIKE '%glucose%' AND (result_value_numeric < 40 OR result_value_numeric > 500) THEN TRUE
+       WHEN lower(test_name) LIKE '%potassium%' AND (result_value_numeric < 2.5 OR result_value_numeric > 6.5) THEN TRUE
+       WHEN lower(test_name) LIKE '%sodium%' AND (result_value_numeric < 120 OR result_value_numeric > 160) THEN TRUE
+       WHEN lower(test_name) LIKE '%hemoglobin%' AND result_value_numeric < 6 THEN TRUE
+       WHEN lower(test_name) LIKE '%creatinine%' AND result_value_numeric > 10 THEN TRUE
+       WHEN lower(test_name) LIKE '%troponin%' AND result_value_numeric > 0.5 THEN TRUE ELSE FALSE END
+    AS is_critical_value,
+  CASE WHEN lower(test_name) SIMILAR TO '.*(cbc|hemoglobin|hematocrit|platelet|wbc).*' THEN 'Complete Blood Count'
+       WHEN lower(test_name) SIMILAR TO '.*(sodium|potassium|chloride|bicarb|glucose).*' THEN 'Basic Metabolic Panel'
+       WHEN lower(test_name) SIMILAR TO '.*(cmp|albumin|calcium|protein).*' THEN 'Comprehensive Metabolic Panel'
+       WHEN lower(test_name) SIMILAR TO '.*(ast|alt|bilirubin|alkaline).*' THEN 'Liver Function Panel'
+       WHEN lower(test_name) SIMILAR TO '.*(lipid|cholesterol|triglyceride|hdl|ldl).*' THEN 'Lipid Panel'
+       WHEN lower(test_name) LIKE '%troponin%' THEN 'Cardiac Marker'
+       WHEN lower(test_name) SIMILAR TO '.*(pt|inr|ptt|aptt).*' THEN 'Coagulation Panel' ELSE 'Other' END
+    AS lab_panel_category
+FROM (
+  SELECT r.*, lo.completion_time_hours AS order_completion_hours
+  FROM (SELECT *, lag(result_value_numeric) OVER w AS prev, row_number() OVER w AS result_sequence
+        FROM stg_results WHERE result_type = 'LAB'
+        WINDOW w AS (PARTITION BY patient_id, test_code ORDER BY result_datetime, result_id)) r
+  JOIN stg_hospitals h ON r.hospital_id = h.hospital_id
+  JOIN stg_encounters e ON r.encounter_id = e.encounter_id
+  JOIN stg_patients p ON r.patient_id = p.patient_id
+  LEFT JOIN (SELECT * FROM stg_orders WHERE order_type = 'LAB') lo ON r.order_id = lo.order_id)""")
+
+cte("int_revenue_cycle", ["stg_billing", "r_payers", "stg_encounters"], """
+SELECT b.*, p.payer_type, p.reimbursement_rate, e.discharge_date,
+  date_diff('day', e.discharge_date, b.transaction_date) AS days_in_ar,
+  b.payment_amount - b.charge_amount * p.reimbursement_rate AS payment_variance
+FROM stg_billing b JOIN r_payers p ON b.payer_id = p.payer_id JOIN stg_encounters e ON b.encounter_id = e.encounter_id""")

@@ -61,3 +61,169 @@ def patient_journey(enriched: DataFrame) -> DataFrame:
     d = F.col("days_since_last_discharge")
     return (out.withColumn("is_30day_return", F.coalesce(d.between(1, 30), F.lit(False)))
             .withColumn("is_7day_return", F.coalesce(d.between(1, 7), F.lit(False))))
+
+
+def _hosp(hospitals: DataFrame) -> DataFrame:
+    # tenants are bounded (one row per hospital): broadcast
+    return F.broadcast(hospitals.select("hospital_id", "hospital_name", "hospital_type", "region"))
+
+
+# J03 ----------------------------------------------------------------------
+def vitals_enriched(vitals: DataFrame, encounters: DataFrame, patients: DataFrame,
+                    hospitals: DataFrame) -> DataFrame:
+    """Per-encounter vital trends (one window spec, every lag from one sort),
+    NEWS / NEWS2 / qSOFA partial scores and composite alerts."""
+    from ..functions import scores as S
+    c = F.col
+    w = Window.partitionBy("patient_id", "encounter_id").orderBy("measurement_datetime", "vital_id")
+    enc = encounters.select("encounter_id", "encounter_type", "admission_date", "primary_diagnosis_code")
+    pat = patients.select("patient_id", "age_years", "age_group", "gender")
+    # Trends are computed over all vitals of the encounter (before the
+    # validity joins). Hash-partitioning on encounter_id once serves both the
+    # window (partition keys contain encounter_id) and the encounter join.
+    v = vitals.repartition("encounter_id")
+    for src, dst in [("temperature_f", "previous_temperature_f"), ("heart_rate_bpm", "previous_heart_rate_bpm"),
+                     ("systolic_bp", "previous_systolic_bp"),
+                     ("oxygen_saturation_pct", "previous_oxygen_saturation_pct"),
+                     ("measurement_datetime", "previous_measurement_datetime")]:
+        v = v.withColumn(dst, F.lag(src).over(w))
+    v = v.withColumn("measurement_sequence", F.row_number().over(w))
+    total_news = c("news_respiratory_score") + c("news_oxygen_score") + c("news_systolic_score") + c("news_heart_rate_score")
+    temp_c = S.f_to_c("temperature_f")
+    d_temp = c("temperature_f") - c("previous_temperature_f")
+    d_hr = c("heart_rate_bpm") - c("previous_heart_rate_bpm")
+    d_sbp = c("systolic_bp") - c("previous_systolic_bp")
+    d_o2 = c("oxygen_saturation_pct") - c("previous_oxygen_saturation_pct")
+    return (v.join(enc, "encounter_id").join(_hosp(hospitals), "hospital_id").join(pat, "patient_id")
+            .select(
+                "vital_id", "hospital_id", "encounter_id", "patient_id", "hospital_name", "hospital_type", "region",
+                "age_years", "age_group", "gender", "encounter_type", "admission_date", "primary_diagnosis_code",
+                "measurement_datetime", "position", "measured_by_role", "measurement_sequence",
+                "temperature_f", "heart_rate_bpm", "respiratory_rate", "systolic_bp", "diastolic_bp",
+                "oxygen_saturation_pct", "weight_kg", "height_cm", "bmi", "pain_score", "map_mmhg",
+                "is_febrile", "is_hypothermic", "is_tachycardic", "is_bradycardic", "is_tachypneic", "is_bradypneic",
+                "is_hypertensive", "is_hypotensive", "is_hypoxic", "is_obese", "has_severe_pain",
+                "news_respiratory_score", "news_oxygen_score", "news_systolic_score", "news_heart_rate_score",
+                total_news.alias("total_news_score"),
+                S.news_category(total_news).alias("news_risk_category"),
+                S.news2(respiratory_rate="respiratory_rate", spo2="oxygen_saturation_pct", temperature_c=temp_c,
+                        systolic_bp="systolic_bp", heart_rate="heart_rate_bpm").alias("news2_partial_score"),
+                S.qsofa("respiratory_rate", "systolic_bp").alias("qsofa_partial_score"),
+                "previous_temperature_f", "previous_heart_rate_bpm", "previous_systolic_bp",
+                "previous_oxygen_saturation_pct", "previous_measurement_datetime",
+                fn.boundary_diff("minute", "previous_measurement_datetime", "measurement_datetime")
+                .alias("minutes_since_last_vitals"),
+                d_temp.alias("temperature_change"), d_hr.alias("heart_rate_change"),
+                d_sbp.alias("systolic_bp_change"), d_o2.alias("oxygen_sat_change"),
+                F.coalesce((d_temp > 2.0) | (d_hr > 30) | (d_sbp < -30) | (d_o2 < -5), F.lit(False))
+                .alias("rapid_deterioration_flag"),
+                fn.boundary_diff("day", "admission_date", "measurement_datetime").alias("encounter_day_of_measurement"),
+                fn.boundary_diff("hour", "admission_date", "measurement_datetime").alias("encounter_hour_of_measurement"),
+                (c("is_hypotensive") & c("is_tachycardic") & c("is_hypoxic")).alias("sepsis_alert"),
+                (c("is_hypertensive") & c("has_severe_pain")).alias("hypertensive_crisis_alert"),
+                (c("is_hypoxic") & c("is_tachypneic")).alias("respiratory_distress_alert"),
+                "loaded_at_timestamp"))
+
+
+# J05 ----------------------------------------------------------------------
+def _like_any(c, patterns):
+    from functools import reduce
+    return reduce(lambda a, b: a | b, [c.like(p) for p in patterns])
+
+
+def lab_panel_category(test_name) -> F.Column:
+    # Panel name patterns, first match wins.
+    t = F.lower(F.col(test_name) if isinstance(test_name, str) else test_name)
+    return (F.when(_like_any(t, ["%cbc%", "%hemoglobin%", "%hematocrit%", "%platelet%", "%wbc%"]), "Complete Blood Count")
+            .when(_like_any(t, ["%sodium%", "%potassium%", "%chloride%", "%bicarb%", "%glucose%"]), "Basic Metabolic Panel")
+            .when(_like_any(t, ["%cmp%", "%albumin%", "%calcium%", "%protein%"]), "Comprehensive Metabolic Panel")
+            .when(_like_any(t, ["%ast%", "%alt%", "%bilirubin%", "%alkaline%"]), "Liver Function Panel")
+            .when(_like_any(t, ["%lipid%", "%cholesterol%", "%triglyceride%", "%hdl%", "%ldl%"]), "Lipid Panel")
+            .when(t.like("%troponin%"), "Cardiac Marker")
+            .when(_like_any(t, ["%pt%", "%inr%", "%ptt%", "%aptt%"]), "Coagulation Panel")
+            .otherwise("Other"))
+
+
+# Critical-value rule (analyte pattern, below, above).
+CRITICAL_LAB_RULES = [("%glucose%", 40, 500), ("%potassium%", 2.5, 6.5), ("%sodium%", 120, 160),
+                      ("%hemoglobin%", 6, None), ("%creatinine%", None, 10), ("%troponin%", None, 0.5)]
+
+
+def is_critical_lab(test_name, value) -> F.Column:
+    t = F.lower(F.col(test_name))
+    v = F.col(value)
+    out = None
+    for pat, lo, hi in CRITICAL_LAB_RULES:
+        for cond in ([t.like(pat) & (v < lo)] if lo is not None else []) + ([t.like(pat) & (v > hi)] if hi is not None else []):
+            out = F.when(cond, F.lit(True)) if out is None else out.when(cond, F.lit(True))
+    return out.otherwise(F.lit(False))
+
+
+def lab_results_enriched(results: DataFrame, orders: DataFrame, encounters: DataFrame, patients: DataFrame,
+                         providers: DataFrame, hospitals: DataFrame) -> DataFrame:
+    c = F.col
+    w = Window.partitionBy("patient_id", "test_code").orderBy("result_datetime", "result_id")
+    lr = (results.filter(c("result_type") == "LAB")
+          .withColumn("previous_result_value", F.lag("result_value_numeric").over(w))
+          .withColumn("previous_result_datetime", F.lag("result_datetime").over(w))
+          .withColumn("result_sequence", F.row_number().over(w)))
+    enc = encounters.select("encounter_id", "encounter_type", "admission_date", "primary_diagnosis_code")
+    pat = patients.select("patient_id", "age_years", "age_group", "gender")
+    lo = orders.filter(c("order_type") == "LAB").select("order_id", c("provider_id").alias("lo_provider_id"),
+                                                         c("completion_time_hours").alias("order_completion_hours"))
+    ord_prov = providers.select(c("provider_id").alias("lo_provider_id"),
+                                c("provider_full_name").alias("ordering_provider_name"),
+                                c("specialty").alias("ordering_provider_specialty"))
+    int_prov = providers.select(c("provider_id").alias("interpreting_provider_id"),
+                                c("provider_full_name").alias("interpreting_provider_name"))
+    v, prev = c("result_value_numeric"), c("previous_result_value")
+    j = (lr.join(_hosp(hospitals), "hospital_id").join(enc, "encounter_id").join(pat, "patient_id")
+         .join(int_prov, "interpreting_provider_id", "left")
+         .join(lo, "order_id", "left").join(ord_prov, "lo_provider_id", "left"))
+    return j.select(
+        "result_id", "hospital_id", "order_id", "patient_id", "encounter_id", "hospital_name", "hospital_type",
+        "region", "age_years", "age_group", "gender", "encounter_type", "admission_date", "primary_diagnosis_code",
+        "ordering_provider_name", "ordering_provider_specialty", "interpreting_provider_name",
+        "test_code", "test_name", "component_code", "component_name", "result_value", "result_value_numeric",
+        "result_units", "reference_range_low", "reference_range_high", "abnormal_flag", "result_datetime",
+        "collected_datetime", "resulted_datetime", "result_status", "performing_lab", "is_abnormal", "is_high",
+        "is_low", "is_final", "is_preliminary", "turnaround_time_hours", "order_completion_hours",
+        "out_of_range_value",
+        F.when(c("out_of_range_value") > 0, c("out_of_range_value").cast("double") * 100.0
+               / F.nullif(c("reference_range_high"), F.lit(0)).cast("double")).otherwise(F.lit(0.0))
+        .alias("percent_above_range"),
+        "previous_result_value", "previous_result_datetime", "result_sequence",
+        (v - prev).alias("result_change"),
+        F.when(prev.isNotNull() & (prev != 0), (v - prev).cast("double") * 100.0 / prev.cast("double"))
+        .alias("result_change_pct"),
+        fn.boundary_diff("day", "previous_result_datetime", "result_datetime").alias("days_since_previous_result"),
+        F.when(v > prev, "Increasing").when(v < prev, "Decreasing").when(v == prev, "Stable")
+        .otherwise("First Result").alias("trend_direction"),
+        is_critical_lab("test_name", "result_value_numeric").alias("is_critical_value"),
+        lab_panel_category("test_name").alias("lab_panel_category"),
+        fn.boundary_diff("day", "admission_date", "result_datetime").alias("encounter_day_of_result"),
+        "loaded_at_timestamp")
+
+
+# J08 ----------------------------------------------------------------------
+def revenue_cycle(billing: DataFrame, payers: DataFrame, encounters: DataFrame) -> DataFrame:
+    c = F.col
+    p = F.broadcast(payers.select("payer_id", "payer_name", "payer_type",
+                                  c("reimbursement_rate").alias("expected_reimbursement_rate")))
+    e = encounters.select("encounter_id", "encounter_type", "discharge_date")
+    j = (billing.join(p, "payer_id").join(e, "encounter_id")
+         .withColumn("days_in_ar", fn.boundary_diff("day", "discharge_date", "transaction_date")))
+    d = c("days_in_ar")
+    expected = c("charge_amount") * c("expected_reimbursement_rate")
+    return j.select(
+        "transaction_id", "hospital_id", "encounter_id", "patient_id", "payer_id", "payer_name", "payer_type",
+        "expected_reimbursement_rate", "encounter_type", "discharge_date", "transaction_date", "days_in_ar",
+        "charge_amount", "payment_amount", "adjustment_amount", "collected_amount", "denied_amount",
+        "collection_rate_pct", expected.alias("expected_payment"),
+        (c("payment_amount") - expected).alias("payment_variance"),
+        "payment_status", "denial_reason", "is_denied", "is_paid", "is_pending",
+        F.coalesce(d > 90, F.lit(False)).alias("is_over_90_days"),
+        F.coalesce(d > 60, F.lit(False)).alias("is_over_60_days"),
+        F.coalesce(d > 30, F.lit(False)).alias("is_over_30_days"),
+        F.when(d <= 30, "0-30 days").when(d <= 60, "31-60 days").when(d <= 90, "61-90 days")
+        .when(d <= 120, "91-120 days").otherwise("120+ days").alias("ar_aging_bucket"))

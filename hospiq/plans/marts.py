@@ -35,7 +35,7 @@ def clinical_quality_metrics(journey: DataFrame) -> DataFrame:
                  # corrected: a 30-day return that is not an inpatient readmission
                  _sum_if(c("is_30day_return") & ~c("is_readmission")).cast("bigint").alias("returns_30day_non_readmit"),
                  _sum_if(c("is_mortality")).cast("bigint").alias("mortality_count"),
-                 F.avg("length_of_stay").alias("avg_los"),
+                 fn.mean("length_of_stay").alias("avg_los"),
                  F.median("length_of_stay").alias("median_los"),
                  F.max("length_of_stay").alias("max_los"),
                  F.countDistinct(F.when(c("patient_risk_category") == "High Risk", c("patient_id"))).alias("high_risk_patients"),
@@ -53,3 +53,191 @@ def clinical_quality_metrics(journey: DataFrame) -> DataFrame:
         fn.r2("readmission_charges").alias("readmission_charges"), "ed_7day_returns",
         fn.r4(fn.rate_or_zero("readmissions_30day", "inpatient_encounters")).alias("readmission_rate_30day_pct"),
         fn.r4(fn.rate_or_zero("mortality_count", "total_encounters")).alias("mortality_rate_pct"))
+
+
+def _rate(num, den) -> F.Column:
+    return fn.r4(fn.rate_or_zero(num, den))
+
+
+def _band(x, bands, otherwise) -> F.Column:
+    """Label from descending (min, label) bands."""
+    c = F.col(x) if isinstance(x, str) else x
+    out = None
+    for t, lab in bands:
+        out = F.when(c >= t, lab) if out is None else out.when(c >= t, lab)
+    return out.otherwise(otherwise)
+
+
+# K02 ----------------------------------------------------------------------
+def early_warning_surveillance(vitals: DataFrame) -> DataFrame:
+    c = F.col
+    cat = c("news_risk_category")
+    agg = (vitals.filter(c("measurement_datetime").isNotNull())
+           .groupBy("hospital_id", F.to_date(F.date_trunc("day", "measurement_datetime")).alias("metric_date"))
+           .agg(F.count("vital_id").alias("total_vital_measurements"),
+                F.countDistinct("patient_id").alias("unique_patients_monitored"),
+                F.countDistinct("encounter_id").alias("encounters_monitored"),
+                _cnt_if(cat == "High Risk").alias("high_risk_measurements"),
+                _cnt_if(cat == "Medium Risk").alias("medium_risk_measurements"),
+                _cnt_if(cat == "Low Risk").alias("low_risk_measurements"),
+                _cnt_if(cat == "Normal").alias("normal_measurements"),
+                F.countDistinct(F.when(cat == "High Risk", c("patient_id"))).alias("high_risk_patients"),
+                F.countDistinct(F.when(cat == "Medium Risk", c("patient_id"))).alias("medium_risk_patients"),
+                fn.mean("total_news_score").alias("avg_news"),
+                F.max("total_news_score").alias("max_news_score"),
+                F.percentile("total_news_score", 0.5).alias("median_news"),
+                F.percentile("total_news_score", 0.95).alias("p95_news"),
+                *[_cnt_if(c(f)).alias(a) for f, a in [
+                    ("is_febrile", "febrile_measurements"), ("is_hypothermic", "hypothermic_measurements"),
+                    ("is_tachycardic", "tachycardic_measurements"), ("is_bradycardic", "bradycardic_measurements"),
+                    ("is_tachypneic", "tachypneic_measurements"), ("is_hypotensive", "hypotensive_measurements"),
+                    ("is_hypertensive", "hypertensive_measurements"), ("is_hypoxic", "hypoxic_measurements"),
+                    ("sepsis_alert", "sepsis_alerts")]],
+                F.countDistinct(F.when(c("sepsis_alert"), c("patient_id"))).alias("patients_with_sepsis_alert"),
+                _cnt_if(c("respiratory_distress_alert")).alias("respiratory_alerts"),
+                F.countDistinct(F.when(c("respiratory_distress_alert"), c("patient_id"))).alias("patients_with_respiratory_alert"),
+                _cnt_if(c("hypertensive_crisis_alert")).alias("hypertensive_crisis_alerts"),
+                _cnt_if(c("rapid_deterioration_flag")).alias("rapid_deterioration_events"),
+                F.countDistinct(F.when(c("rapid_deterioration_flag"), c("patient_id"))).alias("patients_with_rapid_deterioration"),
+                _cnt_if(c("has_severe_pain")).alias("severe_pain_measurements"),
+                fn.mean("pain_score").alias("avg_pain")))
+    tot = "total_vital_measurements"
+    r = (agg.withColumn("avg_measurements_per_encounter", c(tot) * 1.0 / c("encounters_monitored"))
+         .withColumn("high_risk_rate_pct", _rate("high_risk_measurements", tot))
+         .withColumn("elevated_risk_rate_pct", _rate(c("high_risk_measurements") + c("medium_risk_measurements"), tot))
+         .withColumn("sepsis_alert_rate_pct", _rate("sepsis_alerts", tot))
+         .withColumn("respiratory_alert_rate_pct", _rate("respiratory_alerts", tot))
+         .withColumn("rapid_deterioration_rate_pct", _rate("rapid_deterioration_events", tot))
+         .withColumn("hypotension_rate_pct", _rate("hypotensive_measurements", tot))
+         .withColumn("hypoxia_rate_pct", _rate("hypoxic_measurements", tot))
+         .withColumn("tachycardia_rate_pct", _rate("tachycardic_measurements", tot)))
+    raw_rate = lambda n: fn.rate_or_zero(n, tot)
+    score = F.greatest(F.lit(0.0), 100 - raw_rate("high_risk_measurements") * 5 - raw_rate("sepsis_alerts") * 10
+                       - raw_rate("rapid_deterioration_events") * 8)
+    return (r.withColumn("alert_volume_status", _band("high_risk_patients", [(5, "High Alert Volume"),
+                                                                              (2, "Moderate Alert Volume")],
+                                                      "Normal Alert Volume"))
+            .withColumn("population_risk_status", _band("avg_news", [(5, "High Average Risk"),
+                                                                      (3, "Moderate Average Risk")], "Low Average Risk"))
+            .withColumn("sepsis_surveillance_status", _band("sepsis_alerts", [(3, "High Sepsis Alert Day"),
+                                                                               (1, "Sepsis Alerts Present")],
+                                                            "No Sepsis Alerts"))
+            .withColumn("monitoring_frequency_status", _band("avg_measurements_per_encounter",
+                                                             [(3, "Adequate Monitoring"), (2, "Marginal Monitoring")],
+                                                             "Insufficient Monitoring"))
+            .withColumn("surveillance_quality_score", fn.r4(score))
+            .withColumn("avg_news_score", fn.r4("avg_news"))
+            .withColumn("median_news_score", fn.r4("median_news"))
+            .withColumn("p95_news_score", fn.r4("p95_news"))
+            .withColumn("avg_pain_score", fn.r4("avg_pain"))
+            .withColumn("avg_measurements_per_encounter", fn.r4("avg_measurements_per_encounter"))
+            .drop("avg_news", "median_news", "p95_news", "avg_pain"))
+
+
+# K03 ----------------------------------------------------------------------
+def laboratory_quality_metrics(labs: DataFrame) -> DataFrame:
+    c = F.col
+    panel = c("lab_panel_category")
+    tat = c("turnaround_time_hours")
+    stat_tat = F.when(c("order_completion_hours") <= 1, tat)
+    agg = (labs.filter(c("result_datetime").isNotNull())
+           .groupBy("hospital_id", F.to_date(F.date_trunc("day", "result_datetime")).alias("metric_date"))
+           .agg(F.count("result_id").alias("total_lab_results"),
+                F.countDistinct("patient_id").alias("unique_patients_tested"),
+                F.countDistinct("encounter_id").alias("encounters_with_labs"),
+                F.countDistinct("test_code").alias("unique_tests_performed"),
+                *[_cnt_if(panel == p).alias(a) for p, a in [
+                    ("Complete Blood Count", "cbc_count"), ("Basic Metabolic Panel", "bmp_count"),
+                    ("Comprehensive Metabolic Panel", "cmp_count"), ("Liver Function Panel", "lft_count"),
+                    ("Lipid Panel", "lipid_count"), ("Cardiac Marker", "cardiac_marker_count"),
+                    ("Coagulation Panel", "coag_count")]],
+                *[_cnt_if(c(f)).alias(a) for f, a in [
+                    ("is_final", "final_results"), ("is_preliminary", "preliminary_results"),
+                    ("is_abnormal", "abnormal_results"), ("is_high", "high_results"), ("is_low", "low_results"),
+                    ("is_critical_value", "critical_values")]],
+                F.countDistinct(F.when(c("is_critical_value"), c("patient_id"))).alias("patients_with_critical_values"),
+                fn.mean(tat).alias("avg_tat"),
+                F.percentile(tat, 0.5).alias("median_tat"),
+                F.percentile(tat, 0.95).alias("p95_tat"),
+                F.max(tat).alias("max_turnaround_hours"),
+                fn.mean(stat_tat).alias("avg_stat_tat"),
+                F.percentile(stat_tat, 0.5).alias("median_stat_turnaround_hours"),
+                _cnt_if(tat <= 2).alias("results_within_2hrs"),
+                _cnt_if(tat <= 4).alias("results_within_4hrs"),
+                _cnt_if(tat <= 24).alias("results_within_24hrs"),
+                _cnt_if(c("result_sequence") > 1).alias("repeat_tests"),
+                _cnt_if(c("trend_direction") == "Increasing").alias("increasing_trends"),
+                _cnt_if(c("trend_direction") == "Decreasing").alias("decreasing_trends"),
+                fn.mean(F.when(c("is_abnormal"), c("out_of_range_value"))).alias("avg_oor"),
+                F.max(F.when(c("is_abnormal"), c("out_of_range_value"))).alias("max_oor")))
+    tot = "total_lab_results"
+    w4 = fn.rate_or_zero("results_within_4hrs", tot)
+    med_stat = c("median_stat_turnaround_hours")
+    final_pct = c("final_results") * 100.0 / F.nullif(c(tot), F.lit(0))
+    rep = fn.rate_or_zero("repeat_tests", tot)
+    score = (F.when(w4 >= 90, 40).when(w4 >= 75, 30).when(w4 >= 50, 20).otherwise(w4 * 0.4)
+             + F.when(med_stat <= 1, 30).when(med_stat <= 2, 20).otherwise(10)
+             + F.when(final_pct >= 95, 20).when(final_pct >= 85, 15).otherwise(10)
+             + F.when(rep <= 10, 10).when(rep <= 20, 7).otherwise(5))
+    med = c("median_tat")
+    return (agg.select(
+        "*",
+        _rate("abnormal_results", tot).alias("abnormal_rate_pct"),
+        _rate("critical_values", tot).alias("critical_value_rate_pct"),
+        _rate("results_within_2hrs", tot).alias("within_2hr_rate_pct"),
+        _rate("results_within_4hrs", tot).alias("within_4hr_rate_pct"),
+        _rate("results_within_24hrs", tot).alias("within_24hr_rate_pct"),
+        _rate("cbc_count", tot).alias("cbc_pct"),
+        _rate("cardiac_marker_count", tot).alias("cardiac_marker_pct"),
+        _rate("repeat_tests", tot).alias("repeat_test_rate_pct"),
+        F.when(med <= 4, "Excellent").when(med <= 8, "Good").when(med <= 12, "Fair")
+        .otherwise("Needs Improvement").alias("turnaround_performance"),
+        F.when(med_stat <= 1, "Meets STAT Target").when(med_stat <= 2, "Marginal STAT Performance")
+        .otherwise("Below STAT Target").alias("stat_performance_status"),
+        _band("critical_values", [(5, "High Critical Volume"), (2, "Moderate Critical Volume"),
+                                  (1, "Low Critical Volume")], "No Critical Values").alias("critical_value_status"),
+        fn.r4(score).alias("lab_quality_score"),
+        fn.r4("avg_tat").alias("avg_turnaround_hours"), fn.r4("median_tat").alias("median_turnaround_hours"),
+        fn.r4("p95_tat").alias("p95_turnaround_hours"), fn.r4("avg_stat_tat").alias("avg_stat_turnaround_hours"),
+        fn.r4("avg_oor").alias("avg_out_of_range_value"), fn.r4("max_oor").alias("max_out_of_range_value"))
+        .drop("avg_tat", "median_tat", "p95_tat", "avg_stat_tat", "avg_oor", "max_oor")
+        .withColumn("median_stat_turnaround_hours", fn.r4("median_stat_turnaround_hours")))
+
+
+# K11 ----------------------------------------------------------------------
+def financial_performance(rc: DataFrame) -> DataFrame:
+    c = F.col
+    pt = c("payer_type")
+    agg = (rc.groupBy("hospital_id", F.to_date(F.date_trunc("day", "transaction_date")).alias("metric_date"))
+           .agg(F.count("transaction_id").alias("total_transactions"),
+                F.countDistinct("encounter_id").alias("encounters_billed"),
+                F.sum("charge_amount").alias("tc"), F.sum("payment_amount").alias("tp"),
+                F.sum("adjustment_amount").alias("ta"), F.sum("collected_amount").alias("tcol"),
+                F.sum("denied_amount").alias("td"),
+                fn.mean("charge_amount").alias("ac"), fn.mean("payment_amount").alias("ap"),
+                _cnt_if(c("is_denied")).alias("denial_count"),
+                F.count(F.lit(1)).alias("n"),
+                fn.mean("days_in_ar").alias("adar"), F.percentile("days_in_ar", 0.5).alias("mdar"),
+                _sum_if(c("is_over_30_days"), c("charge_amount")).alias("a30"),
+                _sum_if(c("is_over_60_days"), c("charge_amount")).alias("a60"),
+                _sum_if(c("is_over_90_days"), c("charge_amount")).alias("a90"),
+                _cnt_if(pt == "Government").alias("government_payer_count"),
+                _cnt_if(pt == "Commercial").alias("commercial_payer_count"),
+                _cnt_if(pt == "Self-Pay").alias("self_pay_count"),
+                _cnt_if(c("is_paid")).alias("paid_count"),
+                _cnt_if(c("is_pending")).alias("pending_count"),
+                F.sum("payment_variance").alias("tpv"), fn.mean("payment_variance").alias("apv")))
+    return agg.select(
+        "hospital_id", "metric_date", "total_transactions", "encounters_billed",
+        fn.r2("tc").alias("total_charges"), fn.r2("tp").alias("total_payments"),
+        fn.r2("ta").alias("total_adjustments"), fn.r2("tcol").alias("total_collections"),
+        fn.r2("td").alias("total_denials"), fn.r4("ac").alias("avg_charge_per_transaction"),
+        fn.r4("ap").alias("avg_payment_per_transaction"),
+        fn.r4(F.when(c("tc") > 0, c("tcol").cast("double") * 100.0 / c("tc").cast("double")).otherwise(0.0))
+        .alias("net_collection_rate_pct"),
+        "denial_count", _rate("denial_count", "n").alias("denial_rate_pct"),
+        fn.r4("adar").alias("avg_days_in_ar"), fn.r4("mdar").alias("median_days_in_ar"),
+        fn.r2("a30").alias("ar_over_30_days"), fn.r2("a60").alias("ar_over_60_days"),
+        fn.r2("a90").alias("ar_over_90_days"),
+        "government_payer_count", "commercial_payer_count", "self_pay_count", "paid_count", "pending_count",
+        fn.r2("tpv").alias("total_payment_variance"), fn.r4("apv").alias("avg_payment_variance"))

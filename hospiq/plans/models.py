@@ -70,3 +70,49 @@ class Warehouse:
     @cached_property
     def clinical_quality_metrics(self) -> DataFrame:
         return K.clinical_quality_metrics(self.patient_journey)
+
+    # ---- clinical facts
+    @cached_property
+    def billing(self) -> DataFrame:
+        return B.stg_billing(self.raw.billing_transactions)
+
+    @cached_property
+    def clinical_orders(self) -> DataFrame:
+        return B.stg_clinical_orders(self.raw.clinical_orders)
+
+    @cached_property
+    def clinical_results(self) -> DataFrame:
+        return B.stg_clinical_results(self.raw.clinical_results)
+
+    @cached_property
+    def medication_administration(self) -> DataFrame:
+        return B.stg_medication_administration(self.raw.medication_administration)
+
+    @cached_property
+    def vital_signs(self) -> DataFrame:
+        return B.stg_vital_signs(self.raw.vital_signs)
+
+    @cached_property
+    def vitals_enriched(self) -> DataFrame:
+        return J.vitals_enriched(self.vital_signs, self.encounters, self.patients, self.hospitals)
+
+    @cached_property
+    def lab_results_enriched(self) -> DataFrame:
+        return J.lab_results_enriched(self.clinical_results, self.clinical_orders, self.encounters, self.patients,
+                                      self.providers, self.hospitals)
+
+    @cached_property
+    def revenue_cycle(self) -> DataFrame:
+        return J.revenue_cycle(self.billing, self.payers, self.encounters)
+
+    @cached_property
+    def early_warning_surveillance(self) -> DataFrame:
+        return K.early_warning_surveillance(self.vitals_enriched)
+
+    @cached_property
+    def laboratory_quality_metrics(self) -> DataFrame:
+        return K.laboratory_quality_metrics(self.lab_results_enriched)
+
+    @cached_property
+    def financial_performance(self) -> DataFrame:
+        return K.financial_performance(self.revenue_cycle)

@@ -159,3 +159,108 @@ def encounters_validated(raw_enc: DataFrame, patients: DataFrame, providers: Dat
 def stg_encounters(raw_enc: DataFrame, patients: DataFrame, providers: DataFrame,
                    facilities: DataFrame) -> DataFrame:
     return encounters_validated(raw_enc, patients, providers, facilities, attrs=False)
+
+
+# B01 ----------------------------------------------------------------------
+def stg_billing(raw: DataFrame) -> DataFrame:
+    s = F.col("payment_status")
+    return raw.select(
+        "transaction_id", "hospital_id", "encounter_id", "patient_id", "payer_id", "transaction_date",
+        "charge_amount", "payment_amount", "adjustment_amount", "denial_reason", "payment_status",
+        F.when(s == "Paid", F.col("payment_amount")).otherwise(F.lit(0)).alias("collected_amount"),
+        F.when(s == "Denied", F.col("charge_amount")).otherwise(F.lit(0)).alias("denied_amount"),
+        F.when(s.isin("Paid", "Partial"),
+               (F.col("payment_amount") + F.col("adjustment_amount")).cast("double") * 100.0
+               / F.nullif(F.col("charge_amount"), F.lit(0)).cast("double"))
+        .otherwise(F.lit(0.0)).alias("collection_rate_pct"),
+        F.coalesce(s == "Denied", F.lit(False)).alias("is_denied"),
+        F.coalesce(s == "Paid", F.lit(False)).alias("is_paid"),
+        F.coalesce(s == "Pending", F.lit(False)).alias("is_pending"),
+        F.col("_loaded_at").alias("loaded_at_timestamp"))
+
+
+# B03 ----------------------------------------------------------------------
+def stg_clinical_orders(raw: DataFrame) -> DataFrame:
+    return raw.select(
+        "order_id", "hospital_id", "encounter_id", "patient_id", "provider_id", "ordering_provider_id",
+        "result_id", "order_type", "order_code", "order_description", "order_status", "priority",
+        "performing_location", "order_datetime", "scheduled_datetime", "completed_datetime",
+        "medication_name", "dose", "route", "frequency", "duration_days", "specimen_type", "collection_datetime",
+        F.coalesce(F.col("order_status") == "COMPLETED", F.lit(False)).alias("is_completed"),
+        F.coalesce(F.col("order_status") == "CANCELLED", F.lit(False)).alias("is_cancelled"),
+        F.coalesce(F.col("priority") == "STAT", F.lit(False)).alias("is_stat_order"),
+        fn.boundary_diff("hour", "order_datetime", "completed_datetime").alias("completion_time_hours"),
+        fn.boundary_diff("hour", "order_datetime", "scheduled_datetime").alias("scheduled_delay_hours"),
+        F.col("_loaded_at").alias("loaded_at_timestamp"), "_source_file")
+
+
+# B04 ----------------------------------------------------------------------
+def stg_clinical_results(raw: DataFrame) -> DataFrame:
+    v, lo, hi = F.col("result_value_numeric"), F.col("reference_range_low"), F.col("reference_range_high")
+    flag = F.col("abnormal_flag")
+    return raw.select(
+        "result_id", "hospital_id", "order_id", "patient_id", "encounter_id", "interpreting_provider_id",
+        "result_type", "test_code", "test_name", "component_code", "component_name", "result_value",
+        "result_value_numeric", "result_units", "reference_range_low", "reference_range_high", "abnormal_flag",
+        "result_datetime", "collected_datetime", "resulted_datetime", "result_status", "performing_lab",
+        "imaging_modality", "impression", "report_text",
+        F.coalesce(flag.isin("H", "L", "A"), F.lit(False)).alias("is_abnormal"),
+        F.coalesce(flag == "H", F.lit(False)).alias("is_high"),
+        F.coalesce(flag == "L", F.lit(False)).alias("is_low"),
+        F.coalesce(F.col("result_status") == "FINAL", F.lit(False)).alias("is_final"),
+        F.coalesce(F.col("result_status") == "PRELIMINARY", F.lit(False)).alias("is_preliminary"),
+        fn.boundary_diff("hour", "collected_datetime", "resulted_datetime").alias("turnaround_time_hours"),
+        F.when(v.isNotNull() & hi.isNotNull() & (v > hi), v - hi)
+        .when(v.isNotNull() & lo.isNotNull() & (v < lo), lo - v).otherwise(F.lit(0)).alias("out_of_range_value"),
+        F.col("_loaded_at").alias("loaded_at_timestamp"))
+
+
+# B07 ----------------------------------------------------------------------
+def stg_medication_administration(raw: DataFrame) -> DataFrame:
+    st = F.col("administration_status")
+    delay = fn.boundary_diff("minute", "scheduled_datetime", "administered_datetime")
+    return raw.select(
+        "admin_id", "hospital_id", "encounter_id", "patient_id", "order_id", "administered_by_provider_id",
+        "witnessed_by_provider_id", "medication_name", "dose", "route", "scheduled_datetime",
+        "administered_datetime", "administration_status", "refusal_reason", "hold_reason", "barcode_scanned",
+        "adverse_reaction_flag", "reaction_description",
+        F.coalesce(st == "GIVEN", F.lit(False)).alias("is_given"),
+        F.coalesce(st == "REFUSED", F.lit(False)).alias("is_refused"),
+        F.coalesce(st == "HELD", F.lit(False)).alias("is_held"),
+        F.coalesce(st == "MISSED", F.lit(False)).alias("is_missed"),
+        F.coalesce(F.col("barcode_scanned") == True, F.lit(False)).alias("is_verified"),  # noqa: E712
+        F.col("witnessed_by_provider_id").isNotNull().alias("is_witnessed"),
+        F.when(F.col("administered_datetime").isNotNull() & F.col("scheduled_datetime").isNotNull(), delay)
+        .alias("administration_delay_minutes"),
+        F.coalesce(delay > 60, F.lit(False)).alias("is_late_administration"),
+        F.col("_loaded_at").alias("loaded_at_timestamp"))
+
+
+# B17 ----------------------------------------------------------------------
+def stg_vital_signs(raw: DataFrame) -> DataFrame:
+    from ..functions import scores as S
+    c = F.col
+
+    def flag(cond):
+        return F.coalesce(cond, F.lit(False))
+
+    return raw.select(
+        "vital_id", "hospital_id", "encounter_id", "patient_id", "measurement_datetime", "position",
+        "measured_by_role", "temperature_f", "heart_rate_bpm", "respiratory_rate", "systolic_bp", "diastolic_bp",
+        "oxygen_saturation_pct", "weight_kg", "height_cm", "bmi", "pain_score", "map_mmhg",
+        flag(c("temperature_f") > 100.4).alias("is_febrile"),
+        flag(c("temperature_f") < 95.0).alias("is_hypothermic"),
+        flag(c("heart_rate_bpm") > 100).alias("is_tachycardic"),
+        flag(c("heart_rate_bpm") < 60).alias("is_bradycardic"),
+        flag(c("respiratory_rate") > 20).alias("is_tachypneic"),
+        flag(c("respiratory_rate") < 12).alias("is_bradypneic"),
+        flag((c("systolic_bp") > 140) | (c("diastolic_bp") > 90)).alias("is_hypertensive"),
+        flag((c("systolic_bp") < 90) | (c("diastolic_bp") < 60)).alias("is_hypotensive"),
+        flag(c("oxygen_saturation_pct") < 90).alias("is_hypoxic"),
+        flag(c("bmi") >= 30).alias("is_obese"),
+        flag(c("pain_score") >= 7).alias("has_severe_pain"),
+        S.ranged_points("respiratory_rate", S.NEWS_RR_COMPONENT).alias("news_respiratory_score"),
+        S.ranged_points("oxygen_saturation_pct", S.NEWS_SPO2_COMPONENT).alias("news_oxygen_score"),
+        S.ranged_points("systolic_bp", S.NEWS_SBP_COMPONENT).alias("news_systolic_score"),
+        S.ranged_points("heart_rate_bpm", S.NEWS_HR_COMPONENT).alias("news_heart_rate_score"),
+        F.col("_loaded_at").alias("loaded_at_timestamp"))

@@ -33,3 +33,18 @@ def query(qid: str):
 @query("k01_clinical_quality_metrics")
 def _k01(w: Warehouse) -> DataFrame:
     return w.clinical_quality_metrics
+
+
+@query("k02_early_warning_surveillance")
+def _k02(w: Warehouse) -> DataFrame:
+    return w.early_warning_surveillance
+
+
+@query("k03_laboratory_quality")
+def _k03(w: Warehouse) -> DataFrame:
+    return w.laboratory_quality_metrics
+
+
+@query("k11_financial_performance")
+def _k11(w: Warehouse) -> DataFrame:
+    return w.financial_performance

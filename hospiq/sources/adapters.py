@@ -258,3 +258,205 @@ class HospitalSource:
                     F.lit("encounters.parquet").alias("_source_file"),
                     F.expr("admission_date + make_dt_interval(0, 23, 0, 0)").alias("_source_updated_at"),
                 ))
+
+    # ---------------- lineitem-derived facts -------------------------------
+    @cached_property
+    def _line_base(self) -> DataFrame:
+        """lineitem x (orders x customer): one clinical/billing line per item.
+
+        Shuffle join on the order key (the fact-to-fact join of the star)."""
+        li = self._t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                        "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
+                                        "l_shipdate")
+        ob = self._order_base.select("o_orderkey", "o_custkey", "c_nationkey", "admission_date")
+        return (li.join(ob, li.l_orderkey == ob.o_orderkey)
+                .withColumn("q", F.col("l_quantity").cast("int"))
+                .withColumn("line_key", F.concat_ws("_", *[F.col(c).cast("string") for c in
+                                                           ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]))
+                .withColumn("order_type", pick(["LAB", "MEDICATION", "RADIOLOGY", "PROCEDURE"], "l_linenumber"))
+                .withColumn("order_datetime", F.expr(f"admission_date + {hours('3 * l_linenumber')}")))
+
+    @cached_property
+    def billing_transactions(self) -> DataFrame:
+        b = self._line_base
+        status = F.expr("case when l_returnflag = 'A' and l_linestatus = 'F' then 'Paid' "
+                        "when l_returnflag = 'A' then 'Partial' when l_returnflag = 'R' then 'Denied' "
+                        "else 'Pending' end")
+        b = (b.withColumn("payment_status", status)
+             .withColumn("ext_c", F.round(F.col("l_extendedprice") * 100).cast("bigint"))
+             .withColumn("disc_c", F.round(F.col("l_discount") * 100).cast("bigint")))
+        return b.select(
+            F.concat(F.lit("TXN_"), F.col("line_key")).alias("transaction_id"),
+            tenant_id("c_nationkey").alias("hospital_id"),
+            F.concat(F.lit("ENC_"), F.col("l_orderkey").cast("string")).alias("encounter_id"),
+            F.concat(F.lit("PAT_"), F.col("o_custkey").cast("string")).alias("patient_id"),
+            F.concat(F.lit("PAY_"), (F.col("l_partkey") % N_PAYERS).cast("string")).alias("payer_id"),
+            F.col("l_shipdate").alias("transaction_date"),
+            F.col("l_extendedprice").cast("decimal(12,2)").alias("charge_amount"),
+            # money in integer cents with explicit half-up rounding (no float ties)
+            F.expr("cast(case payment_status when 'Paid' then (ext_c * (100 - disc_c) + 50) div 100 "
+                   "when 'Partial' then (ext_c * (100 - disc_c) + 100) div 200 else 0 end / 100.0 "
+                   "as decimal(12,2))").alias("payment_amount"),
+            F.expr("cast(case when payment_status in ('Paid', 'Partial') then (ext_c * disc_c + 50) div 100 "
+                   "else 0 end / 100.0 as decimal(12,2))").alias("adjustment_amount"),
+            F.expr("case when payment_status = 'Denied' then element_at(array('Prior authorization not obtained', "
+                   "'Medical necessity not established', 'Duplicate claim'), cast(l_orderkey % 3 as int) + 1) end")
+            .alias("denial_reason"),
+            F.col("payment_status"),
+            F.expr("l_shipdate + make_dt_interval(1, 0, 0, 0)").alias("_loaded_at"),
+            F.lit("billing_transactions.parquet").alias("_source_file"),
+        )
+
+    @cached_property
+    def clinical_orders(self) -> DataFrame:
+        b = self._line_base.withColumn("order_status", F.expr(
+            "case when (l_orderkey + l_linenumber) % 23 = 0 then 'CANCELLED' when l_linestatus = 'F' then 'COMPLETED' "
+            "when l_returnflag = 'N' then 'ORDERED' else 'IN_PROGRESS' end"))
+        is_lab = F.col("order_type") == "LAB"
+        is_med = F.col("order_type") == "MEDICATION"
+        return b.select(
+            F.concat(F.lit("ORD_"), F.col("line_key")).alias("order_id"),
+            tenant_id("c_nationkey").alias("hospital_id"),
+            F.concat(F.lit("ENC_"), F.col("l_orderkey").cast("string")).alias("encounter_id"),
+            F.concat(F.lit("PAT_"), F.col("o_custkey").cast("string")).alias("patient_id"),
+            F.concat(F.lit("PRV_"), F.col("l_suppkey").cast("string")).alias("provider_id"),
+            "order_type",
+            F.concat(F.lit("OC"), F.col("l_partkey").cast("string")).alias("order_code"),
+            F.concat(F.lit("Order "), F.col("l_partkey").cast("string")).alias("order_description"),
+            "order_status",
+            "order_datetime",
+            F.expr(f"order_datetime + {hours('l_partkey % 3')}").alias("scheduled_datetime"),
+            F.expr(f"case when order_status = 'COMPLETED' then order_datetime + {hours('q % 6 + 12 * (l_partkey % 5)')} end")
+            .alias("completed_datetime"),
+            F.expr("case when l_suppkey % 5 = 0 then 'STAT' when l_suppkey % 5 = 1 then 'URGENT' else 'ROUTINE' end")
+            .alias("priority"),
+            F.concat(F.lit("PRV_"), F.col("l_suppkey").cast("string")).alias("ordering_provider_id"),
+            F.lit("Main Campus").alias("performing_location"),
+            F.when(is_med, pick(DRUGS, "l_partkey")).alias("medication_name"),
+            F.when(is_med, F.concat((F.col("q") % 10 + 1).cast("string"), F.lit(" mg"))).alias("dose"),
+            F.when(is_med, pick(["PO", "IV", "IM", "SC"], "l_partkey")).alias("route"),
+            F.when(is_med, F.lit("Q8H")).alias("frequency"),
+            F.when(is_med, (F.col("q") % 14).cast("bigint")).alias("duration_days"),
+            F.when(is_lab, F.lit("Blood")).alias("specimen_type"),
+            F.when(is_lab, F.expr(f"order_datetime + {hours('1')}")).alias("collection_datetime"),
+            F.when(is_lab, F.concat(F.lit("RES_"), F.col("line_key"))).alias("result_id"),
+            F.expr("order_datetime + make_dt_interval(1, 0, 0, 0)").alias("_loaded_at"),
+            F.lit("clinical_orders.parquet").alias("_source_file"),
+        )
+
+    @cached_property
+    def clinical_results(self) -> DataFrame:
+        # Reference range (low, high, units) per test of LAB_TESTS.
+        lows = [70.0, 3.5, 135.0, 12.0, 0.6, 0.0, 0.5, 0.0]
+        highs = [100.0, 5.0, 145.0, 17.5, 1.3, 0.04, 2.2, 200.0]
+        units = ["mg/dL", "mmol/L", "mmol/L", "g/dL", "mg/dL", "ng/mL", "mmol/L", "mg/dL"]
+        lo_arr = F.array(*[F.lit(v) for v in lows])
+        hi_arr = F.array(*[F.lit(v) for v in highs])
+        b = (self._line_base.filter(F.col("order_type") == "LAB")
+             .withColumn("ti", (F.col("l_partkey") % 8 + 1).cast("int"))
+             .withColumn("lo", F.element_at(lo_arr, F.col("ti")))
+             .withColumn("hi", F.element_at(hi_arr, F.col("ti")))
+             .withColumn("val", F.round(F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("q") - 15) / 10.0, 4))
+             .withColumn("collected", F.expr(f"order_datetime + {hours('1')}"))
+             .withColumn("resulted", F.expr(f"collected + {hours('(q * 7) % 30 + 1')}")))
+        return b.select(
+            F.concat(F.lit("RES_"), F.col("line_key")).alias("result_id"),
+            tenant_id("c_nationkey").alias("hospital_id"),
+            F.concat(F.lit("ORD_"), F.col("line_key")).alias("order_id"),
+            F.concat(F.lit("PAT_"), F.col("o_custkey").cast("string")).alias("patient_id"),
+            F.concat(F.lit("ENC_"), F.col("l_orderkey").cast("string")).alias("encounter_id"),
+            F.lit("LAB").alias("result_type"),
+            F.concat(F.lit("T"), (F.col("ti") - 1).cast("string")).alias("test_code"),
+            pick(LAB_TESTS, "l_partkey").alias("test_name"),
+            F.concat(F.lit("T"), (F.col("ti") - 1).cast("string")).alias("component_code"),
+            pick(LAB_TESTS, "l_partkey").alias("component_name"),
+            F.col("val").cast("decimal(18,4)").cast("string").alias("result_value"),
+            F.col("val").cast("decimal(18,4)").alias("result_value_numeric"),
+            F.element_at(F.array(*[F.lit(u) for u in units]), F.col("ti")).alias("result_units"),
+            F.col("lo").cast("decimal(18,4)").alias("reference_range_low"),
+            F.col("hi").cast("decimal(18,4)").alias("reference_range_high"),
+            F.expr("case when val > hi then 'H' when val < lo then 'L' else 'N' end").alias("abnormal_flag"),
+            F.col("resulted").alias("result_datetime"),
+            F.col("collected").alias("collected_datetime"),
+            F.col("resulted").alias("resulted_datetime"),
+            F.expr("case when l_returnflag = 'N' then 'PRELIMINARY' when l_orderkey % 29 = 0 then 'CORRECTED' "
+                   "else 'FINAL' end").alias("result_status"),
+            F.lit("Main Lab").alias("performing_lab"),
+            F.lit(None).cast("string").alias("interpreting_provider_id"),
+            F.lit(None).cast("string").alias("imaging_modality"),
+            F.lit(None).cast("string").alias("impression"),
+            F.lit(None).cast("string").alias("report_text"),
+            F.expr(f"resulted + {hours('2')}").alias("_loaded_at"),
+        )
+
+    @cached_property
+    def medication_administration(self) -> DataFrame:
+        b = (self._line_base.filter(F.col("order_type") == "MEDICATION")
+             .withColumn("status", F.expr("case l_suppkey % 20 when 0 then 'REFUSED' when 1 then 'HELD' "
+                                          "when 2 then 'MISSED' else 'GIVEN' end"))
+             .withColumn("scheduled", F.expr(f"order_datetime + {hours('2')}")))
+        return b.select(
+            F.concat(F.lit("ADM_"), F.col("line_key")).alias("admin_id"),
+            tenant_id("c_nationkey").alias("hospital_id"),
+            F.concat(F.lit("ENC_"), F.col("l_orderkey").cast("string")).alias("encounter_id"),
+            F.concat(F.lit("PAT_"), F.col("o_custkey").cast("string")).alias("patient_id"),
+            F.concat(F.lit("ORD_"), F.col("line_key")).alias("order_id"),
+            pick(DRUGS, "l_partkey").alias("medication_name"),
+            F.concat((F.col("q") % 10 + 1).cast("string"), F.lit(" mg")).alias("dose"),
+            pick(["PO", "IV", "IM", "SC"], "l_partkey").alias("route"),
+            F.col("scheduled").alias("scheduled_datetime"),
+            F.expr("case when status = 'GIVEN' then scheduled + make_dt_interval(0, 0, q * 3, 0) end")
+            .alias("administered_datetime"),
+            F.concat(F.lit("PRV_"), F.col("l_suppkey").cast("string")).alias("administered_by_provider_id"),
+            F.col("status").alias("administration_status"),
+            F.expr("case when status = 'REFUSED' then 'Patient declined' end").alias("refusal_reason"),
+            F.expr("case when status = 'HELD' then 'Clinical hold' end").alias("hold_reason"),
+            (F.col("l_partkey") % 10 != 0).alias("barcode_scanned"),
+            F.expr("case when l_partkey % 3 = 0 then null else concat('PRV_', cast(l_suppkey + 25 as string)) end")
+            .alias("witnessed_by_provider_id"),
+            (F.col("l_orderkey") % 37 == 0).alias("adverse_reaction_flag"),
+            F.expr("case when l_orderkey % 37 = 0 then 'Rash' end").alias("reaction_description"),
+            F.expr(f"scheduled + {hours('4')}").alias("_loaded_at"),
+        )
+
+    # ---------------- event-derived facts ----------------------------------
+    @cached_property
+    def _latest_order(self) -> DataFrame:
+        """Latest order (encounter) per customer: partial/final aggregate on custkey."""
+        ob = self._order_base
+        return (ob.groupBy("o_custkey")
+                .agg(F.max(F.struct("o_orderkey", "admission_date", "c_nationkey")).alias("m"))
+                .select(F.col("o_custkey").alias("user_id"), F.col("m.o_orderkey").alias("last_orderkey"),
+                        F.col("m.admission_date").alias("last_admission"), F.col("m.c_nationkey").alias("nation")))
+
+    @cached_property
+    def vital_signs(self) -> DataFrame:
+        ev = self._t("events").select("event_id", "user_id")
+        b = (ev.join(self._latest_order, "user_id")
+             .withColumn("sbp", F.expr("80 + event_id * 11 % 150"))
+             .withColumn("dbp", F.expr("50 + event_id * 5 % 50"))
+             .withColumn("wt", F.expr("50 + user_id % 50"))
+             .withColumn("ht", F.expr("150 + user_id % 40"))
+             .withColumn("mt", F.expr("last_admission + make_dt_interval(0, cast(event_id % 72 as int), "
+                                      "cast(event_id % 60 as int), 0)")))
+        return b.select(
+            F.concat(F.lit("VIT_"), F.col("event_id").cast("string")).alias("vital_id"),
+            tenant_id("nation").alias("hospital_id"),
+            F.concat(F.lit("ENC_"), F.col("last_orderkey").cast("string")).alias("encounter_id"),
+            F.concat(F.lit("PAT_"), F.col("user_id").cast("string")).alias("patient_id"),
+            F.col("mt").alias("measurement_datetime"),
+            F.expr("94.0 + (event_id % 80) / 10.0").cast("decimal(5,2)").alias("temperature_f"),
+            F.expr("35 + event_id * 7 % 110").cast("bigint").alias("heart_rate_bpm"),
+            F.expr("6 + event_id * 3 % 24").cast("bigint").alias("respiratory_rate"),
+            F.col("sbp").cast("bigint").alias("systolic_bp"),
+            F.col("dbp").cast("bigint").alias("diastolic_bp"),
+            F.expr("85 + event_id * 13 % 16").cast("bigint").alias("oxygen_saturation_pct"),
+            F.col("wt").cast("decimal(6,2)").alias("weight_kg"),
+            F.col("ht").cast("decimal(5,1)").alias("height_cm"),
+            F.expr("round(wt / ((ht / 100.0) * (ht / 100.0)), 1)").cast("decimal(4,1)").alias("bmi"),
+            F.expr("event_id % 11").cast("bigint").alias("pain_score"),
+            F.expr("(sbp + 2 * dbp) div 3").cast("bigint").alias("map_mmhg"),
+            pick(["SITTING", "STANDING", "SUPINE"], "event_id").alias("position"),
+            pick(["RN", "MD", "MA"], "event_id div 3").alias("measured_by_role"),
+            F.expr(f"mt + {hours('1')}").alias("_loaded_at"),
+        )
