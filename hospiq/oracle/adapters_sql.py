@@ -226,7 +226,10 @@ def _order(names: list[str]) -> list[str]:
 
 def sql(names: list[str], body: str) -> str:
     parts = [f"{n} AS ({CTES[n][1].strip()})" for n in _order(names)]
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    body = body.strip()
+    if body[:5].upper() == "WITH ":  # a body with its own CTEs continues the list
+        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + body
 
 
 # ---------------------------------------------------------------- lineitem facts
@@ -265,6 +268,11 @@ SELECT 'ORD_' || line_key AS order_id, {T('c_nationkey')} AS hospital_id,
   CASE WHEN l_suppkey % 5 = 0 THEN 'STAT' WHEN l_suppkey % 5 = 1 THEN 'URGENT' ELSE 'ROUTINE' END AS priority,
   'PRV_' || CAST(l_suppkey AS VARCHAR) AS ordering_provider_id,
   CASE WHEN order_type = 'MEDICATION' THEN {DRUGS}[l_partkey % 8 + 1] END AS medication_name,
+  CASE WHEN order_type = 'LAB' THEN {TESTS}[l_partkey % 8 + 1]
+                                   || CASE WHEN l_partkey % 3 = 0 THEN ' + Blood Culture' ELSE '' END
+       WHEN order_type = 'MEDICATION' THEN {DRUGS}[l_partkey % 8 + 1]
+       ELSE 'Order ' || CAST(l_partkey AS VARCHAR) END AS order_description,
+  'OC' || CAST(l_partkey AS VARCHAR) AS order_code,
   CASE WHEN order_type = 'MEDICATION' THEN 'Q8H' END AS frequency,
   CASE WHEN order_type = 'MEDICATION' THEN CAST(q % 14 AS BIGINT) END AS duration_days,
   CASE WHEN order_type = 'LAB' THEN 'RES_' || line_key END AS result_id,
@@ -339,6 +347,7 @@ FROM r_billing""")
 
 cte("stg_orders", ["r_orders"], """
 SELECT *, coalesce(order_status = 'COMPLETED', FALSE) AS is_completed,
+  coalesce(priority = 'STAT', FALSE) AS is_stat_order,
   date_diff('hour', order_datetime, completed_datetime) AS completion_time_hours
 FROM r_orders""")
 
@@ -431,3 +440,262 @@ SELECT b.*, p.payer_type, p.reimbursement_rate, e.discharge_date,
   date_diff('day', e.discharge_date, b.transaction_date) AS days_in_ar,
   b.payment_amount - b.charge_amount * p.reimbursement_rate AS payment_variance
 FROM stg_billing b JOIN r_payers p ON b.payer_id = p.payer_id JOIN stg_encounters e ON b.encounter_id = e.encounter_id""")
+
+
+# ---------------------------------------------------------------- customer history
+def per_customer(n: int, keep: str) -> str:
+    return (f"(SELECT c.*, k, CAST(c_custkey AS VARCHAR) || '_' || CAST(k AS VARCHAR) AS ck FROM customer c "
+            f"CROSS JOIN (SELECT range AS k FROM range({n})) ks WHERE {keep})")
+
+
+cte("r_problems", [], f"""
+SELECT 'PRB_' || ck AS problem_id, {T('c_nationkey')} AS hospital_id, 'PAT_' || CAST(c_custkey AS VARCHAR) AS patient_id,
+  {ICD}[(c_custkey + 3 * k) % 8 + 1] AS diagnosis_code, status AS problem_status, onset AS onset_date,
+  CASE WHEN status = 'RESOLVED' THEN onset + 90 END AS resolution_date,
+  DATE '2001-01-01' + CAST((c_custkey + k) % 300 AS INTEGER) AS last_reviewed_date,
+  [FALSE, FALSE, TRUE, TRUE, TRUE, TRUE, TRUE, TRUE][(c_custkey + 3 * k) % 8 + 1] AS is_chronic
+FROM (SELECT *, CASE (c_custkey + k) % 5 WHEN 0 THEN 'RESOLVED' WHEN 1 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status,
+             DATE '1990-01-01' + CAST((c_custkey * 7 + k * 131) % 4000 AS INTEGER) AS onset
+      FROM {per_customer(3, 'k <= c_custkey % 3')})""")
+
+cte("r_allergies", [], f"""
+SELECT 'ALG_' || ck AS allergy_id, {T('c_nationkey')} AS hospital_id, 'PAT_' || CAST(c_custkey AS VARCHAR) AS patient_id,
+  ['DRUG','DRUG','DRUG','FOOD','ENVIRONMENTAL','DRUG','DRUG','FOOD'][ai] AS allergen_type,
+  ['Penicillin','Aspirin','Sulfa','Peanuts','Latex','Heparin Sodium','Morphine','Shellfish'][ai] AS allergen_name,
+  ['RASH','ANAPHYLAXIS','GI_UPSET'][(c_custkey + k) % 3 + 1] AS reaction_type,
+  ['MILD','MODERATE','SEVERE','LIFE_THREATENING'][(c_custkey * 3 + k) % 4 + 1] AS severity,
+  status AS allergy_status, onset AS onset_date,
+  CASE WHEN status = 'RESOLVED' THEN onset + 365 END AS resolution_date
+FROM (SELECT *, CAST(CASE WHEN k = 1 AND c_custkey % 11 = 0 THEN c_custkey % 8 ELSE (c_custkey + 5 * k) % 8 END + 1
+                     AS INTEGER) AS ai,
+             CASE WHEN (c_custkey + k) % 7 = 0 THEN 'RESOLVED' ELSE 'ACTIVE' END AS status,
+             DATE '1985-01-01' + CAST((c_custkey * 11 + k * 97) % 5000 AS INTEGER) AS onset
+      FROM {per_customer(2, 'k < c_custkey % 3')})""")
+
+cte("r_coverage", [], f"""
+SELECT 'COV_' || ck AS coverage_id, {T('c_nationkey')} AS hospital_id, 'PAT_' || CAST(c_custkey AS VARCHAR) AS patient_id,
+  'PAY_' || CAST((c_custkey + 3 * k) % 10 AS VARCHAR) AS payer_id,
+  ['SELF','SPOUSE','CHILD','OTHER'][(c_custkey + k) % 4 + 1] AS subscriber_relationship,
+  eff AS effective_date, CASE WHEN (c_custkey + k) % 6 = 0 THEN eff + 700 END AS termination_date,
+  CASE WHEN (c_custkey + k) % 6 = 0 THEN 'TERMINATED' WHEN (c_custkey + k) % 13 = 0 THEN 'SUSPENDED' ELSE 'ACTIVE' END
+    AS coverage_status,
+  ['HMO','PPO','EPO','POS'][c_custkey % 4 + 1] AS plan_type,
+  CAST(ded AS DECIMAL(10,2)) AS deductible_amount,
+  CAST(least(ded, ((c_custkey * 37) % 21) * 50) AS DECIMAL(10,2)) AS deductible_met_amount,
+  CAST(oop AS DECIMAL(10,2)) AS out_of_pocket_max,
+  CAST(least(oop, ((c_custkey * 17) % 31) * 100) AS DECIMAL(10,2)) AS out_of_pocket_met,
+  CAST(k + 1 AS BIGINT) AS coverage_priority
+FROM (SELECT *, 500 + (c_custkey % 5) * 500 AS ded, 3000 + (c_custkey % 4) * 1000 AS oop,
+             DATE '1995-01-01' + CAST(c_custkey % 1000 AS INTEGER) AS eff
+      FROM {per_customer(2, 'k = 0 OR c_custkey % 4 = 0')})""")
+
+cte("r_sdoh", [], f"""
+SELECT 'SDH_' || CAST(c_custkey AS VARCHAR) AS screening_id, {T('c_nationkey')} AS hospital_id,
+  'PAT_' || CAST(c_custkey AS VARCHAR) AS patient_id,
+  DATE '2001-01-01' + CAST(c_custkey % 300 AS INTEGER) AS screening_date,
+  housing AS housing_status, housing <> 'STABLE' AS housing_concerns, c_custkey % 7 = 0 AS food_insecurity_flag,
+  c_custkey % 11 = 0 AS difficulty_affording_food, c_custkey % 5 = 1 AS transportation_barriers,
+  c_custkey % 9 = 0 AS difficulty_paying_utilities, c_custkey % 8 = 3 AS difficulty_affording_medications,
+  CAST(c_custkey % 10 AS BIGINT) AS social_isolation_score, c_custkey % 23 = 0 AS safety_concerns,
+  c_custkey % 29 = 0 AS intimate_partner_violence_screen
+FROM (SELECT *, ['STABLE','STABLE','UNSTABLE','HOMELESS','TRANSITIONAL'][c_custkey % 5 + 1] AS housing
+      FROM customer WHERE c_custkey % 3 <> 2)""")
+
+# ---------------------------------------------------------------- encounter programmes
+cte("enc_src", ["order_base"], f"""
+SELECT *, {T('c_nationkey')} AS hid, 'ENC_' || CAST(o_orderkey AS VARCHAR) AS eid,
+  'PAT_' || CAST(o_custkey AS VARCHAR) AS pid, CAST(admission_date AS DATE) AS adm_date FROM order_base""")
+
+cte("r_measures", ["enc_src"], """
+SELECT 'QM_' || CAST(o_orderkey AS VARCHAR) AS measure_id, hid AS hospital_id, eid AS encounter_id, pid AS patient_id,
+  ['SEP-1','AMI-8a','HF-2','STK-4','PN-6'][mi] AS measure_code,
+  ['Severe Sepsis and Septic Shock','Primary PCI Within 90 Minutes','Heart Failure LVS Assessment',
+   'Thrombolytic Therapy','Pneumonia Antibiotic Selection'][mi] AS measure_name,
+  ['SEPSIS','AMI','HF','STROKE','PNEUMONIA'][mi] AS measure_category,
+  o_orderkey % 5 <> 0 AS numerator_eligible, o_orderkey % 13 <> 0 AS denominator_eligible,
+  o_orderkey % 17 = 0 AS exclusion_applied,
+  CAST(CASE WHEN mi = 1 THEN 20 + o_orderkey % 90 END AS BIGINT) AS door_to_antibiotic_minutes,
+  CAST(CASE WHEN mi = 2 THEN 40 + o_orderkey % 100 END AS BIGINT) AS door_to_balloon_minutes,
+  CAST(CASE WHEN mi = 4 THEN 10 + o_orderkey % 50 END AS BIGINT) AS door_to_needle_minutes,
+  o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 AS compliance_flag,
+  'Q' || CAST(quarter(admission_date) AS VARCHAR) AS reporting_quarter, CAST(year(admission_date) AS BIGINT) AS reporting_year
+FROM (SELECT *, CAST(o_orderkey % 8 + 1 AS INTEGER) AS mi FROM enc_src WHERE o_orderkey % 8 < 5)""")
+
+cte("r_care_plans", ["enc_src"], """
+SELECT 'CP_' || CAST(o_orderkey AS VARCHAR) AS care_plan_id, hid AS hospital_id, eid AS encounter_id, pid AS patient_id,
+  status AS plan_status, adm_date AS start_date, adm_date + CAST(30 + o_orderkey % 60 AS INTEGER) AS target_date,
+  CASE WHEN status = 'COMPLETED' THEN adm_date + CAST(o_orderkey % 90 AS INTEGER) END AS completion_date,
+  adm_date + CAST(o_orderkey % 120 AS INTEGER) AS last_evaluated_date
+FROM (SELECT *, CASE o_orderkey % 5 WHEN 0 THEN 'ACTIVE' WHEN 1 THEN 'ACTIVE' WHEN 4 THEN 'DISCONTINUED'
+                  ELSE 'COMPLETED' END AS status
+      FROM enc_src WHERE encounter_type = 'Inpatient' AND o_orderkey % 10 < 7)""")
+
+cte("r_referrals", ["enc_src"], """
+SELECT 'REF_' || CAST(o_orderkey AS VARCHAR) AS referral_id, hid AS hospital_id, pid AS patient_id, eid AS encounter_id,
+  ['SPECIALIST','DME','HOME_HEALTH','SNF'][(o_orderkey // 4) % 4 + 1] AS referral_type,
+  ['Cardiology','Nephrology','Pulmonology','Oncology'][(o_orderkey // 8) % 4 + 1] AS specialty,
+  status AS referral_status, ref_date AS referral_date, appt AS appointment_date,
+  CASE WHEN status = 'COMPLETED' THEN appt + 2 END AS completion_date,
+  ['ROUTINE','URGENT','EMERGENT'][(o_orderkey // 3) % 3 + 1] AS urgency,
+  o_orderkey % 2 = 0 AS follow_up_required, o_orderkey % 6 = 0 AS follow_up_completed
+FROM (SELECT *, CASE WHEN status IN ('SCHEDULED','COMPLETED') THEN ref_date + CAST(o_orderkey % 40 AS INTEGER)
+                     WHEN status = 'PENDING' AND o_orderkey % 3 = 0 THEN ref_date + 5 END AS appt
+      FROM (SELECT *, CASE o_orderkey % 7 WHEN 0 THEN 'PENDING' WHEN 1 THEN 'PENDING' WHEN 2 THEN 'SCHEDULED'
+                        WHEN 6 THEN 'CANCELLED' ELSE 'COMPLETED' END AS status, adm_date + 1 AS ref_date
+            FROM enc_src WHERE o_orderkey % 4 = 0))""")
+
+cte("r_prior_auth", ["enc_src"], """
+SELECT 'PA_' || CAST(o_orderkey AS VARCHAR) AS auth_id, hid AS hospital_id, pid AS patient_id,
+  'PAY_' || CAST(o_orderkey % 10 AS VARCHAR) AS payer_id, eid AS encounter_id,
+  ['SERVICE','MEDICATION','DME'][o_orderkey % 3 + 1] AS auth_type, status AS auth_status,
+  req AS request_date, dec AS decision_date, dec AS effective_date,
+  CASE WHEN dec IS NOT NULL THEN dec + 90 END AS expiration_date,
+  CAST(ua AS BIGINT) AS units_authorized, CAST(uu AS BIGINT) AS units_used, CAST(ua - uu AS BIGINT) AS units_remaining,
+  CASE WHEN status = 'DENIED' THEN 'Not medically necessary' END AS denial_reason
+FROM (SELECT *, (o_orderkey * 7) % (ua + 1) AS uu,
+             CASE WHEN status <> 'PENDING' THEN req + CAST(o_orderkey % 10 AS INTEGER) END AS dec
+      FROM (SELECT *, ['PENDING','APPROVED','APPROVED','DENIED','EXPIRED'][(o_orderkey // 5) % 5 + 1] AS status,
+                   adm_date - 3 AS req, 10 + o_orderkey % 20 AS ua
+            FROM enc_src WHERE o_orderkey % 5 = 1))""")
+
+# ---------------------------------------------------------------- staging (history / programmes)
+cte("stg_problems", ["r_problems"], f"""
+SELECT *, problem_status = 'ACTIVE' AS is_active, problem_status = 'RESOLVED' AS is_resolved FROM r_problems""")
+cte("stg_allergies", ["r_allergies"], """
+SELECT *, allergy_status = 'ACTIVE' AS is_active, severity IN ('SEVERE','LIFE_THREATENING') AS is_severe,
+  allergen_type = 'DRUG' AS is_drug_allergy, reaction_type = 'ANAPHYLAXIS' AS is_anaphylaxis FROM r_allergies""")
+cte("stg_coverage", ["r_coverage"], """
+SELECT *, coverage_status = 'ACTIVE' AS is_active, coverage_priority = 1 AS is_primary FROM r_coverage""")
+cte("stg_sdoh", ["r_sdoh"], """
+SELECT *, CASE WHEN total >= 4 THEN 'High Risk' WHEN total >= 2 THEN 'Medium Risk' WHEN total >= 1 THEN 'Low Risk'
+               ELSE 'No Risk' END AS sdoh_risk_category
+FROM (SELECT *, housing_concerns AS has_housing_risk, food_insecurity_flag OR difficulty_affording_food AS has_food_insecurity,
+        transportation_barriers AS has_transportation_barriers,
+        difficulty_paying_utilities OR difficulty_affording_medications AS has_financial_strain,
+        social_isolation_score >= 6 AS has_high_social_isolation,
+        safety_concerns OR intimate_partner_violence_screen AS has_safety_concerns,
+        CAST(housing_concerns AS INTEGER) + CAST(food_insecurity_flag AS INTEGER) + CAST(transportation_barriers AS INTEGER)
+        + CAST(difficulty_paying_utilities AS INTEGER) + CAST(difficulty_affording_medications AS INTEGER)
+        + CAST(social_isolation_score >= 6 AS INTEGER) + CAST(safety_concerns AS INTEGER) AS total
+      FROM r_sdoh)""")
+cte("stg_measures", ["r_measures"], """
+SELECT *, coalesce(denominator_eligible AND NOT exclusion_applied, FALSE) AS is_measure_eligible,
+  coalesce(denominator_eligible AND NOT exclusion_applied AND NOT numerator_eligible, FALSE) AS gap_in_care
+FROM r_measures""")
+cte("stg_care_plans", ["r_care_plans"], f"""
+SELECT *, plan_status = 'ACTIVE' AS is_active_plan, plan_status = 'COMPLETED' AS is_completed_plan,
+  CASE WHEN plan_status = 'COMPLETED' AND completion_date IS NOT NULL THEN date_diff('day', start_date, completion_date)
+       WHEN plan_status = 'ACTIVE' AND start_date IS NOT NULL THEN date_diff('day', start_date, {AS_OF}) END
+    AS plan_duration_days,
+  coalesce(plan_status = 'ACTIVE' AND last_evaluated_date IS NOT NULL
+           AND date_diff('day', last_evaluated_date, {AS_OF}) > 90, FALSE) AS overdue_for_evaluation,
+  coalesce(plan_status = 'ACTIVE' AND target_date IS NOT NULL AND {AS_OF} > target_date, FALSE) AS past_target_date
+FROM r_care_plans""")
+cte("stg_referrals", ["r_referrals"], f"""
+SELECT *, referral_status = 'COMPLETED' AS is_completed, referral_status = 'PENDING' AS is_pending,
+  referral_status = 'CANCELLED' AS is_cancelled, urgency = 'URGENT' AS is_urgent,
+  CASE WHEN appointment_date IS NOT NULL THEN date_diff('day', referral_date, appointment_date) END AS days_to_appointment,
+  CASE WHEN completion_date IS NOT NULL THEN date_diff('day', referral_date, completion_date) END AS days_to_completion,
+  coalesce(follow_up_required AND NOT follow_up_completed, FALSE) AS follow_up_overdue,
+  coalesce(referral_status = 'PENDING' AND appointment_date IS NULL
+           AND date_diff('day', referral_date, {AS_OF}) > 14, FALSE) AS overdue_for_appointment
+FROM r_referrals""")
+cte("stg_prior_auth", ["r_prior_auth"], f"""
+SELECT *, auth_status = 'APPROVED' AS is_approved, auth_status = 'DENIED' AS is_denied,
+  auth_status = 'PENDING' AS is_pending,
+  CASE WHEN units_authorized IS NOT NULL AND units_authorized > 0 THEN units_used * 100.0 / units_authorized END
+    AS units_utilization_pct,
+  CASE WHEN decision_date IS NOT NULL THEN date_diff('day', request_date, decision_date) END AS days_to_decision,
+  coalesce(expiration_date IS NOT NULL AND {AS_OF} > expiration_date, FALSE) AS is_expired
+FROM r_prior_auth""")
+
+# ---------------------------------------------------------------- intermediate (programmes)
+cte("int_orders", ["stg_orders", "stg_hospitals", "stg_encounters", "stg_patients", "stg_providers"], """
+SELECT o.*, date_diff('day', e.admission_date, o.order_datetime) AS encounter_day_of_order
+FROM stg_orders o JOIN stg_hospitals h ON o.hospital_id = h.hospital_id
+JOIN stg_encounters e ON o.encounter_id = e.encounter_id JOIN stg_patients p ON o.patient_id = p.patient_id
+JOIN stg_providers v ON o.provider_id = v.provider_id""")
+
+cte("int_med_safety", ["stg_med_admin", "stg_allergies", "stg_hospitals", "stg_encounters", "stg_patients"], """
+SELECT m.*, coalesce(mac.potential_allergy_conflict AND m.is_given, FALSE) AS given_despite_allergy,
+  coalesce(NOT m.is_verified AND m.is_given, FALSE) AS given_without_verification,
+  coalesce(m.adverse_reaction_flag, FALSE) AS has_adverse_reaction,
+  coalesce(lower(m.medication_name) SIMILAR TO '.*(warfarin|heparin|insulin|morphine|fentanyl).*', FALSE)
+    AS is_high_risk_medication,
+  coalesce(m.route = 'IV' AND NOT m.is_witnessed, FALSE) AS iv_given_without_witness
+FROM stg_med_admin m
+JOIN stg_hospitals h ON m.hospital_id = h.hospital_id
+JOIN stg_encounters e ON m.encounter_id = e.encounter_id
+JOIN stg_patients p ON m.patient_id = p.patient_id
+LEFT JOIN (
+  SELECT ma.admin_id, ma.hospital_id, a.allergy_id IS NOT NULL AS potential_allergy_conflict, a.allergen_name,
+         a.severity AS allergy_severity
+  FROM stg_med_admin ma
+  LEFT JOIN (SELECT * FROM stg_allergies WHERE is_active AND allergen_type = 'DRUG') a
+    ON ma.patient_id = a.patient_id AND ma.hospital_id = a.hospital_id
+   AND (lower(ma.medication_name) LIKE '%' || lower(a.allergen_name) || '%'
+        OR lower(a.allergen_name) LIKE '%' || lower(ma.medication_name) || '%')
+  QUALIFY row_number() OVER (PARTITION BY ma.admin_id, ma.hospital_id
+                             ORDER BY CASE a.severity WHEN 'LIFE_THREATENING' THEN 1 WHEN 'SEVERE' THEN 2
+                                      WHEN 'MODERATE' THEN 3 WHEN 'MILD' THEN 4 ELSE 5 END, a.allergy_id) = 1) mac
+  ON m.admin_id = mac.admin_id AND m.hospital_id = mac.hospital_id""")
+
+cte("int_measure_results", ["stg_measures", "stg_encounters"], """
+SELECT *, target_minutes IS NOT NULL AS is_timed_measure,
+  CASE WHEN target_minutes IS NULL OR time_to_treatment_minutes IS NULL THEN NULL
+       ELSE time_to_treatment_minutes <= target_minutes END AS met_time_target,
+  is_measure_eligible AND coalesce(compliance_flag, FALSE) AS is_performance_met
+FROM (SELECT m.*, e.provider_id, e.is_mortality,
+        coalesce(m.door_to_antibiotic_minutes, m.door_to_balloon_minutes, m.door_to_needle_minutes)
+          AS time_to_treatment_minutes,
+        CASE m.measure_code WHEN 'SEP-1' THEN 60 WHEN 'AMI-8a' THEN 90 WHEN 'STK-4' THEN 60 END AS target_minutes
+      FROM stg_measures m JOIN stg_encounters e ON m.encounter_id = e.encounter_id AND m.hospital_id = e.hospital_id)""")
+
+
+def _charlson_case(code: str) -> str:
+    from ..functions.scores import CHARLSON
+    c = f"upper(replace({code}, '.', ''))"
+    parts = []
+    for name, _w, three, four, ranges in CHARLSON:
+        conds = []
+        if three:
+            conds.append(f"left({c}, 3) IN ({', '.join(repr(x) for x in three)})")
+        if four:
+            conds.append(f"left({c}, 4) IN ({', '.join(repr(x) for x in four)})")
+        conds += [f"left({c}, 3) BETWEEN '{lo}' AND '{hi}'" for lo, hi in ranges]
+        if name == "myocardial_infarction":
+            conds.append(f"{c} LIKE 'I252%'")
+        parts.append(f"WHEN {' OR '.join(conds)} THEN '{name}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def _charlson_index_sql() -> str:
+    from ..functions.scores import CHARLSON, CHARLSON_SUPERSEDES
+    names = [n for n, *_ in CHARLSON]
+    weight = {n: w for n, w, *_ in CHARLSON}
+    sup = {mild: severe for severe, mild in CHARLSON_SUPERSEDES}
+    flags = ", ".join(f"bool_or(cond = '{n}') AS has_{n}" for n in names)
+    cols = ", ".join(f"coalesce(f.has_{n}, FALSE) AS has_{n}" for n in names)
+    idx = " + ".join(
+        f"CASE WHEN has_{n}{(' AND NOT has_' + sup[n]) if n in sup else ''} THEN {weight[n]} ELSE 0 END" for n in names)
+    cnt = " + ".join(f"CAST(has_{n} AS INTEGER)" for n in names)
+    return f"""
+SELECT *, charlson_index + charlson_age_points AS charlson_age_adjusted_index,
+  CASE WHEN charlson_index = 0 THEN 'None' WHEN charlson_index <= 2 THEN 'Mild' WHEN charlson_index <= 4 THEN 'Moderate'
+       ELSE 'Severe' END AS charlson_severity
+FROM (SELECT *, {idx} AS charlson_index, {cnt} AS charlson_condition_count,
+        CASE WHEN age_years >= 80 THEN 4 WHEN age_years >= 70 THEN 3 WHEN age_years >= 60 THEN 2
+             WHEN age_years >= 50 THEN 1 ELSE 0 END AS charlson_age_points
+      FROM (SELECT p.hospital_id, p.patient_id, p.age_years, {cols}
+            FROM stg_patients p LEFT JOIN (
+              SELECT hospital_id, patient_id, {flags}
+              FROM (SELECT hospital_id, patient_id, {_charlson_case('diagnosis_code')} AS cond
+                    FROM (SELECT hospital_id, patient_id, diagnosis_code FROM stg_problems WHERE is_active
+                          UNION
+                          SELECT hospital_id, patient_id, primary_diagnosis_code FROM stg_encounters
+                          WHERE primary_diagnosis_code IS NOT NULL))
+              WHERE cond IS NOT NULL GROUP BY hospital_id, patient_id) f
+            ON p.patient_id = f.patient_id AND p.hospital_id = f.hospital_id))"""
+
+
+cte("int_comorbidity", ["stg_patients", "stg_problems", "stg_encounters"], _charlson_index_sql())

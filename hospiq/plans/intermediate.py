@@ -227,3 +227,169 @@ def revenue_cycle(billing: DataFrame, payers: DataFrame, encounters: DataFrame)
         F.coalesce(d > 30, F.lit(False)).alias("is_over_30_days"),
         F.when(d <= 30, "0-30 days").when(d <= 60, "31-60 days").when(d <= 90, "61-90 days")
         .when(d <= 120, "91-120 days").otherwise("120+ days").alias("ar_aging_bucket"))
+
+
+# J04 ----------------------------------------------------------------------
+def orders_enriched(orders: DataFrame, results: DataFrame, encounters: DataFrame, patients: DataFrame,
+                    providers: DataFrame, hospitals: DataFrame, procedures: DataFrame) -> DataFrame:
+    c = F.col
+    enc = encounters.select("encounter_id", "encounter_type", "admission_date", "primary_diagnosis_code")
+    pat = patients.select("patient_id", "age_years", "age_group", "gender")
+    prov = providers.select("provider_id", c("provider_full_name").alias("ordering_provider_name"),
+                            c("specialty").alias("ordering_provider_specialty"),
+                            c("department").alias("ordering_provider_department"))
+    res = results.select("result_id", c("is_final").alias("result_is_final"),
+                         c("turnaround_time_hours").alias("result_turnaround_hours"), "result_datetime",
+                         "abnormal_flag")
+    proc = procedures.select(c("procedure_code").alias("order_code"), "typical_charge_midpoint")
+    j = (orders.join(_hosp(hospitals), "hospital_id").join(enc, "encounter_id").join(pat, "patient_id")
+         .join(prov, "provider_id").join(res, "result_id", "left").join(proc, "order_code", "left"))
+    return j.select(
+        "order_id", "hospital_id", "encounter_id", "patient_id", "provider_id", "hospital_name", "hospital_type",
+        "region", "age_years", "age_group", "gender", "encounter_type", "admission_date", "primary_diagnosis_code",
+        "ordering_provider_name", "ordering_provider_specialty", "ordering_provider_department",
+        "order_type", "order_code", "order_description", "order_status", "priority", "order_datetime",
+        "scheduled_datetime", "completed_datetime", "medication_name", "dose", "route", "frequency",
+        "duration_days", "specimen_type", "collection_datetime", "is_completed", "is_cancelled", "is_stat_order",
+        "completion_time_hours", "scheduled_delay_hours", "result_id", "result_is_final", "result_turnaround_hours",
+        "abnormal_flag", "typical_charge_midpoint",
+        fn.boundary_diff("hour", "order_datetime", "result_datetime").alias("order_to_result_hours"),
+        fn.boundary_diff("day", "admission_date", "order_datetime").alias("encounter_day_of_order"),
+        F.coalesce(c("is_stat_order") & (c("completion_time_hours") > 1), F.lit(False)).alias("stat_order_delayed"),
+        F.coalesce((c("order_type") == "LAB") & (c("result_turnaround_hours") > 24), F.lit(False))
+        .alias("lab_turnaround_delayed"),
+        F.coalesce((c("order_type") == "RADIOLOGY") & (c("completion_time_hours") > 48), F.lit(False))
+        .alias("radiology_delayed"),
+        "loaded_at_timestamp")
+
+
+# J06 ----------------------------------------------------------------------
+# High-risk medication name patterns.
+HIGH_RISK_MEDICATIONS = ["%warfarin%", "%heparin%", "%insulin%", "%morphine%", "%fentanyl%"]
+
+
+def medication_safety(med_admin: DataFrame, orders: DataFrame, allergies: DataFrame, encounters: DataFrame,
+                      patients: DataFrame, providers: DataFrame, hospitals: DataFrame) -> DataFrame:
+    """C10 substring theta join (drug contains allergen or the reverse) kept
+    on the equi keys (patient, tenant) so it never becomes a cross product,
+    then E07 most-severe match per administration via row_number.
+
+    The top-1 window is partitioned by (patient_id, hospital_id, admin_id):
+    admin_id determines the patient, so the result equals a partition by
+    admin_id alone, and the join's hash partitioning on (patient_id,
+    hospital_id) already satisfies it - no extra shuffle."""
+    c = F.col
+    alg = (allergies.filter(c("is_active") & (c("allergen_type") == "DRUG"))
+           .select("patient_id", "hospital_id", "allergy_id", "allergen_name",
+                   c("severity").alias("allergy_severity"), "reaction_type"))
+    m = med_admin.alias("m")
+    a = alg.alias("a")
+    med, agn = F.lower(c("m.medication_name")), F.lower(c("a.allergen_name"))
+    cond = ((c("m.patient_id") == c("a.patient_id")) & (c("m.hospital_id") == c("a.hospital_id"))
+            & (med.contains(agn) | agn.contains(med)))
+    top = Window.partitionBy("m.patient_id", "m.hospital_id", "m.admin_id").orderBy(
+        fn.severity_rank("a.allergy_severity").asc(), c("a.allergy_id").asc_nulls_last())
+    checked = (m.join(a, cond, "left")
+               .withColumn("_rn", F.row_number().over(top)).filter(c("_rn") == 1)
+               .select("m.*", "a.allergen_name", "a.allergy_severity", "a.reaction_type",
+                       c("a.allergy_id").isNotNull().alias("potential_allergy_conflict")))
+    enc = encounters.select("encounter_id", "encounter_type", "admission_date", "length_of_stay")
+    pat = patients.select("patient_id", "age_years", "age_group", "gender")
+    adm_prov = providers.select(c("provider_id").alias("administered_by_provider_id"),
+                                c("provider_full_name").alias("administering_provider_name"),
+                                c("specialty").alias("administering_provider_specialty"),
+                                c("provider_type").alias("administering_provider_type"))
+    wit_prov = providers.select(c("provider_id").alias("witnessed_by_provider_id"),
+                                c("provider_full_name").alias("witnessing_provider_name"))
+    mo = (orders.filter(c("order_type") == "MEDICATION")
+          .select("order_id", "order_datetime", "frequency", "duration_days"))
+    j = (checked.join(_hosp(hospitals), "hospital_id").join(enc, "encounter_id").join(pat, "patient_id")
+         .join(adm_prov, "administered_by_provider_id", "left").join(wit_prov, "witnessed_by_provider_id", "left")
+         .join(mo, "order_id", "left"))
+    given = c("is_given")
+    return j.select(
+        "admin_id", "hospital_id", "encounter_id", "patient_id", "order_id", "hospital_name", "hospital_type",
+        "region", "age_years", "age_group", "gender", "encounter_type", "admission_date", "length_of_stay",
+        "administering_provider_name", "administering_provider_specialty", "administering_provider_type",
+        "witnessing_provider_name", "medication_name", "dose", "route", "scheduled_datetime",
+        "administered_datetime", "administration_status", "order_datetime", "frequency", "duration_days",
+        "refusal_reason", "hold_reason", "barcode_scanned", "is_verified", "is_witnessed", "adverse_reaction_flag",
+        "reaction_description", "potential_allergy_conflict",
+        c("allergen_name").alias("conflicting_allergen"),
+        c("allergy_severity").alias("conflicting_allergy_severity"),
+        c("reaction_type").alias("expected_reaction_type"),
+        "is_given", "is_refused", "is_held", "is_missed", "is_late_administration", "administration_delay_minutes",
+        F.coalesce(c("potential_allergy_conflict") & given, F.lit(False)).alias("given_despite_allergy"),
+        F.coalesce(~c("is_verified") & given, F.lit(False)).alias("given_without_verification"),
+        F.coalesce(c("is_late_administration") & given, F.lit(False)).alias("late_administration"),
+        F.coalesce(c("adverse_reaction_flag"), F.lit(False)).alias("has_adverse_reaction"),
+        F.coalesce(_like_any(F.lower(c("medication_name")), HIGH_RISK_MEDICATIONS), F.lit(False))
+        .alias("is_high_risk_medication"),
+        F.coalesce((c("route") == "IV") & ~c("is_witnessed"), F.lit(False)).alias("iv_given_without_witness"),
+        fn.boundary_diff("day", "admission_date", "administered_datetime").alias("encounter_day_of_admin"),
+        fn.boundary_diff("hour", "order_datetime", "administered_datetime").alias("hours_from_order_to_admin"),
+        "loaded_at_timestamp")
+
+
+# J10 ----------------------------------------------------------------------
+# Door-to-treatment targets (minutes) per timed measure.
+MEASURE_TARGET_MINUTES = {"SEP-1": 60, "AMI-8a": 90, "STK-4": 60}
+
+
+def measure_results(measures: DataFrame, encounters: DataFrame) -> DataFrame:
+    from ..functions.scores import lookup
+    c = F.col
+    e = encounters.select("encounter_id", "hospital_id", "provider_id", "facility_id", "encounter_type",
+                          "admission_date", "is_mortality")
+    j = (measures.join(e, ["encounter_id", "hospital_id"])
+         .withColumn("time_to_treatment_minutes", F.coalesce("door_to_antibiotic_minutes", "door_to_balloon_minutes",
+                                                             "door_to_needle_minutes"))
+         .withColumn("target_minutes", lookup("measure_code", MEASURE_TARGET_MINUTES, None)))
+    return j.select(
+        "measure_id", "hospital_id", "encounter_id", "patient_id", "provider_id", "facility_id", "encounter_type",
+        "admission_date", "is_mortality", "measure_code", "measure_name", "measure_category", "reporting_year",
+        "reporting_quarter", "denominator_eligible", "exclusion_applied", "exclusion_reason", "is_measure_eligible",
+        "is_numerator_met", "gap_in_care", "time_to_treatment_minutes", "target_minutes", "compliance_flag",
+        c("target_minutes").isNotNull().alias("is_timed_measure"),
+        F.when(c("target_minutes").isNull() | c("time_to_treatment_minutes").isNull(), F.lit(None))
+        .otherwise(c("time_to_treatment_minutes") <= c("target_minutes")).alias("met_time_target"),
+        (c("is_measure_eligible") & F.coalesce(c("compliance_flag"), F.lit(False))).alias("is_performance_met"))
+
+
+# I12 ----------------------------------------------------------------------
+def comorbidity_index(patients: DataFrame, problems: DataFrame, encounters: DataFrame) -> DataFrame:
+    """G02 union distinct of active problems and encounter diagnoses -> I10
+    condition per code -> D08 pivoted bool_or flags per patient -> weighted
+    sum with severe-supersedes-mild -> age points and severity band."""
+    from ..functions import scores as S
+    c = F.col
+    dx = (problems.filter(c("is_active")).select("hospital_id", "patient_id", "diagnosis_code")
+          .union(encounters.filter(c("primary_diagnosis_code").isNotNull())
+                 .select("hospital_id", "patient_id", c("primary_diagnosis_code").alias("diagnosis_code")))
+          .distinct())
+    names = [n for n, *_ in S.CHARLSON]
+    mapped = dx.select("hospital_id", "patient_id", S.charlson_condition("diagnosis_code").alias("cond"))
+    flags = (mapped.filter(c("cond").isNotNull()).groupBy("hospital_id", "patient_id")
+             .agg(*[F.bool_or(c("cond") == n).alias(f"has_{n}") for n in names]))
+    superseded = {mild: severe for severe, mild in S.CHARLSON_SUPERSEDES}
+    p = patients.select("hospital_id", "patient_id", "age_years").join(flags, ["patient_id", "hospital_id"], "left")
+    for n in names:
+        p = p.withColumn(f"has_{n}", F.coalesce(c(f"has_{n}"), F.lit(False)))
+    index = None
+    for n in names:
+        cond = c(f"has_{n}")
+        if n in superseded:
+            cond = cond & ~c(f"has_{superseded[n]}")
+        term = F.when(cond, F.lit(S.CHARLSON_WEIGHT[n])).otherwise(F.lit(0))
+        index = term if index is None else index + term
+    count = None
+    for n in names:
+        term = F.when(c(f"has_{n}"), 1).otherwise(0)
+        count = term if count is None else count + term
+    ci = c("charlson_index")
+    return (p.withColumn("charlson_index", index)
+            .withColumn("charlson_condition_count", count)
+            .withColumn("charlson_age_points", S.charlson_age_points("age_years"))
+            .withColumn("charlson_age_adjusted_index", ci + c("charlson_age_points"))
+            .withColumn("charlson_severity", F.when(ci == 0, "None").when(ci <= 2, "Mild")
+                        .when(ci <= 4, "Moderate").otherwise("Severe")))

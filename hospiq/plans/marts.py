@@ -241,3 +241,163 @@ def financial_performance(rc: DataFrame) -> DataFrame:
         fn.r2("a90").alias("ar_over_90_days"),
         "government_payer_count", "commercial_payer_count", "self_pay_count", "paid_count", "pending_count",
         fn.r2("tpv").alias("total_payment_variance"), fn.r4("apv").alias("avg_payment_variance"))
+
+
+# K04 ----------------------------------------------------------------------
+def medication_safety_metrics(ms: DataFrame) -> DataFrame:
+    c = F.col
+    given = c("is_given")
+    agg = (ms.filter(c("administered_datetime").isNotNull())
+           .groupBy("hospital_id", F.to_date(F.date_trunc("day", "administered_datetime")).alias("metric_date"))
+           .agg(F.count("admin_id").alias("total_administrations"),
+                F.countDistinct("patient_id").alias("unique_patients_medicated"),
+                F.countDistinct("medication_name").alias("unique_medications_used"),
+                F.countDistinct("encounter_id").alias("encounters_with_medications"),
+                *[_cnt_if(c(f)).alias(a) for f, a in [
+                    ("is_given", "medications_given"), ("is_refused", "medications_refused"),
+                    ("is_held", "medications_held"), ("is_missed", "medications_missed"),
+                    ("is_verified", "verified_administrations"), ("is_witnessed", "witnessed_administrations")]],
+                _cnt_if(given & c("barcode_scanned")).alias("barcode_scanned_administrations"),
+                _cnt_if(c("is_late_administration")).alias("late_administrations"),
+                fn.mean(F.when(given, c("administration_delay_minutes"))).alias("avg_delay"),
+                F.max(F.when(given, c("administration_delay_minutes"))).alias("max_delay_minutes"),
+                _cnt_if(c("is_high_risk_medication")).alias("high_risk_medication_count"),
+                _cnt_if(c("is_high_risk_medication") & c("is_verified")).alias("high_risk_verified_count"),
+                _cnt_if(c("given_despite_allergy")).alias("allergy_violations"),
+                _cnt_if(c("given_without_verification")).alias("verification_violations"),
+                _cnt_if(c("iv_given_without_witness")).alias("iv_witness_violations"),
+                _cnt_if(c("has_adverse_reaction")).alias("adverse_reactions"),
+                F.countDistinct(F.when(c("has_adverse_reaction"), c("patient_id"))).alias("patients_with_adverse_reactions"),
+                _cnt_if(c("route") == "IV").alias("iv_administrations"),
+                _cnt_if(c("route") == "PO").alias("po_administrations"),
+                _cnt_if(c("route") == "IM").alias("im_administrations")))
+    tot, gv = "total_administrations", "medications_given"
+    ver = fn.rate_or_zero("verified_administrations", tot)
+    wit = fn.rate_or_zero("witnessed_administrations", "iv_administrations")
+    bar = fn.rate_or_zero("barcode_scanned_administrations", gv)
+    late = fn.rate_or_zero("late_administrations", gv)
+    score = (F.when(ver >= 95, 25).otherwise(ver * 0.25) + F.when(wit >= 98, 25).otherwise(wit * 0.25)
+             + F.when(bar >= 90, 25).otherwise(bar * 0.25)
+             + F.when(late <= 5, 25).otherwise(F.greatest(F.lit(0.0), 25 - late * 2)))
+    return agg.select(
+        *[x for x in agg.columns if x != "avg_delay"],
+        fn.r4("avg_delay").alias("avg_delay_minutes"),
+        fn.r4(ver).alias("verification_rate_pct"), fn.r4(wit).alias("iv_witness_rate_pct"),
+        fn.r4(bar).alias("barcode_scan_rate_pct"), fn.r4(late).alias("late_administration_rate_pct"),
+        _rate(c("allergy_violations") + c("verification_violations") + c("iv_witness_violations"), tot)
+        .alias("total_violation_rate_pct"),
+        _rate("adverse_reactions", gv).alias("adverse_reaction_rate_pct"),
+        _rate("medications_refused", tot).alias("refusal_rate_pct"),
+        _rate("medications_held", tot).alias("hold_rate_pct"),
+        _rate("high_risk_verified_count", "high_risk_medication_count").alias("high_risk_verification_rate_pct"),
+        F.when(ver >= 95, "Meets Target").otherwise("Below Target").alias("verification_compliance_status"),
+        F.when(wit >= 98, "Meets Target").otherwise("Below Target").alias("witness_compliance_status"),
+        F.when(bar >= 90, "Meets Target").otherwise("Below Target").alias("barcode_compliance_status"),
+        F.when(late <= 5, "Meets Target").otherwise("Above Target").alias("timing_compliance_status"),
+        F.when(c("allergy_violations") == 0, "No Violations").otherwise("Has Violations").alias("allergy_safety_status"),
+        fn.r4(score).alias("medication_safety_score"))
+
+
+# K06 ----------------------------------------------------------------------
+# Fixed values: (measure code, name, target %) and the minimum denominator.
+CMS_MEASURES = {"SEP-1": ("Sepsis Bundle", 50.0), "AMI-2": ("AMI: Aspirin at Arrival", 95.0),
+                "READM-30": ("30-Day All-Cause Readmission", 15.0)}
+CMS_MIN_DENOMINATOR = 25
+ANTIBIOTIC_PATTERNS = ["%antibiotic%", "%ceftriaxone%", "%vancomycin%"]
+
+
+def cms_core_measures(enc: DataFrame, vitals: DataFrame, orders: DataFrame,
+                      min_denominator: int = CMS_MIN_DENOMINATOR) -> DataFrame:
+    """Correlated EXISTS x5 rewritten as one per-encounter pre-aggregation of
+    orders (bool_or flags) and one of vitals, each left-joined once."""
+    from .intermediate import _like_any
+    c = F.col
+    med, lab = c("order_type") == "MEDICATION", c("order_type") == "LAB"
+    day = c("encounter_day_of_order")
+    o = (orders.groupBy("encounter_id").agg(
+        F.bool_or(med & _like_any(F.lower(c("medication_name")), ANTIBIOTIC_PATTERNS) & (day == 0)
+                  & (c("completion_time_hours") <= 3)).alias("early_antibiotics_met"),
+        F.bool_or(lab & F.lower(c("order_description")).like("%lactate%") & (day == 0)).alias("lactate_measured"),
+        F.bool_or(lab & F.lower(c("order_description")).like("%blood culture%") & (day == 0))
+        .alias("blood_cultures_obtained"),
+        F.bool_or(med & F.lower(c("medication_name")).like("%aspirin%") & (day <= 1)).alias("aspirin_received")))
+    v = vitals.groupBy("encounter_id").agg(F.bool_or(c("sepsis_alert")).alias("any_sepsis_alert"))
+    e = (enc.select("hospital_id", "encounter_id", "admission_date", "encounter_type", "primary_diagnosis_code",
+                    "is_readmission")
+         .withColumn("reporting_quarter", F.to_date(F.date_trunc("quarter", "admission_date"))))
+    acute = (e.filter(c("encounter_type").isin("Emergency", "Inpatient"))
+             .join(o, "encounter_id", "left").join(v, "encounter_id", "left")
+             .select("hospital_id", "reporting_quarter", "encounter_id",
+                     F.coalesce((c("any_sepsis_alert") == True) | c("primary_diagnosis_code").like("A41%"),  # noqa: E712
+                                F.lit(False)).alias("is_sepsis"),
+                     F.coalesce(c("primary_diagnosis_code").like("I21%"), F.lit(False)).alias("is_ami"),
+                     F.coalesce(c("early_antibiotics_met") & c("lactate_measured") & c("blood_cultures_obtained"),
+                                F.lit(False)).alias("sep_bundle"),
+                     F.coalesce(c("aspirin_received"), F.lit(False)).alias("aspirin")))
+    acute_agg = acute.groupBy("hospital_id", "reporting_quarter").agg(
+        _cnt_if(c("is_sepsis")).alias("sep_den"), _cnt_if(c("is_sepsis") & c("sep_bundle")).alias("sep_num"),
+        _cnt_if(c("is_ami")).alias("ami_den"), _cnt_if(c("is_ami") & c("aspirin")).alias("ami_num"))
+    readm = e.groupBy("hospital_id", "reporting_quarter").agg(
+        _cnt_if(c("encounter_type") == "Inpatient").alias("denominator"),
+        _cnt_if(c("is_readmission")).alias("numerator"),
+        fn.readmission_rate("is_readmission", "encounter_type").alias("performance_rate_pct"))
+
+    def measure(df, code, den, num):
+        name, target = CMS_MEASURES[code]
+        return df.select("hospital_id", "reporting_quarter", F.lit(code).alias("measure_code"),
+                         F.lit(name).alias("measure_name"), c(den).alias("denominator"), c(num).alias("numerator"),
+                         fn.rate_or_zero(num, den).alias("performance_rate_pct"),
+                         F.lit(target).alias("cms_target_pct"))
+
+    name, target = CMS_MEASURES["READM-30"]
+    allm = (measure(acute_agg, "SEP-1", "sep_den", "sep_num")
+            .unionByName(measure(acute_agg, "AMI-2", "ami_den", "ami_num"))
+            .unionByName(readm.select("hospital_id", "reporting_quarter", F.lit("READM-30").alias("measure_code"),
+                                      F.lit(name).alias("measure_name"), "denominator", "numerator",
+                                      "performance_rate_pct", F.lit(target).alias("cms_target_pct"))))
+    p, t = c("performance_rate_pct"), c("cms_target_pct")
+    is_readm = c("measure_code") == "READM-30"
+    return (allm.filter(c("denominator") >= min_denominator)
+            .select("hospital_id", "reporting_quarter", "measure_code", "measure_name", "denominator", "numerator",
+                    fn.r4(p).alias("performance_rate_pct"), "cms_target_pct",
+                    F.when(is_readm, F.when(p <= t, "Meets Target").when(p <= t * 1.1, "Near Target")
+                           .otherwise("Below Target"))
+                    .otherwise(F.when(p >= t, "Meets Target").when(p >= t * 0.9, "Near Target")
+                               .otherwise("Below Target")).alias("performance_status"),
+                    fn.r4(F.when(is_readm, t - p).otherwise(p - t)).alias("gap_to_target_pct")))
+
+
+# K07 ----------------------------------------------------------------------
+def quality_measure_performance(results: DataFrame, comorbidity: DataFrame) -> DataFrame:
+    c = F.col
+    cm = comorbidity.select("hospital_id", "patient_id", "charlson_index")
+    j = results.join(cm, ["patient_id", "hospital_id"], "left")
+    elig, perf = c("is_measure_eligible"), c("is_performance_met")
+    agg = (j.groupBy("hospital_id", "measure_code", "reporting_year", "reporting_quarter")
+           .agg(F.min("measure_name").alias("measure_name"), F.min("measure_category").alias("measure_category"),
+                F.count(F.lit(1)).alias("total_cases"),
+                _cnt_if(c("denominator_eligible")).alias("denominator_cases"),
+                _cnt_if(c("exclusion_applied")).alias("excluded_cases"),
+                _cnt_if(elig).alias("eligible_cases"),
+                _cnt_if(perf).alias("numerator_cases"),
+                _cnt_if(elig & ~perf).alias("care_gap_cases"),
+                F.percentile("time_to_treatment_minutes", 0.5).alias("med_ttt"),
+                F.percentile("time_to_treatment_minutes", 0.9).alias("p90_ttt"),
+                F.min("target_minutes").alias("target_minutes"),
+                _cnt_if(c("met_time_target")).alias("_met"),
+                _cnt_if(c("met_time_target").isNotNull()).alias("_timed"),
+                _cnt_if(c("is_mortality")).alias("_dead"),
+                fn.mean("charlson_index").alias("_charlson")))
+    perf_pct = fn.round_half_up(fn.safe_divide(c("numerator_cases") * 100.0, c("eligible_cases")), 2)
+    return agg.select(
+        fn.tenant_surrogate_key("measure_code", "reporting_quarter").alias("quality_measure_performance_key"),
+        "hospital_id", "measure_code", "measure_name", "measure_category", "reporting_year", "reporting_quarter",
+        "total_cases", "denominator_cases", "excluded_cases", "eligible_cases", "numerator_cases", "care_gap_cases",
+        perf_pct.alias("performance_rate_pct"),
+        fn.r4("med_ttt").alias("median_time_to_treatment_minutes"),
+        fn.r4("p90_ttt").alias("p90_time_to_treatment_minutes"), "target_minutes",
+        fn.round_half_up(fn.safe_divide(c("_met") * 100.0, c("_timed")), 2).alias("met_time_target_pct"),
+        fn.round_half_up(fn.safe_divide(c("_dead") * 100.0, c("total_cases")), 2).alias("cohort_mortality_rate_pct"),
+        fn.round_half_up("_charlson", 2).alias("avg_charlson_index"),
+        F.when(perf_pct.isNull(), "No eligible cases").when(perf_pct >= 90, "Meets target")
+        .when(perf_pct >= 75, "Needs improvement").otherwise("Below target").alias("performance_status"))

@@ -116,3 +116,66 @@ class Warehouse:
     @cached_property
     def financial_performance(self) -> DataFrame:
         return K.financial_performance(self.revenue_cycle)
+
+    # ---- history / programmes
+    @cached_property
+    def problem_list(self) -> DataFrame:
+        return B.stg_problem_list(self.raw.problem_list, self.as_of)
+
+    @cached_property
+    def patient_allergies(self) -> DataFrame:
+        return B.stg_patient_allergies(self.raw.patient_allergies, self.as_of)
+
+    @cached_property
+    def patient_coverage(self) -> DataFrame:
+        return B.stg_patient_coverage(self.raw.patient_coverage, self.as_of)
+
+    @cached_property
+    def sdoh_screenings(self) -> DataFrame:
+        return B.stg_sdoh_screenings(self.raw.sdoh_screenings)
+
+    @cached_property
+    def quality_measures(self) -> DataFrame:
+        return B.stg_quality_measures(self.raw.quality_measures)
+
+    @cached_property
+    def care_plans(self) -> DataFrame:
+        return B.stg_care_plans(self.raw.care_plans, self.as_of)
+
+    @cached_property
+    def referrals(self) -> DataFrame:
+        return B.stg_referrals(self.raw.referrals, self.as_of)
+
+    @cached_property
+    def prior_authorizations(self) -> DataFrame:
+        return B.stg_prior_authorizations(self.raw.prior_authorizations, self.as_of)
+
+    @cached_property
+    def orders_enriched(self) -> DataFrame:
+        return J.orders_enriched(self.clinical_orders, self.clinical_results, self.encounters, self.patients,
+                                 self.providers, self.hospitals, self.procedures)
+
+    @cached_property
+    def medication_safety(self) -> DataFrame:
+        return J.medication_safety(self.medication_administration, self.clinical_orders, self.patient_allergies,
+                                   self.encounters, self.patients, self.providers, self.hospitals)
+
+    @cached_property
+    def measure_results(self) -> DataFrame:
+        return J.measure_results(self.quality_measures, self.encounters)
+
+    @cached_property
+    def comorbidity_index(self) -> DataFrame:
+        return J.comorbidity_index(self.patients, self.problem_list, self.encounters)
+
+    @cached_property
+    def medication_safety_metrics(self) -> DataFrame:
+        return K.medication_safety_metrics(self.medication_safety)
+
+    def cms_core_measures(self, min_denominator: int = K.CMS_MIN_DENOMINATOR) -> DataFrame:
+        return K.cms_core_measures(self.encounters_enriched, self.vitals_enriched, self.orders_enriched,
+                                   min_denominator)
+
+    @cached_property
+    def quality_measure_performance(self) -> DataFrame:
+        return K.quality_measure_performance(self.measure_results, self.comorbidity_index)

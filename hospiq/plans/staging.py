@@ -264,3 +264,183 @@ def stg_vital_signs(raw: DataFrame) -> DataFrame:
         S.ranged_points("systolic_bp", S.NEWS_SBP_COMPONENT).alias("news_systolic_score"),
         S.ranged_points("heart_rate_bpm", S.NEWS_HR_COMPONENT).alias("news_heart_rate_score"),
         F.col("_loaded_at").alias("loaded_at_timestamp"))
+
+
+def _flag(cond) -> F.Column:
+    return F.coalesce(cond, F.lit(False))
+
+
+def _days(a, b) -> F.Column:
+    return fn.boundary_diff("day", a, b)
+
+
+# B02 ----------------------------------------------------------------------
+def stg_care_plans(raw: DataFrame, as_of: str | None = None) -> DataFrame:
+    c, today = F.col, _as_of(as_of)
+    st = c("plan_status")
+    return raw.select(
+        "care_plan_id", "hospital_id", "encounter_id", "patient_id", "problem_description", "goal_description",
+        "intervention_description", "plan_status", "start_date", "target_date", "completion_date",
+        "created_by_provider_id", "assigned_to_provider_ids", "progress_notes", "last_evaluated_date",
+        _flag(st == "ACTIVE").alias("is_active_plan"),
+        _flag(st == "COMPLETED").alias("is_completed_plan"),
+        _flag(st == "DISCONTINUED").alias("is_discontinued_plan"),
+        F.when((st == "COMPLETED") & c("completion_date").isNotNull(), _days("start_date", "completion_date"))
+        .when((st == "ACTIVE") & c("start_date").isNotNull(), _days("start_date", today)).alias("plan_duration_days"),
+        F.when(c("target_date").isNotNull(), _days(today, "target_date")).alias("days_to_target"),
+        F.when(c("last_evaluated_date").isNotNull(), _days("last_evaluated_date", today))
+        .alias("days_since_last_evaluation"),
+        _flag((st == "ACTIVE") & c("last_evaluated_date").isNotNull() & (_days("last_evaluated_date", today) > 90))
+        .alias("overdue_for_evaluation"),
+        _flag((st == "ACTIVE") & c("target_date").isNotNull() & (today > c("target_date"))).alias("past_target_date"),
+        c("_loaded_at").alias("loaded_at_timestamp"))
+
+
+# B08 ----------------------------------------------------------------------
+def stg_patient_allergies(raw: DataFrame, as_of: str | None = None) -> DataFrame:
+    c, today = F.col, _as_of(as_of)
+    st = c("allergy_status")
+    return raw.select(
+        "allergy_id", "hospital_id", "patient_id", "allergen_type", "allergen_code", "allergen_name",
+        "reaction_type", "severity", "allergy_status", "onset_date", "resolution_date",
+        "documented_by_provider_id", "documentation_date", "clinical_notes",
+        _flag(st == "ACTIVE").alias("is_active"),
+        _flag(c("severity") == "LIFE_THREATENING").alias("is_life_threatening"),
+        _flag(c("severity").isin("SEVERE", "LIFE_THREATENING")).alias("is_severe"),
+        _flag(c("allergen_type") == "DRUG").alias("is_drug_allergy"),
+        _flag(c("allergen_type") == "FOOD").alias("is_food_allergy"),
+        _flag(c("reaction_type") == "ANAPHYLAXIS").alias("is_anaphylaxis"),
+        F.when((st == "RESOLVED") & c("resolution_date").isNotNull(), _days("onset_date", "resolution_date"))
+        .when(st == "ACTIVE", _days("onset_date", today)).alias("allergy_duration_days"),
+        c("_loaded_at").alias("loaded_at_timestamp"))
+
+
+# B09 ----------------------------------------------------------------------
+def stg_patient_coverage(raw: DataFrame, as_of: str | None = None) -> DataFrame:
+    c, today = F.col, _as_of(as_of)
+    return raw.select(
+        "coverage_id", "hospital_id", "patient_id", "payer_id", "policy_number", "group_number", "subscriber_id",
+        "subscriber_relationship", "effective_date", "termination_date", "coverage_status", "plan_type",
+        "coverage_level", "deductible_amount", "deductible_met_amount", "out_of_pocket_max", "out_of_pocket_met",
+        "copay_amount", "coinsurance_pct", "coverage_priority",
+        _flag(c("coverage_status") == "ACTIVE").alias("is_active"),
+        _flag(c("coverage_priority") == 1).alias("is_primary"),
+        _flag(c("coverage_priority") == 2).alias("is_secondary"),
+        _flag(c("subscriber_relationship") == "SELF").alias("is_self_insured"),
+        (c("deductible_amount") - c("deductible_met_amount")).alias("deductible_remaining"),
+        (c("out_of_pocket_max") - c("out_of_pocket_met")).alias("out_of_pocket_remaining"),
+        F.when(c("deductible_amount") > 0, c("deductible_met_amount").cast("double") * 100.0
+               / c("deductible_amount").cast("double")).otherwise(0.0).alias("deductible_met_pct"),
+        F.when(c("out_of_pocket_max") > 0, c("out_of_pocket_met").cast("double") * 100.0
+               / c("out_of_pocket_max").cast("double")).otherwise(0.0).alias("out_of_pocket_met_pct"),
+        F.when(c("coverage_status") == "ACTIVE", _days("effective_date", today))
+        .when(c("termination_date").isNotNull(), _days("effective_date", "termination_date"))
+        .alias("coverage_duration_days"),
+        c("_loaded_at").alias("loaded_at_timestamp"))
+
+
+# B11 ----------------------------------------------------------------------
+def stg_prior_authorizations(raw: DataFrame, as_of: str | None = None) -> DataFrame:
+    c, today = F.col, _as_of(as_of)
+    st = c("auth_status")
+    to_exp = _days(today, "expiration_date")
+    return raw.select(
+        "auth_id", "hospital_id", "patient_id", "payer_id", "encounter_id", "auth_number", "auth_type",
+        "service_code", "service_description", "auth_status", "request_date", "decision_date", "effective_date",
+        "expiration_date", "units_authorized", "units_used", "units_remaining", "diagnosis_codes", "denial_reason",
+        _flag(st == "APPROVED").alias("is_approved"), _flag(st == "DENIED").alias("is_denied"),
+        _flag(st == "PENDING").alias("is_pending"),
+        F.when(c("units_authorized").isNotNull() & (c("units_authorized") > 0),
+               c("units_used").cast("double") * 100.0 / c("units_authorized").cast("double"))
+        .alias("units_utilization_pct"),
+        _flag((c("units_remaining") == 0) & c("units_authorized").isNotNull()).alias("is_fully_utilized"),
+        F.when(c("decision_date").isNotNull(), _days("request_date", "decision_date")).alias("days_to_decision"),
+        F.when(c("effective_date").isNotNull() & c("expiration_date").isNotNull(),
+               _days("effective_date", "expiration_date")).alias("auth_duration_days"),
+        F.when(c("expiration_date").isNotNull(), to_exp).alias("days_to_expiration"),
+        _flag(c("expiration_date").isNotNull() & (today > c("expiration_date"))).alias("is_expired"),
+        _flag(c("expiration_date").isNotNull() & to_exp.between(0, 30)).alias("expiring_soon"),
+        c("_loaded_at").alias("loaded_at_timestamp"))
+
+
+# B12 ----------------------------------------------------------------------
+def stg_problem_list(raw: DataFrame, as_of: str | None = None) -> DataFrame:
+    c, today = F.col, _as_of(as_of)
+    st = c("problem_status")
+    return raw.select(
+        "problem_id", "hospital_id", "patient_id", "diagnosis_code", "diagnosis_description", "problem_status",
+        "onset_date", "resolution_date", "last_reviewed_date", "severity", "is_chronic", "is_primary_diagnosis",
+        "documented_by_provider_id", "documentation_date",
+        _flag(st == "ACTIVE").alias("is_active"), _flag(st == "RESOLVED").alias("is_resolved"),
+        F.when((st == "RESOLVED") & c("resolution_date").isNotNull(), _days("onset_date", "resolution_date"))
+        .when(st == "ACTIVE", _days("onset_date", today)).alias("problem_duration_days"),
+        F.when(c("last_reviewed_date").isNotNull(), _days("last_reviewed_date", today)).alias("days_since_last_review"),
+        c("_loaded_at").alias("loaded_at_timestamp"))
+
+
+# B14 ----------------------------------------------------------------------
+def stg_quality_measures(raw: DataFrame) -> DataFrame:
+    c = F.col
+    den, num, exc = c("denominator_eligible"), c("numerator_eligible"), c("exclusion_applied")
+    return raw.select(
+        "measure_id", "hospital_id", "encounter_id", "patient_id", "measure_code", "measure_name",
+        "measure_category", "numerator_eligible", "denominator_eligible", "exclusion_applied", "exclusion_reason",
+        "door_to_antibiotic_minutes", "door_to_balloon_minutes", "door_to_needle_minutes", "metric_component",
+        "component_value", "component_timestamp", "compliance_flag", "reporting_quarter", "reporting_year",
+        _flag(den & ~exc).alias("is_measure_eligible"),
+        _flag(num & den & ~exc).alias("is_numerator_met"),
+        _flag(c("compliance_flag") == True).alias("is_compliant"),  # noqa: E712
+        _flag(den & ~exc & ~num).alias("gap_in_care"),
+        _flag(c("door_to_antibiotic_minutes") <= 60).alias("met_antibiotic_timeliness"),
+        _flag(c("door_to_balloon_minutes") <= 90).alias("met_balloon_timeliness"),
+        _flag(c("door_to_needle_minutes") <= 30).alias("met_needle_timeliness"),
+        c("_loaded_at").alias("loaded_at_timestamp"))
+
+
+# B15 ----------------------------------------------------------------------
+def stg_referrals(raw: DataFrame, as_of: str | None = None) -> DataFrame:
+    c, today = F.col, _as_of(as_of)
+    st = c("referral_status")
+    return raw.select(
+        "referral_id", "hospital_id", "patient_id", "encounter_id", "referral_type", "referring_provider_id",
+        "referred_to_provider_id", "referred_to_facility", "specialty", "referral_status", "referral_date",
+        "appointment_date", "completion_date", "reason_for_referral", "diagnosis_codes", "urgency",
+        "follow_up_required", "follow_up_completed",
+        _flag(st == "COMPLETED").alias("is_completed"), _flag(st == "PENDING").alias("is_pending"),
+        _flag(st == "CANCELLED").alias("is_cancelled"), _flag(c("urgency") == "URGENT").alias("is_urgent"),
+        F.when(c("appointment_date").isNotNull(), _days("referral_date", "appointment_date")).alias("days_to_appointment"),
+        F.when(c("completion_date").isNotNull(), _days("referral_date", "completion_date")).alias("days_to_completion"),
+        _flag(c("follow_up_required") & ~c("follow_up_completed")).alias("follow_up_overdue"),
+        _flag((st == "PENDING") & c("appointment_date").isNull() & (_days("referral_date", today) > 14))
+        .alias("overdue_for_appointment"),
+        c("_loaded_at").alias("loaded_at_timestamp"))
+
+
+# B16 ----------------------------------------------------------------------
+def stg_sdoh_screenings(raw: DataFrame) -> DataFrame:
+    c = F.col
+
+    def t(x):
+        return _flag(c(x) == True)  # noqa: E712
+
+    risk_count = (F.when(t("housing_concerns"), 1).otherwise(0) + F.when(t("food_insecurity_flag"), 1).otherwise(0)
+                           + F.when(t("transportation_barriers"), 1).otherwise(0)
+                           + F.when(t("difficulty_paying_utilities"), 1).otherwise(0)
+                           + F.when(t("difficulty_affording_medications"), 1).otherwise(0)
+                           + F.when(c("social_isolation_score") >= 6, 1).otherwise(0)
+                           + F.when(t("safety_concerns"), 1).otherwise(0))
+    return (raw.select(
+        "screening_id", "hospital_id", "patient_id", "encounter_id", "screening_date", "housing_status",
+        "social_isolation_score", "employment_status", "highest_education_level", "health_literacy_score",
+        "screening_tool_name",
+        t("housing_concerns").alias("has_housing_risk"),
+        (t("food_insecurity_flag") | t("difficulty_affording_food")).alias("has_food_insecurity"),
+        t("transportation_barriers").alias("has_transportation_barriers"),
+        (t("difficulty_paying_utilities") | t("difficulty_affording_medications")).alias("has_financial_strain"),
+        _flag(c("social_isolation_score") >= 6).alias("has_high_social_isolation"),
+        (t("safety_concerns") | t("intimate_partner_violence_screen")).alias("has_safety_concerns"),
+        risk_count.alias("total_sdoh_risk_count"),
+        c("_loaded_at").alias("loaded_at_timestamp"))
+        .withColumn("sdoh_risk_category",
+                    F.when(c("total_sdoh_risk_count") >= 4, "High Risk").when(c("total_sdoh_risk_count") >= 2, "Medium Risk")
+                    .when(c("total_sdoh_risk_count") >= 1, "Low Risk").otherwise("No Risk")))

@@ -48,3 +48,30 @@ def _k03(w: Warehouse) -> DataFrame:
 @query("k11_financial_performance")
 def _k11(w: Warehouse) -> DataFrame:
     return w.financial_performance
+
+
+@query("k04_medication_safety_metrics")
+def _k04(w: Warehouse) -> DataFrame:
+    return w.medication_safety_metrics
+
+
+@query("k06_cms_core_measures")
+def _k06(w: Warehouse) -> DataFrame:
+    return w.cms_core_measures()
+
+
+@query("k06_cms_core_measures_all_cohorts")
+def _k06b(w: Warehouse) -> DataFrame:
+    # same mart with the minimum-denominator gate lowered to 1, so every
+    # tenant-quarter cohort is reported (the default gate is 25 cases)
+    return w.cms_core_measures(min_denominator=1)
+
+
+@query("k07_quality_measure_performance")
+def _k07(w: Warehouse) -> DataFrame:
+    return w.quality_measure_performance
+
+
+@query("i12_comorbidity_index")
+def _i12(w: Warehouse) -> DataFrame:
+    return w.comorbidity_index

@@ -322,7 +322,10 @@ class HospitalSource:
             F.concat(F.lit("PRV_"), F.col("l_suppkey").cast("string")).alias("provider_id"),
             "order_type",
             F.concat(F.lit("OC"), F.col("l_partkey").cast("string")).alias("order_code"),
-            F.concat(F.lit("Order "), F.col("l_partkey").cast("string")).alias("order_description"),
+            F.when(is_lab, F.concat(pick(LAB_TESTS, "l_partkey"),
+                                    F.when(F.col("l_partkey") % 3 == 0, F.lit(" + Blood Culture")).otherwise(F.lit(""))))
+            .when(is_med, pick(DRUGS, "l_partkey"))
+            .otherwise(F.concat(F.lit("Order "), F.col("l_partkey").cast("string"))).alias("order_description"),
             "order_status",
             "order_datetime",
             F.expr(f"order_datetime + {hours('l_partkey % 3')}").alias("scheduled_datetime"),
@@ -460,3 +463,260 @@ class HospitalSource:
             pick(["RN", "MD", "MA"], "event_id div 3").alias("measured_by_role"),
             F.expr(f"mt + {hours('1')}").alias("_loaded_at"),
         )
+
+    # ---------------- customer-derived clinical history --------------------
+    def _per_customer(self, n: int, keep: str) -> DataFrame:
+        """customer x k (k in 0..n-1) filtered by ``keep``; a generator, no join."""
+        c = self._t("customer").select("c_custkey", "c_nationkey", "c_acctbal")
+        return (c.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+                .filter(F.expr(keep))
+                .withColumn("ck", F.concat_ws("_", F.col("c_custkey").cast("string"), F.col("k").cast("string"))))
+
+    @cached_property
+    def problem_list(self) -> DataFrame:
+        b = (self._per_customer(3, "k <= c_custkey % 3")
+             .withColumn("di", F.expr("(c_custkey + 3 * k) % 8"))
+             .withColumn("status", F.expr("case (c_custkey + k) % 5 when 0 then 'RESOLVED' when 1 then 'INACTIVE' "
+                                          "else 'ACTIVE' end"))
+             .withColumn("onset", F.expr("date_add(date'1990-01-01', cast((c_custkey * 7 + k * 131) % 4000 as int))")))
+        codes = F.array(*[F.lit(d[0]) for d in DIAGNOSES])
+        descs = F.array(*[F.lit(d[1]) for d in DIAGNOSES])
+        chronic = F.array(*[F.lit(d[4]) for d in DIAGNOSES])
+        i = (F.col("di") + 1).cast("int")
+        return b.select(
+            F.concat(F.lit("PRB_"), F.col("ck")).alias("problem_id"),
+            tenant_id("c_nationkey").alias("hospital_id"),
+            F.concat(F.lit("PAT_"), F.col("c_custkey").cast("string")).alias("patient_id"),
+            F.element_at(codes, i).alias("diagnosis_code"),
+            F.element_at(descs, i).alias("diagnosis_description"),
+            F.col("status").alias("problem_status"),
+            F.col("onset").alias("onset_date"),
+            F.expr("case when status = 'RESOLVED' then date_add(onset, 90) end").alias("resolution_date"),
+            F.expr("date_add(date'2001-01-01', cast((c_custkey + k) % 300 as int))").alias("last_reviewed_date"),
+            pick(["MILD", "MODERATE", "SEVERE"], "c_custkey + k").alias("severity"),
+            F.element_at(chronic, i).alias("is_chronic"),
+            (F.col("k") == 0).alias("is_primary_diagnosis"),
+            F.lit(None).cast("string").alias("documented_by_provider_id"),
+            F.col("onset").alias("documentation_date"),
+            F.lit(None).cast("string").alias("clinical_notes"),
+            F.expr(f"timestamp_ntz'{LOADED_AT}'").alias("_loaded_at"),
+        )
+
+    # Fixed values of the allergy design: (allergen, allergen_type)
+    ALLERGENS = [("Penicillin", "DRUG"), ("Aspirin", "DRUG"), ("Sulfa", "DRUG"), ("Peanuts", "FOOD"),
+                 ("Latex", "ENVIRONMENTAL"), ("Heparin Sodium", "DRUG"), ("Morphine", "DRUG"), ("Shellfish", "FOOD")]
+
+    @cached_property
+    def patient_allergies(self) -> DataFrame:
+        b = (self._per_customer(2, "k < c_custkey % 3")
+             .withColumn("ai", F.expr("case when k = 1 and c_custkey % 11 = 0 then c_custkey % 8 "
+                                      "else (c_custkey + 5 * k) % 8 end + 1").cast("int"))
+             .withColumn("status", F.expr("case when (c_custkey + k) % 7 = 0 then 'RESOLVED' else 'ACTIVE' end"))
+             .withColumn("onset", F.expr("date_add(date'1985-01-01', cast((c_custkey * 11 + k * 97) % 5000 as int))")))
+        names = F.array(*[F.lit(a) for a, _ in self.ALLERGENS])
+        types = F.array(*[F.lit(t) for _, t in self.ALLERGENS])
+        return b.select(
+            F.concat(F.lit("ALG_"), F.col("ck")).alias("allergy_id"),
+            tenant_id("c_nationkey").alias("hospital_id"),
+            F.concat(F.lit("PAT_"), F.col("c_custkey").cast("string")).alias("patient_id"),
+            F.element_at(types, F.col("ai")).alias("allergen_type"),
+            F.concat(F.lit("AL"), F.col("ai").cast("string")).alias("allergen_code"),
+            F.element_at(names, F.col("ai")).alias("allergen_name"),
+            pick(["RASH", "ANAPHYLAXIS", "GI_UPSET"], "c_custkey + k").alias("reaction_type"),
+            pick(["MILD", "MODERATE", "SEVERE", "LIFE_THREATENING"], "c_custkey * 3 + k").alias("severity"),
+            F.col("status").alias("allergy_status"),
+            F.col("onset").alias("onset_date"),
+            F.expr("case when status = 'RESOLVED' then date_add(onset, 365) end").alias("resolution_date"),
+            F.lit(None).cast("string").alias("documented_by_provider_id"),
+            F.col("onset").alias("documentation_date"),
+            F.lit(None).cast("string").alias("clinical_notes"),
+            F.expr(f"timestamp_ntz'{LOADED_AT}'").alias("_loaded_at"),
+        )
+
+    @cached_property
+    def patient_coverage(self) -> DataFrame:
+        b = (self._per_customer(2, "k = 0 or c_custkey % 4 = 0")
+             .withColumn("ded", F.expr("500 + (c_custkey % 5) * 500"))
+             .withColumn("oop", F.expr("3000 + (c_custkey % 4) * 1000"))
+             .withColumn("eff", F.expr("date_add(date'1995-01-01', cast(c_custkey % 1000 as int))")))
+        return b.select(
+            F.concat(F.lit("COV_"), F.col("ck")).alias("coverage_id"),
+            tenant_id("c_nationkey").alias("hospital_id"),
+            F.concat(F.lit("PAT_"), F.col("c_custkey").cast("string")).alias("patient_id"),
+            F.concat(F.lit("PAY_"), ((F.col("c_custkey") + 3 * F.col("k")) % N_PAYERS).cast("string")).alias("payer_id"),
+            F.concat(F.lit("POL"), F.col("ck")).alias("policy_number"),
+            F.lit("GRP1").alias("group_number"),
+            F.concat(F.lit("SUB"), F.col("c_custkey").cast("string")).alias("subscriber_id"),
+            F.lit(None).cast("string").alias("subscriber_name"),
+            pick(["SELF", "SPOUSE", "CHILD", "OTHER"], "c_custkey + k").alias("subscriber_relationship"),
+            F.col("eff").alias("effective_date"),
+            F.expr("case when (c_custkey + k) % 6 = 0 then date_add(eff, 700) end").alias("termination_date"),
+            F.expr("case when (c_custkey + k) % 6 = 0 then 'TERMINATED' when (c_custkey + k) % 13 = 0 then 'SUSPENDED' "
+                   "else 'ACTIVE' end").alias("coverage_status"),
+            pick(["HMO", "PPO", "EPO", "POS"], "c_custkey").alias("plan_type"),
+            F.expr("case when c_custkey % 2 = 0 then 'INDIVIDUAL' else 'FAMILY' end").alias("coverage_level"),
+            F.col("ded").cast("decimal(10,2)").alias("deductible_amount"),
+            F.expr("least(ded, ((c_custkey * 37) % 21) * 50)").cast("decimal(10,2)").alias("deductible_met_amount"),
+            F.col("oop").cast("decimal(10,2)").alias("out_of_pocket_max"),
+            F.expr("least(oop, ((c_custkey * 17) % 31) * 100)").cast("decimal(10,2)").alias("out_of_pocket_met"),
+            F.expr("20 + (c_custkey % 3) * 10").cast("decimal(10,2)").alias("copay_amount"),
+            F.expr("10 + (c_custkey % 3) * 10").cast("decimal(5,2)").alias("coinsurance_pct"),
+            (F.col("k") + 1).cast("bigint").alias("coverage_priority"),
+            F.expr(f"timestamp_ntz'{LOADED_AT}'").alias("_loaded_at"),
+        )
+
+    @cached_property
+    def sdoh_screenings(self) -> DataFrame:
+        b = self._per_customer(1, "c_custkey % 3 <> 2").withColumn(
+            "housing", pick(["STABLE", "STABLE", "UNSTABLE", "HOMELESS", "TRANSITIONAL"], "c_custkey"))
+        e = F.expr
+        return b.select(
+            F.concat(F.lit("SDH_"), F.col("c_custkey").cast("string")).alias("screening_id"),
+            tenant_id("c_nationkey").alias("hospital_id"),
+            F.concat(F.lit("PAT_"), F.col("c_custkey").cast("string")).alias("patient_id"),
+            F.lit(None).cast("string").alias("encounter_id"),
+            e("date_add(date'2001-01-01', cast(c_custkey % 300 as int))").alias("screening_date"),
+            F.col("housing").alias("housing_status"),
+            (F.col("housing") != "STABLE").alias("housing_concerns"),
+            e("c_custkey % 7 = 0").alias("food_insecurity_flag"),
+            e("c_custkey % 11 = 0").alias("difficulty_affording_food"),
+            e("c_custkey % 5 = 1").alias("transportation_barriers"),
+            e("c_custkey % 9 = 0").alias("difficulty_paying_utilities"),
+            e("c_custkey % 8 = 3").alias("difficulty_affording_medications"),
+            e("c_custkey % 10").cast("bigint").alias("social_isolation_score"),
+            e("c_custkey % 23 = 0").alias("safety_concerns"),
+            e("c_custkey % 29 = 0").alias("intimate_partner_violence_screen"),
+            pick(["EMPLOYED", "UNEMPLOYED", "RETIRED", "DISABLED"], "c_custkey").alias("employment_status"),
+            pick(["HIGH_SCHOOL", "COLLEGE", "GRADUATE", "NONE"], "c_custkey div 4").alias("highest_education_level"),
+            e("c_custkey % 5 + 1").cast("bigint").alias("health_literacy_score"),
+            F.lit("AHC HRSN").alias("screening_tool_name"),
+            F.lit(None).cast("string").alias("referrals_text"),
+            F.expr(f"timestamp_ntz'{LOADED_AT}'").alias("_loaded_at"),
+        )
+
+    # ---------------- encounter-derived programmes -------------------------
+    def _enc_src(self) -> DataFrame:
+        return (self._order_base
+                .withColumn("hid", tenant_id("c_nationkey"))
+                .withColumn("eid", F.concat(F.lit("ENC_"), F.col("o_orderkey").cast("string")))
+                .withColumn("pid", F.concat(F.lit("PAT_"), F.col("o_custkey").cast("string")))
+                .withColumn("adm_date", F.to_date("admission_date")))
+
+    # Fixed values of the measure design: (code, name, category) by diagnosis slot 0..4
+    MEASURES = [("SEP-1", "Severe Sepsis and Septic Shock", "SEPSIS"),
+                ("AMI-8a", "Primary PCI Within 90 Minutes", "AMI"),
+                ("HF-2", "Heart Failure LVS Assessment", "HF"),
+                ("STK-4", "Thrombolytic Therapy", "STROKE"),
+                ("PN-6", "Pneumonia Antibiotic Selection", "PNEUMONIA")]
+
+    @cached_property
+    def quality_measures(self) -> DataFrame:
+        b = self._enc_src().filter(F.col("o_orderkey") % 8 < 5).withColumn("mi", (F.col("o_orderkey") % 8 + 1).cast("int"))
+        arr = lambda j: F.array(*[F.lit(m[j]) for m in self.MEASURES])
+        code = F.element_at(arr(0), F.col("mi"))
+        e = F.expr
+        return b.select(
+            F.concat(F.lit("QM_"), F.col("o_orderkey").cast("string")).alias("measure_id"),
+            F.col("hid").alias("hospital_id"), F.col("eid").alias("encounter_id"), F.col("pid").alias("patient_id"),
+            code.alias("measure_code"), F.element_at(arr(1), F.col("mi")).alias("measure_name"),
+            F.element_at(arr(2), F.col("mi")).alias("measure_category"),
+            e("o_orderkey % 5 <> 0").alias("numerator_eligible"),
+            e("o_orderkey % 13 <> 0").alias("denominator_eligible"),
+            e("o_orderkey % 17 = 0").alias("exclusion_applied"),
+            e("case when o_orderkey % 17 = 0 then 'Comfort care' end").alias("exclusion_reason"),
+            e("case when mi = 1 then 20 + o_orderkey % 90 end").cast("bigint").alias("door_to_antibiotic_minutes"),
+            e("case when mi = 2 then 40 + o_orderkey % 100 end").cast("bigint").alias("door_to_balloon_minutes"),
+            e("case when mi = 4 then 10 + o_orderkey % 50 end").cast("bigint").alias("door_to_needle_minutes"),
+            F.lit(None).cast("string").alias("metric_component"),
+            F.lit(None).cast("string").alias("component_value"),
+            F.col("admission_date").alias("component_timestamp"),
+            e("o_orderkey % 5 <> 0 and o_orderkey % 7 <> 0").alias("compliance_flag"),
+            F.concat(F.lit("Q"), F.quarter("admission_date").cast("string")).alias("reporting_quarter"),
+            F.year("admission_date").cast("bigint").alias("reporting_year"),
+            F.expr("admission_date + make_dt_interval(2, 0, 0, 0)").alias("_loaded_at"),
+        )
+
+    @cached_property
+    def care_plans(self) -> DataFrame:
+        b = (self._enc_src().filter((F.col("encounter_type") == "Inpatient") & (F.col("o_orderkey") % 10 < 7))
+             .withColumn("status", F.expr("case o_orderkey % 5 when 0 then 'ACTIVE' when 1 then 'ACTIVE' "
+                                          "when 4 then 'DISCONTINUED' else 'COMPLETED' end")))
+        e = F.expr
+        return b.select(
+            F.concat(F.lit("CP_"), F.col("o_orderkey").cast("string")).alias("care_plan_id"),
+            F.col("hid").alias("hospital_id"), F.col("eid").alias("encounter_id"), F.col("pid").alias("patient_id"),
+            pick(ICD_CODES, "o_orderkey").alias("problem_description"),
+            F.lit("Stabilise condition").alias("goal_description"),
+            F.lit("Care coordination").alias("intervention_description"),
+            F.col("status").alias("plan_status"),
+            F.col("adm_date").alias("start_date"),
+            e("date_add(adm_date, cast(30 + o_orderkey % 60 as int))").alias("target_date"),
+            e("case when status = 'COMPLETED' then date_add(adm_date, cast(o_orderkey % 90 as int)) end")
+            .alias("completion_date"),
+            F.lit(None).cast("string").alias("created_by_provider_id"),
+            F.lit(None).cast("string").alias("assigned_to_provider_ids"),
+            F.lit(None).cast("string").alias("progress_notes"),
+            e("date_add(adm_date, cast(o_orderkey % 120 as int))").alias("last_evaluated_date"),
+            F.expr("admission_date + make_dt_interval(1, 0, 0, 0)").alias("_loaded_at"),
+        )
+
+    @cached_property
+    def referrals(self) -> DataFrame:
+        b = (self._enc_src().filter(F.col("o_orderkey") % 4 == 0)
+             .withColumn("status", F.expr("case o_orderkey % 7 when 0 then 'PENDING' when 1 then 'PENDING' "
+                                          "when 2 then 'SCHEDULED' when 6 then 'CANCELLED' else 'COMPLETED' end"))
+             .withColumn("ref_date", F.date_add("adm_date", 1))
+             .withColumn("appt", F.expr("case when status in ('SCHEDULED', 'COMPLETED') "
+                                        "then date_add(ref_date, cast(o_orderkey % 40 as int)) "
+                                        "when status = 'PENDING' and o_orderkey % 3 = 0 then date_add(ref_date, 5) end")))
+        e = F.expr
+        return b.select(
+            F.concat(F.lit("REF_"), F.col("o_orderkey").cast("string")).alias("referral_id"),
+            F.col("hid").alias("hospital_id"), F.col("pid").alias("patient_id"), F.col("eid").alias("encounter_id"),
+            pick(["SPECIALIST", "DME", "HOME_HEALTH", "SNF"], "o_orderkey div 4").alias("referral_type"),
+            F.lit(None).cast("string").alias("referring_provider_id"),
+            F.lit(None).cast("string").alias("referred_to_provider_id"),
+            F.lit(None).cast("string").alias("referred_to_facility"),
+            pick(["Cardiology", "Nephrology", "Pulmonology", "Oncology"], "o_orderkey div 8").alias("specialty"),
+            F.col("status").alias("referral_status"),
+            F.col("ref_date").alias("referral_date"),
+            F.col("appt").alias("appointment_date"),
+            e("case when status = 'COMPLETED' then date_add(appt, 2) end").alias("completion_date"),
+            F.lit("Specialist evaluation").alias("reason_for_referral"),
+            pick(ICD_CODES, "o_orderkey").alias("diagnosis_codes"),
+            pick(["ROUTINE", "URGENT", "EMERGENT"], "o_orderkey div 3").alias("urgency"),
+            e("o_orderkey % 2 = 0").alias("follow_up_required"),
+            e("o_orderkey % 6 = 0").alias("follow_up_completed"),
+            F.expr("admission_date + make_dt_interval(1, 0, 0, 0)").alias("_loaded_at"),
+        )
+
+    @cached_property
+    def prior_authorizations(self) -> DataFrame:
+        b = (self._enc_src().filter(F.col("o_orderkey") % 5 == 1)
+             .withColumn("status", pick(["PENDING", "APPROVED", "APPROVED", "DENIED", "EXPIRED"], "o_orderkey div 5"))
+             .withColumn("req", F.date_sub("adm_date", 3))
+             .withColumn("dec", F.expr("case when status <> 'PENDING' then date_add(req, cast(o_orderkey % 10 as int)) end"))
+             .withColumn("ua", F.expr("10 + o_orderkey % 20"))
+             .withColumn("uu", F.expr("(o_orderkey * 7) % (ua + 1)")))
+        e = F.expr
+        return b.select(
+            F.concat(F.lit("PA_"), F.col("o_orderkey").cast("string")).alias("auth_id"),
+            F.col("hid").alias("hospital_id"), F.col("pid").alias("patient_id"),
+            F.concat(F.lit("PAY_"), (F.col("o_orderkey") % N_PAYERS).cast("string")).alias("payer_id"),
+            F.col("eid").alias("encounter_id"),
+            F.concat(F.lit("AUTH"), F.col("o_orderkey").cast("string")).alias("auth_number"),
+            pick(["SERVICE", "MEDICATION", "DME"], "o_orderkey").alias("auth_type"),
+            F.concat(F.lit("SVC"), (F.col("o_orderkey") % 50).cast("string")).alias("service_code"),
+            F.lit("Authorised service").alias("service_description"),
+            F.col("status").alias("auth_status"),
+            F.col("req").alias("request_date"), F.col("dec").alias("decision_date"),
+            F.col("dec").alias("effective_date"),
+            e("case when dec is not null then date_add(dec, 90) end").alias("expiration_date"),
+            F.col("ua").cast("bigint").alias("units_authorized"),
+            F.col("uu").cast("bigint").alias("units_used"),
+            (F.col("ua") - F.col("uu")).cast("bigint").alias("units_remaining"),
+            pick(ICD_CODES, "o_orderkey").alias("diagnosis_codes"),
+            F.lit(None).cast("string").alias("clinical_notes"),
+            e("case when status = 'DENIED' then 'Not medically necessary' end").alias("denial_reason"),
+            F.expr("admission_date + make_dt_interval(1, 0, 0, 0)").alias("_loaded_at"),
+        )
