@@ -9,7 +9,7 @@ from __future__ import annotations
 ICD = "['A41.9','I21.9','I50.9','E11.9','J44.9','N18.6','C78.0','K70.3']"
 DRUGS = "['Aspirin','Insulin','Heparin','Vancomycin','Metoprolol','Morphine','Penicillin','Warfarin']"
 TESTS = "['Glucose','Potassium','Sodium','Hemoglobin','Creatinine','Troponin','Lactate','Lipid Panel']"
-AS_OF = "DATE '2001-12-31'"
+AS_OF = "DATE '2001-08-05'"
 LOADED = "TIMESTAMP '2001-12-30 00:00:00'"
 
 
@@ -699,3 +699,89 @@ FROM (SELECT *, {idx} AS charlson_index, {cnt} AS charlson_condition_count,
 
 
 cte("int_comorbidity", ["stg_patients", "stg_problems", "stg_encounters"], _charlson_index_sql())
+
+cte("int_patient_profile", ["stg_patients", "stg_hospitals", "stg_problems", "stg_allergies", "stg_coverage",
+                            "int_vitals", "stg_sdoh", "stg_encounters", "stg_med_admin", "r_diagnoses"], f"""
+SELECT *,
+  CASE WHEN chronic_condition_count >= 3 AND ed_visits >= 2 THEN 'Very High Risk'
+       WHEN chronic_condition_count >= 2 OR readmissions >= 1 THEN 'High Risk'
+       WHEN chronic_condition_count >= 1 THEN 'Medium Risk' ELSE 'Low Risk' END AS clinical_risk_category,
+  CASE WHEN ed_visits >= 4 THEN 'Frequent ED User' WHEN inpatient_admits >= 3 THEN 'Frequent Admits'
+       WHEN total_encounters >= 10 THEN 'High Utilizer' WHEN total_encounters >= 5 THEN 'Moderate Utilizer'
+       ELSE 'Low Utilizer' END AS utilization_category,
+  date_diff('day', last_encounter_date, {AS_OF}) AS days_since_last_encounter,
+  CASE WHEN medication_refusals_30days > 0 THEN greatest(0, 100 - medication_refusals_30days * 10) ELSE 100 END
+    AS patient_engagement_score
+FROM (
+  SELECT p.patient_id, p.hospital_id, h.hospital_name, h.hospital_type, h.region, p.age_years, p.age_group, p.gender,
+    p.race, p.ethnicity, p.zip_code_3digit, p.primary_language, p.marital_status,
+    CAST(NULL AS TIMESTAMP) AS first_encounter_date,
+    coalesce(ap.active_problem_count, 0) AS active_problem_count,
+    coalesce(ap.chronic_condition_count, 0) AS chronic_condition_count, ap.active_diagnoses_list,
+    coalesce(aa.active_allergy_count, 0) AS active_allergy_count,
+    coalesce(aa.life_threatening_allergy_count, 0) AS life_threatening_allergy_count,
+    coalesce(aa.drug_allergy_count, 0) AS drug_allergy_count, aa.active_allergies_list,
+    coalesce(cc.active_coverage_count, 0) AS active_coverage_count, cc.primary_payer_id, cc.primary_plan_type,
+    cc.primary_deductible_remaining, cc.primary_oop_remaining,
+    rv.vital_measurements_last_7days, rv.last_vital_datetime, rv.febrile_rate, rv.hypotensive_rate, rv.hypoxic_rate,
+    rv.avg_bmi, rv.latest_news_score,
+    sd.last_sdoh_screening_date, sd.current_sdoh_risk_category, sd.current_sdoh_risk_count, sd.has_housing_risk,
+    sd.has_food_insecurity, sd.has_transportation_barriers,
+    coalesce(eh.total_encounters, 0) AS total_encounters, coalesce(eh.ed_visits, 0) AS ed_visits,
+    coalesce(eh.inpatient_admits, 0) AS inpatient_admits, coalesce(eh.readmissions, 0) AS readmissions,
+    coalesce(eh.lifetime_charges, 0) AS lifetime_charges, eh.last_encounter_date,
+    rm.medication_administrations_30days, rm.medication_refusals_30days, rm.adverse_reactions_30days,
+    rm.unique_medications_30days
+  FROM stg_patients p JOIN stg_hospitals h ON p.hospital_id = h.hospital_id
+  LEFT JOIN (SELECT patient_id, hospital_id, count(DISTINCT problem_id) AS active_problem_count,
+               count(DISTINCT CASE WHEN is_chronic THEN problem_id END) AS chronic_condition_count,
+               string_agg(diagnosis_description, '; ' ORDER BY onset_date DESC, problem_id DESC) AS active_diagnoses_list
+             FROM (SELECT pr.*, d.diagnosis_description FROM stg_problems pr
+                   JOIN r_diagnoses d ON pr.diagnosis_code = d.diagnosis_code)
+             WHERE is_active GROUP BY patient_id, hospital_id) ap
+    ON p.patient_id = ap.patient_id AND p.hospital_id = ap.hospital_id
+  LEFT JOIN (SELECT patient_id, hospital_id, count(DISTINCT allergy_id) AS active_allergy_count,
+               count(DISTINCT CASE WHEN severity = 'LIFE_THREATENING' THEN allergy_id END) AS life_threatening_allergy_count,
+               count(DISTINCT CASE WHEN is_drug_allergy THEN allergy_id END) AS drug_allergy_count,
+               string_agg(allergen_name, '; ' ORDER BY onset_date DESC, allergy_id DESC) AS active_allergies_list
+             FROM stg_allergies WHERE is_active GROUP BY patient_id, hospital_id) aa
+    ON p.patient_id = aa.patient_id AND p.hospital_id = aa.hospital_id
+  LEFT JOIN (SELECT patient_id, hospital_id, count(DISTINCT coverage_id) AS active_coverage_count,
+               max(CASE WHEN is_primary THEN payer_id END) AS primary_payer_id,
+               max(CASE WHEN is_primary THEN plan_type END) AS primary_plan_type,
+               max(CASE WHEN is_primary THEN deductible_amount - deductible_met_amount END) AS primary_deductible_remaining,
+               max(CASE WHEN is_primary THEN out_of_pocket_max - out_of_pocket_met END) AS primary_oop_remaining
+             FROM stg_coverage WHERE is_active GROUP BY patient_id, hospital_id) cc
+    ON p.patient_id = cc.patient_id AND p.hospital_id = cc.hospital_id
+  LEFT JOIN (SELECT patient_id, hospital_id, count(DISTINCT vital_id) AS vital_measurements_last_7days,
+               max(measurement_datetime) AS last_vital_datetime,
+               (floor(avg(CASE WHEN is_febrile THEN 1 ELSE 0 END) * 10000 + 0.5) / 10000) AS febrile_rate,
+               (floor(avg(CASE WHEN is_hypotensive THEN 1 ELSE 0 END) * 10000 + 0.5) / 10000) AS hypotensive_rate,
+               (floor(avg(CASE WHEN is_hypoxic THEN 1 ELSE 0 END) * 10000 + 0.5) / 10000) AS hypoxic_rate,
+               (floor(CAST(sum(bmi) AS DOUBLE) / count(bmi) * 10000 + 0.5) / 10000) AS avg_bmi,
+               arg_max(total_news_score, (measurement_datetime, vital_id)) AS latest_news_score
+             FROM int_vitals WHERE measurement_datetime >= {AS_OF} - INTERVAL 7 DAY
+             GROUP BY patient_id, hospital_id) rv
+    ON p.patient_id = rv.patient_id AND p.hospital_id = rv.hospital_id
+  LEFT JOIN (SELECT patient_id, hospital_id, max(screening_date) AS last_sdoh_screening_date,
+               arg_max(sdoh_risk_category, (screening_date, screening_id)) AS current_sdoh_risk_category,
+               arg_max(total, (screening_date, screening_id)) AS current_sdoh_risk_count,
+               arg_max(has_housing_risk, (screening_date, screening_id)) AS has_housing_risk,
+               arg_max(has_food_insecurity, (screening_date, screening_id)) AS has_food_insecurity,
+               arg_max(has_transportation_barriers, (screening_date, screening_id)) AS has_transportation_barriers
+             FROM stg_sdoh GROUP BY patient_id, hospital_id) sd
+    ON p.patient_id = sd.patient_id AND p.hospital_id = sd.hospital_id
+  LEFT JOIN (SELECT patient_id, hospital_id, count(DISTINCT encounter_id) AS total_encounters,
+               count(DISTINCT CASE WHEN encounter_type = 'Emergency' THEN encounter_id END) AS ed_visits,
+               count(DISTINCT CASE WHEN encounter_type = 'Inpatient' THEN encounter_id END) AS inpatient_admits,
+               count(DISTINCT CASE WHEN is_readmission THEN encounter_id END) AS readmissions,
+               sum(total_charges) AS lifetime_charges, max(admission_date) AS last_encounter_date
+             FROM stg_encounters GROUP BY patient_id, hospital_id) eh
+    ON p.patient_id = eh.patient_id AND p.hospital_id = eh.hospital_id
+  LEFT JOIN (SELECT patient_id, hospital_id, count(DISTINCT admin_id) AS medication_administrations_30days,
+               count(DISTINCT CASE WHEN is_refused THEN admin_id END) AS medication_refusals_30days,
+               count(DISTINCT CASE WHEN adverse_reaction_flag THEN admin_id END) AS adverse_reactions_30days,
+               count(DISTINCT medication_name) AS unique_medications_30days
+             FROM stg_med_admin WHERE administered_datetime >= {AS_OF} - INTERVAL 30 DAY
+             GROUP BY patient_id, hospital_id) rm
+    ON p.patient_id = rm.patient_id AND p.hospital_id = rm.hospital_id)""")

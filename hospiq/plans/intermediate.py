@@ -393,3 +393,95 @@ def comorbidity_index(patients: DataFrame, problems: DataFrame, encounters: Data
             .withColumn("charlson_age_adjusted_index", ci + c("charlson_age_points"))
             .withColumn("charlson_severity", F.when(ci == 0, "None").when(ci <= 2, "Mild")
                         .when(ci <= 4, "Moderate").otherwise("Severe")))
+
+
+# J07 ----------------------------------------------------------------------
+def _ordered_listagg(value: str, order_cols: list[str], sep: str = "; ") -> F.Column:
+    """listagg(value, sep) within group (order by order_cols desc), ties
+    broken by the remaining struct fields (deterministic)."""
+    s = F.sort_array(F.collect_list(F.struct(*order_cols, value)), asc=False)
+    return F.when(F.size(s) > 0, F.array_join(F.transform(s, lambda x: x[value]), sep))
+
+
+def patient_profile(patients: DataFrame, hospitals: DataFrame, problems: DataFrame, allergies: DataFrame,
+                    coverage: DataFrame, vitals: DataFrame, sdoh: DataFrame, encounters: DataFrame,
+                    med_admin: DataFrame, as_of: str) -> DataFrame:
+    """Patient 360 (C03): seven per-patient pre-aggregations, each grouped by
+    (patient_id, hospital_id), left-joined to the patient spine. The
+    aggregates share one hash partitioning on the join keys, so the join
+    chain needs no exchange beyond the aggregations' own."""
+    c = F.col
+    keys = ["patient_id", "hospital_id"]
+    today = F.lit(as_of).cast("date")
+    ap = (problems.filter(c("is_active")).groupBy(*keys).agg(
+        F.count("problem_id").alias("active_problem_count"),
+        F.count(F.when(c("is_chronic"), c("problem_id"))).alias("chronic_condition_count"),
+        _ordered_listagg("diagnosis_description", ["onset_date", "problem_id"]).alias("active_diagnoses_list")))
+    aa = (allergies.filter(c("is_active")).groupBy(*keys).agg(
+        F.count("allergy_id").alias("active_allergy_count"),
+        F.count(F.when(c("is_life_threatening"), c("allergy_id"))).alias("life_threatening_allergy_count"),
+        F.count(F.when(c("is_drug_allergy"), c("allergy_id"))).alias("drug_allergy_count"),
+        _ordered_listagg("allergen_name", ["documentation_date", "allergy_id"]).alias("active_allergies_list")))
+    cc = (coverage.filter(c("is_active")).groupBy(*keys).agg(
+        F.count("coverage_id").alias("active_coverage_count"),
+        F.max(F.when(c("is_primary"), c("payer_id"))).alias("primary_payer_id"),
+        F.max(F.when(c("is_primary"), c("plan_type"))).alias("primary_plan_type"),
+        F.max(F.when(c("is_primary"), c("deductible_remaining"))).alias("primary_deductible_remaining"),
+        F.max(F.when(c("is_primary"), c("out_of_pocket_remaining"))).alias("primary_oop_remaining")))
+    rv = (vitals.filter(c("measurement_datetime") >= F.date_sub(today, 7)).groupBy(*keys).agg(
+        F.count("vital_id").alias("vital_measurements_last_7days"),
+        F.max("measurement_datetime").alias("last_vital_datetime"),
+        fn.mean(F.when(c("is_febrile"), 1).otherwise(0)).alias("febrile_rate"),
+        fn.mean(F.when(c("is_hypotensive"), 1).otherwise(0)).alias("hypotensive_rate"),
+        fn.mean(F.when(c("is_hypoxic"), 1).otherwise(0)).alias("hypoxic_rate"),
+        fn.mean("bmi").alias("avg_bmi"),
+        F.max_by("total_news_score", F.struct("measurement_datetime", "vital_id")).alias("latest_news_score")))
+    latest = F.struct("screening_date", "screening_id")
+    sd = sdoh.groupBy(*keys).agg(
+        F.max("screening_date").alias("last_sdoh_screening_date"),
+        *[F.max_by(x, latest).alias(a) for x, a in [
+            ("sdoh_risk_category", "current_sdoh_risk_category"), ("total_sdoh_risk_count", "current_sdoh_risk_count"),
+            ("has_housing_risk", "has_housing_risk"), ("has_food_insecurity", "has_food_insecurity"),
+            ("has_transportation_barriers", "has_transportation_barriers")]])
+    eh = encounters.groupBy(*keys).agg(
+        F.count("encounter_id").alias("total_encounters"),
+        F.count(F.when(c("encounter_type") == "Emergency", c("encounter_id"))).alias("ed_visits"),
+        F.count(F.when(c("encounter_type") == "Inpatient", c("encounter_id"))).alias("inpatient_admits"),
+        F.count(F.when(c("is_readmission"), c("encounter_id"))).alias("readmissions"),
+        F.sum("total_charges").alias("lifetime_charges"),
+        F.max("admission_date").alias("last_encounter_date"))
+    rm = (med_admin.filter(c("administered_datetime") >= F.date_sub(today, 30)).groupBy(*keys).agg(
+        F.count("admin_id").alias("medication_administrations_30days"),
+        F.count(F.when(c("is_refused"), c("admin_id"))).alias("medication_refusals_30days"),
+        F.count(F.when(c("adverse_reaction_flag"), c("admin_id"))).alias("adverse_reactions_30days"),
+        F.countDistinct("medication_name").alias("unique_medications_30days")))
+    h = F.broadcast(hospitals.select("hospital_id", "hospital_name", "hospital_type", "region"))
+    p = patients.select("patient_id", "hospital_id", "age_years", "age_group", "gender", "race", "ethnicity",
+                        "zip_code_3digit", "primary_language", "marital_status", "first_encounter_date")
+    j = p.join(h, "hospital_id")
+    for df in (ap, aa, cc, rv, sd, eh, rm):
+        j = j.join(df, keys, "left")
+    z = lambda x: F.coalesce(c(x), F.lit(0))
+    j = (j.withColumn("active_problem_count", z("active_problem_count"))
+         .withColumn("chronic_condition_count", z("chronic_condition_count"))
+         .withColumn("active_allergy_count", z("active_allergy_count"))
+         .withColumn("life_threatening_allergy_count", z("life_threatening_allergy_count"))
+         .withColumn("drug_allergy_count", z("drug_allergy_count"))
+         .withColumn("active_coverage_count", z("active_coverage_count"))
+         .withColumn("total_encounters", z("total_encounters"))
+         .withColumn("ed_visits", z("ed_visits"))
+         .withColumn("inpatient_admits", z("inpatient_admits"))
+         .withColumn("readmissions", z("readmissions"))
+         .withColumn("lifetime_charges", F.coalesce(c("lifetime_charges"), F.lit(0).cast("decimal(22,2)"))))
+    chronic, ed, inp, tot = c("chronic_condition_count"), c("ed_visits"), c("inpatient_admits"), c("total_encounters")
+    refusals = c("medication_refusals_30days")
+    return (j.withColumn("clinical_risk_category",
+                         F.when((chronic >= 3) & (ed >= 2), "Very High Risk")
+                         .when((chronic >= 2) | (c("readmissions") >= 1), "High Risk")
+                         .when(chronic >= 1, "Medium Risk").otherwise("Low Risk"))
+            .withColumn("utilization_category",
+                        F.when(ed >= 4, "Frequent ED User").when(inp >= 3, "Frequent Admits")
+                        .when(tot >= 10, "High Utilizer").when(tot >= 5, "Moderate Utilizer").otherwise("Low Utilizer"))
+            .withColumn("days_since_last_encounter", fn.boundary_diff("day", "last_encounter_date", today))
+            .withColumn("patient_engagement_score",
+                        F.when(refusals > 0, F.greatest(F.lit(0), 100 - refusals * 10)).otherwise(F.lit(100))))

@@ -401,3 +401,83 @@ def quality_measure_performance(results: DataFrame, comorbidity: DataFrame) -> D
         fn.round_half_up("_charlson", 2).alias("avg_charlson_index"),
         F.when(perf_pct.isNull(), "No eligible cases").when(perf_pct >= 90, "Meets target")
         .when(perf_pct >= 75, "Needs improvement").otherwise("Below target").alias("performance_status"))
+
+
+# K05 ----------------------------------------------------------------------
+def population_health(profiles: DataFrame, hospitals: DataFrame) -> DataFrame:
+    """Tenant snapshot over J07 (one row per patient, so patient counts are
+    plain conditional counts)."""
+    c = F.col
+    h = F.broadcast(hospitals.select("hospital_id", "hospital_name", "hospital_type", "region", "contract_tier"))
+    risk, util = c("clinical_risk_category"), c("utilization_category")
+    agg = (profiles.drop("hospital_name", "hospital_type", "region").join(h, "hospital_id")
+           .groupBy("hospital_id", "hospital_name", "hospital_type", "region", "contract_tier")
+           .agg(F.count("patient_id").alias("total_population"),
+                _cnt_if(c("age_group") == "Pediatric").alias("pediatric_patients"),
+                _cnt_if(c("age_group") == "Adult").alias("adult_patients"),
+                _cnt_if(c("age_group") == "Geriatric").alias("geriatric_patients"),
+                fn.mean("age_years").alias("_age"),
+                F.sum("chronic_condition_count").alias("total_chronic_conditions"),
+                fn.mean("chronic_condition_count").alias("_chronic"),
+                _cnt_if(c("chronic_condition_count") >= 3).alias("high_complexity_patients"),
+                _cnt_if(c("chronic_condition_count") >= 1).alias("patients_with_chronic_disease"),
+                _cnt_if(risk == "Very High Risk").alias("very_high_risk_patients"),
+                _cnt_if(risk == "High Risk").alias("high_risk_patients"),
+                _cnt_if(risk == "Medium Risk").alias("medium_risk_patients"),
+                _cnt_if(risk == "Low Risk").alias("low_risk_patients"),
+                _cnt_if(util == "Frequent ED User").alias("frequent_ed_users"),
+                _cnt_if(util == "Frequent Admits").alias("frequent_admits"),
+                _cnt_if(util == "High Utilizer").alias("high_utilizers"),
+                F.sum("ed_visits").alias("total_ed_visits"),
+                F.sum("readmissions").alias("total_readmissions"),
+                _cnt_if(c("life_threatening_allergy_count") > 0).alias("patients_with_life_threatening_allergies"),
+                _cnt_if(c("drug_allergy_count") > 0).alias("patients_with_drug_allergies"),
+                F.sum("active_allergy_count").alias("total_active_allergies"),
+                _cnt_if(c("active_coverage_count") == 0).alias("uninsured_patients"),
+                _cnt_if(c("primary_plan_type") == "HMO").alias("hmo_patients"),
+                _cnt_if(c("primary_plan_type") == "PPO").alias("ppo_patients"),
+                fn.mean("primary_deductible_remaining").alias("_ded"),
+                _cnt_if(c("latest_news_score") >= 7).alias("high_news_score_patients"),
+                _cnt_if(c("febrile_rate") > 0.5).alias("frequently_febrile_patients"),
+                fn.mean("avg_bmi").alias("_bmi"),
+                _cnt_if(c("current_sdoh_risk_category").isin("High Risk", "Medium Risk")).alias("elevated_sdoh_risk"),
+                _cnt_if(c("has_housing_risk")).alias("housing_insecurity"),
+                _cnt_if(c("has_food_insecurity")).alias("food_insecurity"),
+                _cnt_if(c("has_transportation_barriers")).alias("transportation_barriers"),
+                fn.mean("current_sdoh_risk_count").alias("_sdoh"),
+                fn.mean("patient_engagement_score").alias("_eng"),
+                _cnt_if(c("medication_refusals_30days") > 0).alias("patients_with_med_refusals"),
+                F.sum("adverse_reactions_30days").alias("total_adverse_reactions"),
+                F.sum("lifetime_charges").alias("_charges"),
+                fn.mean("lifetime_charges").alias("_avg_charges")))
+    pop = "total_population"
+    chronic_p = fn.rate_or_zero("patients_with_chronic_disease", pop)
+    risk_p = fn.rate_or_zero(c("very_high_risk_patients") + c("high_risk_patients"), pop)
+    ed_1000 = F.when(c(pop) > 0, c("total_ed_visits") * 1000.0 / c(pop)).otherwise(0.0)
+    nonadh = fn.rate_or_zero("patients_with_med_refusals", pop)
+    sdoh_p = fn.rate_or_zero("elevated_sdoh_risk", pop)
+    score = (F.when(chronic_p <= 20, 25).when(chronic_p <= 30, 20).when(chronic_p <= 40, 15).otherwise(10)
+             + F.when(risk_p <= 10, 25).when(risk_p <= 20, 20).when(risk_p <= 30, 15).otherwise(10)
+             + F.when(ed_1000 <= 100, 20).when(ed_1000 <= 200, 15).when(ed_1000 <= 300, 10).otherwise(5)
+             + F.when(nonadh <= 5, 15).when(nonadh <= 10, 10).otherwise(5)
+             + F.when(sdoh_p <= 10, 15).when(sdoh_p <= 20, 10).otherwise(5))
+    return agg.select(
+        *[x for x in agg.columns if not x.startswith("_")],
+        fn.r4("_age").alias("avg_patient_age"), fn.r4("_chronic").alias("avg_chronic_conditions_per_patient"),
+        fn.r4("_ded").alias("avg_deductible_remaining"), fn.r4("_bmi").alias("population_avg_bmi"),
+        fn.r4("_sdoh").alias("avg_sdoh_risk_factors"), fn.r4("_eng").alias("avg_engagement_score"),
+        fn.r2("_charges").alias("total_lifetime_charges"), fn.r4("_avg_charges").alias("avg_lifetime_charges_per_patient"),
+        fn.r4(chronic_p).alias("chronic_disease_prevalence_pct"), fn.r4(risk_p).alias("high_risk_prevalence_pct"),
+        _rate("frequent_ed_users", pop).alias("frequent_ed_user_rate_pct"),
+        _rate("uninsured_patients", pop).alias("uninsured_rate_pct"),
+        fn.r4(sdoh_p).alias("sdoh_risk_prevalence_pct"), fn.r4(nonadh).alias("medication_non_adherence_rate_pct"),
+        fn.r4(ed_1000).alias("ed_visits_per_1000"),
+        fn.r4(F.when(c(pop) > 0, c("total_readmissions") * 1000.0 / c(pop)).otherwise(0.0)).alias("readmissions_per_1000"),
+        (c("very_high_risk_patients") + c("high_risk_patients")).alias("care_management_candidates"),
+        (c("frequent_ed_users") + c("frequent_admits")).alias("utilization_management_candidates"),
+        c("elevated_sdoh_risk").alias("social_services_candidates"),
+        c("patients_with_med_refusals").alias("adherence_support_candidates"),
+        score.alias("population_health_score"),
+        F.when((c("very_high_risk_patients") > 10) | (c("frequent_ed_users") > 5), "Critical Priority")
+        .when((c("high_risk_patients") > 20) | (c("elevated_sdoh_risk") > 10), "High Priority")
+        .when(c("medium_risk_patients") > 50, "Medium Priority").otherwise("Monitoring").alias("intervention_priority"))

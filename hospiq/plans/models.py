@@ -179,3 +179,13 @@ class Warehouse:
     @cached_property
     def quality_measure_performance(self) -> DataFrame:
         return K.quality_measure_performance(self.measure_results, self.comorbidity_index)
+
+    @cached_property
+    def patient_profile(self) -> DataFrame:
+        return J.patient_profile(self.patients, self.hospitals, self.problem_list, self.patient_allergies,
+                                 self.patient_coverage, self.vitals_enriched, self.sdoh_screenings, self.encounters,
+                                 self.medication_administration, self.as_of)
+
+    @cached_property
+    def population_health(self) -> DataFrame:
+        return K.population_health(self.patient_profile, self.hospitals)

@@ -8,6 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F  # noqa: F401
+
+from .functions import core as fn
 
 from .plans.models import Warehouse
 
@@ -75,3 +78,15 @@ def _k07(w: Warehouse) -> DataFrame:
 @query("i12_comorbidity_index")
 def _i12(w: Warehouse) -> DataFrame:
     return w.comorbidity_index
+
+
+@query("j07_patient_profile")
+def _j07(w: Warehouse) -> DataFrame:
+    return w.patient_profile.select(
+        *[c for c in w.patient_profile.columns if c not in ("febrile_rate", "hypotensive_rate", "hypoxic_rate", "avg_bmi")],
+        *[fn.r4(c).alias(c) for c in ("febrile_rate", "hypotensive_rate", "hypoxic_rate", "avg_bmi")])
+
+
+@query("k05_population_health")
+def _k05(w: Warehouse) -> DataFrame:
+    return w.population_health

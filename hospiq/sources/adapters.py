@@ -53,7 +53,7 @@ PAYER_TYPES = ["Government", "Commercial", "Self-Pay"]
 N_PAYERS = 10
 N_TENANTS = 25
 
-STAR_AS_OF = "2001-12-31"      # default as-of date for star-derived tables
+STAR_AS_OF = "2001-08-05"      # default as-of date for star-derived tables (a few days after the last admission)
 EVENT_AS_OF = "2024-01-31"     # default as-of date for event-derived tables
 LOADED_AT = "2001-12-30 00:00:00"
 
