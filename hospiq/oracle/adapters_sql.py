@@ -785,3 +785,23 @@ FROM (
              FROM stg_med_admin WHERE administered_datetime >= {AS_OF} - INTERVAL 30 DAY
              GROUP BY patient_id, hospital_id) rm
     ON p.patient_id = rm.patient_id AND p.hospital_id = rm.hospital_id)""")
+
+cte("int_prior_auth", ["stg_prior_auth", "r_payers", "stg_billing"], """
+SELECT a.*, p.payer_name, p.payer_type, CAST(date_trunc('month', a.request_date) AS DATE) AS request_month,
+  c.encounter_charges, coalesce(c.has_prior_auth_denial, FALSE) AS has_prior_auth_denial,
+  CASE WHEN a.is_denied OR a.is_pending THEN coalesce(c.encounter_charges, 0) ELSE 0 END AS charges_at_risk,
+  {exp}
+FROM stg_prior_auth a LEFT JOIN r_payers p ON a.payer_id = p.payer_id
+LEFT JOIN (SELECT hospital_id, encounter_id, sum(charge_amount) AS encounter_charges,
+             bool_or(lower(denial_reason) LIKE '%prior authorization%') AS has_prior_auth_denial
+           FROM stg_billing GROUP BY hospital_id, encounter_id) c
+  ON a.encounter_id = c.encounter_id AND a.hospital_id = c.hospital_id""".replace(
+    "{exp}", f"coalesce(a.expiration_date IS NOT NULL AND date_diff('day', {AS_OF}, a.expiration_date) BETWEEN 0 AND 30, FALSE) AS expiring_soon"))
+
+cte("int_referrals", ["stg_referrals", "stg_encounters"], """
+SELECT *, CASE WHEN days_to_appointment IS NULL THEN NULL ELSE days_to_appointment <= sla END AS scheduled_within_sla,
+  coalesce(is_completed AND (NOT coalesce(follow_up_required, FALSE) OR coalesce(follow_up_completed, FALSE)), FALSE)
+    AS is_closed_loop
+FROM (SELECT r.*, CAST(date_trunc('month', r.referral_date) AS DATE) AS referral_month,
+        CASE upper(r.urgency) WHEN 'EMERGENT' THEN 2 WHEN 'URGENT' THEN 7 ELSE 30 END AS sla
+      FROM stg_referrals r LEFT JOIN stg_encounters e ON r.encounter_id = e.encounter_id AND r.hospital_id = e.hospital_id)""")

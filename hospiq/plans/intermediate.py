@@ -485,3 +485,57 @@ def patient_profile(patients: DataFrame, hospitals: DataFrame, problems: DataFra
             .withColumn("days_since_last_encounter", fn.boundary_diff("day", "last_encounter_date", today))
             .withColumn("patient_engagement_score",
                         F.when(refusals > 0, F.greatest(F.lit(0), 100 - refusals * 10)).otherwise(F.lit(100))))
+
+
+# J09 ----------------------------------------------------------------------
+def prior_auth_enriched(auths: DataFrame, payers: DataFrame, billing: DataFrame) -> DataFrame:
+    c = F.col
+    p = F.broadcast(payers.select("payer_id", "payer_name", "payer_type"))
+    claims = billing.groupBy("hospital_id", "encounter_id").agg(
+        F.sum("charge_amount").alias("encounter_charges"), F.sum("payment_amount").alias("encounter_payments"),
+        F.bool_or("is_denied").alias("has_claim_denial"),
+        F.bool_or(F.lower(c("denial_reason")).like("%prior authorization%")).alias("has_prior_auth_denial"))
+    d = c("days_to_decision")
+    j = auths.join(p, "payer_id", "left").join(claims, ["encounter_id", "hospital_id"], "left")
+    return j.select(
+        "auth_id", "hospital_id", "patient_id", "encounter_id", "payer_id", "payer_name", "payer_type", "auth_type",
+        "service_code", "service_description", "auth_status", "is_approved", "is_denied", "is_pending", "is_expired",
+        "expiring_soon", "denial_reason", "request_date",
+        F.to_date(F.date_trunc("month", "request_date")).alias("request_month"), "decision_date", "days_to_decision",
+        F.when(d.isNull(), "Pending").when(d <= 2, "0-2 days").when(d <= 7, "3-7 days").when(d <= 14, "8-14 days")
+        .otherwise("15+ days").alias("decision_turnaround_bucket"),
+        "units_authorized", "units_used", "units_remaining", "units_utilization_pct", "encounter_charges",
+        "encounter_payments", F.coalesce(c("has_claim_denial"), F.lit(False)).alias("has_claim_denial"),
+        F.coalesce(c("has_prior_auth_denial"), F.lit(False)).alias("has_prior_auth_denial"),
+        F.when(c("is_denied") | c("is_pending"), F.coalesce(c("encounter_charges"), F.lit(0))).otherwise(F.lit(0))
+        .alias("charges_at_risk"))
+
+
+# J11 ----------------------------------------------------------------------
+# Scheduling SLA days by urgency (others: 30).
+REFERRAL_SLA_DAYS = {"EMERGENT": 2, "URGENT": 7}
+
+
+def referrals_enriched(referrals: DataFrame, encounters: DataFrame, providers: DataFrame) -> DataFrame:
+    from ..functions.scores import lookup
+    c = F.col
+    e = encounters.select("encounter_id", "hospital_id", c("encounter_type").alias("source_encounter_type"),
+                          "discharge_disposition", "primary_diagnosis_code",
+                          c("is_readmission").alias("source_encounter_is_readmission"))
+    p = providers.select(c("provider_id").alias("referring_provider_id"), "hospital_id",
+                         c("specialty").alias("referring_provider_specialty"))
+    j = (referrals.join(e, ["encounter_id", "hospital_id"], "left").join(p, ["referring_provider_id", "hospital_id"], "left")
+         .withColumn("scheduling_sla_days", lookup(F.upper(c("urgency")), REFERRAL_SLA_DAYS, 30)))
+    return j.select(
+        "referral_id", "hospital_id", "patient_id", "encounter_id", "referring_provider_id",
+        "referring_provider_specialty", "referred_to_provider_id", "referred_to_facility", "referral_type",
+        c("specialty").alias("referred_specialty"), "urgency", "referral_status", "is_completed", "is_pending",
+        "is_cancelled", "referral_date", F.to_date(F.date_trunc("month", "referral_date")).alias("referral_month"),
+        "appointment_date", "completion_date", "days_to_appointment", "days_to_completion", "follow_up_required",
+        "follow_up_completed", "follow_up_overdue", "overdue_for_appointment", "source_encounter_type",
+        "discharge_disposition", "primary_diagnosis_code", "source_encounter_is_readmission", "scheduling_sla_days",
+        F.when(c("days_to_appointment").isNull(), F.lit(None))
+        .otherwise(c("days_to_appointment") <= c("scheduling_sla_days")).alias("scheduled_within_sla"),
+        F.coalesce(c("is_completed") & (~F.coalesce(c("follow_up_required"), F.lit(False))
+                                        | F.coalesce(c("follow_up_completed"), F.lit(False))), F.lit(False))
+        .alias("is_closed_loop"))

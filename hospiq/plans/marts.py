@@ -481,3 +481,134 @@ def population_health(profiles: DataFrame, hospitals: DataFrame) -> DataFrame:
         F.when((c("very_high_risk_patients") > 10) | (c("frequent_ed_users") > 5), "Critical Priority")
         .when((c("high_risk_patients") > 20) | (c("elevated_sdoh_risk") > 10), "High Priority")
         .when(c("medium_risk_patients") > 50, "Medium Priority").otherwise("Monitoring").alias("intervention_priority"))
+
+
+# K08 ----------------------------------------------------------------------
+def provider_performance(journey: DataFrame) -> DataFrame:
+    """Per-provider volumes and rates, then E08 percent ranks within tenant
+    and specialty (a window over provider-level rows: bounded per group)."""
+    from pyspark.sql import Window
+    c = F.col
+    keys = ["hospital_id", "provider_id", "provider_full_name", "specialty", "department", "provider_type"]
+    agg = journey.groupBy(*keys).agg(
+        F.min("admission_date").alias("first_encounter_date"), F.max("admission_date").alias("last_encounter_date"),
+        F.count("encounter_id").alias("total_encounters"), F.countDistinct("patient_id").alias("unique_patients"),
+        _cnt_if(c("encounter_type") == "Inpatient").alias("inpatient_encounters"),
+        _cnt_if(c("encounter_type") == "Emergency").alias("emergency_encounters"),
+        _sum_if(c("is_30day_return")).cast("bigint").alias("readmissions_30day"),
+        _sum_if(c("is_mortality")).cast("bigint").alias("mortality_count"),
+        fn.mean("length_of_stay").alias("_alos"), F.percentile("length_of_stay", 0.5).alias("_mlos"),
+        F.sum("total_charges").alias("_charges"), fn.mean("total_charges").alias("_avg_charge"),
+        _cnt_if(c("severity_level") == "Critical").alias("critical_cases"),
+        _cnt_if(c("severity_level") == "High").alias("high_severity_cases"),
+        F.countDistinct(F.when(c("patient_risk_category") == "High Risk", c("patient_id"))).alias("high_risk_patients"))
+    days = fn.boundary_diff("day", "first_encounter_date", "last_encounter_date")
+    m = (agg.withColumn("days_active", days)
+         .withColumn("readmission_rate_pct", fn.rate_or_zero("readmissions_30day", "inpatient_encounters"))
+         .withColumn("mortality_rate_pct", fn.rate_or_zero("mortality_count", "total_encounters"))
+         .withColumn("complex_case_rate_pct", fn.rate_or_zero(c("critical_cases") + c("high_severity_cases"),
+                                                              "total_encounters"))
+         .withColumn("encounters_per_day", F.when(c("days_active") > 0, c("total_encounters") * 1.0 / c("days_active"))
+                     .otherwise(F.lit(0.0))))
+    w = Window.partitionBy("hospital_id", "specialty")
+    rr, epd = c("readmission_rate_pct"), c("encounters_per_day")
+    return m.select(
+        *keys, "first_encounter_date", "last_encounter_date", "days_active", "total_encounters", "unique_patients",
+        "inpatient_encounters", "emergency_encounters", "readmissions_30day", "mortality_count",
+        fn.r4("_alos").alias("avg_length_of_stay"), fn.r4("_mlos").alias("median_length_of_stay"),
+        fn.r2("_charges").alias("total_charges"), fn.r4("_avg_charge").alias("avg_charge_per_encounter"),
+        "critical_cases", "high_severity_cases", "high_risk_patients",
+        fn.r4(rr).alias("readmission_rate_pct"), fn.r4("mortality_rate_pct").alias("mortality_rate_pct"),
+        fn.r4("complex_case_rate_pct").alias("complex_case_rate_pct"), fn.r4(epd).alias("encounters_per_day"),
+        fn.r4(F.percent_rank().over(w.orderBy(rr.asc_nulls_last()))).alias("readmission_rate_percentile"),
+        fn.r4(F.percent_rank().over(w.orderBy(c("_alos").asc_nulls_last()))).alias("los_percentile"),
+        fn.r4(F.percent_rank().over(w.orderBy(c("total_encounters").desc_nulls_first()))).alias("volume_percentile"),
+        F.when(rr < 5, "Excellent").when(rr < 10, "Good").when(rr < 15, "Needs Improvement").otherwise("Critical")
+        .alias("readmission_performance"),
+        F.when(epd >= 15, "High Volume").when(epd >= 10, "Medium Volume").otherwise("Low Volume")
+        .alias("productivity_category"))
+
+
+# K12 ----------------------------------------------------------------------
+def prior_authorization_metrics(auths: DataFrame) -> DataFrame:
+    c = F.col
+    decided = ~c("is_pending")
+    agg = auths.groupBy("hospital_id", "payer_id", "request_month").agg(
+        F.min("payer_name").alias("payer_name"), F.min("payer_type").alias("payer_type"),
+        F.count(F.lit(1)).alias("auth_requests"), _cnt_if(c("is_approved")).alias("auths_approved"),
+        _cnt_if(c("is_denied")).alias("auths_denied"), _cnt_if(c("is_pending")).alias("auths_pending"),
+        _cnt_if((c("auth_status") == "EXPIRED") | c("is_expired")).alias("auths_expired"),
+        _cnt_if(c("expiring_soon") & ~c("is_expired")).alias("auths_expiring_within_30_days"),
+        _cnt_if(decided).alias("_decided"),
+        fn.mean("days_to_decision").alias("_avg_dec"), F.percentile("days_to_decision", 0.5).alias("_med_dec"),
+        _cnt_if(c("days_to_decision") > 14).alias("decisions_over_14_days"),
+        fn.mean("units_utilization_pct").alias("_util"),
+        F.sum("charges_at_risk").alias("_risk"),
+        _cnt_if(c("has_prior_auth_denial")).alias("encounters_with_prior_auth_claim_denial"),
+        _sum_if(c("has_prior_auth_denial"), c("encounter_charges")).alias("_pa_charges"))
+    return agg.select(
+        fn.tenant_surrogate_key("payer_id", "request_month").alias("prior_auth_metric_key"),
+        "hospital_id", "payer_id", "payer_name", "payer_type", "request_month", "auth_requests", "auths_approved",
+        "auths_denied", "auths_pending", "auths_expired", "auths_expiring_within_30_days",
+        fn.round_half_up(fn.safe_divide(c("auths_approved") * 100.0, c("_decided")), 2).alias("approval_rate_pct"),
+        fn.round_half_up(fn.safe_divide(c("auths_denied") * 100.0, c("_decided")), 2).alias("denial_rate_pct"),
+        fn.round_half_up("_avg_dec", 1).alias("avg_days_to_decision"),
+        fn.round_half_up("_med_dec", 1).alias("median_days_to_decision"), "decisions_over_14_days",
+        fn.round_half_up("_util", 1).alias("avg_units_utilization_pct"), fn.r2("_risk").alias("charges_at_risk"),
+        "encounters_with_prior_auth_claim_denial", fn.r2("_pa_charges").alias("charges_on_prior_auth_claim_denials"))
+
+
+# K14 ----------------------------------------------------------------------
+def care_coordination_metrics(referrals: DataFrame, care_plans: DataFrame, comorbidity: DataFrame) -> DataFrame:
+    """Referral months full-outer-joined with care-plan months on
+    (tenant, month), keys coalesced."""
+    c = F.col
+    cm = comorbidity.select("hospital_id", "patient_id", "charlson_index")
+    r = (referrals.join(cm, ["patient_id", "hospital_id"], "left")
+         .groupBy("hospital_id", c("referral_month").alias("metric_month")).agg(
+        F.count(F.lit(1)).alias("referrals_created"),
+        _cnt_if(F.upper(c("urgency")).isin("URGENT", "EMERGENT")).alias("urgent_referrals"),
+        _cnt_if(c("referral_type") == "SPECIALIST").alias("specialist_referrals"),
+        _cnt_if(c("referral_type").isin("HOME_HEALTH", "SNF", "DME")).alias("post_acute_referrals"),
+        _cnt_if(c("is_completed")).alias("referrals_completed"), _cnt_if(c("is_cancelled")).alias("referrals_cancelled"),
+        _cnt_if(c("overdue_for_appointment")).alias("referrals_overdue_for_scheduling"),
+        _cnt_if(c("follow_up_overdue")).alias("referrals_follow_up_overdue"),
+        _cnt_if(c("is_closed_loop")).alias("_closed"), _cnt_if(c("scheduled_within_sla")).alias("_sla"),
+        _cnt_if(c("scheduled_within_sla").isNotNull()).alias("_sla_den"),
+        F.percentile("days_to_appointment", 0.5).alias("_med_appt"), fn.mean("charlson_index").alias("_ch")))
+    r = r.select(
+        "*",
+        fn.round_half_up(fn.safe_divide(c("referrals_completed") * 100.0,
+                                        c("referrals_created") - c("referrals_cancelled")), 2)
+        .alias("referral_completion_rate_pct"),
+        fn.round_half_up(fn.safe_divide(c("_closed") * 100.0, c("referrals_completed")), 2)
+        .alias("referral_closed_loop_rate_pct"),
+        fn.round_half_up(fn.safe_divide(c("_sla") * 100.0, c("_sla_den")), 2).alias("scheduled_within_sla_pct"),
+        fn.round_half_up("_med_appt", 1).alias("median_days_to_appointment"),
+        fn.round_half_up("_ch", 2).alias("avg_charlson_index_referred")).drop("_closed", "_sla", "_sla_den",
+                                                                           "_med_appt", "_ch")
+    cp = (care_plans.groupBy("hospital_id", F.to_date(F.date_trunc("month", "start_date")).alias("metric_month")).agg(
+        F.count(F.lit(1)).alias("care_plans_started"), _cnt_if(c("is_active_plan")).alias("care_plans_active"),
+        _cnt_if(c("is_completed_plan")).alias("care_plans_completed"),
+        _cnt_if(c("is_discontinued_plan")).alias("care_plans_discontinued"),
+        _cnt_if(c("overdue_for_evaluation")).alias("care_plans_overdue_for_evaluation"),
+        _cnt_if(c("past_target_date")).alias("care_plans_past_target_date"),
+        _cnt_if(c("is_completed_plan") | c("is_discontinued_plan")).alias("_closed_plans"),
+        fn.mean(F.when(c("is_completed_plan"), c("plan_duration_days"))).alias("_dur"))
+        .select("*", fn.round_half_up(fn.safe_divide(c("care_plans_completed") * 100.0, c("_closed_plans")), 2)
+                .alias("care_plan_goal_completion_rate_pct"),
+                fn.round_half_up("_dur", 1).alias("avg_completed_plan_duration_days"))
+        .drop("_closed_plans", "_dur"))
+    j = r.alias("r").join(cp.alias("cp"), ["hospital_id", "metric_month"], "full")
+    z = lambda x: F.coalesce(c(x), F.lit(0))
+    zero_cols = ["referrals_created", "urgent_referrals", "specialist_referrals", "post_acute_referrals",
+                 "referrals_completed", "referrals_cancelled", "referrals_overdue_for_scheduling",
+                 "referrals_follow_up_overdue", "care_plans_started", "care_plans_active", "care_plans_completed",
+                 "care_plans_discontinued", "care_plans_overdue_for_evaluation", "care_plans_past_target_date"]
+    out = j.select(
+        fn.tenant_surrogate_key("metric_month").alias("care_coordination_key"), "hospital_id", "metric_month",
+        *[z(x).alias(x) for x in zero_cols],
+        "referral_completion_rate_pct", "referral_closed_loop_rate_pct", "scheduled_within_sla_pct",
+        "median_days_to_appointment", "avg_charlson_index_referred", "care_plan_goal_completion_rate_pct",
+        "avg_completed_plan_duration_days")
+    return out

@@ -189,3 +189,23 @@ class Warehouse:
     @cached_property
     def population_health(self) -> DataFrame:
         return K.population_health(self.patient_profile, self.hospitals)
+
+    @cached_property
+    def prior_auth_enriched(self) -> DataFrame:
+        return J.prior_auth_enriched(self.prior_authorizations, self.payers, self.billing)
+
+    @cached_property
+    def referrals_enriched(self) -> DataFrame:
+        return J.referrals_enriched(self.referrals, self.encounters, self.providers)
+
+    @cached_property
+    def provider_performance(self) -> DataFrame:
+        return K.provider_performance(self.patient_journey)
+
+    @cached_property
+    def prior_authorization_metrics(self) -> DataFrame:
+        return K.prior_authorization_metrics(self.prior_auth_enriched)
+
+    @cached_property
+    def care_coordination_metrics(self) -> DataFrame:
+        return K.care_coordination_metrics(self.referrals_enriched, self.care_plans, self.comorbidity_index)

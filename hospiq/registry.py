@@ -90,3 +90,18 @@ def _j07(w: Warehouse) -> DataFrame:
 @query("k05_population_health")
 def _k05(w: Warehouse) -> DataFrame:
     return w.population_health
+
+
+@query("k08_provider_performance")
+def _k08(w: Warehouse) -> DataFrame:
+    return w.provider_performance
+
+
+@query("k12_prior_auth_metrics")
+def _k12(w: Warehouse) -> DataFrame:
+    return w.prior_authorization_metrics
+
+
+@query("k14_care_coordination")
+def _k14(w: Warehouse) -> DataFrame:
+    return w.care_coordination_metrics
