@@ -436,7 +436,7 @@ FROM (
   LEFT JOIN (SELECT * FROM stg_orders WHERE order_type = 'LAB') lo ON r.order_id = lo.order_id)""")
 
 cte("int_revenue_cycle", ["stg_billing", "r_payers", "stg_encounters"], """
-SELECT b.*, p.payer_type, p.reimbursement_rate, e.discharge_date,
+SELECT b.*, p.payer_name, p.payer_type, p.reimbursement_rate, e.encounter_type, e.discharge_date,
   date_diff('day', e.discharge_date, b.transaction_date) AS days_in_ar,
   b.payment_amount - b.charge_amount * p.reimbursement_rate AS payment_variance
 FROM stg_billing b JOIN r_payers p ON b.payer_id = p.payer_id JOIN stg_encounters e ON b.encounter_id = e.encounter_id""")

@@ -612,3 +612,141 @@ def care_coordination_metrics(referrals: DataFrame, care_plans: DataFrame, comor
         "median_days_to_appointment", "avg_charlson_index_referred", "care_plan_goal_completion_rate_pct",
         "avg_completed_plan_duration_days")
     return out
+
+
+# K13 ----------------------------------------------------------------------
+def census(enc: DataFrame, as_of: str) -> DataFrame:
+    """C08 interval join without a date spine: each inpatient stay expands to
+    the days it occupies a bed ([admission day, discharge) with open stays
+    running to as_of + 1), then beds are counted per (tenant, day). The
+    output size is the number of patient-days, the natural size of a census."""
+    c = F.col
+    d = c("discharge_date")
+    last_day = (F.when(d.isNull(), F.lit(as_of).cast("date"))
+                .when(d == F.date_trunc("day", d), F.date_sub(F.to_date(d), 1))
+                .otherwise(F.to_date(d)))
+    stays = (enc.filter(c("encounter_type") == "Inpatient")
+             .select("hospital_id", "encounter_id", F.to_date("admission_date_day").alias("first_day"),
+                     last_day.alias("last_day"))
+             .filter(c("last_day") >= c("first_day")))
+    days = stays.select("hospital_id", "encounter_id",
+                        F.explode(F.sequence("first_day", "last_day")).alias("metric_date"))
+    return days.groupBy("hospital_id", "metric_date").agg(F.count("encounter_id").alias("occupied_beds"))
+
+
+def operational_metrics(enc: DataFrame, facilities: DataFrame, as_of: str) -> DataFrame:
+    c = F.col
+    et, src, disp, dow = c("encounter_type"), c("admission_source"), c("discharge_disposition"), c("admission_day_of_week")
+    m = (enc.groupBy("hospital_id", F.to_date("admission_date_day").alias("metric_date")).agg(
+        _cnt_if(et == "Inpatient").alias("inpatient_admissions"), _cnt_if(et == "Emergency").alias("emergency_visits"),
+        _cnt_if(et == "Outpatient").alias("outpatient_visits"), _cnt_if(et == "Observation").alias("observation_visits"),
+        _sum_if((et == "Inpatient") & (c("length_of_stay") > 0), c("length_of_stay")).alias("_pd"),
+        F.countDistinct("facility_id").alias("active_facilities"),
+        F.countDistinct(F.when(c("facility_type") == "Emergency Department", c("facility_id"))).alias("ed_facilities_used"),
+        F.countDistinct(F.when(c("facility_type") == "Intensive Care Unit", c("facility_id"))).alias("icu_facilities_used"),
+        F.countDistinct("provider_id").alias("active_providers"),
+        F.countDistinct(F.when(c("specialty") == "Emergency Medicine", c("provider_id"))).alias("ed_providers"),
+        F.countDistinct(F.when(c("specialty") == "Internal Medicine", c("provider_id"))).alias("medicine_providers"),
+        _cnt_if(src == "Emergency").alias("admits_from_ed"), _cnt_if(src == "Transfer").alias("transfer_admissions"),
+        _cnt_if(src == "Elective").alias("elective_admissions"), _cnt_if(disp == "Home").alias("discharges_to_home"),
+        _cnt_if(disp == "SNF").alias("discharges_to_snf"), _cnt_if(disp == "Rehab").alias("discharges_to_rehab"),
+        # corrected: full day names (the warehouse's short names never matched)
+        _cnt_if(dow == "Monday").alias("monday_admissions"), _cnt_if(dow == "Friday").alias("friday_admissions"),
+        _cnt_if(dow.isin("Saturday", "Sunday")).alias("weekend_admissions"),
+        _cnt_if(c("severity_level") == "Critical").alias("critical_cases"),
+        _cnt_if(c("severity_level") == "High").alias("high_severity_cases"),
+        _cnt_if(c("is_chronic")).alias("chronic_condition_encounters")))
+    ft = c("facility_type")
+    cap = F.broadcast(facilities.groupBy("hospital_id").agg(
+        _sum_if(ft.isin("Medical-Surgical Unit", "Intensive Care Unit"), c("bed_capacity")).alias("total_bed_capacity"),
+        _sum_if(ft == "Intensive Care Unit", c("bed_capacity")).alias("icu_bed_capacity"),
+        _sum_if(ft == "Medical-Surgical Unit", c("bed_capacity")).alias("medsurg_bed_capacity")))
+    j = m.join(cap, "hospital_id", "left").join(census(enc, as_of), ["hospital_id", "metric_date"], "left")
+    tot, occ = F.coalesce(c("total_bed_capacity"), F.lit(0)), F.coalesce(c("occupied_beds"), F.lit(0))
+    return j.select(
+        *[x for x in m.columns if x != "_pd"], fn.r2("_pd").alias("total_patient_days"),
+        tot.cast("bigint").alias("total_bed_capacity"),
+        F.coalesce(c("icu_bed_capacity"), F.lit(0)).cast("bigint").alias("icu_bed_capacity"),
+        F.coalesce(c("medsurg_bed_capacity"), F.lit(0)).cast("bigint").alias("medsurg_bed_capacity"),
+        occ.alias("occupied_beds"),
+        fn.r4(F.when(tot > 0, occ * 100.0 / tot).otherwise(F.lit(0.0))).alias("bed_occupancy_rate_pct"))
+
+
+# K09 / K10 (full builds; incremental maintenance lives in operators.state) --
+FCT_ENCOUNTER_COLUMNS = [
+    "encounter_id", "hospital_id", "patient_id", "provider_id", "facility_id", "primary_diagnosis_code",
+    "hospital_name", "hospital_type", "region", "teaching_hospital", "age_years", "age_group", "gender", "race",
+    "ethnicity", "provider_full_name", ("specialty", "provider_specialty"), ("department", "provider_department"),
+    "provider_type", "facility_name", "facility_type", "diagnosis_description", "diagnosis_category",
+    "severity_level", "encounter_type", "admission_source", "discharge_disposition", "admission_date",
+    "discharge_date", "length_of_stay", "admission_date_day", "admission_date_month", "admission_date_quarter",
+    "admission_date_year", "admission_day_of_week", "total_charges", "is_readmission", "is_mortality",
+    "is_emergency", "is_transfer", "loaded_at_timestamp"]
+
+
+def fct_encounters(enriched: DataFrame) -> DataFrame:
+    def out(x):
+        if isinstance(x, tuple):
+            return F.col(x[0]).alias(x[1])
+        if x.startswith("admission_date_") and x != "admission_date_day_of_week":
+            return F.to_date(x).alias(x)   # calendar parts as DATE
+        return F.col(x)
+    return enriched.select(*[out(x) for x in FCT_ENCOUNTER_COLUMNS])
+
+
+FCT_BILLING_COLUMNS = [
+    "transaction_id", "hospital_id", "encounter_id", "patient_id", "payer_id", "payer_name", "payer_type",
+    "expected_reimbursement_rate", "encounter_type", "discharge_date", "transaction_date", "days_in_ar",
+    "charge_amount", "payment_amount", "adjustment_amount", "collected_amount", "denied_amount",
+    "collection_rate_pct", "expected_payment", "payment_variance", "payment_status", "denial_reason", "is_denied",
+    "is_paid", "is_pending", "is_over_30_days", "is_over_60_days", "is_over_90_days", "ar_aging_bucket"]
+
+
+def fct_billing_transactions(rc: DataFrame) -> DataFrame:
+    return rc.select(*FCT_BILLING_COLUMNS)
+
+
+# K15 ----------------------------------------------------------------------
+def sla_monitoring(encounters: DataFrame, patients: DataFrame, billing: DataFrame, fct_enc: DataFrame) -> DataFrame:
+    """G03 union of per-table freshness rows (NULL-padded) + data quality over
+    the encounter fact, combined with the I18 three-state statuses."""
+    from ..functions.scores import sla_status
+    c = F.col
+    enc_f = encounters.groupBy("hospital_id").agg(
+        F.max("loaded_at_timestamp").alias("last_load_timestamp"),
+        F.max("source_updated_at_timestamp").alias("last_source_update_timestamp")).select(
+        F.lit("encounters").alias("table_name"), "hospital_id", "last_load_timestamp", "last_source_update_timestamp",
+        fn.boundary_diff("minute", "last_source_update_timestamp", "last_load_timestamp").alias("freshness_lag_minutes"))
+    pat_f = patients.groupBy("hospital_id").agg(F.max("loaded_at_timestamp").alias("last_load_timestamp")).select(
+        F.lit("patients").alias("table_name"), "hospital_id", "last_load_timestamp")
+    bil_f = billing.groupBy("hospital_id").agg(F.max("loaded_at_timestamp").alias("last_load_timestamp")).select(
+        F.lit("billing").alias("table_name"), "hospital_id", "last_load_timestamp")
+    sf = enc_f.unionByName(pat_f, allowMissingColumns=True).unionByName(bil_f, allowMissingColumns=True)
+    dq = (fct_enc.groupBy("hospital_id").agg(
+        F.count("encounter_id").alias("total_encounters"), F.countDistinct("patient_id").alias("total_patients"),
+        _sum_if(c("length_of_stay") < 0).cast("bigint").alias("invalid_los_count"),
+        _sum_if(c("total_charges") < 0).cast("bigint").alias("invalid_charges_count"),
+        _sum_if(c("discharge_date") < c("admission_date")).cast("bigint").alias("invalid_dates_count"))
+        .withColumn("data_quality_score_pct",
+                    F.when(c("total_encounters") > 0,
+                           (c("total_encounters") - (c("invalid_los_count") + c("invalid_charges_count")
+                                                     + c("invalid_dates_count"))) * 100.0 / c("total_encounters"))
+                    .otherwise(F.lit(100.0))))
+    fresh = F.max(F.when(c("table_name") == "encounters", c("freshness_lag_minutes")))
+    s = (sf.groupBy("hospital_id").agg(
+        fresh.alias("encounters_freshness_minutes"),
+        F.max(F.when(c("table_name") == "patients", c("last_load_timestamp"))).alias("patients_last_load"),
+        F.max(F.when(c("table_name") == "billing", c("last_load_timestamp"))).alias("billing_last_load"))
+        .join(dq, "hospital_id", "left"))
+    fs = sla_status("encounters_freshness_minutes", 240, 360)
+    qs = sla_status("data_quality_score_pct", 99, 95, higher_is_better=True)
+    return (s.withColumn("freshness_sla_status", fs).withColumn("quality_sla_status", qs)
+            .withColumn("overall_sla_status",
+                        F.when((c("freshness_sla_status") == "BREACH") | (c("quality_sla_status") == "BREACH"), "BREACH")
+                        .when((c("freshness_sla_status") == "WARNING") | (c("quality_sla_status") == "WARNING"), "WARNING")
+                        .otherwise("COMPLIANT"))
+            .withColumn("data_quality_score_pct", fn.r4("data_quality_score_pct"))
+            .select("hospital_id", "encounters_freshness_minutes", "patients_last_load", "billing_last_load",
+                    "freshness_sla_status", "total_encounters", "total_patients", "data_quality_score_pct",
+                    "quality_sla_status", "invalid_los_count", "invalid_charges_count", "invalid_dates_count",
+                    "overall_sla_status"))

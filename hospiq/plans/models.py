@@ -209,3 +209,19 @@ class Warehouse:
     @cached_property
     def care_coordination_metrics(self) -> DataFrame:
         return K.care_coordination_metrics(self.referrals_enriched, self.care_plans, self.comorbidity_index)
+
+    @cached_property
+    def operational_metrics(self) -> DataFrame:
+        return K.operational_metrics(self.encounters_enriched, self.facilities, self.as_of)
+
+    @cached_property
+    def fct_encounters(self) -> DataFrame:
+        return K.fct_encounters(self.encounters_enriched)
+
+    @cached_property
+    def fct_billing_transactions(self) -> DataFrame:
+        return K.fct_billing_transactions(self.revenue_cycle)
+
+    @cached_property
+    def sla_monitoring(self) -> DataFrame:
+        return K.sla_monitoring(self.encounters, self.patients, self.billing, self.fct_encounters)

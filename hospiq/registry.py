@@ -105,3 +105,27 @@ def _k12(w: Warehouse) -> DataFrame:
 @query("k14_care_coordination")
 def _k14(w: Warehouse) -> DataFrame:
     return w.care_coordination_metrics
+
+
+@query("k13_operational_metrics")
+def _k13(w: Warehouse) -> DataFrame:
+    return w.operational_metrics
+
+
+@query("k09_fct_encounters")
+def _k09(w: Warehouse) -> DataFrame:
+    return w.fct_encounters
+
+
+@query("k10_fct_billing_transactions")
+def _k10(w: Warehouse) -> DataFrame:
+    f = w.fct_billing_transactions
+    money = ["charge_amount", "payment_amount", "adjustment_amount", "collected_amount", "denied_amount",
+             "expected_payment", "payment_variance"]
+    return f.select(*[fn.r4(c).alias(c) if c in money + ["collection_rate_pct", "expected_reimbursement_rate"]
+                      else F.col(c) for c in f.columns])
+
+
+@query("k15_sla_monitoring")
+def _k15(w: Warehouse) -> DataFrame:
+    return w.sla_monitoring
