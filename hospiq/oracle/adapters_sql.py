@@ -805,3 +805,51 @@ SELECT *, CASE WHEN days_to_appointment IS NULL THEN NULL ELSE days_to_appointme
 FROM (SELECT r.*, CAST(date_trunc('month', r.referral_date) AS DATE) AS referral_month,
         CASE upper(r.urgency) WHEN 'EMERGENT' THEN 2 WHEN 'URGENT' THEN 7 ELSE 30 END AS sla
       FROM stg_referrals r LEFT JOIN stg_encounters e ON r.encounter_id = e.encounter_id AND r.hospital_id = e.hospital_id)""")
+
+
+# ---------------------------------------------------------------- platform logs
+_LOG_TABLES = ("['RAW_PHI.RAW_PATIENTS','RAW_PHI.RAW_ENCOUNTERS','RAW_PHI.RAW_BILLING_TRANSACTIONS',"
+               "'RAW_PHI.RAW_CLINICAL_ORDERS','RAW_PHI.RAW_CLINICAL_RESULTS','RAW_PHI.RAW_VITAL_SIGNS',"
+               "'RAW_PHI.RAW_MEDICATION_ADMINISTRATION','RAW_PHI.RAW_PATIENT_ALLERGIES',"
+               "'STAGING.STG_HEALTHCARE__PATIENTS','STAGING.STG_HEALTHCARE__ENCOUNTERS','RAW_PHI.RAW_PAYERS',"
+               "'MARTS.FCT_FINANCIAL_PERFORMANCE','RAW_PHI.RAW_SDOH_SCREENINGS']")
+
+cte("r_query_history", [], f"""
+SELECT 'Q' || CAST(event_id AS VARCHAR) AS query_id,
+  CASE qtype WHEN 'SELECT' THEN sel || tbl || join_txt || filter_txt
+             WHEN 'INSERT' THEN 'INSERT INTO ' || tbl || ' SELECT * FROM staging_batch' || filter_txt
+             WHEN 'MERGE' THEN 'MERGE INTO ' || tbl || ' USING updates' || filter_txt
+             ELSE 'DELETE FROM ' || tbl || filter_txt END AS query_text,
+  CASE WHEN event_id % 10 = 0 THEN 'HEALTHCARE_DEV' ELSE 'HEALTHCARE_PROD' END AS database_name,
+  split_part(tbl, '.', 1) AS schema_name, 'USER_' || CAST(user_id AS VARCHAR) AS user_name,
+  CASE user_id % 6 WHEN 0 THEN 'SYSADMIN' WHEN 1 THEN 'HOSPITAL_' || hosp || '_PHI_ANALYST'
+       WHEN 2 THEN 'HOSPITAL_' || hosp || '_ANALYST' WHEN 3 THEN 'DBT_PROD_ROLE' WHEN 4 THEN 'HIPAA_AUDITOR'
+       ELSE 'MARKETING_ROLE' END AS role_name,
+  CAST(user_id * 1000 + dayofmonth(ts) AS BIGINT) AS session_id,
+  CASE WHEN user_id % 2 = 0 THEN 'TRANSFORM_WH' ELSE 'ANALYTICS_WH' END AS warehouse_name,
+  ts AS start_time, ts + to_milliseconds(elapsed) AS end_time,
+  CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS execution_status,
+  CASE WHEN qtype = 'SELECT' THEN nrows ELSE 0 END AS rows_produced,
+  CASE WHEN qtype = 'INSERT' THEN nrows ELSE 0 END AS rows_inserted,
+  CASE WHEN qtype = 'MERGE' THEN nrows ELSE 0 END AS rows_updated,
+  CASE WHEN qtype = 'DELETE' THEN nrows ELSE 0 END AS rows_deleted,
+  nrows * 512 AS bytes_scanned, (elapsed * 4) // 5 AS execution_time, elapsed AS total_elapsed_time,
+  CAST(value / 100.0 AS DECIMAL(18,6)) AS credits_used_cloud_services, qtype AS query_type
+FROM (SELECT *,
+        CASE WHEN event_id % 4 = 0 THEN ' WHERE hospital_id = ''' || hosp || ''''
+             WHEN event_id % 4 = 1 THEN ' WHERE hospital_id IN (''' || hosp || ''', ''HOSP_9999'')'
+             WHEN event_id % 4 = 2 THEN ' where HOSPITAL_ID=''' || lower(hosp) || ''''
+             ELSE '' END AS filter_txt,
+        CASE WHEN event_id % 3 = 0 THEN 'select * from ' ELSE 'SELECT count(*) FROM ' END AS sel,
+        CASE WHEN event_id % 5 = 0 THEN ' JOIN ' || {_LOG_TABLES}[(event_id * 7 + 3) % 13 + 1] ELSE '' END AS join_txt
+      FROM (SELECT *, CAST(round(value * 1000) AS BIGINT) AS elapsed, CAST(round(value * 100) AS BIGINT) AS nrows,
+              {_LOG_TABLES}[event_id % 13 + 1] AS tbl, {T('user_id % 25')} AS hosp,
+              CASE event_type WHEN 'purchase' THEN 'INSERT' WHEN 'signup' THEN 'MERGE' WHEN 'error' THEN 'DELETE'
+                   ELSE 'SELECT' END AS qtype
+            FROM events))""")
+
+cte("r_metering", [], """
+SELECT date_trunc('hour', ts) AS start_time,
+  CASE WHEN user_id % 2 = 0 THEN 'TRANSFORM_WH' ELSE 'ANALYTICS_WH' END AS warehouse_name,
+  CAST(count(*) / 10.0 AS DECIMAL(18,6)) AS credits_used
+FROM events GROUP BY ALL""")

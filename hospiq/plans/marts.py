@@ -750,3 +750,132 @@ def sla_monitoring(encounters: DataFrame, patients: DataFrame, billing: DataFram
                     "freshness_sla_status", "total_encounters", "total_patients", "data_quality_score_pct",
                     "quality_sla_status", "invalid_los_count", "invalid_charges_count", "invalid_dates_count",
                     "overall_sla_status"))
+
+
+# ---------------------------------------------------------------------------
+# Observability marts over platform logs
+# ---------------------------------------------------------------------------
+# Hospital filter patterns (case-insensitive, first group).
+HOSPITAL_FILTER_PATTERNS = [r"""hospital_id\s*=\s*['"]([A-Z0-9_]+)['"]""",
+                            r"""hospital_id\s*IN\s*\(['"]([A-Z0-9_]+)['"]"""]
+CREDIT_PRICE_USD = 4
+
+
+def hospital_from_query(text) -> F.Column:
+    """First matching pattern's group 1, else 'UNATTRIBUTED'."""
+    t = F.col(text) if isinstance(text, str) else text
+    tries = [F.nullif(F.regexp_extract(t, "(?i)" + p, 1), F.lit("")) for p in HOSPITAL_FILTER_PATTERNS]
+    return F.coalesce(*tries, F.lit("UNATTRIBUTED"))
+
+
+# K16 ----------------------------------------------------------------------
+def cost_attribution(history: DataFrame, metering: DataFrame, as_of: str, database: str) -> DataFrame:
+    """Cost per tenant-day. Correction: metering is aggregated per day
+    *before* the join (one row per day), so allocated shares sum to the day's
+    warehouse cost; a day without metering allocates 0."""
+    from pyspark.sql import Window
+    c = F.col
+    since = F.date_sub(F.lit(as_of).cast("date"), 90)
+    day_cost = (metering.filter(c("start_time") >= since)
+                .groupBy(F.to_date(F.date_trunc("day", "start_time")).alias("metric_date"))
+                .agg((F.sum("credits_used") * CREDIT_PRICE_USD).alias("day_cost_usd")))
+    qa = (history.filter((c("start_time") >= since) & (c("database_name") == database)
+                         & (c("execution_status") == "SUCCESS"))
+          .select("query_id", "start_time", hospital_from_query("query_text").alias("hospital_id"),
+                  (c("total_elapsed_time").cast("decimal(20,3)") / 1000).alias("execution_time_seconds"),
+                  "credits_used_cloud_services"))
+    qc = (qa.groupBy("hospital_id", F.to_date(F.date_trunc("day", "start_time")).alias("metric_date"))
+          .agg(F.count("query_id").alias("queries_executed"),
+               F.sum("execution_time_seconds").alias("total_execution_time_seconds"),
+               F.sum("credits_used_cloud_services").alias("cloud_services_credits")))
+    day = Window.partitionBy("metric_date")
+    alloc = (qc.join(F.broadcast(day_cost), "metric_date", "left")
+             .withColumn("total_warehouse_time_day", F.sum("total_execution_time_seconds").over(day))
+             .withColumn("warehouse_cost_usd",
+                         F.when(c("total_warehouse_time_day") > 0,
+                                fn.round_half_up(c("total_execution_time_seconds").cast("double")
+                                                 / c("total_warehouse_time_day").cast("double")
+                                                 * F.coalesce(c("day_cost_usd"), F.lit(0)).cast("double"), 6))
+                         .otherwise(F.lit(0.0)).cast("decimal(20,6)")))
+    d = (alloc.withColumn("cloud_services_cost_usd", c("cloud_services_credits") * CREDIT_PRICE_USD)
+         .withColumn("total_cost_usd", c("cloud_services_cost_usd") + c("warehouse_cost_usd"))
+         .withColumn("total_credits_used", c("cloud_services_credits") + c("warehouse_cost_usd") / CREDIT_PRICE_USD))
+    t = Window.partitionBy("hospital_id").orderBy("metric_date")
+    w = (d.withColumn("cumulative_cost_usd", F.sum("total_cost_usd").over(t.rowsBetween(Window.unboundedPreceding, 0)))
+         .withColumn("cost_7days_ago", F.lag("total_cost_usd", 7).over(t)))
+    return w.select(
+        "hospital_id", "metric_date", "queries_executed", fn.r4("total_execution_time_seconds").alias("total_execution_time_seconds"),
+        fn.r4("cloud_services_cost_usd").alias("cloud_services_cost_usd"), fn.r4("warehouse_cost_usd").alias("warehouse_cost_usd"),
+        fn.r4("total_cost_usd").alias("total_cost_usd"), fn.r4("total_credits_used").alias("total_credits_used"),
+        fn.r4("cumulative_cost_usd").alias("cumulative_cost_usd"), fn.r4("cost_7days_ago").alias("cost_7days_ago"),
+        fn.r4(F.when(c("cost_7days_ago") > 0, (c("total_cost_usd") - c("cost_7days_ago")).cast("double") * 100.0
+                     / c("cost_7days_ago").cast("double")).otherwise(F.lit(0.0))).alias("cost_change_pct_wow"))
+
+
+# K17 ----------------------------------------------------------------------
+# Tables holding PHI (schema, table, level).
+PHI_TABLES = [("RAW_PHI", t, "HIGH") for t in (
+    "RAW_PATIENTS", "RAW_ENCOUNTERS", "RAW_BILLING_TRANSACTIONS", "RAW_CLINICAL_ORDERS", "RAW_CLINICAL_RESULTS",
+    "RAW_VITAL_SIGNS", "RAW_MEDICATION_ADMINISTRATION", "RAW_PATIENT_ALLERGIES", "RAW_PATIENT_COVERAGE",
+    "RAW_SDOH_SCREENINGS")] + [("STAGING", t, "MEDIUM") for t in (
+        "STG_HEALTHCARE__PATIENTS", "STG_HEALTHCARE__ENCOUNTERS", "STG_HEALTHCARE__PROVIDERS")]
+AUTHORIZED_ROLES = ["ACCOUNTADMIN", "SYSADMIN", "HIPAA_AUDITOR", "DBT_DEV_ROLE", "DBT_PROD_ROLE", "DBT_CI_ROLE"]
+
+
+def phi_access_log(history: DataFrame, since=None, database: str | None = None) -> DataFrame:
+    """C11 text-contains join against the fixed PHI table list, evaluated as a
+    higher-order filter over a 13-element literal array per query row: the
+    inner join + group-by-query of the warehouse becomes a map-only step
+    (no join, no shuffle)."""
+    c = F.col
+    q = history.filter(c("execution_status") == "SUCCESS")
+    if database is not None:
+        q = q.filter(c("database_name") == database)
+    if since is not None:
+        q = q.filter(c("start_time") > since)
+    phi = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(t).alias("t"), F.lit(lv).alias("lv")) for s, t, lv in PHI_TABLES])
+    up = F.upper(c("query_text"))
+    hits = F.filter(phi, lambda x: up.contains(F.concat(x["s"], F.lit("."), x["t"])) | up.contains(x["t"]))
+    role = c("role_name")
+    rows_mod = c("rows_inserted") + c("rows_updated") + c("rows_deleted")
+    return (q.withColumn("_hits", hits).filter(F.size("_hits") > 0).select(
+        "query_id", c("start_time").alias("access_timestamp"), "user_name", "role_name", "session_id",
+        "database_name", "schema_name", "warehouse_name", "query_text", "execution_status", "rows_produced",
+        rows_mod.alias("rows_modified"), "bytes_scanned", "execution_time", "total_elapsed_time", "query_type",
+        F.array_join(F.array_sort(F.array_distinct(F.transform("_hits", lambda x: x["t"]))), ", ").alias("phi_tables_accessed"),
+        F.array_max(F.transform("_hits", lambda x: x["lv"])).alias("highest_phi_level"),
+        hospital_from_query("query_text").alias("hospital_id_filter"),
+        F.when(c("query_type") == "SELECT", "READ").when(c("query_type").isin("INSERT", "UPDATE", "DELETE", "MERGE"), "WRITE")
+        .when(c("query_type").isin("CREATE", "ALTER", "DROP"), "DDL").otherwise("OTHER").alias("access_type"),
+        F.when(role.isin("ACCOUNTADMIN", "SYSADMIN"), "AUTHORIZED_ADMIN").when(role == "HIPAA_AUDITOR", "AUTHORIZED_AUDITOR")
+        .when(role.like("HOSPITAL_%_PHI_ANALYST"), "AUTHORIZED_PHI_ANALYST")
+        .when((role == "DBT_DEV_ROLE") & c("database_name").like("%_DEV"), "AUTHORIZED_DEV")
+        .when((role == "DBT_PROD_ROLE") & c("database_name").like("%_PROD"), "AUTHORIZED_PROD")
+        .otherwise("REVIEW_REQUIRED").alias("access_authorization_status"),
+        F.coalesce((c("rows_produced") > 10000) | (rows_mod > 1000)
+                   | (c("query_text").ilike("%select * from%") & (c("rows_produced") > 1000)), F.lit(False)).alias("is_bulk_access"),
+        F.coalesce(~role.isin(*AUTHORIZED_ROLES) & ~role.like("HOSPITAL_%_PHI_ANALYST") & ~role.like("HOSPITAL_%_ANALYST"),
+                   F.lit(False)).alias("is_unauthorized"),
+        fn.boundary_diff("second", "start_time", "end_time").alias("access_duration_seconds"),
+        (c("credits_used_cloud_services") * 4.0).alias("estimated_cost_usd")))
+
+
+def hipaa_audit_trail(log: DataFrame) -> DataFrame:
+    c = F.col
+    st = c("access_authorization_status")
+    return log.select(
+        fn.surrogate_key("query_id").alias("audit_id"), "query_id", "access_timestamp", "user_name", "role_name",
+        "session_id", "database_name", "schema_name", "warehouse_name",
+        F.coalesce(c("hospital_id_filter"), F.lit("ALL_HOSPITALS")).alias("hospital_id"), "phi_tables_accessed",
+        c("highest_phi_level").alias("phi_level"), "access_type", "access_authorization_status",
+        c("rows_produced").alias("records_accessed"), c("rows_modified").alias("records_modified"), "bytes_scanned",
+        "is_bulk_access", "is_unauthorized", c("execution_time").alias("execution_time_ms"),
+        c("total_elapsed_time").alias("total_elapsed_time_ms"), "access_duration_seconds",
+        fn.r4("estimated_cost_usd").alias("estimated_cost_usd"),
+        F.substring("query_text", 1, 5000).alias("query_text_sample"),
+        F.when(c("is_unauthorized"), "ALERT: Unauthorized PHI access detected")
+        .when(c("is_bulk_access") & ~st.isin("AUTHORIZED_ADMIN", "AUTHORIZED_AUDITOR"), "WARNING: Bulk PHI access by non-admin role")
+        .when((c("access_type") == "WRITE") & ~c("role_name").like("DBT_%"), "NOTICE: Direct PHI modification (non-ETL)")
+        .when((c("highest_phi_level") == "HIGH") & (st == "REVIEW_REQUIRED"),
+              "REVIEW: High-level PHI access requires authorization review")
+        .otherwise("COMPLIANT: Standard authorized access").alias("compliance_note"))

@@ -225,3 +225,19 @@ class Warehouse:
     @cached_property
     def sla_monitoring(self) -> DataFrame:
         return K.sla_monitoring(self.encounters, self.patients, self.billing, self.fct_encounters)
+
+    # ---- observability (event-derived logs; their own as-of)
+    event_as_of = "2024-01-31"
+
+    @cached_property
+    def cost_attribution(self) -> DataFrame:
+        return K.cost_attribution(self.raw.query_history, self.raw.warehouse_metering, self.event_as_of,
+                                  self.raw.CURRENT_DATABASE)
+
+    @cached_property
+    def hipaa_audit_trail(self) -> DataFrame:
+        """Initial load: the last 7 days before the event as-of (L03 appends later windows)."""
+        from pyspark.sql import functions as F
+        since = F.expr(f"timestamp_ntz'{self.event_as_of} 00:00:00' - INTERVAL 7 DAYS")
+        log = K.phi_access_log(self.raw.query_history, None, self.raw.CURRENT_DATABASE)
+        return K.hipaa_audit_trail(log.filter(F.col("access_timestamp") >= since))

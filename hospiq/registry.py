@@ -129,3 +129,13 @@ def _k10(w: Warehouse) -> DataFrame:
 @query("k15_sla_monitoring")
 def _k15(w: Warehouse) -> DataFrame:
     return w.sla_monitoring
+
+
+@query("k16_cost_attribution")
+def _k16(w: Warehouse) -> DataFrame:
+    return w.cost_attribution
+
+
+@query("k17_hipaa_audit_trail")
+def _k17(w: Warehouse) -> DataFrame:
+    return w.hipaa_audit_trail

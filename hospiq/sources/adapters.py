@@ -720,3 +720,103 @@ class HospitalSource:
             e("case when status = 'DENIED' then 'Not medically necessary' end").alias("denial_reason"),
             F.expr("admission_date + make_dt_interval(1, 0, 0, 0)").alias("_loaded_at"),
         )
+
+    # ---------------- platform logs (derived from events) ------------------
+    # Fixed values of the log design: tables a query may touch (schema, table).
+    LOG_TABLES = [("RAW_PHI", "RAW_PATIENTS"), ("RAW_PHI", "RAW_ENCOUNTERS"), ("RAW_PHI", "RAW_BILLING_TRANSACTIONS"),
+                  ("RAW_PHI", "RAW_CLINICAL_ORDERS"), ("RAW_PHI", "RAW_CLINICAL_RESULTS"), ("RAW_PHI", "RAW_VITAL_SIGNS"),
+                  ("RAW_PHI", "RAW_MEDICATION_ADMINISTRATION"), ("RAW_PHI", "RAW_PATIENT_ALLERGIES"),
+                  ("STAGING", "STG_HEALTHCARE__PATIENTS"), ("STAGING", "STG_HEALTHCARE__ENCOUNTERS"),
+                  ("RAW_PHI", "RAW_PAYERS"), ("MARTS", "FCT_FINANCIAL_PERFORMANCE"), ("RAW_PHI", "RAW_SDOH_SCREENINGS")]
+    CURRENT_DATABASE = "HEALTHCARE_PROD"
+
+    @cached_property
+    def query_history(self) -> DataFrame:
+        ev = self._t("events")
+        tabs = F.array(*[F.lit(f"{s}.{t}") for s, t in self.LOG_TABLES])
+        n = len(self.LOG_TABLES)
+        hosp = tenant_id("user_id % 25")
+        e = F.expr
+        b = (ev.withColumn("elapsed", F.round(F.col("value") * 1000).cast("bigint"))
+             .withColumn("tbl", F.element_at(tabs, (F.col("event_id") % n + 1).cast("int")))
+             .withColumn("tbl2", F.element_at(tabs, ((F.col("event_id") * 7 + 3) % n + 1).cast("int")))
+             .withColumn("qtype", e("case event_type when 'purchase' then 'INSERT' when 'signup' then 'MERGE' "
+                                    "when 'error' then 'DELETE' else 'SELECT' end"))
+             .withColumn("filter_txt", F.when(F.col("event_id") % 4 == 0,
+                                              F.concat(F.lit(" WHERE hospital_id = '"), hosp, F.lit("'")))
+                         .when(F.col("event_id") % 4 == 1,
+                               F.concat(F.lit(" WHERE hospital_id IN ('"), hosp, F.lit("', 'HOSP_9999')")))
+                         .when(F.col("event_id") % 4 == 2,
+                               F.concat(F.lit(" where HOSPITAL_ID='"), F.lower(hosp), F.lit("'")))
+                         .otherwise(F.lit("")))
+             .withColumn("sel", F.when(F.col("event_id") % 3 == 0, F.lit("select * from "))
+                         .otherwise(F.lit("SELECT count(*) FROM ")))
+             .withColumn("join_txt", F.when(F.col("event_id") % 5 == 0, F.concat(F.lit(" JOIN "), F.col("tbl2")))
+                         .otherwise(F.lit(""))))
+        text = (F.when(F.col("qtype") == "SELECT", F.concat(F.col("sel"), F.col("tbl"), F.col("join_txt"), F.col("filter_txt")))
+                .when(F.col("qtype") == "INSERT", F.concat(F.lit("INSERT INTO "), F.col("tbl"), F.lit(" SELECT * FROM staging_batch"),
+                                                         F.col("filter_txt")))
+                .when(F.col("qtype") == "MERGE", F.concat(F.lit("MERGE INTO "), F.col("tbl"), F.lit(" USING updates"),
+                                                        F.col("filter_txt")))
+                .otherwise(F.concat(F.lit("DELETE FROM "), F.col("tbl"), F.col("filter_txt"))))
+        role = (F.when(F.col("user_id") % 6 == 0, F.lit("SYSADMIN"))
+                .when(F.col("user_id") % 6 == 1, F.concat(F.lit("HOSPITAL_"), hosp, F.lit("_PHI_ANALYST")))
+                .when(F.col("user_id") % 6 == 2, F.concat(F.lit("HOSPITAL_"), hosp, F.lit("_ANALYST")))
+                .when(F.col("user_id") % 6 == 3, F.lit("DBT_PROD_ROLE"))
+                .when(F.col("user_id") % 6 == 4, F.lit("HIPAA_AUDITOR"))
+                .otherwise(F.lit("MARKETING_ROLE")))
+        q = F.col("qtype")
+        rows = F.round(F.col("value") * 100).cast("bigint")
+        return b.select(
+            F.concat(F.lit("Q"), F.col("event_id").cast("string")).alias("query_id"),
+            text.alias("query_text"),
+            F.when(F.col("event_id") % 10 == 0, F.lit("HEALTHCARE_DEV")).otherwise(F.lit(self.CURRENT_DATABASE))
+            .alias("database_name"),
+            F.split(F.col("tbl"), r"\.").getItem(0).alias("schema_name"),
+            F.concat(F.lit("USER_"), F.col("user_id").cast("string")).alias("user_name"),
+            role.alias("role_name"),
+            (F.col("user_id") * 1000 + F.dayofmonth("ts")).cast("bigint").alias("session_id"),
+            F.when(F.col("user_id") % 2 == 0, F.lit("TRANSFORM_WH")).otherwise(F.lit("ANALYTICS_WH")).alias("warehouse_name"),
+            F.lit("XSMALL").alias("warehouse_size"),
+            F.col("ts").alias("start_time"),
+            F.timestamp_add("MILLISECOND", F.col("elapsed"), F.col("ts")).alias("end_time"),
+            F.when(F.col("event_type") == "error", F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("execution_status"),
+            F.when(F.col("event_type") == "error", F.lit("100038")).alias("error_code"),
+            F.when(F.col("event_type") == "error", F.lit("Numeric value is not recognized")).alias("error_message"),
+            F.when(q == "SELECT", rows).otherwise(F.lit(0).cast("bigint")).alias("rows_produced"),
+            F.when(q == "INSERT", rows).otherwise(F.lit(0).cast("bigint")).alias("rows_inserted"),
+            F.when(q == "MERGE", rows).otherwise(F.lit(0).cast("bigint")).alias("rows_updated"),
+            F.when(q == "DELETE", rows).otherwise(F.lit(0).cast("bigint")).alias("rows_deleted"),
+            (rows * 512).alias("bytes_scanned"),
+            F.expr("elapsed - (elapsed * 4) div 5").alias("compilation_time"),
+            F.expr("(elapsed * 4) div 5").alias("execution_time"),
+            F.col("elapsed").alias("total_elapsed_time"),
+            (F.col("value") / 100.0).cast("decimal(18,6)").alias("credits_used_cloud_services"),
+            q.alias("query_type"),
+            F.lit(None).cast("string").alias("query_tag"),
+        )
+
+    @cached_property
+    def warehouse_metering(self) -> DataFrame:
+        """Hourly credits per warehouse: count of queries in the hour / 10."""
+        ev = self._t("events")
+        return (ev.groupBy(F.date_trunc("hour", "ts").alias("start_time"),
+                           F.when(F.col("user_id") % 2 == 0, F.lit("TRANSFORM_WH")).otherwise(F.lit("ANALYTICS_WH"))
+                           .alias("warehouse_name"))
+                .agg((F.count(F.lit(1)) / 10.0).cast("decimal(18,6)").alias("credits_used"))
+                .withColumn("end_time", F.col("start_time") + F.expr("INTERVAL 1 HOUR")))
+
+    @cached_property
+    def user_hospital_mapping(self) -> DataFrame:
+        """Generic-analyst grants: every user with user_id % 6 = 2 is mapped to
+        its own tenant and the next one; the second grant has expired."""
+        ev = self._t("events").select("user_id").filter(F.col("user_id") % 6 == 2).distinct()
+        return ev.select(
+            F.concat(F.lit("USER_"), F.col("user_id").cast("string")).alias("user_name"),
+            F.lit("HOSPITAL_ANALYST").alias("role_name"),
+            F.explode(F.array(F.struct(tenant_id("user_id % 25").alias("h"), F.lit("2099-12-31").alias("e")),
+                              F.struct(tenant_id("(user_id + 1) % 25").alias("h"), F.lit("2023-12-31").alias("e"))))
+            .alias("g")).select(
+            "user_name", "role_name", F.col("g.h").alias("hospital_id"),
+            F.lit("2020-01-01").cast("date").alias("access_start_date"), F.col("g.e").cast("date").alias("access_end_date"),
+            F.lit("care team").alias("access_reason"))
