@@ -227,6 +227,8 @@ def _order(names: list[str]) -> list[str]:
 def sql(names: list[str], body: str) -> str:
     parts = [f"{n} AS ({CTES[n][1].strip()})" for n in _order(names)]
     body = body.strip()
+    if not parts:
+        return body
     if body[:5].upper() == "WITH ":  # a body with its own CTEs continues the list
         return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
     return "WITH " + ",\n".join(parts) + "\n" + body
@@ -853,3 +855,7 @@ SELECT date_trunc('hour', ts) AS start_time,
   CASE WHEN user_id % 2 = 0 THEN 'TRANSFORM_WH' ELSE 'ANALYTICS_WH' END AS warehouse_name,
   CAST(count(*) / 10.0 AS DECIMAL(18,6)) AS credits_used
 FROM events GROUP BY ALL""")
+
+cte("r_line_dose", ["line_base"], """
+SELECT 'ADM_' || line_key AS admin_id, CAST(q % 10 + 1 AS VARCHAR) || ' mg' AS dose FROM line_base
+WHERE order_type = 'MEDICATION'""")

@@ -139,3 +139,136 @@ def _k16(w: Warehouse) -> DataFrame:
 @query("k17_hipaa_audit_trail")
 def _k17(w: Warehouse) -> DataFrame:
     return w.hipaa_audit_trail
+
+
+# ------------------------------------------------------------------ checks (N)
+from .operators import checks as N  # noqa: E402
+
+
+@query("n01_not_null_age")
+def _n01(w: Warehouse) -> DataFrame:
+    return N.not_null(w.patients, "age_years").select("patient_id", "hospital_id")
+
+
+@query("n02_unique_transaction_id")
+def _n02(w: Warehouse) -> DataFrame:
+    return N.unique(w.billing, "transaction_id")
+
+
+@query("n03_accepted_values_payment_status")
+def _n03(w: Warehouse) -> DataFrame:
+    return N.accepted_values(w.billing, "payment_status", ["Paid", "Partial", "Denied", "Pending"]).select("transaction_id")
+
+
+@query("n04_relationships_vitals_encounter")
+def _n04(w: Warehouse) -> DataFrame:
+    return N.relationships(w.vital_signs, "encounter_id", w.encounters, "encounter_id").select("vital_id", "encounter_id")
+
+
+@query("n05_accepted_range_news")
+def _n05(w: Warehouse) -> DataFrame:
+    return N.accepted_range(w.vitals_enriched, "total_news_score", 0, 12).select("vital_id", "total_news_score")
+
+
+@query("n06_unique_combination_orders")
+def _n06(w: Warehouse) -> DataFrame:
+    return N.unique_combination_of_columns(w.clinical_orders, ["encounter_id", "order_type"])
+
+
+@query("n07_expression_zip3")
+def _n07(w: Warehouse) -> DataFrame:
+    return N.expression_is_true(w.patients, "zip_code_3digit rlike '^[0-9]{3}$'",
+                                where="zip_code_3digit is not null").select("patient_id", "zip_code_3digit")
+
+
+@query("n09_cross_tenant_leakage_raw_encounters")
+def _n09(w: Warehouse) -> DataFrame:
+    return N.no_cross_tenant_leakage(w.raw.encounters, w.patients, w.providers)
+
+
+@query("n10_no_phi_in_conversations")
+def _n10(w: Warehouse) -> DataFrame:
+    conv = w.raw._t("conversations")
+    return N.no_phi_in_column(conv, "text")
+
+
+@query("n11_models_not_empty")
+def _n11(w: Warehouse) -> DataFrame:
+    return N.models_not_empty(w.spark, {"stg_healthcare__encounters": w.encounters,
+                                        "stg_healthcare__patients": w.patients, "fct_encounters": w.fct_encounters})
+
+
+@query("n12_critical_lab_response")
+def _n12(w: Warehouse) -> DataFrame:
+    return N.critical_lab_response(w.lab_results_enriched, w.clinical_orders, f"{w.as_of} 00:00:00")
+
+
+@query("n13_los_by_encounter_type")
+def _n13(w: Warehouse) -> DataFrame:
+    return N.los_by_encounter_type(w.encounters)
+
+
+@query("n14_los_with_issue")
+def _n14(w: Warehouse) -> DataFrame:
+    return N.los_with_issue(w.encounters)
+
+
+@query("n15_high_risk_unverified")
+def _n15(w: Warehouse) -> DataFrame:
+    return N.high_risk_unverified(w.medication_administration)
+
+
+@query("n16_iv_without_witness")
+def _n16(w: Warehouse) -> DataFrame:
+    return N.iv_without_witness(w.medication_administration)
+
+
+@query("n17_cross_hospital_encounters")
+def _n17(w: Warehouse) -> DataFrame:
+    return N.cross_hospital_encounters(w.raw.encounters, w.patients, w.providers, w.facilities)
+
+
+@query("n18_given_despite_allergy")
+def _n18(w: Warehouse) -> DataFrame:
+    return N.given_despite_allergy(w.medication_administration, w.patient_allergies)
+
+
+@query("n19_recent_unauthorized_access")
+def _n19(w: Warehouse) -> DataFrame:
+    return N.recent_unauthorized_access(w.hipaa_audit_trail, f"{w.event_as_of} 00:00:00")
+
+
+@query("n20_readmission_recomputation")
+def _n20(w: Warehouse) -> DataFrame:
+    return N.readmission_recomputation(w.encounters)
+
+
+@query("n21_readmission_rate_in_range")
+def _n21(w: Warehouse) -> DataFrame:
+    return N.readmission_rate_in_range(w.encounters)
+
+
+BACKFILL = ("HOSP_0003", "2000-07-01", "2000-12-31")
+
+
+def _backfill_batch(w: Warehouse) -> DataFrame:
+    h, start, end = BACKFILL
+    e = w.raw.encounters
+    return e.filter((F.col("hospital_id") == h) & (F.to_date("admission_date").between(start, end)))
+
+
+@query("n22_validation_report")
+def _n22(w: Warehouse) -> DataFrame:
+    return N.validation_report(_backfill_batch(w), w.raw.patients, BACKFILL[1], BACKFILL[2])
+
+
+@query("n23_load_profile")
+def _n23(w: Warehouse) -> DataFrame:
+    existing = w.raw.encounters.filter(F.to_date("admission_date") < BACKFILL[1])
+    return N.load_profile(_backfill_batch(w), existing, w.raw.patients, w.raw.providers, w.raw.facilities,
+                          BACKFILL[1], BACKFILL[2])
+
+
+@query("n24_completeness_by_month")
+def _n24(w: Warehouse) -> DataFrame:
+    return N.completeness_by_month(w.raw.encounters)

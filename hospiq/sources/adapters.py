@@ -202,6 +202,10 @@ class HospitalSource:
         )
 
     # ---------------- encounters -----------------------------------------
+    @cached_property
+    def n_suppliers(self) -> int:
+        return self._t("supplier").count()
+
     @cached_property
     def _order_base(self) -> DataFrame:
         """orders x customer with the encounter type and admission time (internal)."""
@@ -217,10 +221,9 @@ class HospitalSource:
 
     @cached_property
     def encounters(self) -> DataFrame:
-        # Number of suppliers (1 row, broadcast bound = 1); provider of tenant n
-        # is supplier n + 25*j, chosen by arithmetic instead of a join.
-        n_sup = F.broadcast(self._t("supplier").agg(F.count(F.lit(1)).alias("n_sup")))
-        b = self._order_base.crossJoin(n_sup)
+        # Provider of tenant n is supplier n + 25*j, chosen by arithmetic on
+        # the supplier count (a scalar from one count() of the scan - no join).
+        b = self._order_base.withColumn("n_sup", F.lit(self.n_suppliers))
         prov_nation = f"case when o_orderkey % 50 = 7 then (c_nationkey + 1) % {N_TENANTS} else c_nationkey end"
         prov_count = f"case when n_sup > pn then (n_sup - 1 - pn) div {N_TENANTS} + 1 else 0 end"
         los = ("case encounter_type when 'Inpatient' then 1 + o_orderkey % 9 "
