@@ -859,3 +859,11 @@ FROM events GROUP BY ALL""")
 cte("r_line_dose", ["line_base"], """
 SELECT 'ADM_' || line_key AS admin_id, CAST(q % 10 + 1 AS VARCHAR) || ' mg' AS dose FROM line_base
 WHERE order_type = 'MEDICATION'""")
+
+cte("r_user_mapping", [], f"""
+SELECT 'USER_' || CAST(user_id AS VARCHAR) AS user_name, 'HOSPITAL_ANALYST' AS role_name, h AS hospital_id,
+  DATE '2020-01-01' AS access_start_date, e AS access_end_date
+FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 6 = 2) u,
+     (SELECT 0 AS k UNION ALL SELECT 1) ks,
+     LATERAL (SELECT CASE WHEN k = 0 THEN {T('user_id % 25')} ELSE {T('(user_id + 1) % 25')} END AS h,
+                     CASE WHEN k = 0 THEN DATE '2099-12-31' ELSE DATE '2023-12-31' END AS e)""")

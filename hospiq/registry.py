@@ -272,3 +272,40 @@ def _n23(w: Warehouse) -> DataFrame:
 @query("n24_completeness_by_month")
 def _n24(w: Warehouse) -> DataFrame:
     return N.completeness_by_month(w.raw.encounters)
+
+
+# ------------------------------------------------------------------ security (M)
+from .operators import security as M  # noqa: E402
+
+_ENC_COLS = ["encounter_id", "hospital_id", "patient_id", "encounter_type", "admission_date"]
+
+
+@query("m01_tenant_row_filter")
+def _m01(w: Warehouse) -> DataFrame:
+    ctx = M.AccessContext(role="HOSPITAL_HOSP_0007_ANALYST", user="USER_7")
+    return M.secure_view("raw_encounters", w.encounters.select(*_ENC_COLS), ctx)
+
+
+@query("m02_mapped_row_filter")
+def _m02(w: Warehouse) -> DataFrame:
+    ctx = M.AccessContext(role="HOSPITAL_ANALYST", user="USER_2", as_of=w.event_as_of)
+    return M.secure_view("raw_encounters", w.encounters.select(*_ENC_COLS), ctx, w.raw.user_hospital_mapping)
+
+
+@query("m03_phi_row_filter")
+def _m03(w: Warehouse) -> DataFrame:
+    ctx = M.AccessContext(role="HOSPITAL_HOSP_0005_PHI_ANALYST", user="USER_5")
+    return M.secure_view("raw_patients", w.patients.select("patient_id", "hospital_id", "age_years", "zip_code_3digit"), ctx)
+
+
+@query("m09_dataset_page")
+def _m09(w: Warehouse) -> DataFrame:
+    ctx = M.AccessContext(role="SYSADMIN")
+    return M.dataset_page(w, "clinical-quality", ctx, start_date="1998-01-01", end_date="1999-12-31",
+                          limit=200, offset=20)
+
+
+@query("o10_visible_tenants_per_role")
+def _o10(w: Warehouse) -> DataFrame:
+    ctx = M.AccessContext(role="HOSPITAL_ANALYST", user="USER_8", as_of=w.event_as_of)
+    return M.visible_tenants(w.encounters, ctx, w.raw.user_hospital_mapping)
