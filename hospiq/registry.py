@@ -309,3 +309,128 @@ def _m09(w: Warehouse) -> DataFrame:
 def _o10(w: Warehouse) -> DataFrame:
     ctx = M.AccessContext(role="HOSPITAL_ANALYST", user="USER_8", as_of=w.event_as_of)
     return M.visible_tenants(w.encounters, ctx, w.raw.user_hospital_mapping)
+
+
+# ------------------------------------------------------------------ state (L)
+from .operators import state as L  # noqa: E402
+from .plans import staging as B  # noqa: E402
+
+
+@query("l01_delete_insert_encounters")
+def _l01(w: Warehouse) -> DataFrame:
+    fct = w.fct_encounters
+    target = fct.filter(F.col("loaded_at_timestamp") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    mark = target.agg(F.max("loaded_at_timestamp")).first()[0]
+    return L.delete_insert(target, fct, ["encounter_id"], "loaded_at_timestamp", mark).select(
+        "encounter_id", "hospital_id", "loaded_at_timestamp")
+
+
+def _billing_changes(w: Warehouse) -> DataFrame:
+    """Re-delivered billing rows: the second half of 1998 re-sent with every
+    Pending claim now Partial, plus 1999+ rows (new)."""
+    b = w.billing.filter(F.col("transaction_date") >= F.lit("1998-07-01").cast("timestamp_ntz"))
+    return b.withColumn("payment_status", F.when(F.col("payment_status") == "Pending", "Partial")
+                        .otherwise(F.col("payment_status")))
+
+
+@query("l02_upsert_billing")
+def _l02(w: Warehouse) -> DataFrame:
+    target = w.billing.filter(F.col("transaction_date") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    out = L.upsert(target.select("transaction_id", "hospital_id", "payment_status", "loaded_at_timestamp"),
+                   _billing_changes(w), ["transaction_id"], ["loaded_at_timestamp"])
+    return out
+
+
+@query("l02_upsert_counts")
+def _l02c(w: Warehouse) -> DataFrame:
+    target = w.billing.filter(F.col("transaction_date") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    return L.upsert_counts(target, _billing_changes(w), ["transaction_id"])
+
+
+@query("l03_append_new_audit")
+def _l03(w: Warehouse) -> DataFrame:
+    log = K_phi_log(w)
+    target = log.filter(F.col("access_timestamp") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    return L.append_new(target, log, "access_timestamp").select("query_id", "access_timestamp")
+
+
+def K_phi_log(w: Warehouse) -> DataFrame:
+    from .plans import marts as K
+    return K.phi_access_log(w.raw.query_history, None, w.raw.CURRENT_DATABASE)
+
+
+def _hospital_snapshots(w: Warehouse):
+    """Two snapshot runs of the tenant master: the second changes the tier of
+    every 5th tenant, the bed count of every 7th, and drops the last one."""
+    h1 = w.hospitals.select("hospital_id", "hospital_name", "bed_count", "contract_tier", "is_active")
+    n = F.substring("hospital_id", 6, 4).cast("int")
+    h2 = (h1.withColumn("contract_tier", F.when(n % 5 == 0, F.lit("Enterprise Plus")).otherwise(F.col("contract_tier")))
+          .withColumn("bed_count", F.when(n % 7 == 0, F.col("bed_count") + 20).otherwise(F.col("bed_count")))
+          .filter(n != 24))
+    return h1, h2
+
+
+@query("l04_scd2_check_strategy")
+def _l04(w: Warehouse) -> DataFrame:
+    h1, h2 = _hospital_snapshots(w)
+    hist = L.scd2_snapshot(None, h1, "hospital_id", "2001-01-01 00:00:00")
+    hist = L.scd2_snapshot(hist, h2, "hospital_id", "2001-06-01 00:00:00",
+                           check_cols=["contract_tier", "bed_count", "is_active"])
+    return hist.drop("dbt_scd_id")
+
+
+@query("l05_scd2_timestamp_strategy")
+def _l05(w: Warehouse) -> DataFrame:
+    p1 = w.providers.select("provider_id", "hospital_id", "specialty", "loaded_at_timestamp")
+    p2 = (p1.withColumn("specialty", F.when(F.expr("cast(substring(provider_id, 5) as int) % 10 = 0"),
+                                            F.lit("Hospitalist")).otherwise(F.col("specialty")))
+          .withColumn("loaded_at_timestamp",
+                      F.when(F.expr("cast(substring(provider_id, 5) as int) % 10 = 0"),
+                             F.col("loaded_at_timestamp") + F.expr("INTERVAL 1 DAY"))
+                      .otherwise(F.col("loaded_at_timestamp")))
+          .filter(F.expr("cast(substring(provider_id, 5) as int) % 13 <> 0")))
+    hist = L.scd2_snapshot(None, p1, "provider_id", "2001-01-01 00:00:00", updated_at="loaded_at_timestamp")
+    return L.scd2_snapshot(hist, p2, "provider_id", "2002-01-01 00:00:00", updated_at="loaded_at_timestamp").drop("dbt_scd_id")
+
+
+@query("l06_point_in_time")
+def _l06(w: Warehouse) -> DataFrame:
+    h1, h2 = _hospital_snapshots(w)
+    hist = L.scd2_snapshot(None, h1, "hospital_id", "2001-01-01 00:00:00")
+    hist = L.scd2_snapshot(hist, h2, "hospital_id", "2001-06-01 00:00:00",
+                           check_cols=["contract_tier", "bed_count", "is_active"])
+    return L.as_of_rows(hist, "2001-03-01 00:00:00").select("hospital_id", "contract_tier", "bed_count")
+
+
+@query("l07_insert_missing_grants")
+def _l07(w: Warehouse) -> DataFrame:
+    m = w.raw.user_hospital_mapping
+    existing = m.filter(F.col("access_end_date") > F.lit("2024-01-01").cast("date"))
+    return L.insert_missing(existing, m, ["user_name", "role_name", "hospital_id"])
+
+
+@query("l08_keep_latest_lineitem")
+def _l08(w: Warehouse) -> DataFrame:
+    li = w.raw._t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    return L.keep_latest(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
+
+
+@query("l09_remove_tenant")
+def _l09(w: Warehouse) -> DataFrame:
+    return L.remove_tenant(w.encounters, "HOSP_0003").groupBy("hospital_id").agg(F.count(F.lit(1)).alias("rows_after"))
+
+
+@query("l10_late_data_recompute")
+def _l10(w: Warehouse) -> DataFrame:
+    """Late-arriving encounters: stage the early load, then recompute only
+    the patients present in the late batch and replace their rows. The result
+    must equal staging everything at once."""
+    raw = w.raw.encounters
+    cut = F.lit("2000-06-01").cast("timestamp_ntz")
+    early = B.stg_encounters(raw.filter(F.col("_loaded_at") < cut), w.patients, w.providers, w.facilities)
+    late_batch = raw.filter(F.col("_loaded_at") >= cut)
+    changed = L.affected_keys(late_batch, ["patient_id", "hospital_id"])
+    recomputed = B.stg_encounters(L.recompute_for(raw, changed, ["patient_id", "hospital_id"]),
+                                  w.patients, w.providers, w.facilities)
+    out = L.replace_keys(early, recomputed, ["patient_id", "hospital_id"])
+    return out.select("encounter_id", "hospital_id", "patient_id", "is_readmission", "days_since_last_inpatient_discharge")
