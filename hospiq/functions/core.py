@@ -85,6 +85,11 @@ def r2(c: ColumnOrName) -> Column:
     return round_half_up(c, 2)
 
 
+def mean4(c: ColumnOrName) -> Column:
+    """Mean of values published at 4 decimals: summed exactly as decimals."""
+    return F.sum(col(c).cast("decimal(24,4)")).cast("double") / F.count(col(c))
+
+
 def mean(c: ColumnOrName) -> Column:
     """Average as exact sum / count (decimal and integer sums are exact, so
     the quotient does not depend on the summation order)."""

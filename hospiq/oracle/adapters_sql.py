@@ -818,10 +818,16 @@ _LOG_TABLES = ("['RAW_PHI.RAW_PATIENTS','RAW_PHI.RAW_ENCOUNTERS','RAW_PHI.RAW_BI
 
 cte("r_query_history", [], f"""
 SELECT 'Q' || CAST(event_id AS VARCHAR) AS query_id,
-  CASE qtype WHEN 'SELECT' THEN sel || tbl || join_txt || filter_txt
+  CASE WHEN user_id % 6 = 3 AND event_type = 'purchase'
+         THEN 'create or replace table MARTS.FCT_ENCOUNTERS as select * from INT_ENCOUNTERS_ENRICHED'
+       WHEN user_id % 6 = 3 AND event_type = 'signup'
+         THEN 'merge into MARTS.FCT_ENCOUNTERS using INT_ENCOUNTERS_ENRICHED on encounter_id'
+       WHEN user_id % 6 = 3 AND event_type = 'click'
+         THEN 'delete from MARTS.FCT_ENCOUNTERS where loaded_at_timestamp > current_date - 1'
+       ELSE CASE qtype WHEN 'SELECT' THEN sel || tbl || join_txt || filter_txt
              WHEN 'INSERT' THEN 'INSERT INTO ' || tbl || ' SELECT * FROM staging_batch' || filter_txt
              WHEN 'MERGE' THEN 'MERGE INTO ' || tbl || ' USING updates' || filter_txt
-             ELSE 'DELETE FROM ' || tbl || filter_txt END AS query_text,
+             ELSE 'DELETE FROM ' || tbl || filter_txt END END AS query_text,
   CASE WHEN event_id % 10 = 0 THEN 'HEALTHCARE_DEV' ELSE 'HEALTHCARE_PROD' END AS database_name,
   split_part(tbl, '.', 1) AS schema_name, 'USER_' || CAST(user_id AS VARCHAR) AS user_name,
   CASE user_id % 6 WHEN 0 THEN 'SYSADMIN' WHEN 1 THEN 'HOSPITAL_' || hosp || '_PHI_ANALYST'

@@ -434,3 +434,88 @@ def _l10(w: Warehouse) -> DataFrame:
                                   w.patients, w.providers, w.facilities)
     out = L.replace_keys(early, recomputed, ["patient_id", "hospital_id"])
     return out.select("encounter_id", "hospital_id", "patient_id", "is_readmission", "days_since_last_inpatient_discharge")
+
+
+# ------------------------------------------------------------------ reports (O)
+from .plans import reports as O  # noqa: E402
+
+
+@query("o01_sla_overview")
+def _o01(w: Warehouse) -> DataFrame:
+    return O.sla_overview(w.sla_monitoring)
+
+
+@query("o02_cost_summary")
+def _o02(w: Warehouse) -> DataFrame:
+    return O.cost_summary(w.cost_attribution)
+
+
+@query("o02_cost_by_tenant")
+def _o02b(w: Warehouse) -> DataFrame:
+    return O.cost_by_tenant(w.cost_attribution)
+
+
+@query("o03_access_summary")
+def _o03(w: Warehouse) -> DataFrame:
+    return O.access_summary(w.hipaa_audit_trail)
+
+
+@query("o03_daily_access")
+def _o03b(w: Warehouse) -> DataFrame:
+    return O.daily_access(w.hipaa_audit_trail)
+
+
+@query("o03_top_users")
+def _o03c(w: Warehouse) -> DataFrame:
+    return O.top_users(w.hipaa_audit_trail)
+
+
+@query("o04_tenant_comparison")
+def _o04(w: Warehouse) -> DataFrame:
+    return O.tenant_comparison(w.hospitals, w.clinical_quality_metrics, w.hipaa_audit_trail, w.operational_metrics,
+                               w.as_of, w.event_as_of, days=60)
+
+
+@query("o05_alert_list")
+def _o05(w: Warehouse) -> DataFrame:
+    return O.alert_list(w.sla_monitoring, w.clinical_quality_metrics, w.operational_metrics, w.as_of, days=30)
+
+
+@query("o06_clinical_latest_day")
+def _o06(w: Warehouse) -> DataFrame:
+    return O.clinical_latest_day(w.clinical_quality_metrics)
+
+
+@query("o07_financial_summary")
+def _o07(w: Warehouse) -> DataFrame:
+    return O.financial_summary(w.financial_performance)
+
+
+@query("o08_provider_analysis")
+def _o08(w: Warehouse) -> DataFrame:
+    return O.provider_analysis(w.provider_performance)
+
+
+@query("o09_strategy_benchmark")
+def _o09(w: Warehouse) -> DataFrame:
+    return O.strategy_benchmark(w.raw.query_history, w.event_as_of)
+
+
+@query("o11_sla_status_distribution")
+def _o11(w: Warehouse) -> DataFrame:
+    return O.sla_status_distribution(w.sla_monitoring)
+
+
+@query("o11_daily_volume")
+def _o11b(w: Warehouse) -> DataFrame:
+    return O.daily_volume(w.operational_metrics)
+
+
+@query("o12_recent_window")
+def _o12(w: Warehouse) -> DataFrame:
+    return O.recent_window(w.clinical_quality_metrics, "metric_date", w.as_of, 90, 100)
+
+
+@query("o13_incident_scope")
+def _o13(w: Warehouse) -> DataFrame:
+    return O.incident_scope(w.hipaa_audit_trail, "USER_5", "HOSP_0005")

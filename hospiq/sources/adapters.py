@@ -756,7 +756,14 @@ class HospitalSource:
                          .otherwise(F.lit("SELECT count(*) FROM ")))
              .withColumn("join_txt", F.when(F.col("event_id") % 5 == 0, F.concat(F.lit(" JOIN "), F.col("tbl2")))
                          .otherwise(F.lit(""))))
-        text = (F.when(F.col("qtype") == "SELECT", F.concat(F.col("sel"), F.col("tbl"), F.col("join_txt"), F.col("filter_txt")))
+        build = F.col("user_id") % 6 == 3     # the transformation service account's runs
+        text = (F.when(build & (F.col("event_type") == "purchase"),
+                       F.lit("create or replace table MARTS.FCT_ENCOUNTERS as select * from INT_ENCOUNTERS_ENRICHED"))
+                .when(build & (F.col("event_type") == "signup"),
+                      F.lit("merge into MARTS.FCT_ENCOUNTERS using INT_ENCOUNTERS_ENRICHED on encounter_id"))
+                .when(build & (F.col("event_type") == "click"),
+                      F.lit("delete from MARTS.FCT_ENCOUNTERS where loaded_at_timestamp > current_date - 1"))
+                .when(F.col("qtype") == "SELECT", F.concat(F.col("sel"), F.col("tbl"), F.col("join_txt"), F.col("filter_txt")))
                 .when(F.col("qtype") == "INSERT", F.concat(F.lit("INSERT INTO "), F.col("tbl"), F.lit(" SELECT * FROM staging_batch"),
                                                          F.col("filter_txt")))
                 .when(F.col("qtype") == "MERGE", F.concat(F.lit("MERGE INTO "), F.col("tbl"), F.lit(" USING updates"),
