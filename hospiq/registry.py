@@ -519,3 +519,38 @@ def _o12(w: Warehouse) -> DataFrame:
 @query("o13_incident_scope")
 def _o13(w: Warehouse) -> DataFrame:
     return O.incident_scope(w.hipaa_audit_trail, "USER_5", "HOSP_0005")
+
+
+# ------------------------------------------------------------------ ingest (A) / streaming (P)
+from .sources import ingest as A  # noqa: E402
+from .sources.schemas import conform  # noqa: E402
+from .streaming import micro_batch as P  # noqa: E402
+
+
+@query("a07_conform_raw_encounters")
+def _a07(w: Warehouse) -> DataFrame:
+    return conform(w.raw.encounters, "raw_encounters")
+
+
+@query("a05_epoch_micros_roundtrip")
+def _a05(w: Warehouse) -> DataFrame:
+    ev = w.raw._t("events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_micros"))
+    return ev.select("event_id", "ts_micros", A.epoch_micros_to_timestamp("ts_micros").alias("ts"),
+                     F.to_date(A.epoch_micros_to_timestamp("ts_micros")).alias("event_date"))
+
+
+@query("a19_source_freshness")
+def _a19(w: Warehouse) -> DataFrame:
+    return A.source_freshness({"raw_encounters": w.raw.encounters, "raw_billing_transactions": w.raw.billing_transactions,
+                               "raw_vital_signs": w.raw.vital_signs, "raw_patients": w.raw.patients},
+                              f"{w.as_of} 00:00:00", opt_out=("raw_patients",))
+
+
+@query("p01_windowed_counts")
+def _p01(w: Warehouse) -> DataFrame:
+    return P.windowed_counts(w.raw._t("events"), "ts", 3, ("event_type",))
+
+
+@query("p03_freshness_per_tenant")
+def _p03(w: Warehouse) -> DataFrame:
+    return P.freshness_per_tenant(w.raw.encounters)
