@@ -429,7 +429,8 @@ SELECT *, CASE WHEN result_value_numeric > prev THEN 'Increasing' WHEN result_va
     AS lab_panel_category
 FROM (
   SELECT r.*, lo.completion_time_hours AS order_completion_hours
-  FROM (SELECT *, lag(result_value_numeric) OVER w AS prev, row_number() OVER w AS result_sequence
+  FROM (SELECT *, lag(result_value_numeric) OVER w AS prev, row_number() OVER w AS result_sequence,
+               lag(result_datetime) OVER w AS prev_t
         FROM stg_results WHERE result_type = 'LAB'
         WINDOW w AS (PARTITION BY patient_id, test_code ORDER BY result_datetime, result_id)) r
   JOIN stg_hospitals h ON r.hospital_id = h.hospital_id
@@ -791,11 +792,13 @@ FROM (
 cte("int_prior_auth", ["stg_prior_auth", "r_payers", "stg_billing"], """
 SELECT a.*, p.payer_name, p.payer_type, CAST(date_trunc('month', a.request_date) AS DATE) AS request_month,
   c.encounter_charges, coalesce(c.has_prior_auth_denial, FALSE) AS has_prior_auth_denial,
+  coalesce(c.has_claim_denial, FALSE) AS has_claim_denial,
   CASE WHEN a.is_denied OR a.is_pending THEN coalesce(c.encounter_charges, 0) ELSE 0 END AS charges_at_risk,
   {exp}
 FROM stg_prior_auth a LEFT JOIN r_payers p ON a.payer_id = p.payer_id
 LEFT JOIN (SELECT hospital_id, encounter_id, sum(charge_amount) AS encounter_charges,
-             bool_or(lower(denial_reason) LIKE '%prior authorization%') AS has_prior_auth_denial
+             bool_or(lower(denial_reason) LIKE '%prior authorization%') AS has_prior_auth_denial,
+             bool_or(is_denied) AS has_claim_denial
            FROM stg_billing GROUP BY hospital_id, encounter_id) c
   ON a.encounter_id = c.encounter_id AND a.hospital_id = c.hospital_id""".replace(
     "{exp}", f"coalesce(a.expiration_date IS NOT NULL AND date_diff('day', {AS_OF}, a.expiration_date) BETWEEN 0 AND 30, FALSE) AS expiring_soon"))
@@ -804,7 +807,7 @@ cte("int_referrals", ["stg_referrals", "stg_encounters"], """
 SELECT *, CASE WHEN days_to_appointment IS NULL THEN NULL ELSE days_to_appointment <= sla END AS scheduled_within_sla,
   coalesce(is_completed AND (NOT coalesce(follow_up_required, FALSE) OR coalesce(follow_up_completed, FALSE)), FALSE)
     AS is_closed_loop
-FROM (SELECT r.*, CAST(date_trunc('month', r.referral_date) AS DATE) AS referral_month,
+FROM (SELECT r.*, e.encounter_type AS source_encounter_type, CAST(date_trunc('month', r.referral_date) AS DATE) AS referral_month,
         CASE upper(r.urgency) WHEN 'EMERGENT' THEN 2 WHEN 'URGENT' THEN 7 ELSE 30 END AS sla
       FROM stg_referrals r LEFT JOIN stg_encounters e ON r.encounter_id = e.encounter_id AND r.hospital_id = e.hospital_id)""")
 
@@ -873,3 +876,8 @@ FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 6 = 2) u,
      (SELECT 0 AS k UNION ALL SELECT 1) ks,
      LATERAL (SELECT CASE WHEN k = 0 THEN {T('user_id % 25')} ELSE {T('(user_id + 1) % 25')} END AS h,
                      CASE WHEN k = 0 THEN DATE '2099-12-31' ELSE DATE '2023-12-31' END AS e)""")
+
+cte("r_vitals_extra", ["r_vitals"], "SELECT vital_id, bmi FROM r_vitals")
+
+cte("r_vitals_map", ["r_vitals"], """
+SELECT vital_id, CAST((systolic_bp + 2 * diastolic_bp) // 3 AS BIGINT) AS map_mmhg FROM r_vitals""")

@@ -554,3 +554,260 @@ def _p01(w: Warehouse) -> DataFrame:
 @query("p03_freshness_per_tenant")
 def _p03(w: Warehouse) -> DataFrame:
     return P.freshness_per_tenant(w.raw.encounters)
+
+
+# ------------------------------------------------------------------ staging (B)
+@query("b01_stg_billing")
+def _b01(w: Warehouse) -> DataFrame:
+    return w.billing.select("transaction_id", "hospital_id", "payment_status", fn.r4("collected_amount").alias("collected_amount"),
+                            fn.r4("denied_amount").alias("denied_amount"), fn.r4("collection_rate_pct").alias("collection_rate_pct"),
+                            "is_denied", "is_paid", "is_pending")
+
+
+@query("b02_stg_care_plans")
+def _b02(w: Warehouse) -> DataFrame:
+    return w.care_plans.select("care_plan_id", "hospital_id", "plan_status", "is_active_plan", "is_completed_plan",
+                               "is_discontinued_plan", "plan_duration_days", "days_to_target",
+                               "days_since_last_evaluation", "overdue_for_evaluation", "past_target_date")
+
+
+@query("b03_stg_clinical_orders")
+def _b03(w: Warehouse) -> DataFrame:
+    return w.clinical_orders.select("order_id", "hospital_id", "order_type", "is_completed", "is_cancelled",
+                                    "is_stat_order", "completion_time_hours", "scheduled_delay_hours")
+
+
+@query("b04_stg_clinical_results")
+def _b04(w: Warehouse) -> DataFrame:
+    return w.clinical_results.select("result_id", "hospital_id", "abnormal_flag", "is_abnormal", "is_high", "is_low",
+                                     "is_final", "is_preliminary", "turnaround_time_hours",
+                                     fn.r4("out_of_range_value").alias("out_of_range_value"))
+
+
+@query("b05_stg_encounters")
+def _b05(w: Warehouse) -> DataFrame:
+    return w.encounters.select("encounter_id", "hospital_id", "patient_id", "encounter_type", "admission_day_of_week",
+                               "admission_day_of_week_num", "is_readmission", "days_since_last_discharge",
+                               "days_since_last_inpatient_discharge", "previous_encounter_id",
+                               "previous_inpatient_encounter_id", "is_mortality", "is_emergency", "is_transfer")
+
+
+@query("b06_stg_facilities")
+def _b06(w: Warehouse) -> DataFrame:
+    return w.facilities.select("facility_id", "hospital_id", "facility_type", "bed_capacity")
+
+
+@query("b07_stg_medication_administration")
+def _b07(w: Warehouse) -> DataFrame:
+    return w.medication_administration.select("admin_id", "hospital_id", "is_given", "is_refused", "is_held", "is_missed",
+                                              "is_verified", "is_witnessed", "administration_delay_minutes",
+                                              "is_late_administration")
+
+
+@query("b08_stg_patient_allergies")
+def _b08(w: Warehouse) -> DataFrame:
+    return w.patient_allergies.select("allergy_id", "hospital_id", "is_active", "is_life_threatening", "is_severe",
+                                      "is_drug_allergy", "is_food_allergy", "is_anaphylaxis", "allergy_duration_days")
+
+
+@query("b09_stg_patient_coverage")
+def _b09(w: Warehouse) -> DataFrame:
+    return w.patient_coverage.select("coverage_id", "hospital_id", "is_active", "is_primary", "is_secondary",
+                                     "is_self_insured", fn.r4("deductible_remaining").alias("deductible_remaining"),
+                                     fn.r4("out_of_pocket_remaining").alias("out_of_pocket_remaining"),
+                                     fn.r4("deductible_met_pct").alias("deductible_met_pct"),
+                                     fn.r4("out_of_pocket_met_pct").alias("out_of_pocket_met_pct"), "coverage_duration_days")
+
+
+@query("b10_stg_patients")
+def _b10(w: Warehouse) -> DataFrame:
+    return w.patients.select("patient_id", "hospital_id", "birth_year", "age_years", "is_age_90_plus", "age_group",
+                             "zip_code_3digit", "gender")
+
+
+@query("b11_stg_prior_authorizations")
+def _b11(w: Warehouse) -> DataFrame:
+    return w.prior_authorizations.select("auth_id", "hospital_id", "is_approved", "is_denied", "is_pending",
+                                         fn.r4("units_utilization_pct").alias("units_utilization_pct"),
+                                         "is_fully_utilized", "days_to_decision", "auth_duration_days",
+                                         "days_to_expiration", "is_expired", "expiring_soon")
+
+
+@query("b12_stg_problem_list")
+def _b12(w: Warehouse) -> DataFrame:
+    return w.problem_list.select("problem_id", "hospital_id", "is_active", "is_resolved", "problem_duration_days",
+                                 "days_since_last_review")
+
+
+@query("b13_stg_providers")
+def _b13(w: Warehouse) -> DataFrame:
+    return w.providers.select("provider_id", "hospital_id", "provider_full_name", "years_of_service")
+
+
+@query("b14_stg_quality_measures")
+def _b14(w: Warehouse) -> DataFrame:
+    return w.quality_measures.select("measure_id", "hospital_id", "is_measure_eligible", "is_numerator_met",
+                                     "is_compliant", "gap_in_care", "met_antibiotic_timeliness",
+                                     "met_balloon_timeliness", "met_needle_timeliness")
+
+
+@query("b15_stg_referrals")
+def _b15(w: Warehouse) -> DataFrame:
+    return w.referrals.select("referral_id", "hospital_id", "is_completed", "is_pending", "is_cancelled", "is_urgent",
+                              "days_to_appointment", "days_to_completion", "follow_up_overdue", "overdue_for_appointment")
+
+
+@query("b16_stg_sdoh_screenings")
+def _b16(w: Warehouse) -> DataFrame:
+    return w.sdoh_screenings.select("screening_id", "hospital_id", "has_housing_risk", "has_food_insecurity",
+                                    "has_transportation_barriers", "has_financial_strain", "has_high_social_isolation",
+                                    "has_safety_concerns", "total_sdoh_risk_count", "sdoh_risk_category")
+
+
+@query("b17_stg_vital_signs")
+def _b17(w: Warehouse) -> DataFrame:
+    return w.vital_signs.select("vital_id", "hospital_id", "is_febrile", "is_hypothermic", "is_tachycardic",
+                                "is_bradycardic", "is_tachypneic", "is_bradypneic", "is_hypertensive", "is_hypotensive",
+                                "is_hypoxic", "is_obese", "has_severe_pain", "news_respiratory_score",
+                                "news_oxygen_score", "news_systolic_score", "news_heart_rate_score")
+
+
+@query("b18_stg_procedures")
+def _b18(w: Warehouse) -> DataFrame:
+    return w.procedures.select("procedure_code", fn.r4("typical_charge_midpoint").alias("typical_charge_midpoint"),
+                               fn.r4("typical_charge_range").alias("typical_charge_range"))
+
+
+# ------------------------------------------------------------------ enrichment (J) and scores (I)
+@query("j01_encounters_enriched")
+def _j01(w: Warehouse) -> DataFrame:
+    return w.encounters_enriched.select("encounter_id", "hospital_id", "hospital_name", "age_group", "provider_full_name",
+                                        "specialty", "facility_type", "diagnosis_category", "severity_level", "is_chronic")
+
+
+@query("j02_patient_journey")
+def _j02(w: Warehouse) -> DataFrame:
+    return w.patient_journey.select("encounter_id", "hospital_id", "patient_total_encounters", "patient_inpatient_count",
+                                    "patient_emergency_count", "patient_chronic_conditions", "patient_risk_category",
+                                    "days_since_last_discharge", "is_30day_return", "is_7day_return")
+
+
+@query("j03_vitals_enriched")
+def _j03(w: Warehouse) -> DataFrame:
+    return w.vitals_enriched.select("vital_id", "hospital_id", "measurement_sequence", "total_news_score",
+                                    "news_risk_category", "news2_partial_score", "qsofa_partial_score",
+                                    "minutes_since_last_vitals", "heart_rate_change", "rapid_deterioration_flag",
+                                    "encounter_day_of_measurement", "encounter_hour_of_measurement", "sepsis_alert",
+                                    "hypertensive_crisis_alert", "respiratory_distress_alert")
+
+
+@query("j04_orders_enriched")
+def _j04(w: Warehouse) -> DataFrame:
+    return w.orders_enriched.select("order_id", "hospital_id", "ordering_provider_specialty", "result_is_final",
+                                    "result_turnaround_hours", "order_to_result_hours", "encounter_day_of_order",
+                                    "stat_order_delayed", "lab_turnaround_delayed", "radiology_delayed")
+
+
+@query("j05_lab_results_enriched")
+def _j05(w: Warehouse) -> DataFrame:
+    return w.lab_results_enriched.select("result_id", "hospital_id", "result_sequence", "trend_direction",
+                                         "is_critical_value", "lab_panel_category", "days_since_previous_result",
+                                         fn.r4("result_change").alias("result_change"),
+                                         fn.r4("result_change_pct").alias("result_change_pct"),
+                                         fn.r4("percent_above_range").alias("percent_above_range"),
+                                         "encounter_day_of_result", "order_completion_hours")
+
+
+@query("j06_medication_safety")
+def _j06(w: Warehouse) -> DataFrame:
+    return w.medication_safety.select("admin_id", "hospital_id", "potential_allergy_conflict", "conflicting_allergen",
+                                      "conflicting_allergy_severity", "given_despite_allergy",
+                                      "given_without_verification", "late_administration", "is_high_risk_medication",
+                                      "iv_given_without_witness", "encounter_day_of_admin", "hours_from_order_to_admin")
+
+
+@query("j08_revenue_cycle")
+def _j08(w: Warehouse) -> DataFrame:
+    return w.revenue_cycle.select("transaction_id", "hospital_id", "payer_type", "days_in_ar",
+                                  fn.r4("expected_payment").alias("expected_payment"),
+                                  fn.r4("payment_variance").alias("payment_variance"), "is_over_30_days",
+                                  "is_over_60_days", "is_over_90_days", "ar_aging_bucket")
+
+
+@query("j09_prior_auth_enriched")
+def _j09(w: Warehouse) -> DataFrame:
+    return w.prior_auth_enriched.select("auth_id", "hospital_id", "payer_type", "request_month",
+                                        "decision_turnaround_bucket", fn.r4("encounter_charges").alias("encounter_charges"),
+                                        "has_claim_denial", "has_prior_auth_denial",
+                                        fn.r4("charges_at_risk").alias("charges_at_risk"))
+
+
+@query("j10_measure_results")
+def _j10(w: Warehouse) -> DataFrame:
+    return w.measure_results.select("measure_id", "hospital_id", "measure_code", "time_to_treatment_minutes",
+                                    "target_minutes", "is_timed_measure", "met_time_target", "is_performance_met")
+
+
+@query("j11_referrals_enriched")
+def _j11(w: Warehouse) -> DataFrame:
+    return w.referrals_enriched.select("referral_id", "hospital_id", "referral_month", "source_encounter_type",
+                                       "scheduling_sla_days", "scheduled_within_sla", "is_closed_loop")
+
+
+@query("i06_vital_scores")
+def _i06(w: Warehouse) -> DataFrame:
+    """Bedside scores per vital-sign row: NEWS2 (+level), MEWS (+category),
+    qSOFA, APACHE II physiology + age (+mortality band), SOFA cardiovascular."""
+    from .functions import scores as S
+    v = w.vitals_enriched
+    t_c = S.f_to_c("temperature_f")
+    apache = S.apache_ii(age="age_years", temperature_c=t_c, map_mmhg="map_mmhg", heart_rate="heart_rate_bpm",
+                         respiratory_rate="respiratory_rate")
+    return (v.select("vital_id", "hospital_id",
+                     S.news2(respiratory_rate="respiratory_rate", spo2="oxygen_saturation_pct", temperature_c=t_c,
+                             systolic_bp="systolic_bp", heart_rate="heart_rate_bpm",
+                             consciousness_alert=F.col("pain_score") < 9).alias("news2_score"),
+                     S.mews(systolic_bp="systolic_bp", heart_rate="heart_rate_bpm", respiratory_rate="respiratory_rate",
+                            temperature_c=t_c).alias("mews_score"),
+                     S.qsofa("respiratory_rate", "systolic_bp", F.col("pain_score") >= 9).alias("qsofa_score"),
+                     apache.alias("apache_ii_partial"),
+                     S.sofa(map_mmhg="map_mmhg").alias("sofa_cardiovascular"))
+            .withColumn("news2_level", S.news2_level("news2_score"))
+            .withColumn("mews_category", S.mews_category("mews_score"))
+            .withColumn("apache_ii_mortality_pct", S.apache_ii_mortality("apache_ii_partial")))
+
+
+@query("i08_patient_risk_scores")
+def _i08(w: Warehouse) -> DataFrame:
+    """Stroke and bleeding risk per patient from the comorbidity flags."""
+    from .functions import scores as S
+    ci = w.comorbidity_index.join(w.patients.select("patient_id", "hospital_id", "gender"), ["patient_id", "hospital_id"])
+    age = F.col("age_years")
+    cha = S.cha2ds2_vasc(age="age_years", gender="gender", has_chf="has_congestive_heart_failure",
+                         has_stroke_tia="has_cerebrovascular_disease",
+                         has_vascular_disease=F.col("has_myocardial_infarction") | F.col("has_peripheral_vascular_disease"),
+                         has_diabetes=F.col("has_diabetes_without_complications") | F.col("has_diabetes_with_complications"))
+    hb = S.hasbled(F.lit(False), "has_renal_disease",
+                   F.col("has_mild_liver_disease") | F.col("has_moderate_severe_liver_disease"),
+                   "has_cerebrovascular_disease", F.lit(False), F.lit(False), F.coalesce(age > 65, F.lit(False)),
+                   F.lit(False), F.lit(False))
+    return (ci.select("patient_id", "hospital_id", cha.alias("cha2ds2_vasc_score"), hb.alias("hasbled_score"),
+                      "charlson_index")
+            .withColumn("cha2ds2_vasc_category", S.cha2ds2_vasc_category("cha2ds2_vasc_score"))
+            .withColumn("annual_stroke_risk_pct", S.cha2ds2_vasc_annual_stroke_risk("cha2ds2_vasc_score"))
+            .withColumn("hasbled_category", S.hasbled_category("hasbled_score"))
+            .withColumn("annual_bleeding_risk_pct", S.hasbled_annual_bleeding_risk("hasbled_score")))
+
+
+@query("i10_charlson_conditions")
+def _i10(w: Warehouse) -> DataFrame:
+    from .functions import scores as S
+    p = w.problem_list.select("problem_id", "hospital_id", "diagnosis_code")
+    return (p.withColumn("charlson_condition", S.charlson_condition("diagnosis_code"))
+            .withColumn("charlson_weight", S.charlson_weight("charlson_condition")))
+
+
+@query("i13_readmission_rate")
+def _i13(w: Warehouse) -> DataFrame:
+    return (w.encounters.groupBy("hospital_id")
+            .agg(fn.r4(fn.readmission_rate("is_readmission", "encounter_type")).alias("readmission_rate_pct")))
