@@ -349,11 +349,18 @@ CHARLSON_SUPERSEDES = [("diabetes_with_complications", "diabetes_without_complic
                        ("metastatic_solid_tumor", "malignancy")]
 
 
-def charlson_condition(icd10) -> Column:
-    code = F.upper(F.regexp_replace(col(icd10), r"\.", ""))
+def normalize_icd10(icd10) -> Column:
+    """Dots removed, upper-cased."""
+    return F.upper(F.translate(col(icd10), ".", ""))
+
+
+def _charlson_chain(icd10, normalized: bool, value) -> Column:
+    """CASE over the CHARLSON table, first match wins; ``value(i, name)``
+    gives the result of branch i."""
+    code = col(icd10) if normalized else normalize_icd10(icd10)
     p3, p4 = F.substring(code, 1, 3), F.substring(code, 1, 4)
     out = None
-    for name, _w, three, four, ranges in CHARLSON:
+    for i, (name, _w, three, four, ranges) in enumerate(CHARLSON):
         conds = []
         if three:
             conds.append(p3.isin(three))
@@ -363,8 +370,40 @@ def charlson_condition(icd10) -> Column:
         if name == "myocardial_infarction":
             conds.append(code.startswith("I252"))
         cond = reduce(lambda a, b: a | b, conds)
-        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
-    return out.otherwise(F.lit(None))
+        out = F.when(cond, value(i, name)) if out is None else out.when(cond, value(i, name))
+    return out
+
+
+def charlson_condition(icd10, normalized: bool = False) -> Column:
+    """First matching Charlson condition of an ICD-10 code (NULL if none).
+    Pass ``normalized=True`` with a column already holding the normalized
+    code, so the normalisation runs once per row instead of once per branch."""
+    return _charlson_chain(icd10, normalized, lambda i, n: F.lit(n)).otherwise(F.lit(None))
+
+
+def charlson_bit(icd10, normalized: bool = False) -> Column:
+    """1 << (index of the first matching condition), 0 if none: a patient's
+    condition set then reduces with one ``bit_or``."""
+    return _charlson_chain(icd10, normalized, lambda i, n: F.lit(1 << i)).otherwise(F.lit(0))
+
+
+def charlson_prefix_rows() -> list[tuple[int, str, int]]:
+    """(prefix length, prefix, rule index) generated from CHARLSON: 3-char
+    codes, 4-char codes and 3-char ranges expanded (letter + 2 digits).
+    Earlier rules win, so a code keeps the lowest index it matches."""
+    rows = []
+    for i, (name, _w, three, four, ranges) in enumerate(CHARLSON):
+        rows += [(3, x, i) for x in three]
+        rows += [(4, x, i) for x in four]
+        for lo, hi in ranges:
+            letter, a, b = lo[0], int(lo[1:]), int(hi[1:])
+            rows += [(3, f"{letter}{k:02d}", i) for k in range(a, b + 1)]
+        if name == "myocardial_infarction":
+            rows.append((4, "I252", i))
+    best: dict[tuple[int, str], int] = {}
+    for ln, px, i in rows:
+        best[(ln, px)] = min(i, best.get((ln, px), i))
+    return [(ln, px, i) for (ln, px), i in sorted(best.items())]
 
 
 def charlson_weight(condition) -> Column:

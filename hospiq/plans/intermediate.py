@@ -363,14 +363,28 @@ def comorbidity_index(patients: DataFrame, problems: DataFrame, encounters: Data
     sum with severe-supersedes-mild -> age points and severity band."""
     from ..functions import scores as S
     c = F.col
+    # union (no distinct needed: the per-patient reduction is an idempotent bit_or)
     dx = (problems.filter(c("is_active")).select("hospital_id", "patient_id", "diagnosis_code")
-          .union(encounters.filter(c("primary_diagnosis_code").isNotNull())
-                 .select("hospital_id", "patient_id", c("primary_diagnosis_code").alias("diagnosis_code")))
-          .distinct())
+          .unionByName(encounters.filter(c("primary_diagnosis_code").isNotNull())
+                       .select("hospital_id", "patient_id", c("primary_diagnosis_code").alias("diagnosis_code"))))
     names = [n for n, *_ in S.CHARLSON]
-    mapped = dx.select("hospital_id", "patient_id", S.charlson_condition("diagnosis_code").alias("cond"))
-    flags = (mapped.filter(c("cond").isNotNull()).groupBy("hospital_id", "patient_id")
-             .agg(*[F.bool_or(c("cond") == n).alias(f"has_{n}") for n in names]))
+    # I10 as a lookup: a ~250-row prefix table generated from the rule lists
+    # (fixed size, broadcast); each code probes its 3- and 4-character
+    # prefix and keeps the earliest rule it matches.
+    spark = dx.sparkSession
+    px = spark.createDataFrame(S.charlson_prefix_rows(), "plen int, prefix string, rule int")
+    p3 = F.broadcast(px.filter(c("plen") == 3).select(c("prefix").alias("_p3"), c("rule").alias("_r3")))
+    p4 = F.broadcast(px.filter(c("plen") == 4).select(c("prefix").alias("_p4"), c("rule").alias("_r4")))
+    code = S.normalize_icd10("diagnosis_code")
+    probed = (dx.select("hospital_id", "patient_id", F.substring(code, 1, 3).alias("_p3"),
+                        F.substring(code, 1, 4).alias("_p4"))
+              .join(p3, "_p3", "left").join(p4, "_p4", "left")
+              .select("hospital_id", "patient_id", F.least("_r3", "_r4").alias("_rule"))
+              .filter(c("_rule").isNotNull()))
+    masks = (probed.groupBy("hospital_id", "patient_id")
+             .agg(F.bit_or(F.expr("shiftleft(1, _rule)")).alias("_mask")))
+    flags = masks.select("hospital_id", "patient_id",
+                         *[((c("_mask").bitwiseAND(F.lit(1 << i))) != 0).alias(f"has_{n}") for i, n in enumerate(names)])
     superseded = {mild: severe for severe, mild in S.CHARLSON_SUPERSEDES}
     p = patients.select("hospital_id", "patient_id", "age_years").join(flags, ["patient_id", "hospital_id"], "left")
     for n in names:
