@@ -811,3 +811,52 @@ def _i10(w: Warehouse) -> DataFrame:
 def _i13(w: Warehouse) -> DataFrame:
     return (w.encounters.groupBy("hospital_id")
             .agg(fn.r4(fn.readmission_rate("is_readmission", "encounter_type")).alias("readmission_rate_pct")))
+
+
+# ------------------------------------------------------------------ remaining primitives (B19, D18, F04, G02, H)
+@query("g02_union_distinct_diagnoses")
+def _g02(w: Warehouse) -> DataFrame:
+    prob = w.problem_list.filter(F.col("is_active")).select("hospital_id", "patient_id", "diagnosis_code")
+    enc = w.encounters.select("hospital_id", "patient_id", F.col("primary_diagnosis_code").alias("diagnosis_code"))
+    return prob.union(enc).distinct()
+
+
+@query("h15_json_field_access")
+def _h15(w: Warehouse) -> DataFrame:
+    ev = w.raw._t("events")
+    return ev.select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"),
+                     F.from_json("props", "k int").getField("k").alias("k_struct"))
+
+
+@query("h_scalar_helpers")
+def _h(w: Warehouse) -> DataFrame:
+    """H08 age buckets / flags, H11 length of stay, H12 A/R ageing bucket,
+    H13 tenant surrogate key, H14 severity rank, H09 strict least, H16 split."""
+    e = w.encounters_enriched.join(w.raw.patients.select("patient_id", "date_of_birth"), "patient_id")
+    return e.select(
+        "encounter_id", "hospital_id",
+        fn.age_bucket("age_years").alias("age_bucket"), fn.is_pediatric("age_years").alias("is_pediatric"),
+        fn.is_geriatric("age_years").alias("is_geriatric"),
+        fn.los_midnights("admission_date", "discharge_date").alias("los_midnights"),
+        fn.ar_aging_bucket(fn.boundary_diff("day", "admission_date", F.lit(w.as_of).cast("date"))).alias("ar_bucket"),
+        fn.tenant_surrogate_key("encounter_id").alias("encounter_key"),
+        fn.severity_rank(F.upper("severity_level")).alias("severity_rank"),
+        fn.least_strict(fn.age_years("date_of_birth", F.lit(w.as_of).cast("date")), F.lit(90)).alias("age_capped"),
+        F.size(fn.split_list(F.lit("a, b ,c"))).alias("n_parts"))
+
+
+@query("f04_top5_hospitals_by_occupancy")
+def _f04(w: Warehouse) -> DataFrame:
+    from .plans import reports as O
+    comp = O.tenant_comparison(w.hospitals, w.clinical_quality_metrics, w.hipaa_audit_trail, w.operational_metrics,
+                               w.as_of, w.event_as_of, days=60)
+    return O.top_hospitals(comp, "bed_occupancy_rate_pct", 5)
+
+
+@query("d18_latest_vital_per_patient")
+def _d18(w: Warehouse) -> DataFrame:
+    from pyspark.sql import Window
+    v = w.vitals_enriched.select("patient_id", "hospital_id", "vital_id", "measurement_datetime", "total_news_score")
+    win = Window.partitionBy("patient_id", "hospital_id").orderBy(F.col("measurement_datetime").desc(),
+                                                                  F.col("vital_id").desc())
+    return v.withColumn("_rn", F.row_number().over(win)).filter(F.col("_rn") == 1).drop("_rn")
