@@ -52,14 +52,12 @@ def apply_semantics(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is missing (local tests) a scratch folder is created
-    and registered, so that ``DataFrame.checkpoint()`` works everywhere.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="hospiq-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    The setting is read from the session (or the SparkContext conf). Only
+    when it is missing - local tests - a scratch folder is created for the
+    run; the cluster's setting is never overridden."""
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
+    if not current:
+        current = tempfile.mkdtemp(prefix="hospiq-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    spark.sparkContext.setCheckpointDir(current)
+    return current
