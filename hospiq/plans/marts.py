@@ -8,6 +8,8 @@ Expand rewrite of distinct aggregates."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -823,27 +825,31 @@ AUTHORIZED_ROLES = ["ACCOUNTADMIN", "SYSADMIN", "HIPAA_AUDITOR", "DBT_DEV_ROLE",
 
 
 def phi_access_log(history: DataFrame, since=None, database: str | None = None) -> DataFrame:
-    """C11 text-contains join against the fixed PHI table list, evaluated as a
-    higher-order filter over a 13-element literal array per query row: the
-    inner join + group-by-query of the warehouse becomes a map-only step
-    (no join, no shuffle)."""
+    """C11 text-contains join against the fixed PHI table list, evaluated per
+    query row as 13 code-generated ``contains`` flags (names collected with
+    ``array_compact``, level with ``greatest``): the inner join +
+    group-by-query of the warehouse becomes a map-only step (no join, no
+    shuffle)."""
     c = F.col
     q = history.filter(c("execution_status") == "SUCCESS")
     if database is not None:
         q = q.filter(c("database_name") == database)
     if since is not None:
         q = q.filter(c("start_time") > since)
-    phi = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(t).alias("t"), F.lit(lv).alias("lv")) for s, t, lv in PHI_TABLES])
     up = F.upper(c("query_text"))
-    hits = F.filter(phi, lambda x: up.contains(F.concat(x["s"], F.lit("."), x["t"])) | up.contains(x["t"]))
+    # one code-generated flag per listed table (schema-qualified or bare name)
+    flags = {t: up.contains(f"{s}.{t}") | up.contains(t) for s, t, _lv in PHI_TABLES}
+    names = F.array_compact(F.array(*[F.when(f, F.lit(t)) for t, f in flags.items()]))
+    level = F.greatest(*[F.when(flags[t], F.lit(lv)) for _s, t, lv in PHI_TABLES])   # max(), NULLs skipped
+    any_hit = reduce(lambda a, b: a | b, flags.values())
     role = c("role_name")
     rows_mod = c("rows_inserted") + c("rows_updated") + c("rows_deleted")
-    return (q.withColumn("_hits", hits).filter(F.size("_hits") > 0).select(
+    return (q.filter(any_hit).select(
         "query_id", c("start_time").alias("access_timestamp"), "user_name", "role_name", "session_id",
         "database_name", "schema_name", "warehouse_name", "query_text", "execution_status", "rows_produced",
         rows_mod.alias("rows_modified"), "bytes_scanned", "execution_time", "total_elapsed_time", "query_type",
-        F.array_join(F.array_sort(F.array_distinct(F.transform("_hits", lambda x: x["t"]))), ", ").alias("phi_tables_accessed"),
-        F.array_max(F.transform("_hits", lambda x: x["lv"])).alias("highest_phi_level"),
+        F.array_join(F.array_sort(names), ", ").alias("phi_tables_accessed"),
+        level.alias("highest_phi_level"),
         hospital_from_query("query_text").alias("hospital_id_filter"),
         F.when(c("query_type") == "SELECT", "READ").when(c("query_type").isin("INSERT", "UPDATE", "DELETE", "MERGE"), "WRITE")
         .when(c("query_type").isin("CREATE", "ALTER", "DROP"), "DDL").otherwise("OTHER").alias("access_type"),
