@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, langid, mixing, token_count
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op4_language_id": langid.query,
+    "op5_token_counts": token_count.query,
     "op10_mixing": mixing.query,
 }
 
