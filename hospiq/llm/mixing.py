@@ -89,11 +89,14 @@ def plan(sources: DataFrame, seed: int, block_words: int = BLOCK_WORDS) -> DataF
 def slots(planned: DataFrame, seed: int) -> DataFrame:
     """``source, block, shard, slot_key``: one row for each block slot of the mix."""
     per = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    part = 1 << 16
+    part = 1 << 13
+    parts = int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = (planned.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.sum("n_slots").over(per) / SHARD_SLOTS)))
             .filter("n_slots > 0")
             .withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_slots") - 1, F.lit(part).cast("long"))))
-            .repartition(F.col("source"), F.col("first")))
+            # a run is one small row that makes many: a fixed number of partitions
+            # keeps adaptive execution from packing all runs into one task
+            .repartition(parts, F.col("source"), F.col("first")))
     n = runs.withColumn("n", F.explode(F.sequence(
         F.col("first"), F.least(F.col("first") + part, F.col("n_slots")) - 1)))
     slot_key = F.xxhash64("key", "n", F.lit(seed + 1))
@@ -144,19 +147,21 @@ def mix(docs: DataFrame, seed: int = 20240601, weights=WEIGHTS, max_epochs: int
     fill = pieces(sizes, planned, seed)
     deal = slots(planned, seed)
     uses = deal.groupBy("source", "block").agg(F.count(F.lit(1)).alias("uses"))
-    u = uses.select(F.col("source").alias("u_source"), F.col("block").alias("u_block"), "uses")
+    # the planner sees a few source rows here, not the slots made from them:
+    # without the hint it would broadcast a side that grows with the data
+    u = uses.select(F.col("source").alias("u_source"), F.col("block").alias("u_block"), "uses").hint("merge")
     same = F.col("source").eqNullSafe(F.col("u_source")) & (F.col("block") == F.col("u_block"))
     taken = (fill.join(u, same).groupBy("doc_id", "source", "size")
              .agg(F.sum(F.col("words") * F.col("uses")).alias("all"), F.max("copies").alias("copies"))
              .select(F.col("doc_id").alias("t_id"), F.col("source").alias("t_source"), F.col("size").alias("t_size"),
-                     F.least(F.ceil(F.col("all") / F.col("copies")), F.col("size") * max_epochs).alias("taken")))
+                     F.least(F.ceil(F.col("all") / F.col("copies")), F.col("size") * max_epochs).alias("taken")).hint("merge"))
     s = sources.select(F.col("source").alias("s_source"), "source_size", "target")
     decisions = (sizes.join(s, F.col("source").eqNullSafe(F.col("s_source")))
                  .join(taken, F.col("doc_id").eqNullSafe(F.col("t_id")) & F.col("source").eqNullSafe(F.col("t_source"))
                        & (F.col("size") == F.col("t_size")), "left")
                  .select("doc_id", "source", "size", "source_size", "target",
                          F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
-    d = deal.select(F.col("source").alias("u_source"), F.col("block").alias("u_block"), "shard", "slot_key")
+    d = deal.select(F.col("source").alias("u_source"), F.col("block").alias("u_block"), "shard", "slot_key").hint("merge")
     manifest = fill.join(d, same).select("shard", "slot_key", "source", "block", "doc_id", "from_word", "words")
     return decisions, manifest
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, mixing, token_count
+from . import chat_format, exact_dedup, langid, mixing, secret_scan, token_count
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op3_chat_format": chat_format.query,
     "op4_language_id": langid.query,
     "op5_token_counts": token_count.query,
+    "op6_secret_scan": secret_scan.query,
     "op10_mixing": mixing.query,
 }
 
-SQL = {"op1_exact_dedup": exact_dedup.SQL}
+SQL = {"op3_chat_format": chat_format.SQL, "op1_exact_dedup": exact_dedup.SQL}
