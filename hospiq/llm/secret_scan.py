@@ -7,10 +7,9 @@ from a bounded sample of passages in which the base spans are the labels, with
 the neighbouring words hidden now and then, so that shape and context both
 count. All of a text is tokenised, scored and decoded with numpy.
 
-Decoding is exact Viterbi. A token whose score for *outside* exceeds its other
-scores by more than all transitions together could make up is outside on the
-best path, so the chain falls apart there, and only the short runs between
-such tokens are searched.
+Decoding is exact Viterbi: a bound on what a run of tags can add shows where
+the best path is surely *outside*, so the chain falls apart there, and only the
+short intervals around promising tokens are searched.
 """
 
 from __future__ import annotations
@@ -33,9 +32,9 @@ HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "crf")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-PASSAGES = 600          # passages to learn from with a base span, and as many from other texts
-PASSAGE = 1500          # characters of one
-EPOCHS, RATE, DECAY = 80, 0.3, 1e-4
+PASSAGES = 300          # passages to learn from with a base span, and as many from other texts
+PASSAGE = 500           # characters of one
+EPOCHS, RATE, DECAY = 40, 0.3, 1e-4
 WORDS = 4096            # hash buckets of a word feature
 B, I, O = 0, 1, 2
 
@@ -206,31 +205,53 @@ class CRF:
             self.unary -= (RATE * g / np.sqrt(g2u)).astype(np.float32)
             self.step -= (RATE * gs / np.sqrt(g2s)).astype(np.float32)
 
-    def margins(self) -> np.ndarray:
-        """By how much *outside* must lead B and I so that no neighbours can
-        make up for it (missing neighbours included)."""
-        t = np.zeros((4, 4))
-        t[:3, :3] = self.step                             # 3: no neighbour
-        gain = [[max(t[a, s] + t[s, b] - t[a, O] - t[O, b] for a in range(4) for b in range(4))] for s in (B, I)]
-        return np.array(gain, np.float32)[:, 0]
+    def undecided(self, u: np.ndarray, row: np.ndarray) -> list[tuple[int, int]]:
+        """Intervals [a, b) outside of which the best path is surely *outside*.
+
+        Turning a run of B and I tags into O changes the path's score by at
+        least -(edge + sum of gain over the run), where ``gain`` bounds what a
+        token and one inner transition can add and ``edge`` what the two ends
+        can. So a run on the best path holds a seed (gain > -edge), and reaches
+        no further from its seeds than their gains pay for."""
+        t = self.step
+        inner = max(t[p, q] for p in (B, I) for q in (B, I)) - t[O, O]
+        enter = max(0.0, t[O, B] - t[O, O], t[O, I] - t[O, O])      # 0: a text's first token
+        leave = max(0.0, t[B, O] - t[O, O], t[I, O] - t[O, O])
+        edge = max(0.0, float(enter + leave - inner))
+        gain = np.maximum(u[:, B], u[:, I]) - u[:, O] + inner
+        seeds = np.flatnonzero(gain > -edge)
+        if not len(seeds):
+            return []
+        pay = np.bincount(row[seeds], np.maximum(gain[seeds], 0)) + edge
+        out: list[list[int]] = []
+        for p in seeds.tolist():
+            r, budget = row[p], float(pay[row[p]])
+            if out and p < out[-1][1] and row[out[-1][1] - 1] == r:
+                a = out[-1][0]
+            else:
+                a, left = p, budget
+                while a > 0 and row[a - 1] == r and left > 0:
+                    a -= 1
+                    left += min(float(gain[a]), 0.0)
+            b, left = p + 1, budget
+            while b < len(row) and row[b] == r and left > 0:
+                left += min(float(gain[b]), 0.0)
+                b += 1
+            if out and a <= out[-1][1] and row[out[-1][1] - 1] == r:
+                out[-1][1] = max(out[-1][1], b)
+            else:
+                out.append([a, b])
+        return [(a, b) for a, b in out]
 
     def decode(self, tokens: Tokens) -> np.ndarray:
         u = self.scores(tokens.features)
         tags = np.full(len(u), O, np.int8)
-        lead = u[:, O, None] - u[:, [B, I]]
-        open_ = np.flatnonzero((lead <= self.margins()).any(1))
-        if not len(open_):
-            return tags
-        # runs of undecided tokens of one row
-        cut = np.flatnonzero((np.diff(open_) > 1) | (np.diff(tokens.row[open_]) > 0)) + 1
         step = self.step.tolist()
-        last = len(u) - 1
-        for run in np.split(open_, cut):
-            a, b = int(run[0]), int(run[-1])
+        for a, b in self.undecided(u, tokens.row):
             r = tokens.row[a]
             left = a > 0 and tokens.row[a - 1] == r
-            right = b < last and tokens.row[b + 1] == r
-            us = u[a:b + 1].tolist()
+            right = b < len(u) and tokens.row[b] == r
+            us = u[a:b].tolist()
             best = [x + (step[O][s] if left else 0.0) for s, x in enumerate(us[0])]
             back = []
             for x in us[1:]:
@@ -238,13 +259,27 @@ class CRF:
                 best = [best[choice[s]] + step[choice[s]][s] + x[s] for s in range(3)]
                 back.append(choice)
             s = max(range(3), key=lambda q: best[q] + (step[q][O] if right else 0.0))
-            for t in range(b, a - 1, -1):
+            for t in range(b - 1, a - 1, -1):
                 tags[t] = s
                 if t > a:
                     s = back[t - a - 1][s]
         return tags
 
 
+def varied(text: str, rng: np.random.Generator) -> str:
+    """The passage with each base value replaced by a random one of another
+    alphabet and length, so that not only the shapes at hand are learned."""
+    alphabets = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+                 "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+                 "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-")
+
+    def other(m):
+        letters = alphabets[int(rng.integers(len(alphabets)))]
+        value = "".join(letters[k] for k in rng.integers(len(letters), size=int(rng.integers(16, 49))))
+        return m[0][: m.start(2) - m.start()] + value
+    return ASSIGN.sub(lambda m: other(m) if len(m[2]) >= 8 else m[0], text)
+
+
 def labelled_sequence(text: str) -> tuple[np.ndarray, np.ndarray] | None:
     """Features and tags of a passage; the values of its base spans are secret."""
     raw = text.encode()
@@ -264,6 +299,15 @@ def labelled_sequence(text: str) -> tuple[np.ndarray, np.ndarray] | None:
     return tokens.features, y
 
 
+def learn(passages: list[str], seed: int = 17) -> CRF:
+    """Train on passages as they are, and on varied ones of those with a secret."""
+    rng = np.random.default_rng(seed)
+    more = [varied(p, rng) for p in passages if ASSIGN.search(p)]
+    model = CRF()
+    model.train([s for p in passages + more if (s := labelled_sequence(p)) is not None])
+    return model
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> CRF | None:
     """A CRF learned from at most PASSAGES passages around a base span and as
     many from other texts, those of the smallest hash of the id. None for a
@@ -276,7 +320,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> CRF
     place = F.when(at > 0, F.greatest(at - F.lit(PASSAGE // 2), F.lit(1))).otherwise(
         (F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - PASSAGE, F.lit(0)) + 1) + 1).cast("int"))
     # thin by hash before the pattern is searched; both kinds keep their bound
-    total = rows.count()
+    total = docs.count()
     if not total:
         return None
     share = min(1.0, 40.0 * PASSAGES / total)
@@ -286,9 +330,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> CRF
     got = bounded_sample(picked, "has", "id", PASSAGES, 2).orderBy("has", "id").collect()
     if not any(r["has"] for r in got):
         return None
-    model = CRF()
-    model.train([s for r in got if (s := labelled_sequence(r["passage"])) is not None])
-    return model
+    return learn([r["passage"] for r in got])
 
 
 def scan(docs: DataFrame, model: CRF | None, keep: list[str], text_col: str = "text") -> DataFrame:
