@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, langid, mixing, secret_scan, token_count
+from . import chat_format, decontam, exact_dedup, langid, mixing, quality, secret_scan, token_count
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op2_decontamination": decontam.query,
     "op3_chat_format": chat_format.query,
     "op4_language_id": langid.query,
     "op5_token_counts": token_count.query,
     "op6_secret_scan": secret_scan.query,
+    "op7_quality": quality.query,
     "op10_mixing": mixing.query,
 }
 
