@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -50,3 +53,24 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
 def text_rows(docs: DataFrame, *columns: str, text: str = "text") -> DataFrame:
     """Only the needed columns, text null as empty (the scan reads no more)."""
     return docs.select(*columns, F.coalesce(F.col(text), F.lit("")).alias(text))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per
+    application, so that it need not be installed there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), "hospiq_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontam, exact_dedup, langid, mixing, quality, secret_scan, token_count
+from . import chat_format, decontam, exact_dedup, langid, mixing, near_dedup, quality, secret_scan, suffix_dedup, token_count
+from .common import ship_package
 
-QUERIES = {
+def _shipped(fn):
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    return run
+
+
+_OPERATORS = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_decontamination": decontam.query,
     "op3_chat_format": chat_format.query,
@@ -12,7 +20,11 @@ QUERIES = {
     "op5_token_counts": token_count.query,
     "op6_secret_scan": secret_scan.query,
     "op7_quality": quality.query,
+    "op8_suffix_dedup": suffix_dedup.query,
+    "op9_near_dedup": near_dedup.query,
     "op10_mixing": mixing.query,
 }
 
+QUERIES = {name: _shipped(fn) for name, fn in _OPERATORS.items()}
+
 SQL = {"op3_chat_format": chat_format.SQL, "op1_exact_dedup": exact_dedup.SQL}
