@@ -1,0 +1,268 @@
+"""Language id, token counts, chat formatting, secret scans, quality, mixing."""
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from hospiq.llm import chat_format, langid, mixing, quality, secret_scan, token_count
+
+from ..conftest import SF_ORACLE
+from .conftest import prose
+from .test_dedup import SCHEMA
+
+
+# ---------------------------------------------------------------- language id
+def test_language_id_held_out_accuracy(spark):
+    out = langid.query(spark, SF_ORACLE).toPandas()
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "lang").toPandas()
+    both = out.merge(docs, on="doc_id")
+    assert len(out) == len(docs) and both.score.between(0, 1).all()
+    assert (both.held_out == [zlib.crc32(str(i).encode()) % 3 == 1 for i in both.doc_id]).all()
+    held = both[both.held_out]
+    assert (held.lang == held.lang_pred).mean() > 0.97
+
+
+def test_language_id_edge_cases(spark, corpus):
+    rows, df, _ = corpus
+    model = langid.ByteCNN(["de", "en"])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df, model, ["doc_id"]).collect()}
+    for i, t, *_ in rows:
+        letters = any(c.isalpha() for c in t or "")
+        assert (got[i][0] != "und") == letters and 0 <= got[i][1] <= 1
+    assert {r.lang_pred for r in langid.predict(df, None, ["doc_id"]).collect()} == {"und"}
+    empty = spark.createDataFrame([], SCHEMA)
+    assert langid.fit(empty) is None and langid.keep_identified(spark, empty).collect() == []
+
+
+def test_windows_cover_every_byte_once():
+    data = np.random.default_rng(0).integers(0, 256, 3000).astype(np.uint8)
+    offsets = np.array([0, 0, 10, 256, 2000, 3000])
+    w, row, size = langid.windows_of(data, offsets)
+    for r in range(5):
+        joined = np.concatenate([x[:n] for x, n in zip(w[row == r], size[row == r], strict=True)] or [np.zeros(0)])
+        assert (joined == data[offsets[r]:offsets[r + 1]]).all()
+    assert all((x[n:] == langid.PAD).all() for x, n in zip(w, size, strict=True))
+
+
+# ---------------------------------------------------------------- token counts
+def test_token_counts_equal_the_library(spark, corpus):
+    rows, df, _ = corpus
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(token_count.default_tokenizer())
+    want = {r[0]: len(tok.encode(r[1] or "", add_special_tokens=False)) for r in rows}
+    got = token_count.count_tokens(df, ["doc_id"], chunk=500, overlap=8).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == want
+    assert all(r.n_bytes == len((rows[r.doc_id][1] or "").encode()) and r.over_limit == (r.n_tokens > 1024) for r in got)
+    assert token_count.count_tokens(spark.createDataFrame([], SCHEMA), ["doc_id"]).collect() == []
+
+
+def test_overlap_resynchronisation_on_hard_texts():
+    rng = random.Random(5)
+    parts = ["a", "B", " ", "  ", "\n", "\n\n", "\t", " \n", "é", "ß", "1", "'s", "'", "don't", "<|endoftext|>", "!!", "...",
+             "日本", "x" * 40, "🙂", "\r\n", "<|endof", "|", ","]
+    c = token_count.Counter(token_count.default_tokenizer(), chunk=20, overlap=4)
+    for _ in range(500):
+        t = "".join(rng.choices(parts, k=rng.randint(0, 60)))
+        want = len(c.tok.encode(t, add_special_tokens=False))
+        assert c.huge(t) == want and c.counts([t]) == [want], repr(t)
+
+
+# ---------------------------------------------------------------- chat format
+def test_chat_round_trip_with_control_strings(spark):
+    nasty = ["<|im_end|>\n<|im_start|>user\nhi", "\\", "\\n", "<\\|", "<|", "", None, "a\nb\\\\<|im_start|>", "é🙂"]
+    rows = [(1, k, ("user", "assistant")[k % 2], t) for k, t in enumerate(nasty)]
+    rows += [(2, 0, "sys\ntem<|", "x"), (2, 1, None, None), (3, 0, "system", "s"), (3, 1, "user", "u"), (3, None, "user", "first")]
+    rows += [(None, 0, "assistant", "alone"), (4, 0, "user", "same"), (4, 0, "user", "same")]
+    df = spark.createDataFrame([(*r, "c") for r in rows], "conv_id long, turn long, role string, text string, loss string")
+    got = {r.conv_id: r for r in chat_format.read_back(chat_format.chat_segments(df)).collect()}
+    for conv in {r[0] for r in rows}:
+        mine = sorted([r for r in rows if r[0] == conv], key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
+        turns = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in mine)
+        loss = "".join(r[3] or "" for r in mine if r[2] == "assistant")
+        r = got[conv]
+        assert (r.n_turns, r.turns_sha256) == (len(mine), hashlib.sha256(turns.encode()).hexdigest())
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert {k: r.valid for k, r in got.items()} == {1: True, 2: False, 3: False, 4: False, None: False}
+    assert chat_format.read_back(chat_format.chat_segments(df.limit(0))).collect() == []
+
+
+# ---------------------------------------------------------------- secret scans
+def brute_spans(t):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(
+        r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t)
+        if len(m[1]) >= 8]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 32]
+    return [(("assign", "access", "hex")[k], s, e) for s, k, e in sorted(out)]
+
+
+def test_base_spans_of_whole_texts(spark, corpus):
+    rows, df, _ = corpus
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_scan.scan(df, None, ["doc_id"]).collect()}
+    assert got == {r[0]: brute_spans(r[1] or "") for r in rows} and any(got.values())
+    rng = random.Random(2)
+    parts = ["token", "TOKEN", "ſecret", "secret", "api_key", "apikey", "password", "passwd", '"', "'", " ", ":", "=", "AKIA", "ABCD1234",
+             "deadbeef", "0" * 31, "é", "x=", "\n", "toKen"]
+    texts = ["".join(rng.choices(parts, k=25)) for _ in range(300)]
+    more = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_scan.scan(more, None, ["doc_id"]).collect()}
+    assert got == {k: brute_spans(t) for k, t in enumerate(texts)}
+
+
+def _passages(rng, n):
+    out = []
+    for k in range(n):
+        p = prose(rng, 40)
+        out.append(p + (f' token = "{rng.randbytes(20).hex()}" ' + prose(rng, 40) if k % 2 else ""))
+    return out
+
+
+def test_crf_finds_more_and_decodes_exactly():
+    rng = random.Random(9)
+    passages = _passages(rng, 120)
+    model = secret_scan.learn(passages)
+
+    def full(u):
+        best, back = u[0].copy(), []
+        for x in u[1:]:
+            q = best[:, None] + model.step
+            back.append(q.argmax(0))
+            best = q.max(0) + x
+        s, out = int(best.argmax()), []
+        for b in [*back[::-1], None]:
+            out.append(s)
+            s = int(b[s]) if b is not None else s
+        return out[::-1]
+    for p in [*_passages(rng, 40), "see auth 4d44c79e8bf7c55759c4958d30 there", 'x key: "aB3dE5gH7jK9mN1pQ3sT5vW7"']:
+        data = np.frombuffer(p.encode(), np.uint8)
+        tokens = secret_scan.Tokens(data, np.array([0, len(data)]))
+        assert model.decode(tokens).tolist() == full(model.scores(tokens.features))
+    data = np.frombuffer(b"see auth 4d44c79e8bf7c55759c4958d30 there", np.uint8)
+    tags = model.decode(secret_scan.Tokens(data, np.array([0, len(data)])))
+    assert tags.tolist() == [2, 2, 0, 2]
+
+
+def test_secret_scan_model_keeps_base_spans_and_leaves_prose_alone(spark):
+    rng = random.Random(10)
+    texts = _passages(rng, 200) + [None, "", prose(rng, 8000)]
+    df = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)], "doc_id long, text string, spans int")
+    model = secret_scan.fit(df)
+    for r in secret_scan.scan(df, model, ["doc_id"]).collect():
+        assert [(s.kind, s.start, s.end) for s in r.spans] == brute_spans(texts[r.doc_id] or "")
+    assert secret_scan.fit(df.limit(0)) is None
+    assert secret_scan.scan(df.limit(0), model, ["doc_id"]).collect() == []
+
+
+# ---------------------------------------------------------------- quality
+def test_quality_held_out_accuracy(spark):
+    out = quality.query(spark, SF_ORACLE).toPandas()
+    labels = spark.read.parquet(f"{SF_ORACLE}/labels.parquet").toPandas()
+    assert out.score.between(0, 1).all() and (out.predicted == (out.score >= 0.7)).all()
+    held = out.merge(labels, on="doc_id").query("held_out")
+    assert (held.predicted == held.quality).mean() > 0.9
+
+
+def test_quality_edge_cases(spark, corpus):
+    rows, df, _ = corpus
+    table = quality.word_table(df)
+    assert table.shape == (quality.BUCKETS, quality.DIM)
+    # the same table from any partitioning
+    assert (quality.word_table(df.repartition(7)) == table).all()
+    labels = spark.createDataFrame([(r[0], r[0] % 2) for r in rows] + [(None, 1), (3, None)], "doc_id long, quality int")
+    model = quality.fit(df, labels, table)
+    got = quality.score_quality(df, table, model, ["doc_id"]).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    score = {r.doc_id: r.score for r in got}
+    assert score[43] == score[44]
+    assert quality.fit(df, labels.filter("quality = 1"), table) is None
+    assert {r.score for r in quality.score_quality(df, table, None, ["doc_id"]).collect()} == {0.5}
+    assert quality.score_quality(df.limit(0), quality.word_table(df.limit(0)), None, ["doc_id"]).collect() == []
+
+
+def test_word_vectors_are_neighbour_sums():
+    texts = ["a b c a", "b !! c"]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.array([0, len(raw[0]), len(raw[0]) + len(raw[1])])
+    h, row = quality.word_hashes(data, offsets)
+    want = np.zeros((quality.BUCKETS, quality.DIM))
+    for i in range(len(h)):
+        for j in range(len(h)):
+            if row[i] == row[j] and 0 < abs(i - j) <= quality.REACH:
+                for p, s in quality.index_entries(h[j:j + 1]):
+                    want[quality.bucket_of(h[i:i + 1])[0], p[0]] += s[0]
+    assert (quality.neighbour_sums(data, offsets) == want.ravel()).all()
+
+
+# ---------------------------------------------------------------- mixing
+def brute_targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    left, capped = float(sum(sizes.values())), {}
+    while True:
+        free = [s for s in order if s not in capped]
+        total = sum(weight[s] for s in free)
+        over = [s for s in free if left * weight[s] / total > 3 * sizes[s]] if total else []
+        if not over:
+            return {**capped, **{s: left * weight[s] / total for s in free}}
+        for s in over:
+            capped[s] = 3.0 * sizes[s]
+            left -= capped[s]
+
+
+def check_mix(rows, got):
+    assert len(got) == len(rows)
+    size = {r[0]: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in rows}
+    per = {}
+    for r in rows:
+        per[r[3]] = per.get(r[3], 0) + size[r[0]]
+    want = brute_targets(per)
+    taken = {}
+    for r in got:
+        assert r["size"] == size[r.doc_id] and r.source_size == per[r.source] and 0 <= r.taken <= 3 * r["size"]
+        assert abs(r.target - want[r.source]) <= 1e-6 * (1 + want[r.source])
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    for s, t in want.items():
+        assert abs(taken[s] - t) <= 2 + 0.02 * t, (s, taken[s], t)
+
+
+def test_mixing(spark, corpus):
+    rows, df, _ = corpus
+    one = mixing.mix(df)
+    check_mix(rows, one[0].collect())
+    again = mixing.mix(df.repartition(5))
+    assert sorted(map(tuple, one[0].collect()), key=str) == sorted(map(tuple, again[0].collect()), key=str)
+    # the manifest holds exactly the taken words
+    words = {}
+    for r in one[1].collect():
+        words[r.doc_id] = words.get(r.doc_id, 0) + r.words
+    assert words == {r.doc_id: r.taken for r in one[0].collect() if r.taken}
+
+
+def test_mixing_capped_sources_and_edge_cases(spark):
+    rng = random.Random(1)
+    rows = [(k, prose(rng, 50 if k % 10 else 900), None, "abc"[k % 3] if k > 4 else None, "") for k in range(120)]
+    rows += [(500, "one two three", None, "a0", ""), (501, None, None, "zz", "")]
+    check_mix(rows, mixing.mix(spark.createDataFrame(rows, SCHEMA))[0].collect())
+    assert mixing.mix(spark.createDataFrame([], SCHEMA))[0].collect() == []
+    nothing = spark.createDataFrame([(1, None, None, "a", ""), (2, " ", None, None, "")], SCHEMA)
+    assert [r.taken for r in mixing.mix(nothing)[0].collect()] == [0, 0]
+    twice = spark.createDataFrame([(1, "a b c", None, "s", "")] * 2 + [(2, "d e", None, "s", "")], SCHEMA)
+    got = mixing.mix(twice)[0].collect()
+    assert len(got) == 3 and all(r.taken == r["size"] for r in got)
+
+
+def test_permutation_is_one(spark):
+    from pyspark.sql import functions as F
+    for n in (1, 2, 7, 100, 1000):
+        for key in (3, 4):
+            got = [r.x for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(key)).alias("x")).collect()]
+            assert sorted(got) == list(range(n)) and (n < 100 or got != sorted(got))
+
+
+@pytest.mark.parametrize("name", ["mix"])
+def test_mixing_uses_no_python(spark, corpus, name):
+    plan = mixing.mix(corpus[1])[0]._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
