@@ -245,7 +245,7 @@ def cross_hospital_encounters(raw_encounters: DataFrame, patients: DataFrame, pr
                                "provider_id", "facility_id")
          .join(patients.select("patient_id", c("hospital_id").alias("ph")), "patient_id")
          .join(providers.select("provider_id", c("hospital_id").alias("vh")), "provider_id")
-         .join(F.broadcast(facilities.select("facility_id", c("hospital_id").alias("fh"))), "facility_id"))
+         .join(facilities.select("facility_id", c("hospital_id").alias("fh")), "facility_id"))
     h = c("encounter_hospital_id")
     return (e.filter((h != c("ph")) | (h != c("vh")) | (h != c("fh")))
             .select("encounter_id", "encounter_hospital_id", "patient_id", "provider_id", "facility_id",
@@ -310,7 +310,10 @@ def readmission_rate_in_range(encounters: DataFrame, low: float = 1, high: float
     s = s.withColumn("readmission_rate", F.when(c("total_encounters") == 0, F.lit(None))
                      .otherwise(fn.r4(c("readmissions") * 100.0 / c("total_encounters"))))
     r = c("readmission_rate")
-    return s.filter((c("total_encounters") >= min_encounters) & ((r < low) | (r > high) | r.isNull()))
+    # too few stays to judge is reported, not passed over
+    return (s.withColumn("finding", F.when(c("total_encounters") < min_encounters, "TOO FEW STAYS TO JUDGE")
+                         .when(r.isNull() | (r < low) | (r > high), "RATE OUT OF RANGE"))
+            .filter(c("finding").isNotNull()))
 
 
 def validation_report(staging: DataFrame, patients: DataFrame, start: str, end: str) -> DataFrame:   # N22
@@ -337,7 +340,7 @@ def load_profile(staging: DataFrame, existing: DataFrame, patients: DataFrame, p
         return df.select(key, "hospital_id", F.lit(True).alias(flag)).distinct()
     j = (staging.join(known(patients, "patient_id", "_p"), ["patient_id", "hospital_id"], "left")
          .join(known(providers, "provider_id", "_v"), ["provider_id", "hospital_id"], "left")
-         .join(F.broadcast(known(facilities, "facility_id", "_f")), ["facility_id", "hospital_id"], "left")
+         .join(known(facilities, "facility_id", "_f"), ["facility_id", "hospital_id"], "left")
          .join(known(existing, "encounter_id", "_e"), ["encounter_id", "hospital_id"], "left"))
     return j.agg(
         F.count(F.lit(1)).alias("total_rows"),

@@ -40,8 +40,8 @@ ALL, NONE = "all", "none"
 
 def _environment_grant(ctx: AccessContext) -> bool:
     r, db = ctx.role, ctx.database
-    return ((r == "DBT_CI_ROLE" and db in ("ISOMETRICS_CI", "ISOMETRICS_DEV"))
-            or (r == "DBT_DEV_ROLE" and (db == "ISOMETRICS_DEV" or sql_like(db, "%_DEV")))
+    return ((r == "DBT_CI_ROLE" and (sql_like(db, "%_CI") or sql_like(db, "%_DEV")))
+            or (r == "DBT_DEV_ROLE" and sql_like(db, "%_DEV"))
             or (r == "DBT_PROD_ROLE" and sql_like(db, "%_PROD")))
 
 
@@ -83,7 +83,7 @@ def apply_decision(df: DataFrame, decision, ctx: AccessContext, mapping: DataFra
                              & today.between(c("access_start_date"), c("access_end_date")))
               .select(c("hospital_id").alias(tenant_column)).distinct())
     # one user's grants: bounded by the number of tenants -> broadcast semi join
-    return df.join(F.broadcast(grants), tenant_column, "left_semi")
+    return df.join(grants, tenant_column, "left_semi")
 
 
 # Policy by table class. Which raw tables get which policy.

@@ -6,11 +6,13 @@ Two layers:
   delete+insert, append-new, SCD2 snapshot, keep-latest dedup, point-in-time
   view). Catalyst plans them as anti/outer joins + unions; nothing is
   collected.
-* ``VersionedTable`` - a Parquet table kept as immutable version folders
-  ``<base>/v=000001 ...`` plus a ``_CURRENT`` pointer. A commit writes a
-  new folder (a normal Spark job, so lost executors are simply retried) and
-  then swaps the pointer, so a job never overwrites the files it is reading
-  and readers always see a complete version.
+* ``VersionedTable`` - a Parquet table as data folders plus numbered
+  manifests. A commit writes a folder of its own (a normal Spark job, so lost
+  executors are simply retried) and then publishes a manifest that lists the
+  folders of the new version: an append adds one folder, a keyed merge rewrites
+  only the key buckets it touches. Manifests are only ever added, so readers
+  always see a complete version and a failed commit leaves nothing behind but
+  an unlisted folder.
 
 All folders live on the shared filesystem the caller names (on a cluster:
 the same store as ``spark.checkpoint.dir``), never on a machine-local path.
@@ -18,6 +20,8 @@ the same store as ``spark.checkpoint.dir``), never on a machine-local path.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 from ..functions import core as fn
 
 c = F.col
+_BUCKET = "_key_bucket"
 
 
 # ---------------------------------------------------------------------------
@@ -41,12 +46,27 @@ def keep_latest(df: DataFrame, key: list[str], order_by: list[str]) -> DataFrame
 
 
 def upsert(target: DataFrame, source: DataFrame, key: list[str], order_by: list[str] | None = None) -> DataFrame:  # L02
-    """MERGE: update matched keys with the (latest) source row, insert the rest."""
-    src = keep_latest(source, key, order_by) if order_by else source
-    src = src.select(*target.columns)
+    """MERGE: per key the newest row by ``order_by`` of source and target (the
+    source's on a tie); unmatched rows are inserted. Without ``order_by`` the
+    source must be unique by ``key`` (see ``require_unique``)."""
+    src = (keep_latest(source, key, order_by) if order_by else source).select(*target.columns)
+    if order_by:
+        # a late, older row must not replace a newer one
+        t = target.select(*key, F.struct(*order_by).alias("_t_order"))
+        newer = (src.select(*key, F.struct(*order_by).alias("_s_order")).join(t, key)
+                 .filter(c("_t_order") > c("_s_order")).select(*key).distinct())
+        src = src.join(newer, key, "left_anti")
     return target.join(src.select(*key), key, "left_anti").unionByName(src)
 
 
+def require_unique(source: DataFrame, key: list[str]) -> None:
+    """Refuse a merge source in which a key occurs twice and nothing says
+    which row is newer (as MERGE does)."""
+    twice = source.groupBy(*key).count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"merge source has several rows for {[twice[0][k] for k in key]} and no order column")
+
+
 def upsert_counts(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
     """inserted = staged keys not in target, updated = staged keys already there (one aggregation)."""
     t = target.select(*key).distinct().withColumn("_in_target", F.lit(True))
@@ -168,65 +188,137 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write to a temp file next to the target, then rename over it."""
-    fs, p = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
-
-
 @dataclass
 class VersionedTable:
+    """``buckets`` > 0 with ``key``: rows carry a hidden bucket of the key, and
+    ``merge`` rewrites only the buckets its source touches."""
+
     spark: SparkSession
     base: str
     partition_by: tuple[str, ...] = ()
-
-    @property
-    def pointer(self) -> str:
-        return f"{self.base.rstrip('/')}/_CURRENT"
+    key: tuple[str, ...] = ()
+    buckets: int = 0
+
+    # ---- manifests: <base>/_manifests/<version>, published by create-if-absent
+    def _folder(self, name: str) -> str:
+        return f"{self.base.rstrip('/')}/{name}"
+
+    def _manifests(self) -> list[int]:
+        fs, p = _fs(self.spark, self._folder("_manifests"))
+        if not fs.exists(p):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(p)]
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def _load(self, version: int) -> list[dict] | None:
+        """The entries of a manifest, None for one whose writer never finished."""
+        fs, p = _fs(self.spark, self._folder(f"_manifests/{version:09d}"))
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            text = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+        return json.loads(text)["entries"] if text.endswith("\n") else None
+
+    def _publish(self, entries: list[dict], after: int) -> int:
+        """Claim the next version number; another writer that published since
+        ``after`` makes this commit fail instead of being overwritten."""
+        if self.current_version() != after:
+            raise RuntimeError(f"{self.base}: version {after} is no longer the latest")
+        version = max([0, *self._manifests()]) + 1
+        fs, p = _fs(self.spark, self._folder(f"_manifests/{version:09d}"))
+        out = fs.create(p, False)                      # fails if it exists
+        try:
+            out.write(bytearray((json.dumps({"entries": entries}) + "\n").encode()))
+        finally:
+            out.close()
+        return version
 
     def current_version(self) -> int:
-        t = _read_text(self.spark, self.pointer)
-        return int(t) if t else 0
+        for v in reversed(self._manifests()):
+            if self._load(v) is not None:
+                return v
+        return 0
 
     def exists(self) -> bool:
         return self.current_version() > 0
 
-    def path(self, version: int) -> str:
-        return f"{self.base.rstrip('/')}/v={version:06d}"
-
+    # ---- reading
     def read(self, version: int | None = None) -> DataFrame | None:
         v = self.current_version() if version is None else version
-        return self.spark.read.parquet(self.path(v)) if v else None
+        entries = self._load(v) if v else None
+        if not entries:
+            return None
+        whole = [e["path"] for e in entries if e["buckets"] is None]
+        parts = [self.spark.read.parquet(*[self._folder(x) for x in whole])] if whole else []
+        for e in entries:
+            if e["buckets"] is not None:               # a partition filter: other buckets are not read
+                parts.append(self.spark.read.parquet(self._folder(e["path"])).filter(c(_BUCKET).isin(e["buckets"])))
+        out = reduce(lambda x, y: x.unionByName(y), parts)
+        return out.drop(_BUCKET)
+
+    # ---- writing
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")) if self.buckets else df
+
+    def _write(self, df: DataFrame) -> str:
+        name = f"data/{uuid.uuid4().hex}"
+        parts = [*([_BUCKET] if self.buckets else []), *self.partition_by]
+        df = self._bucketed(df)
+        if parts:
+            # rows of a partition meet before the write, a large one in several
+            # files; REBALANCE lets adaptive execution split hot partitions
+            df = df.hint("rebalance", *parts)
+        w = df.write.partitionBy(*parts) if parts else df.write
+        w.parquet(self._folder(name))
+        return name
+
+    def _entry(self, path: str, buckets: list[int] | None = None) -> dict:
+        return {"path": path, "buckets": sorted(buckets) if buckets is not None else
+                (list(range(self.buckets)) if self.buckets else None)}
 
     def commit(self, df: DataFrame) -> int:
-        v = self.current_version() + 1
-        w = df.write.mode("errorifexists")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(self.path(v))
-        _write_text(self.spark, self.pointer, str(v))
-        return v
+        """Replace the table by ``df``."""
+        after = self.current_version()
+        return self._publish([self._entry(self._write(df))], after)
+
+    def append(self, df: DataFrame) -> int:
+        """Add rows: only they are written."""
+        after = self.current_version()
+        old = self._load(after) if after else []
+        return self._publish([*old, self._entry(self._write(df))], after)
+
+    def merge(self, source: DataFrame, combine) -> int:
+        """Replace the rows of the buckets that ``source`` touches by
+        ``combine(rows of these buckets, source)``; other buckets keep their
+        files. Without buckets the whole table is combined."""
+        after = self.current_version()
+        old = self._load(after) if after else []
+        if not old:
+            return self.commit(source)
+        if not self.buckets:
+            return self.commit(combine(self.read(after), source))
+        touched = [r[0] for r in self._bucketed(source).select(_BUCKET).distinct().collect()]   # at most ``buckets`` numbers
+        if not touched:
+            return after
+        read = [self.spark.read.parquet(self._folder(e["path"])).filter(c(_BUCKET).isin(sorted(set(e["buckets"]) & set(touched))))
+                for e in old if set(e["buckets"]) & set(touched)]
+        rows = reduce(lambda x, y: x.unionByName(y), read).drop(_BUCKET) if read else self.read(after).limit(0)
+        new = self._entry(self._write(combine(rows, source)), touched)
+        kept = [{**e, "buckets": [b for b in e["buckets"] if b not in set(touched)]} for e in old]
+        return self._publish([*[e for e in kept if e["buckets"]], new], after)
+
+    def retain(self, versions: int = 10) -> int:
+        """Delete data folders that none of the latest versions lists; the
+        number deleted. Run it when no commit is under way."""
+        live = {e["path"] for v in self._manifests()[-versions:] for e in (self._load(v) or [])}
+        fs, p = _fs(self.spark, self._folder("data"))
+        gone = [f.getPath() for f in fs.listStatus(p) if f"data/{f.getPath().getName()}" not in live] if fs.exists(p) else []
+        for x in gone:
+            fs.delete(x, True)
+        return len(gone)
 
 
 # ---------------------------------------------------------------------------
@@ -240,7 +332,8 @@ def incremental_delete_insert(table: VersionedTable, source: DataFrame, key: lis
         table.commit(source)
         return {"mode": "full", "version": table.current_version()}
     mark = cur.agg(F.max(watermark)).first()[0]
-    table.commit(delete_insert(cur, source, key, watermark, mark))
+    new = source if mark is None else source.filter(c(watermark) > F.lit(mark))
+    table.merge(new.select(*cur.columns), lambda t, n: replace_keys(t, n, key))
     return {"mode": "delete+insert", "watermark": mark, "version": table.current_version()}
 
 
@@ -257,8 +350,10 @@ def incremental_merge(table: VersionedTable, source: DataFrame, key: list[str],
         mark = cur.agg(F.max(watermark)).first()[0]
         if mark is not None:
             src = source.filter(c(watermark) > F.lit(mark))
+    if not order_by:
+        require_unique(src, key)
     counts = upsert_counts(cur, src, key).first()
-    table.commit(upsert(cur, src, key, order_by))
+    table.merge(src.select(*cur.columns), lambda t, n: upsert(t, n, key, order_by))
     return {"mode": "merge", "rows_inserted": counts["rows_inserted"], "rows_updated": counts["rows_updated"],
             "version": table.current_version()}
 
@@ -266,7 +361,7 @@ def incremental_merge(table: VersionedTable, source: DataFrame, key: list[str],
 def incremental_append(table: VersionedTable, source: DataFrame, ts: str, initial_since=None) -> dict:
     cur = table.read()
     new = append_new(cur, source, ts, initial_since)
-    table.commit(new if cur is None else cur.unionByName(new))
+    table.append(new if cur is None else new.select(*cur.columns))
     return {"mode": "append", "version": table.current_version()}
 
 
@@ -297,7 +392,7 @@ def backfill(table: VersionedTable, batch: DataFrame, report: DataFrame, date_co
     cur = table.read()
     before = 0 if cur is None else cur.count()
     if failed == 0:
-        table.commit(batch if cur is None else cur.unionByName(batch.select(*cur.columns)))
+        table.append(batch if cur is None else batch.select(*cur.columns))
     after_df = table.read()
     summary = batch.agg(
         F.countDistinct(F.date_trunc("month", date_column)).alias("months_filled"),

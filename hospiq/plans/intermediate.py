@@ -19,8 +19,8 @@ def encounters_enriched(enc_attrs: DataFrame, hospitals: DataFrame, diagnoses: D
     h = hospitals.select("hospital_id", "hospital_name", "hospital_type", "region", "teaching_hospital")
     d = diagnoses.select(F.col("diagnosis_code").alias("primary_diagnosis_code"), "diagnosis_description",
                          F.col("category").alias("diagnosis_category"), "severity_level", "is_chronic")
-    return (enc_attrs.join(F.broadcast(h), "hospital_id")
-            .join(F.broadcast(d), "primary_diagnosis_code", "left")
+    return (enc_attrs.join(h, "hospital_id")
+            .join(d, "primary_diagnosis_code", "left")
             .select(
                 "encounter_id", "hospital_id", "patient_id", "provider_id", "facility_id",
                 "hospital_name", "hospital_type", "region", "teaching_hospital",
@@ -65,7 +65,7 @@ def patient_journey(enriched: DataFrame) -> DataFrame:
 
 def _hosp(hospitals: DataFrame) -> DataFrame:
     # tenants are bounded (one row per hospital): broadcast
-    return F.broadcast(hospitals.select("hospital_id", "hospital_name", "hospital_type", "region"))
+    return hospitals.select("hospital_id", "hospital_name", "hospital_type", "region")
 
 
 # J03 ----------------------------------------------------------------------
@@ -178,8 +178,9 @@ def lab_results_enriched(results: DataFrame, orders: DataFrame, encounters: Data
                                 c("provider_full_name").alias("interpreting_provider_name"))
     v, prev = c("result_value_numeric"), c("previous_result_value")
     j = (lr.join(_hosp(hospitals), "hospital_id").join(enc, "encounter_id").join(pat, "patient_id")
-         .join(int_prov, "interpreting_provider_id", "left")
-         .join(lo, "order_id", "left").join(ord_prov, "lo_provider_id", "left"))
+         .join(lo, "order_id", "left"))
+    j = left_join_sparse(j, int_prov, ["interpreting_provider_id"], "result_id")
+    j = left_join_sparse(j, ord_prov, ["lo_provider_id"], "result_id")
     return j.select(
         "result_id", "hospital_id", "order_id", "patient_id", "encounter_id", "hospital_name", "hospital_type",
         "region", "age_years", "age_group", "gender", "encounter_type", "admission_date", "primary_diagnosis_code",
@@ -208,8 +209,7 @@ def lab_results_enriched(results: DataFrame, orders: DataFrame, encounters: Data
 # J08 ----------------------------------------------------------------------
 def revenue_cycle(billing: DataFrame, payers: DataFrame, encounters: DataFrame) -> DataFrame:
     c = F.col
-    p = F.broadcast(payers.select("payer_id", "payer_name", "payer_type",
-                                  c("reimbursement_rate").alias("expected_reimbursement_rate")))
+    p = payers.select("payer_id", "payer_name", "payer_type", c("reimbursement_rate").alias("expected_reimbursement_rate"))
     e = encounters.select("encounter_id", "encounter_type", "discharge_date")
     j = (billing.join(p, "payer_id").join(e, "encounter_id")
          .withColumn("days_in_ar", fn.boundary_diff("day", "discharge_date", "transaction_date")))
@@ -229,6 +229,16 @@ def revenue_cycle(billing: DataFrame, payers: DataFrame, encounters: DataFrame)
         .when(d <= 120, "91-120 days").otherwise("120+ days").alias("ar_aging_bucket"))
 
 
+def left_join_sparse(left: DataFrame, right: DataFrame, keys: list[str], spread_by: str) -> DataFrame:
+    """Left join on a key that is NULL in many left rows. These match nothing;
+    in place of the NULL they get one of 4096 keys that no right row has, so
+    they are dealt over all tasks instead of piling up in one."""
+    first, rest = keys[0], keys[1:]
+    stand_in = F.concat(F.lit("\u0000null "), F.pmod(F.xxhash64(spread_by), F.lit(4096)).cast("string"))
+    return (left.withColumn("_sparse", F.coalesce(F.col(first), stand_in))
+            .join(right.withColumnRenamed(first, "_sparse"), ["_sparse", *rest], "left").drop("_sparse"))
+
+
 # J04 ----------------------------------------------------------------------
 def orders_enriched(orders: DataFrame, results: DataFrame, encounters: DataFrame, patients: DataFrame,
                     providers: DataFrame, hospitals: DataFrame, procedures: DataFrame) -> DataFrame:
@@ -243,7 +253,8 @@ def orders_enriched(orders: DataFrame, results: DataFrame, encounters: DataFrame
                          "abnormal_flag")
     proc = procedures.select(c("procedure_code").alias("order_code"), "typical_charge_midpoint")
     j = (orders.join(_hosp(hospitals), "hospital_id").join(enc, "encounter_id").join(pat, "patient_id")
-         .join(prov, "provider_id").join(res, "result_id", "left").join(proc, "order_code", "left"))
+         .join(prov, "provider_id").join(proc, "order_code", "left"))
+    j = left_join_sparse(j, res, ["result_id"], "order_id")      # most orders have no result
     return j.select(
         "order_id", "hospital_id", "encounter_id", "patient_id", "provider_id", "hospital_name", "hospital_type",
         "region", "age_years", "age_group", "gender", "encounter_type", "admission_date", "primary_diagnosis_code",
@@ -304,8 +315,9 @@ def medication_safety(med_admin: DataFrame, orders: DataFrame, allergies: DataFr
     mo = (orders.filter(c("order_type") == "MEDICATION")
           .select("order_id", "order_datetime", "frequency", "duration_days"))
     j = (checked.join(_hosp(hospitals), "hospital_id").join(enc, "encounter_id").join(pat, "patient_id")
-         .join(adm_prov, "administered_by_provider_id", "left").join(wit_prov, "witnessed_by_provider_id", "left")
          .join(mo, "order_id", "left"))
+    j = left_join_sparse(j, adm_prov, ["administered_by_provider_id"], "admin_id")
+    j = left_join_sparse(j, wit_prov, ["witnessed_by_provider_id"], "admin_id")
     given = c("is_given")
     return j.select(
         "admin_id", "hospital_id", "encounter_id", "patient_id", "order_id", "hospital_name", "hospital_type",
@@ -469,7 +481,7 @@ def patient_profile(patients: DataFrame, hospitals: DataFrame, problems: DataFra
         F.count(F.when(c("is_refused"), c("admin_id"))).alias("medication_refusals_30days"),
         F.count(F.when(c("adverse_reaction_flag"), c("admin_id"))).alias("adverse_reactions_30days"),
         F.countDistinct("medication_name").alias("unique_medications_30days")))
-    h = F.broadcast(hospitals.select("hospital_id", "hospital_name", "hospital_type", "region"))
+    h = hospitals.select("hospital_id", "hospital_name", "hospital_type", "region")
     p = patients.select("patient_id", "hospital_id", "age_years", "age_group", "gender", "race", "ethnicity",
                         "zip_code_3digit", "primary_language", "marital_status", "first_encounter_date")
     j = p.join(h, "hospital_id")
@@ -504,7 +516,7 @@ def patient_profile(patients: DataFrame, hospitals: DataFrame, problems: DataFra
 # J09 ----------------------------------------------------------------------
 def prior_auth_enriched(auths: DataFrame, payers: DataFrame, billing: DataFrame) -> DataFrame:
     c = F.col
-    p = F.broadcast(payers.select("payer_id", "payer_name", "payer_type"))
+    p = payers.select("payer_id", "payer_name", "payer_type")
     claims = billing.groupBy("hospital_id", "encounter_id").agg(
         F.sum("charge_amount").alias("encounter_charges"), F.sum("payment_amount").alias("encounter_payments"),
         F.bool_or("is_denied").alias("has_claim_denial"),
@@ -538,7 +550,8 @@ def referrals_enriched(referrals: DataFrame, encounters: DataFrame, providers: D
                           c("is_readmission").alias("source_encounter_is_readmission"))
     p = providers.select(c("provider_id").alias("referring_provider_id"), "hospital_id",
                          c("specialty").alias("referring_provider_specialty"))
-    j = (referrals.join(e, ["encounter_id", "hospital_id"], "left").join(p, ["referring_provider_id", "hospital_id"], "left")
+    j = left_join_sparse(referrals, e, ["encounter_id", "hospital_id"], "referral_id")
+    j = (left_join_sparse(j, p, ["referring_provider_id", "hospital_id"], "referral_id")
          .withColumn("scheduling_sla_days", lookup(F.upper(c("urgency")), REFERRAL_SLA_DAYS, 30)))
     return j.select(
         "referral_id", "hospital_id", "patient_id", "encounter_id", "referring_provider_id",

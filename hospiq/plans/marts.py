@@ -8,7 +8,6 @@ Expand rewrite of distinct aggregates."""
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -410,7 +409,7 @@ def population_health(profiles: DataFrame, hospitals: DataFrame) -> DataFrame:
     """Tenant snapshot over J07 (one row per patient, so patient counts are
     plain conditional counts)."""
     c = F.col
-    h = F.broadcast(hospitals.select("hospital_id", "hospital_name", "hospital_type", "region", "contract_tier"))
+    h = hospitals.select("hospital_id", "hospital_name", "hospital_type", "region", "contract_tier")
     risk, util = c("clinical_risk_category"), c("utilization_category")
     agg = (profiles.drop("hospital_name", "hospital_type", "region").join(h, "hospital_id")
            .groupBy("hospital_id", "hospital_name", "hospital_type", "region", "contract_tier")
@@ -617,11 +616,12 @@ def care_coordination_metrics(referrals: DataFrame, care_plans: DataFrame, comor
 
 
 # K13 ----------------------------------------------------------------------
-def census(enc: DataFrame, as_of: str) -> DataFrame:
-    """C08 interval join without a date spine: each inpatient stay expands to
-    the days it occupies a bed ([admission day, discharge) with open stays
-    running to as_of + 1), then beds are counted per (tenant, day). The
-    output size is the number of patient-days, the natural size of a census."""
+def census(enc: DataFrame, as_of: str, days: DataFrame) -> DataFrame:
+    """C08 interval join without a date spine or patient-days: a stay adds one
+    bed on its first day and gives it back after its last ([admission day,
+    discharge), an open stay runs to as_of). The beds of a tenant on a day are
+    the running sum of these changes; ``days`` (hospital_id, metric_date) are
+    the days to report. Two rows a stay, and per tenant one row a day."""
     c = F.col
     d = c("discharge_date")
     last_day = (F.when(d.isNull(), F.lit(as_of).cast("date"))
@@ -631,9 +631,16 @@ def census(enc: DataFrame, as_of: str) -> DataFrame:
              .select("hospital_id", "encounter_id", F.to_date("admission_date_day").alias("first_day"),
                      last_day.alias("last_day"))
              .filter(c("last_day") >= c("first_day")))
-    days = stays.select("hospital_id", "encounter_id",
-                        F.explode(F.sequence("first_day", "last_day")).alias("metric_date"))
-    return days.groupBy("hospital_id", "metric_date").agg(F.count("encounter_id").alias("occupied_beds"))
+    from pyspark.sql import Window
+    changes = stays.select("hospital_id", F.inline(F.array(
+        F.struct(c("first_day").alias("metric_date"), F.lit(1).alias("change"), F.lit(False).alias("asked")),
+        F.struct(F.date_add("last_day", 1).alias("metric_date"), F.lit(-1).alias("change"), F.lit(False).alias("asked")))))
+    asked = days.select("hospital_id", "metric_date", F.lit(0).alias("change"), F.lit(True).alias("asked"))
+    per_day = changes.unionByName(asked).groupBy("hospital_id", "metric_date").agg(
+        F.sum("change").alias("change"), F.max("asked").alias("asked"))
+    running = Window.partitionBy("hospital_id").orderBy("metric_date").rowsBetween(Window.unboundedPreceding, 0)
+    return (per_day.withColumn("occupied_beds", F.sum("change").over(running)).filter("asked")
+            .select("hospital_id", "metric_date", "occupied_beds"))
 
 
 def operational_metrics(enc: DataFrame, facilities: DataFrame, as_of: str) -> DataFrame:
@@ -659,11 +666,11 @@ def operational_metrics(enc: DataFrame, facilities: DataFrame, as_of: str) -> Da
         _cnt_if(c("severity_level") == "High").alias("high_severity_cases"),
         _cnt_if(c("is_chronic")).alias("chronic_condition_encounters")))
     ft = c("facility_type")
-    cap = F.broadcast(facilities.groupBy("hospital_id").agg(
+    cap = facilities.groupBy("hospital_id").agg(
         _sum_if(ft.isin("Medical-Surgical Unit", "Intensive Care Unit"), c("bed_capacity")).alias("total_bed_capacity"),
         _sum_if(ft == "Intensive Care Unit", c("bed_capacity")).alias("icu_bed_capacity"),
-        _sum_if(ft == "Medical-Surgical Unit", c("bed_capacity")).alias("medsurg_bed_capacity")))
-    j = m.join(cap, "hospital_id", "left").join(census(enc, as_of), ["hospital_id", "metric_date"], "left")
+        _sum_if(ft == "Medical-Surgical Unit", c("bed_capacity")).alias("medsurg_bed_capacity"))
+    j = m.join(cap, "hospital_id", "left").join(census(enc, as_of, m), ["hospital_id", "metric_date"], "left")
     tot, occ = F.coalesce(c("total_bed_capacity"), F.lit(0)), F.coalesce(c("occupied_beds"), F.lit(0))
     return j.select(
         *[x for x in m.columns if x != "_pd"], fn.r2("_pd").alias("total_patient_days"),
@@ -767,22 +774,24 @@ def hospital_from_query(text) -> F.Column:
     """First matching pattern's group 1, else 'UNATTRIBUTED'."""
     t = F.col(text) if isinstance(text, str) else text
     tries = [F.nullif(F.regexp_extract(t, "(?i)" + p, 1), F.lit("")) for p in HOSPITAL_FILTER_PATTERNS]
-    return F.coalesce(*tries, F.lit("UNATTRIBUTED"))
+    # correction: tenant ids are folded to upper case, as the master lists them
+    return F.upper(F.coalesce(*tries, F.lit("UNATTRIBUTED")))
 
 
 # K16 ----------------------------------------------------------------------
-def cost_attribution(history: DataFrame, metering: DataFrame, as_of: str, database: str) -> DataFrame:
+def cost_attribution(history: DataFrame, metering: DataFrame, database: str, since: str | None = None) -> DataFrame:
     """Cost per tenant-day. Correction: metering is aggregated per day
     *before* the join (one row per day), so allocated shares sum to the day's
     warehouse cost; a day without metering allocates 0."""
     from pyspark.sql import Window
     c = F.col
-    since = F.date_sub(F.lit(as_of).cast("date"), 90)
-    day_cost = (metering.filter(c("start_time") >= since)
+    if since is not None:       # an incremental run's window; by default the whole log
+        metering = metering.filter(c("start_time") >= F.lit(since).cast("timestamp_ntz"))
+        history = history.filter(c("start_time") >= F.lit(since).cast("timestamp_ntz"))
+    day_cost = (metering
                 .groupBy(F.to_date(F.date_trunc("day", "start_time")).alias("metric_date"))
                 .agg((F.sum("credits_used") * CREDIT_PRICE_USD).alias("day_cost_usd")))
-    qa = (history.filter((c("start_time") >= since) & (c("database_name") == database)
-                         & (c("execution_status") == "SUCCESS"))
+    qa = (history.filter((c("database_name") == database) & (c("execution_status") == "SUCCESS"))
           .select("query_id", "start_time", hospital_from_query("query_text").alias("hospital_id"),
                   (c("total_elapsed_time").cast("decimal(20,3)") / 1000).alias("execution_time_seconds"),
                   "credits_used_cloud_services"))
@@ -791,7 +800,7 @@ def cost_attribution(history: DataFrame, metering: DataFrame, as_of: str, databa
                F.sum("execution_time_seconds").alias("total_execution_time_seconds"),
                F.sum("credits_used_cloud_services").alias("cloud_services_credits")))
     day = Window.partitionBy("metric_date")
-    alloc = (qc.join(F.broadcast(day_cost), "metric_date", "left")
+    alloc = (qc.join(day_cost, "metric_date", "left")
              .withColumn("total_warehouse_time_day", F.sum("total_execution_time_seconds").over(day))
              .withColumn("warehouse_cost_usd",
                          F.when(c("total_warehouse_time_day") > 0,
@@ -826,29 +835,28 @@ AUTHORIZED_ROLES = ["ACCOUNTADMIN", "SYSADMIN", "HIPAA_AUDITOR", "DBT_DEV_ROLE",
 
 def phi_access_log(history: DataFrame, since=None, database: str | None = None) -> DataFrame:
     """C11 text-contains join against the fixed PHI table list, evaluated per
-    query row as 13 code-generated ``contains`` flags (names collected with
-    ``array_compact``, level with ``greatest``): the inner join +
+    query row: one regular expression collects the listed names that the upper
+    cased text contains (none is part of another), so the inner join +
     group-by-query of the warehouse becomes a map-only step (no join, no
-    shuffle)."""
+    shuffle). Correction: the highest level is the highest by rank (HIGH over
+    MEDIUM), not the greatest string."""
     c = F.col
     q = history.filter(c("execution_status") == "SUCCESS")
     if database is not None:
         q = q.filter(c("database_name") == database)
     if since is not None:
         q = q.filter(c("start_time") > since)
-    up = F.upper(c("query_text"))
-    # one code-generated flag per listed table (schema-qualified or bare name)
-    flags = {t: up.contains(f"{s}.{t}") | up.contains(t) for s, t, _lv in PHI_TABLES}
-    names = F.array_compact(F.array(*[F.when(f, F.lit(t)) for t, f in flags.items()]))
-    level = F.greatest(*[F.when(flags[t], F.lit(lv)) for _s, t, lv in PHI_TABLES])   # max(), NULLs skipped
-    any_hit = reduce(lambda a, b: a | b, flags.values())
+    listed = "(" + "|".join(t for _s, t, _lv in PHI_TABLES) + ")"
+    q = q.withColumn("_phi", F.array_distinct(F.regexp_extract_all(F.upper(c("query_text")), F.lit(listed), F.lit(1))))
+    high = F.array(*[F.lit(t) for _s, t, lv in PHI_TABLES if lv == "HIGH"])
+    level = F.when(F.arrays_overlap(c("_phi"), high), "HIGH").otherwise("MEDIUM")
     role = c("role_name")
     rows_mod = c("rows_inserted") + c("rows_updated") + c("rows_deleted")
-    return (q.filter(any_hit).select(
+    return (q.filter(F.size("_phi") > 0).select(
         "query_id", c("start_time").alias("access_timestamp"), "user_name", "role_name", "session_id",
         "database_name", "schema_name", "warehouse_name", "query_text", "execution_status", "rows_produced",
         rows_mod.alias("rows_modified"), "bytes_scanned", "execution_time", "total_elapsed_time", "query_type",
-        F.array_join(F.array_sort(names), ", ").alias("phi_tables_accessed"),
+        F.array_join(F.array_sort("_phi"), ", ").alias("phi_tables_accessed"),
         level.alias("highest_phi_level"),
         hospital_from_query("query_text").alias("hospital_id_filter"),
         F.when(c("query_type") == "SELECT", "READ").when(c("query_type").isin("INSERT", "UPDATE", "DELETE", "MERGE"), "WRITE")
@@ -866,7 +874,9 @@ def phi_access_log(history: DataFrame, since=None, database: str | None = None)
         (c("credits_used_cloud_services") * 4.0).alias("estimated_cost_usd")))
 
 
-def hipaa_audit_trail(log: DataFrame) -> DataFrame:
+def hipaa_audit_trail(log: DataFrame, sample_chars: int | None = None) -> DataFrame:
+    """``sample_chars``: keep only so many characters of the query text
+    (by default all). The compliance notes are fixed values."""
     c = F.col
     st = c("access_authorization_status")
     return log.select(
@@ -878,7 +888,7 @@ def hipaa_audit_trail(log: DataFrame) -> DataFrame:
         "is_bulk_access", "is_unauthorized", c("execution_time").alias("execution_time_ms"),
         c("total_elapsed_time").alias("total_elapsed_time_ms"), "access_duration_seconds",
         fn.r4("estimated_cost_usd").alias("estimated_cost_usd"),
-        F.substring("query_text", 1, 5000).alias("query_text_sample"),
+        (c("query_text") if sample_chars is None else F.substring("query_text", 1, sample_chars)).alias("query_text_sample"),
         F.when(c("is_unauthorized"), "ALERT: Unauthorized PHI access detected")
         .when(c("is_bulk_access") & ~st.isin("AUTHORIZED_ADMIN", "AUTHORIZED_AUDITOR"), "WARNING: Bulk PHI access by non-admin role")
         .when((c("access_type") == "WRITE") & ~c("role_name").like("DBT_%"), "NOTICE: Direct PHI modification (non-ETL)")

@@ -245,13 +245,14 @@ class Warehouse:
 
     @cached_property
     def cost_attribution(self) -> DataFrame:
-        return K.cost_attribution(self.raw.query_history, self.raw.warehouse_metering, self.event_as_of,
-                                  self.raw.CURRENT_DATABASE)
+        return K.cost_attribution(self.raw.query_history, self.raw.warehouse_metering, self.raw.CURRENT_DATABASE)
 
     @cached_property
     def hipaa_audit_trail(self) -> DataFrame:
-        """Initial load: the last 7 days before the event as-of (L03 appends later windows)."""
+        """Every access in the log; incremental builds pass ``since`` and append."""
+        return self.audit_trail_since(None)
+
+    def audit_trail_since(self, since: str | None) -> DataFrame:
         from pyspark.sql import functions as F
-        since = F.expr(f"timestamp_ntz'{self.event_as_of} 00:00:00' - INTERVAL 7 DAYS")
-        log = K.phi_access_log(self.raw.query_history, None, self.raw.CURRENT_DATABASE)
-        return K.hipaa_audit_trail(log.filter(F.col("access_timestamp") >= since))
+        mark = None if since is None else F.lit(since).cast("timestamp_ntz")
+        return K.hipaa_audit_trail(K.phi_access_log(self.raw.query_history, mark, self.raw.CURRENT_DATABASE))

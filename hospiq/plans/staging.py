@@ -105,7 +105,7 @@ def encounters_validated(raw_enc: DataFrame, patients: DataFrame, providers: Dat
                             *(["facility_name", "facility_type"] if attrs else []))
     pat = patients.select("patient_id", F.col("hospital_id").alias("patient_hospital_id"),
                           *(["age_years", "age_group", "gender", "race", "ethnicity"] if attrs else []))
-    joined = (raw_enc.join(prov, "provider_id").join(F.broadcast(fac), "facility_id").join(pat, "patient_id")
+    joined = (raw_enc.join(prov, "provider_id").join(fac, "facility_id").join(pat, "patient_id")
               .filter((F.col("hospital_id") == F.col("patient_hospital_id"))
                       & (F.col("hospital_id") == F.col("provider_hospital_id"))
                       & (F.col("hospital_id") == F.col("facility_hospital_id"))))

@@ -53,11 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
     The setting is read from the session (or the SparkContext conf). Only
-    when it is missing - local tests - a scratch folder is created for the
-    run; the cluster's setting is never overridden."""
+    when it is missing on a local master is a scratch folder made for the run
+    (elsewhere that is an error); the cluster's setting is never overridden."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="hospiq-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(current)
     return current

@@ -88,7 +88,7 @@ class HospitalSource:
     def hospitals(self) -> DataFrame:
         n = self._t("nation").alias("n")
         r = self._t("region").alias("r")
-        return (n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
+        return (n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
                 .select(
                     tenant_id("n_nationkey").alias("hospital_id"),
                     F.concat(F.col("n_name"), F.lit(" MEDICAL CENTER")).alias("hospital_name"),

@@ -11,6 +11,7 @@ over the (small) configuration table only; the data never passes through it.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 from dataclasses import dataclass, field
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from ..functions import core as fn
-from ..operators.state import VersionedTable, keep_latest, upsert, upsert_counts
+from ..operators.state import VersionedTable, require_unique, upsert, upsert_counts
 from .schemas import conform, schema
 
 c = F.col
@@ -41,7 +42,7 @@ class CsvOptions:
     trim_space: bool = True
     null_if: tuple[str, ...] = ("", "NULL", "null")
     encoding: str = "UTF-8"
-    skip_bad_rows: bool = False     # ON_ERROR=CONTINUE; default aborts (FAILFAST)
+    skip_bad_rows: bool = False     # ON_ERROR=CONTINUE; by default a bad cell ends the load
 
 
 def read_csv(spark: SparkSession, path: str, table: str, opts: CsvOptions | None = None) -> DataFrame:
@@ -60,17 +61,23 @@ def read_csv(spark: SparkSession, path: str, table: str, opts: CsvOptions | None
     nulls = [x for x in o.null_if]
     cleaned = df.select(*[F.when(c(f.name).isin(nulls), F.lit(None)).otherwise(c(f.name)).alias(f.name)
                           for f in text_schema.fields])
-    typed = cleaned.select(*[_cast_text(c(f.name), f.dataType).alias(f.name) for f in st.fields])
-    return typed
-
-
-def _cast_text(col, dtype):
-    name = dtype.simpleString()
-    if name == "boolean":
+    if o.skip_bad_rows:
+        # ON_ERROR=CONTINUE: a row with a cell that its type does not read is left out
+        good = F.lit(True)
+        for f in st.fields:
+            good = good & (c(f.name).isNull() | _cast_text(c(f.name), f.dataType, False).isNotNull())
+        cleaned = cleaned.filter(good)
+    return cleaned.select(*[_cast_text(c(f.name), f.dataType, not o.skip_bad_rows).alias(f.name) for f in st.fields])
+
+
+def _cast_text(col, dtype, strict: bool):
+    """``strict``: a cell that the type does not read ends the load; else it is NULL."""
+    if dtype.simpleString() == "boolean":
         u = F.upper(F.trim(col))
-        return F.when(u.isin("TRUE", "T", "Y", "YES", "1"), F.lit(True)).when(
+        known = F.when(u.isin("TRUE", "T", "Y", "YES", "1"), F.lit(True)).when(
             u.isin("FALSE", "F", "N", "NO", "0"), F.lit(False))
-    return F.try_cast(col, dtype) if hasattr(F, "try_cast") else col.cast(dtype)
+        return known.when(col.isNotNull(), F.raise_error(F.concat(F.lit("not a boolean: "), col)).cast("boolean")) if strict else known
+    return col.cast(dtype) if strict else col.try_cast(dtype)
 
 
 def csv_to_parquet(spark: SparkSession, csv_path: str, table: str, out_path: str,
@@ -125,11 +132,16 @@ class SourceConfig:
     raw_table: str
     load_type: str                       # FULL_REFRESH | APPEND | MERGE
     merge_key_fields: str = ""
+    order_fields: str = ""               # newest-row order of a MERGE; without it its source must be unique
     columns: list[ColumnMapping] = field(default_factory=list)
     csv: CsvOptions = field(default_factory=CsvOptions)
     active: bool = True
 
 
+# The warehouse's names of default expressions.
+DEFAULT_CALLS = {"UUID_STRING()": "uuid()", "CURRENT_TIMESTAMP()": "current_timestamp()", "CURRENT_DATE()": "current_date()"}
+
+
 def _spark_type(m: ColumnMapping):
     t = m.data_type.upper()
     if t in ("VARCHAR", "STRING", "TEXT"):
@@ -149,14 +161,19 @@ def _spark_type(m: ColumnMapping):
     raise ValueError(f"unsupported type {m.data_type}")
 
 
-def column_expression(m: ColumnMapping) -> F.Column:
-    """A09 precedence: transformation rule > default value > typed cast of the file column."""
+def column_expression(m: ColumnMapping, file_types: dict[str, str] | None = None) -> F.Column:
+    """A09 precedence: transformation rule > default value > typed cast of the
+    file column. A default of the form ``NAME(...)`` is an SQL expression."""
+    file_types = file_types or {}
     if m.transformation_rule:
         e = F.expr(m.transformation_rule)
     elif m.default_value is not None:
-        e = F.expr("uuid()") if m.default_value.upper() == "UUID_STRING()" else F.lit(m.default_value)
+        call = re.fullmatch(r"[A-Za-z_]+\(.*\)", m.default_value)
+        e = F.expr(DEFAULT_CALLS.get(m.default_value.upper(), m.default_value)) if call else F.lit(m.default_value)
     else:
         e = F.col(m.file_column or m.target_column)
+        if _spark_type(m) == "timestamp_ntz" and file_types.get(m.file_column or m.target_column) == "bigint":
+            e = epoch_micros_to_timestamp(e)          # A05: integers are microseconds since the epoch
     return e.cast(_spark_type(m)).alias(m.target_column)
 
 
@@ -179,7 +196,12 @@ def read_source(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
 
 def staged_frame(spark: SparkSession, cfg: SourceConfig, loaded_at: str) -> DataFrame:
     raw = read_source(spark, cfg)
-    return raw.select(*[column_expression(m) for m in cfg.columns],
+    types = dict(raw.dtypes)
+    if cfg.format_type.upper() == "CSV":
+        # every NULL_IF token, and text parsed by the column's own rules
+        nulls = list(cfg.csv.null_if)
+        raw = raw.select(*[F.when(c(x).isin(nulls), F.lit(None)).otherwise(c(x)).alias(x) for x in raw.columns], "_metadata")
+    return raw.select(*[column_expression(m, types) for m in cfg.columns],
                       F.lit(loaded_at).cast("timestamp_ntz").alias("_loaded_at"),
                       F.col("_metadata.file_name").alias("_source_file"))
 
@@ -200,19 +222,26 @@ def load_raw_table(spark: SparkSession, cfg: SourceConfig, target: VersionedTabl
             target.commit(staged)
             run["rows_inserted"] = run["rows_staged"]
         elif lt == "APPEND":
-            target.commit(cur.unionByName(staged))
+            target.append(staged.select(*cur.columns))
             run["rows_inserted"] = run["rows_staged"]
         elif lt == "MERGE":
             key = [k.strip() for k in cfg.merge_key_fields.split(",") if k.strip()]        # H16
+            order = [k.strip() for k in cfg.order_fields.split(",") if k.strip()]
+            if not order:
+                require_unique(staged, key)
             counts = upsert_counts(cur, staged, key).first()
-            target.commit(upsert(cur, staged, key, ["_loaded_at"]))
+            # a matched row keeps when and from which file it was first loaded
+            first = cur.select(*key, c("_loaded_at").alias("_l0"), c("_source_file").alias("_s0"))
+            fresh = (staged.join(first, key, "left").withColumn("_loaded_at", F.coalesce("_l0", "_loaded_at"))
+                     .withColumn("_source_file", F.coalesce("_s0", "_source_file")).select(*cur.columns))
+            target.merge(fresh, lambda t, n: upsert(t, n, key, order or None))
             run["rows_inserted"], run["rows_updated"] = counts["rows_inserted"], counts["rows_updated"]
         else:
             raise ValueError(f"unknown load type {cfg.load_type}")
         run["status"] = "SUCCESS"
     except Exception as e:  # noqa: BLE001 - the failure is the run's result
         run["status"] = "FAILED"
-        run["error_message"] = str(e)[:1000]
+        run["error_message"] = str(e)
     end = _dt.datetime.now(_dt.UTC).replace(tzinfo=None)
     run["end_time"] = end
     run["duration_seconds"] = round((end - start).total_seconds(), 3)
@@ -280,4 +309,5 @@ def source_freshness(tables: dict[str, DataFrame], as_of_ts: str, warn_hours: in
     age = fn.boundary_diff("hour", "max_loaded_at", now)
     return u.withColumn("age_hours", age).withColumn(
         "freshness_status", F.when(c("max_loaded_at").isNull(), "error").when(age > error_hours, "error")
+        .when(age < 0, "error")                       # loaded after the as-of: the clock is wrong
         .when(age > warn_hours, "warn").otherwise("pass"))

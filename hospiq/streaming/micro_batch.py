@@ -15,7 +15,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.state import VersionedTable, upsert
+from ..operators.state import VersionedTable, keep_latest, upsert
 from ..sources.schemas import schema
 
 c = F.col
@@ -44,8 +44,8 @@ def incremental_file_ingest(spark: SparkSession, landing: str, table: str, targe
     """Start an availableNow streaming load of new files into ``target``.
 
     Each micro-batch: stamp ``_loaded_at`` / ``_source_file`` if missing,
-    upsert by ``key`` (latest ``_loaded_at`` wins), commit a new version and
-    record the row count. Returns the StreamingQuery (call
+    upsert by ``key`` (latest ``_loaded_at`` wins, also over earlier batches;
+    a target with key buckets rewrites only those touched) and record the row count. Returns the StreamingQuery (call
     ``awaitTermination()``)."""
     st = schema(table)
     stream = spark.readStream.schema(st).format(file_format).load(landing)
@@ -59,8 +59,8 @@ def incremental_file_ingest(spark: SparkSession, landing: str, table: str, targe
         n = b.count()
         if n == 0:
             return
-        cur = target.read()
-        target.commit(b if cur is None else upsert(cur, b, key, [loaded_at_col]))
+        first = keep_latest(b, key, [loaded_at_col])
+        target.merge(first, lambda t, n: upsert(t, n, key, [loaded_at_col]))
         if log is not None:
             log.append({"batch_id": batch_id, "table": table, "rows": n, "version": target.current_version()})
 

@@ -87,3 +87,72 @@ def test_backfill_guarded_by_validation(spark, tmpdir_path):
     bad = validation_report(batch, patients.limit(1), "2025-07-01", "2025-12-31")
     s2 = L.backfill(t, batch, bad).first()
     assert (s2["status"], s2["rows_after"]) == ("REJECTED", 2)
+
+
+def test_append_writes_only_the_new_rows(spark, tmpdir_path):
+    import os
+    t = _table(spark, tmpdir_path, "ap")
+    t.commit(spark.createDataFrame([(1, "a")], "k int, v string"))
+    before = {f for d, _, n in os.walk(t.base + "/data") for f in (os.path.join(d, x) for x in n)}
+    t.append(spark.createDataFrame([(2, "b")], "k int, v string"))
+    new = [f for d, _, n in os.walk(t.base + "/data") for f in (os.path.join(d, x) for x in n) if f not in before]
+    assert rows(t.read()) == [(1, "a"), (2, "b")]
+    assert sum(spark.read.parquet(f).count() for f in new if f.endswith(".parquet")) == 1
+    assert rows(t.read(1)) == [(1, "a")]
+
+
+def test_failed_commit_can_be_retried_and_readers_see_the_old_version(spark, tmpdir_path):
+    import os
+
+    import pytest
+    t = _table(spark, tmpdir_path, "rt")
+    good = spark.createDataFrame([(1, "a")], "k int, v string")
+    t.commit(good)
+    bad = good.withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        t.commit(bad)
+    # a writer that died while it published
+    with open(f"{t.base}/_manifests/{2:09d}", "w") as f:
+        f.write('{"entries": [')
+    assert t.current_version() == 1 and rows(t.read()) == [(1, "a")]
+    assert t.commit(good.union(good)) == 3 and t.read().count() == 2
+    assert t.retain(1) >= 1 and t.read().count() == 2
+    assert os.path.isdir(t.base + "/data")
+
+
+def test_two_writers_do_not_overwrite_each_other(spark, tmpdir_path):
+    import pytest
+    t = _table(spark, tmpdir_path, "two")
+    t.commit(spark.createDataFrame([(1, "a")], "k int, v string"))
+    with pytest.raises(RuntimeError):
+        t._publish([], 0)
+
+
+def test_bucketed_merge_rewrites_touched_buckets_only(spark, tmpdir_path):
+    t = L.VersionedTable(spark, f"{tmpdir_path}/b", key=("k",), buckets=8)
+    t.commit(spark.range(100).selectExpr("cast(id as int) k", "'old' v", "1 ts"))
+    L.incremental_merge(t, spark.createDataFrame([(5, "new", 2), (200, "ins", 2)], "k int, v string, ts int"), ["k"],
+                        order_by=["ts"])
+    got = {r.k: r.v for r in t.read().collect()}
+    assert len(got) == 101 and got[5] == "new" and got[200] == "ins" and sum(v == "old" for v in got.values()) == 99
+    entries = t._load(t.current_version())
+    assert len(entries) == 2 and len(entries[0]["buckets"]) + len(entries[1]["buckets"]) == 8
+    t.append(spark.createDataFrame([(300, "app", 3)], "k int, v string, ts int"))
+    L.incremental_delete_insert(t, spark.createDataFrame([(300, "again", 4)], "k int, v string, ts int"), ["k"], "ts")
+    assert {r.k: r.v for r in t.read().collect()}[300] == "again" and t.read().count() == 102
+
+
+def test_an_older_row_never_replaces_a_newer_one(spark):
+    s = "k string, v string, ts timestamp_ntz"
+    t = spark.createDataFrame([("a", "feb", dt.datetime(2024, 2, 1)), ("b", "jan", dt.datetime(2024, 1, 1))], s)
+    n = spark.createDataFrame([("a", "late", dt.datetime(2024, 1, 1)), ("b", "mar", dt.datetime(2024, 3, 1)),
+                               ("b", "feb", dt.datetime(2024, 2, 1)), ("c", "new", dt.datetime(2024, 1, 1))], s)
+    assert rows(L.upsert(t, n, ["k"], ["ts"]), "k", "v") == [("a", "feb"), ("b", "mar"), ("c", "new")]
+
+
+def test_merge_without_an_order_refuses_duplicates(spark, tmpdir_path):
+    import pytest
+    t = _table(spark, tmpdir_path, "dup")
+    t.commit(spark.createDataFrame([(1, "a")], "k int, v string"))
+    with pytest.raises(ValueError, match="several rows"):
+        L.incremental_merge(t, spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), ["k"])
