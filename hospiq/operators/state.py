@@ -252,7 +252,9 @@ class VersionedTable:
         if not entries:
             return None
         whole = [e["path"] for e in entries if e["buckets"] is None]
-        parts = [self.spark.read.parquet(*[self._folder(x) for x in whole])] if whole else []
+        # folders with partition directories are tables of their own to the reader
+        groups = [[x] for x in whole] if self.partition_by else [whole] if whole else []
+        parts = [self.spark.read.parquet(*[self._folder(x) for x in g]) for g in groups]
         for e in entries:
             if e["buckets"] is not None:               # a partition filter: other buckets are not read
                 parts.append(self.spark.read.parquet(self._folder(e["path"])).filter(c(_BUCKET).isin(e["buckets"])))

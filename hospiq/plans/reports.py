@@ -153,7 +153,8 @@ def alert_list(sla: DataFrame, quality: DataFrame, ops: DataFrame, as_of: str, d
                F.concat(F.lit("Critical bed capacity: "), fmt1(c("bed_occupancy_rate_pct")), F.lit("% occupancy")))
         .otherwise(F.concat(F.lit("High bed occupancy: "), fmt1(c("bed_occupancy_rate_pct")), F.lit("%")))
         .alias("message"), c("metric_date").alias("alert_date"))
-    return s.unionByName(q1).unionByName(q2).unionByName(ro)
+    alerts = s.unionByName(q1).unionByName(q2).unionByName(ro)
+    return alerts.orderBy(F.when(c("severity") == "Critical", 0).otherwise(1), c("alert_date").desc_nulls_last(), "hospital_id")
 
 
 # O06 / O07 -------------------------------------------------------------------
@@ -234,9 +235,10 @@ def daily_volume(ops: DataFrame) -> DataFrame:
 
 
 # O12 ----------------------------------------------------------------------
-def recent_window(mart: DataFrame, date_col: str, as_of: str, days: int, cap: int) -> DataFrame:
+def recent_window(mart: DataFrame, date_col: str, as_of: str, days: int, page: int | None = None) -> DataFrame:
     since = F.date_sub(F.lit(as_of).cast("date"), days)
-    return (mart.filter(c(date_col) >= since).orderBy(c(date_col).desc(), c("hospital_id")).limit(cap))
+    recent = mart.filter(c(date_col) >= since).orderBy(c(date_col).desc(), c("hospital_id"))
+    return recent if page is None else recent.limit(page)
 
 
 # O13 ----------------------------------------------------------------------

@@ -119,7 +119,10 @@ def _k09(w: Warehouse) -> DataFrame:
 
 @query("k10_fct_billing_transactions")
 def _k10(w: Warehouse) -> DataFrame:
-    f = w.fct_billing_transactions
+    return _rounded_billing(w.fct_billing_transactions)
+
+
+def _rounded_billing(f: DataFrame) -> DataFrame:
     money = ["charge_amount", "payment_amount", "adjustment_amount", "collected_amount", "denied_amount",
              "expected_payment", "payment_variance"]
     return f.select(*[fn.r4(c).alias(c) if c in money + ["collection_rate_pct", "expected_reimbursement_rate"]
@@ -257,6 +260,79 @@ def _backfill_batch(w: Warehouse) -> DataFrame:
     return e.filter((F.col("hospital_id") == h) & (F.to_date("admission_date").between(start, end)))
 
 
+# The same checks on inputs with faults that follow from the data (ids ending
+# in 7 or 77), so that each is shown to find what it looks for.
+def _faulty(column: str, ending: str):
+    return F.col(column).cast("string").endswith(ending)
+
+
+@query("n02_unique_after_redelivery")
+def _n02f(w: Warehouse) -> DataFrame:
+    b = w.billing.select("transaction_id")
+    return N.unique(b.unionByName(b.filter(_faulty("transaction_id", "7"))), "transaction_id")
+
+
+@query("n03_accepted_values_unknown_status")
+def _n03f(w: Warehouse) -> DataFrame:
+    b = w.billing.withColumn("payment_status", F.when(_faulty("transaction_id", "7"), "Unknown").otherwise(F.col("payment_status")))
+    return N.accepted_values(b, "payment_status", ["Paid", "Partial", "Denied", "Pending"]).select("transaction_id")
+
+
+@query("n05_accepted_range_news_shifted")
+def _n05f(w: Warehouse) -> DataFrame:
+    v = w.vitals_enriched.withColumn("total_news_score", F.col("total_news_score") + F.when(_faulty("vital_id", "7"), 13).otherwise(0))
+    return N.accepted_range(v, "total_news_score", 0, 12).select("vital_id", "total_news_score")
+
+
+@query("n07_expression_zip3_unmasked")
+def _n07f(w: Warehouse) -> DataFrame:
+    p = w.patients.withColumn("zip_code_3digit", F.when(_faulty("patient_id", "7"), F.concat("zip_code_3digit", F.lit("01")))
+                              .otherwise(F.col("zip_code_3digit")))
+    return N.expression_is_true(p, "zip_code_3digit rlike '^[0-9]{3}$'",
+                                where="zip_code_3digit is not null").select("patient_id", "zip_code_3digit")
+
+
+@query("n10_phi_in_documents")
+def _n10f(w: Warehouse) -> DataFrame:
+    return N.phi_in_text(w.raw._t("documents"), "doc_id", "text")
+
+
+@query("n11_models_empty_for_unknown_tenant")
+def _n11f(w: Warehouse) -> DataFrame:
+    ctx = M.AccessContext(role="HOSPITAL_HOSP_9999_ANALYST", user="USER_7")
+    return N.models_not_empty(w.spark, {"stg_healthcare__encounters": M.secure_view("raw_encounters", w.encounters.select(*_ENC_COLS), ctx),
+                                        "stg_healthcare__patients": w.patients})
+
+
+def _long_stays(w: Warehouse) -> DataFrame:
+    e = w.encounters
+    return e.withColumn("length_of_stay", F.when(_faulty("encounter_id", "7"), F.col("length_of_stay") + 400)
+                        .when(_faulty("encounter_id", "3"), -F.col("length_of_stay") - 1).otherwise(F.col("length_of_stay")))
+
+
+@query("n13_los_by_encounter_type_faulty")
+def _n13f(w: Warehouse) -> DataFrame:
+    return N.los_by_encounter_type(_long_stays(w))
+
+
+@query("n14_los_with_issue_faulty")
+def _n14f(w: Warehouse) -> DataFrame:
+    return N.los_with_issue(_long_stays(w))
+
+
+@query("n21_readmission_rate_tight_range")
+def _n21f(w: Warehouse) -> DataFrame:
+    return N.readmission_rate_in_range(w.encounters, low=99, high=100, min_encounters=10)
+
+
+@query("n22_validation_report_all_fail")
+def _n22f(w: Warehouse) -> DataFrame:
+    b = _backfill_batch(w)
+    stray = w.raw.encounters.filter(F.to_date("admission_date") > BACKFILL[2])
+    return N.validation_report(b.unionByName(b).unionByName(stray.withColumn("patient_id", F.concat(F.lit("X"), "patient_id"))),
+                               w.raw.patients, BACKFILL[1], BACKFILL[2])
+
+
 @query("n22_validation_report")
 def _n22(w: Warehouse) -> DataFrame:
     return N.validation_report(_backfill_batch(w), w.raw.patients, BACKFILL[1], BACKFILL[2])
@@ -264,7 +340,8 @@ def _n22(w: Warehouse) -> DataFrame:
 
 @query("n23_load_profile")
 def _n23(w: Warehouse) -> DataFrame:
-    existing = w.raw.encounters.filter(F.to_date("admission_date") < BACKFILL[1])
+    # an earlier, partial load reached into the window
+    existing = w.raw.encounters.filter(F.to_date("admission_date") < "2000-10-01")
     return N.load_profile(_backfill_batch(w), existing, w.raw.patients, w.raw.providers, w.raw.facilities,
                           BACKFILL[1], BACKFILL[2])
 
@@ -436,6 +513,47 @@ def _l10(w: Warehouse) -> DataFrame:
     return out.select("encounter_id", "hospital_id", "patient_id", "is_readmission", "days_since_last_inpatient_discharge")
 
 
+# Facts maintained by two loads (the second with the late part) instead of one build.
+def _two_loads(w: Warehouse, name: str, early) -> DataFrame:
+    import uuid
+
+    from .plans.build import maintain, mart_table
+    from .session import checkpoint_dir
+    full = getattr(w, name)
+    table = mart_table(w.spark, f"{checkpoint_dir(w.spark)}/two_loads/{uuid.uuid4().hex}", name, full.columns, buckets=8)
+    table.commit(full.filter(early))
+    maintain(w, name, table)
+    return table.read().select(*full.columns)
+
+
+@query("k09_incremental")
+def _k09i(w: Warehouse) -> DataFrame:
+    return _two_loads(w, "fct_encounters", F.col("loaded_at_timestamp") < F.lit("2000-06-01").cast("timestamp_ntz"))
+
+
+@query("k10_incremental")
+def _k10i(w: Warehouse) -> DataFrame:
+    return _rounded_billing(_two_loads(w, "fct_billing_transactions",
+                                       F.col("transaction_date") < F.lit("1999-01-01").cast("timestamp_ntz")))
+
+
+@query("k17_incremental")
+def _k17i(w: Warehouse) -> DataFrame:
+    return _two_loads(w, "hipaa_audit_trail", F.col("access_timestamp") < F.lit("2024-01-20").cast("timestamp_ntz"))
+
+
+@query("l02_upsert_late_and_repeated")
+def _l02l(w: Warehouse) -> DataFrame:
+    """A batch with a late, older row and a repeated newer one per key."""
+    t = w.billing.select("transaction_id", "payment_status", "transaction_date")
+    older = t.filter(_faulty("transaction_id", "3")).select(
+        "transaction_id", F.lit("Late").alias("payment_status"), (F.col("transaction_date") - F.expr("INTERVAL 1 DAY")).alias("transaction_date"))
+    newer = [t.filter(_faulty("transaction_id", "7")).select(
+        "transaction_id", F.lit(v).alias("payment_status"), (F.col("transaction_date") + F.expr(f"INTERVAL {d} DAY")).alias("transaction_date"))
+        for d, v in ((1, "First"), (2, "Second"))]
+    return L.upsert(t, older.unionByName(newer[1]).unionByName(newer[0]), ["transaction_id"], ["transaction_date"])
+
+
 # ------------------------------------------------------------------ reports (O)
 from .plans import reports as O  # noqa: E402
 
@@ -470,6 +588,21 @@ def _o03c(w: Warehouse) -> DataFrame:
     return O.top_users(w.hipaa_audit_trail)
 
 
+@query("o03_access_by_status")
+def _o03d(w: Warehouse) -> DataFrame:
+    return O.access_by_status(w.hipaa_audit_trail)
+
+
+@query("o04_comparison_by_type")
+def _o04b(w: Warehouse) -> DataFrame:
+    return O.comparison_by(_o04(w), "hospital_type")
+
+
+@query("o04_comparison_by_emr")
+def _o04c(w: Warehouse) -> DataFrame:
+    return O.comparison_by(_o04(w), "emr_system")
+
+
 @query("o04_tenant_comparison")
 def _o04(w: Warehouse) -> DataFrame:
     return O.tenant_comparison(w.hospitals, w.clinical_quality_metrics, w.hipaa_audit_trail, w.operational_metrics,
@@ -513,7 +646,7 @@ def _o11b(w: Warehouse) -> DataFrame:
 
 @query("o12_recent_window")
 def _o12(w: Warehouse) -> DataFrame:
-    return O.recent_window(w.clinical_quality_metrics, "metric_date", w.as_of, 90, 100)
+    return O.recent_window(w.clinical_quality_metrics, "metric_date", w.as_of, 90)
 
 
 @query("o13_incident_scope")

@@ -26,7 +26,7 @@ def test_incremental_facts_equal_the_full_build(spark, tmpdir_path):
     """Two loads leave the facts as one full build does, and nothing old is rewritten by an append."""
     names = ["fct_encounters", "fct_billing_transactions", "hipaa_audit_trail"]
     for _ in range(2):
-        log = build_all(spark, SF_SMALL, out_base=f"{tmpdir_path}/inc", marts=names, shared=[], snapshot_at="2001-08-05 00:00:00")
+        log = build_all(spark, SF_SMALL, out_base=f"{tmpdir_path}/inc", marts=names, shared=[], key_buckets=4, snapshot_at="2001-08-05 00:00:00")
     got = {r["model"]: VersionedTable(spark, r["path"]).read() for r in log.collect()}
     direct = Warehouse(spark, SF_SMALL)
     for name in names:
