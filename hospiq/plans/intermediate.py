@@ -274,6 +274,19 @@ def orders_enriched(orders: DataFrame, results: DataFrame, encounters: DataFrame
         "loaded_at_timestamp")
 
 
+def orders_for_measures(orders: DataFrame, encounters: DataFrame, patients: DataFrame, providers: DataFrame,
+                        hospitals: DataFrame) -> DataFrame:
+    """The rows of J04 with only what the quality measures look at: the valid
+    orders and their day in the stay, without descriptions to join."""
+    c = F.col
+    return (orders.join(encounters.select("encounter_id", "admission_date"), "encounter_id")
+            .join(hospitals.select("hospital_id"), "hospital_id", "left_semi")
+            .join(patients.select("patient_id"), "patient_id", "left_semi")
+            .join(providers.select("provider_id"), "provider_id", "left_semi")
+            .select("encounter_id", "order_type", "medication_name", "order_description", "completion_time_hours",
+                    fn.boundary_diff("day", c("admission_date"), c("order_datetime")).alias("encounter_day_of_order")))
+
+
 # J06 ----------------------------------------------------------------------
 # High-risk medication name patterns.
 HIGH_RISK_MEDICATIONS = ["%warfarin%", "%heparin%", "%insulin%", "%morphine%", "%fentanyl%"]

@@ -310,7 +310,8 @@ ANTIBIOTIC_PATTERNS = ["%antibiotic%", "%ceftriaxone%", "%vancomycin%"]
 def cms_core_measures(enc: DataFrame, vitals: DataFrame, orders: DataFrame,
                       min_denominator: int = CMS_MIN_DENOMINATOR) -> DataFrame:
     """Correlated EXISTS x5 rewritten as one per-encounter pre-aggregation of
-    orders (bool_or flags) and one of vitals, each left-joined once."""
+    orders (bool_or flags) and one of vitals, each left-joined once. A cohort
+    under ``min_denominator`` keeps its row with a status of its own."""
     from .intermediate import _like_any
     c = F.col
     med, lab = c("order_type") == "MEDICATION", c("order_type") == "LAB"
@@ -326,43 +327,36 @@ def cms_core_measures(enc: DataFrame, vitals: DataFrame, orders: DataFrame,
     e = (enc.select("hospital_id", "encounter_id", "admission_date", "encounter_type", "primary_diagnosis_code",
                     "is_readmission")
          .withColumn("reporting_quarter", F.to_date(F.date_trunc("quarter", "admission_date"))))
-    acute = (e.filter(c("encounter_type").isin("Emergency", "Inpatient"))
-             .join(o, "encounter_id", "left").join(v, "encounter_id", "left")
-             .select("hospital_id", "reporting_quarter", "encounter_id",
-                     F.coalesce((c("any_sepsis_alert") == True) | c("primary_diagnosis_code").like("A41%"),  # noqa: E712
-                                F.lit(False)).alias("is_sepsis"),
-                     F.coalesce(c("primary_diagnosis_code").like("I21%"), F.lit(False)).alias("is_ami"),
-                     F.coalesce(c("early_antibiotics_met") & c("lactate_measured") & c("blood_cultures_obtained"),
-                                F.lit(False)).alias("sep_bundle"),
-                     F.coalesce(c("aspirin_received"), F.lit(False)).alias("aspirin")))
-    acute_agg = acute.groupBy("hospital_id", "reporting_quarter").agg(
-        _cnt_if(c("is_sepsis")).alias("sep_den"), _cnt_if(c("is_sepsis") & c("sep_bundle")).alias("sep_num"),
-        _cnt_if(c("is_ami")).alias("ami_den"), _cnt_if(c("is_ami") & c("aspirin")).alias("ami_num"))
-    readm = e.groupBy("hospital_id", "reporting_quarter").agg(
-        _cnt_if(c("encounter_type") == "Inpatient").alias("denominator"),
-        _cnt_if(c("is_readmission")).alias("numerator"),
-        fn.readmission_rate("is_readmission", "encounter_type").alias("performance_rate_pct"))
-
-    def measure(df, code, den, num):
+    acute = c("encounter_type").isin("Emergency", "Inpatient")
+    sepsis = acute & ((c("any_sepsis_alert") == True) | c("primary_diagnosis_code").like("A41%"))  # noqa: E712
+    ami = acute & c("primary_diagnosis_code").like("I21%")
+    bundle = c("early_antibiotics_met") & c("lactate_measured") & c("blood_cultures_obtained")
+    # one aggregate for all measures, then a row for each of them
+    agg = (e.join(o, "encounter_id", "left").join(v, "encounter_id", "left")
+           .groupBy("hospital_id", "reporting_quarter").agg(
+               F.count_if(acute).alias("acute"),
+               _cnt_if(sepsis).alias("sep_den"), _cnt_if(sepsis & bundle).alias("sep_num"),
+               _cnt_if(ami).alias("ami_den"), _cnt_if(ami & c("aspirin_received")).alias("ami_num"),
+               _cnt_if(c("encounter_type") == "Inpatient").alias("inp_den"), _cnt_if(c("is_readmission")).alias("inp_num"),
+               fn.readmission_rate("is_readmission", "encounter_type").alias("inp_rate")))
+
+    def measure(code, den, num, rate, reported):
         name, target = CMS_MEASURES[code]
-        return df.select("hospital_id", "reporting_quarter", F.lit(code).alias("measure_code"),
-                         F.lit(name).alias("measure_name"), c(den).alias("denominator"), c(num).alias("numerator"),
-                         fn.rate_or_zero(num, den).alias("performance_rate_pct"),
-                         F.lit(target).alias("cms_target_pct"))
-
-    name, target = CMS_MEASURES["READM-30"]
-    allm = (measure(acute_agg, "SEP-1", "sep_den", "sep_num")
-            .unionByName(measure(acute_agg, "AMI-2", "ami_den", "ami_num"))
-            .unionByName(readm.select("hospital_id", "reporting_quarter", F.lit("READM-30").alias("measure_code"),
-                                      F.lit(name).alias("measure_name"), "denominator", "numerator",
-                                      "performance_rate_pct", F.lit(target).alias("cms_target_pct"))))
+        return F.struct(F.lit(code).alias("measure_code"), F.lit(name).alias("measure_name"), c(den).alias("denominator"),
+                        c(num).alias("numerator"), rate.cast("double").alias("performance_rate_pct"),
+                        F.lit(target).alias("cms_target_pct"), reported.alias("reported"))
+    allm = agg.select("hospital_id", "reporting_quarter", F.inline(F.array(
+        measure("SEP-1", "sep_den", "sep_num", fn.rate_or_zero("sep_num", "sep_den"), c("acute") > 0),
+        measure("AMI-2", "ami_den", "ami_num", fn.rate_or_zero("ami_num", "ami_den"), c("acute") > 0),
+        measure("READM-30", "inp_den", "inp_num", c("inp_rate"), F.lit(True))))).filter((c("denominator") > 0) & c("reported"))
     p, t = c("performance_rate_pct"), c("cms_target_pct")
     is_readm = c("measure_code") == "READM-30"
-    return (allm.filter(c("denominator") >= min_denominator)
+    return (allm
             .select("hospital_id", "reporting_quarter", "measure_code", "measure_name", "denominator", "numerator",
                     fn.r4(p).alias("performance_rate_pct"), "cms_target_pct",
-                    F.when(is_readm, F.when(p <= t, "Meets Target").when(p <= t * 1.1, "Near Target")
-                           .otherwise("Below Target"))
+                    F.when(c("denominator") < min_denominator, "Below Minimum Denominator")
+                    .when(is_readm, F.when(p <= t, "Meets Target").when(p <= t * 1.1, "Near Target")
+                          .otherwise("Below Target"))
                     .otherwise(F.when(p >= t, "Meets Target").when(p >= t * 0.9, "Near Target")
                                .otherwise("Below Target")).alias("performance_status"),
                     fn.r4(F.when(is_readm, t - p).otherwise(p - t)).alias("gap_to_target_pct")))

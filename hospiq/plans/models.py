@@ -169,6 +169,10 @@ class Warehouse:
         return J.orders_enriched(self.clinical_orders, self.clinical_results, self.encounters, self.patients,
                                  self.providers, self.hospitals, self.procedures)
 
+    @cached_property
+    def orders_for_measures(self) -> DataFrame:
+        return J.orders_for_measures(self.clinical_orders, self.encounters, self.patients, self.providers, self.hospitals)
+
     @cached_property
     def medication_safety(self) -> DataFrame:
         return J.medication_safety(self.medication_administration, self.clinical_orders, self.patient_allergies,
@@ -187,7 +191,7 @@ class Warehouse:
         return K.medication_safety_metrics(self.medication_safety)
 
     def cms_core_measures(self, min_denominator: int = K.CMS_MIN_DENOMINATOR) -> DataFrame:
-        return K.cms_core_measures(self.encounters_enriched, self.vitals_enriched, self.orders_enriched,
+        return K.cms_core_measures(self.encounters_enriched, self.vitals_enriched, self.orders_for_measures,
                                    min_denominator)
 
     @cached_property

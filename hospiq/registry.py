@@ -519,8 +519,9 @@ def _two_loads(w: Warehouse, name: str, early) -> DataFrame:
 
     from .plans.build import maintain, mart_table
     from .session import checkpoint_dir
-    full = getattr(w, name)
-    table = mart_table(w.spark, f"{checkpoint_dir(w.spark)}/two_loads/{uuid.uuid4().hex}", name, full.columns, buckets=8)
+    base = f"{checkpoint_dir(w.spark)}/two_loads/{uuid.uuid4().hex}"
+    full = w.materialize(name, f"{base}/stage/{name}")     # written once, read by both loads
+    table = mart_table(w.spark, base, name, full.columns, buckets=8)
     table.commit(full.filter(early))
     maintain(w, name, table)
     return table.read().select(*full.columns)
