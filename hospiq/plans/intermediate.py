@@ -159,8 +159,18 @@ def is_critical_lab(test_name, value) -> F.Column:
     return out.otherwise(F.lit(False))
 
 
+def _valid_only(df: DataFrame, dims: list[tuple[DataFrame, str]], absent: dict[str, str]) -> DataFrame:
+    """For an aggregate that reads no attribute of its dimensions: the rows
+    that the inner joins keep (semi joins on unique keys), the attributes and
+    the optional joins' columns left NULL."""
+    for dim, key in dims:
+        df = df.join(dim.select(key), key, "left_semi")
+    return df.withColumns({name: F.lit(None).cast(kind) for name, kind in absent.items()})
+
+
 def lab_results_enriched(results: DataFrame, orders: DataFrame, encounters: DataFrame, patients: DataFrame,
-                         providers: DataFrame, hospitals: DataFrame) -> DataFrame:
+                         providers: DataFrame, hospitals: DataFrame, narrow: bool = False) -> DataFrame:
+    """``narrow``: without the attributes of tenant, stay, patient and providers."""
     c = F.col
     w = Window.partitionBy("patient_id", "test_code").orderBy("result_datetime", "result_id")
     lr = (results.filter(c("result_type") == "LAB")
@@ -177,10 +187,17 @@ def lab_results_enriched(results: DataFrame, orders: DataFrame, encounters: Data
     int_prov = providers.select(c("provider_id").alias("interpreting_provider_id"),
                                 c("provider_full_name").alias("interpreting_provider_name"))
     v, prev = c("result_value_numeric"), c("previous_result_value")
-    j = (lr.join(_hosp(hospitals), "hospital_id").join(enc, "encounter_id").join(pat, "patient_id")
-         .join(lo, "order_id", "left"))
-    j = left_join_sparse(j, int_prov, ["interpreting_provider_id"], "result_id")
-    j = left_join_sparse(j, ord_prov, ["lo_provider_id"], "result_id")
+    if narrow:
+        names = ["hospital_name", "hospital_type", "region", "age_group", "gender", "encounter_type", "primary_diagnosis_code",
+                 "ordering_provider_name", "ordering_provider_specialty", "interpreting_provider_name"]
+        j = _valid_only(lr, [(hospitals, "hospital_id"), (encounters, "encounter_id"), (patients, "patient_id")],
+                        {**dict.fromkeys(names, "string"), "age_years": "int", "admission_date": "timestamp_ntz"})
+        j = j.join(lo, "order_id", "left")
+    else:
+        j = (lr.join(_hosp(hospitals), "hospital_id").join(enc, "encounter_id").join(pat, "patient_id")
+             .join(lo, "order_id", "left"))
+        j = left_join_sparse(j, int_prov, ["interpreting_provider_id"], "result_id")
+        j = left_join_sparse(j, ord_prov, ["lo_provider_id"], "result_id")
     return j.select(
         "result_id", "hospital_id", "order_id", "patient_id", "encounter_id", "hospital_name", "hospital_type",
         "region", "age_years", "age_group", "gender", "encounter_type", "admission_date", "primary_diagnosis_code",
@@ -293,7 +310,7 @@ HIGH_RISK_MEDICATIONS = ["%warfarin%", "%heparin%", "%insulin%", "%morphine%", "
 
 
 def medication_safety(med_admin: DataFrame, orders: DataFrame, allergies: DataFrame, encounters: DataFrame,
-                      patients: DataFrame, providers: DataFrame, hospitals: DataFrame) -> DataFrame:
+                      patients: DataFrame, providers: DataFrame, hospitals: DataFrame, narrow: bool = False) -> DataFrame:
     """C10 substring theta join (drug contains allergen or the reverse) kept
     on the equi keys (patient, tenant) so it never becomes a cross product,
     then E07 most-severe match per administration via row_number.
@@ -327,10 +344,18 @@ def medication_safety(med_admin: DataFrame, orders: DataFrame, allergies: DataFr
                                 c("provider_full_name").alias("witnessing_provider_name"))
     mo = (orders.filter(c("order_type") == "MEDICATION")
           .select("order_id", "order_datetime", "frequency", "duration_days"))
-    j = (checked.join(_hosp(hospitals), "hospital_id").join(enc, "encounter_id").join(pat, "patient_id")
-         .join(mo, "order_id", "left"))
-    j = left_join_sparse(j, adm_prov, ["administered_by_provider_id"], "admin_id")
-    j = left_join_sparse(j, wit_prov, ["witnessed_by_provider_id"], "admin_id")
+    if narrow:
+        names = ["hospital_name", "hospital_type", "region", "age_group", "gender", "encounter_type", "frequency",
+                 "administering_provider_name", "administering_provider_specialty", "administering_provider_type",
+                 "witnessing_provider_name"]
+        j = _valid_only(checked, [(hospitals, "hospital_id"), (encounters, "encounter_id"), (patients, "patient_id")],
+                        {**dict.fromkeys(names, "string"), "age_years": "int", "length_of_stay": "int", "duration_days": "int",
+                         "admission_date": "timestamp_ntz", "order_datetime": "timestamp_ntz"})
+    else:
+        j = (checked.join(_hosp(hospitals), "hospital_id").join(enc, "encounter_id").join(pat, "patient_id")
+             .join(mo, "order_id", "left"))
+        j = left_join_sparse(j, adm_prov, ["administered_by_provider_id"], "admin_id")
+        j = left_join_sparse(j, wit_prov, ["witnessed_by_provider_id"], "admin_id")
     given = c("is_given")
     return j.select(
         "admin_id", "hospital_id", "encounter_id", "patient_id", "order_id", "hospital_name", "hospital_type",

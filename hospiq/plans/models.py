@@ -125,7 +125,9 @@ class Warehouse:
 
     @cached_property
     def laboratory_quality_metrics(self) -> DataFrame:
-        return K.laboratory_quality_metrics(self.lab_results_enriched)
+        return K.laboratory_quality_metrics(J.lab_results_enriched(
+            self.clinical_results, self.clinical_orders, self.encounters, self.patients, self.providers, self.hospitals,
+            narrow=True))
 
     @cached_property
     def financial_performance(self) -> DataFrame:
@@ -188,7 +190,9 @@ class Warehouse:
 
     @cached_property
     def medication_safety_metrics(self) -> DataFrame:
-        return K.medication_safety_metrics(self.medication_safety)
+        return K.medication_safety_metrics(J.medication_safety(
+            self.medication_administration, self.clinical_orders, self.patient_allergies, self.encounters, self.patients,
+            self.providers, self.hospitals, narrow=True))
 
     def cms_core_measures(self, min_denominator: int = K.CMS_MIN_DENOMINATOR) -> DataFrame:
         return K.cms_core_measures(self.encounters_enriched, self.vitals_enriched, self.orders_for_measures,
