@@ -215,4 +215,34 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").alias("n_items"),
-                        "items", "similarity")
+                        F.array_join(F.col("items").cast("array<string>"), ",").alias("items"), "similarity")
+
+
+# the same answer without fingerprints: windows counted shingle by shingle
+SQL = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10FFFF}]+') AS words FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10FFFF}]+') AS words FROM benchmark
+       WHERE item_id IS NOT NULL AND length(text) > 0),
+il AS (SELECT item_id, least(len(words), 5) AS k, len(words) - least(len(words), 5) + 1 AS n, words FROM iw WHERE len(words) > 0),
+ish AS (SELECT item_id, sh, count(*) AS ci FROM (
+          SELECT item_id, unnest([array_to_string(words[i:i + k - 1], ' ') FOR i IN range(1, n + 1)]) AS sh FROM il)
+        GROUP BY item_id, sh),
+dsh AS (SELECT doc_id, k, i AS p, greatest(len(words) - k + 1, 0) AS m, array_to_string(words[i:i + k - 1], ' ') AS sh
+        FROM (SELECT doc_id, k, words, unnest(range(1, len(words) - k + 2)) AS i
+              FROM dw, (SELECT DISTINCT k FROM il) WHERE len(words) >= k)),
+hit AS (SELECT d.doc_id, i.item_id, d.p, d.m, l.n, l.k FROM dsh d JOIN ish i ON d.sh = i.sh
+        JOIN il l ON l.item_id = i.item_id AND l.k = d.k),
+likely AS (SELECT doc_id, item_id, m, n, k FROM hit GROUP BY ALL HAVING count(*) >= 0.8 * least(m, n)),
+win AS (SELECT DISTINCT h.doc_id, h.item_id, h.k, least(h.m, h.n) AS nw, h.n,
+               unnest(range(greatest(1, h.p - least(h.m, h.n) + 1), least(h.p, h.m - least(h.m, h.n) + 1) + 1)) AS p0
+        FROM hit h JOIN likely USING (doc_id, item_id)),
+part AS (SELECT w.doc_id, w.item_id, w.p0, w.nw, w.n, d.sh, count(*) AS cw
+         FROM win w JOIN dsh d ON d.doc_id = w.doc_id AND d.k = w.k AND d.p BETWEEN w.p0 AND w.p0 + w.nw - 1 GROUP BY ALL),
+sim AS (SELECT p.doc_id, p.item_id, p.p0, sum(least(p.cw, i.ci)) AS both_, any_value(p.nw + p.n) AS total
+        FROM part p JOIN ish i ON i.item_id = p.item_id AND i.sh = p.sh GROUP BY ALL),
+best AS (SELECT doc_id, item_id, max(both_ / (total - both_)) AS s FROM sim GROUP BY doc_id, item_id HAVING max(both_ / (total - both_)) >= 0.8)
+SELECT d.doc_id, count(b.item_id) > 0 AS contaminated, CAST(count(b.item_id) AS INTEGER) AS n_items,
+       coalesce(string_agg(CAST(b.item_id AS VARCHAR), ',' ORDER BY b.item_id), '') AS items,
+       CAST(coalesce(max(b.s), 0) AS DOUBLE) AS similarity
+FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id GROUP BY d.doc_id
+"""

@@ -325,3 +325,23 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read_table(spark, sf_dir, "documents"))
+
+
+# the same links without hashing: all pairs that share a shingle, then closure
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN [words[1]]
+    ELSE [words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))] END) AS sh FROM w),
+n AS (SELECT w.doc_id, count(s.sh) AS n FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY w.doc_id),
+k AS (SELECT s.doc_id, s.sh, n.n FROM s JOIN n ON s.doc_id = n.doc_id),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM k a JOIN k b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+    AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, link.b FROM reach r JOIN link ON r.b = link.a)
+SELECT n.doc_id, n.n AS n_shingles, min(reach.b) AS component_id, min(reach.b) = n.doc_id AS kept
+FROM n JOIN reach ON reach.a = n.doc_id GROUP BY n.doc_id, n.n
+"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import chat_format, decontam, exact_dedup, langid, mixing, near_dedup, quality, secret_scan, suffix_dedup, token_count
 from .common import ship_package
 
+
 def _shipped(fn):
     def run(spark, sf_dir):
         ship_package(spark)
@@ -27,4 +28,9 @@ _OPERATORS = {
 
 QUERIES = {name: _shipped(fn) for name, fn in _OPERATORS.items()}
 
-SQL = {"op3_chat_format": chat_format.SQL, "op1_exact_dedup": exact_dedup.SQL}
+SQL = {
+    "op1_exact_dedup": exact_dedup.SQL,
+    "op2_decontamination": decontam.SQL,
+    "op3_chat_format": chat_format.SQL,
+    "op9_near_dedup": near_dedup.SQL,
+}
