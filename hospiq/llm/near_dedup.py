@@ -171,13 +171,16 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """``node, comp``: the smallest node that links (a, b) reach, for every
     node of a link. Alternating large and small stars; each round is written
-    to the shared folder."""
+    to the shared folder. Cut off after some ``rounds``, nodes of one component
+    may still carry different labels, never nodes of different ones the same:
+    enough where labels only save comparisons."""
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, mark = materialize(edges, "edges"), None
-    while True:
+    edges, mark, done = materialize(edges, "edges"), None, 0
+    while rounds is None or done < rounds:
+        done += 1
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
@@ -186,12 +189,14 @@ def components(links: DataFrame) -> DataFrame:
         small = (large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         edges = materialize(small, "edges")
+        if done == rounds:
+            break
         new = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if new == mark or not new[0]:
             break
         mark = new
     out = edges.groupBy("u").agg(F.min("v").alias("comp")).select(F.col("u").alias("node"), "comp")
-    return out.unionByName(out.select(F.col("comp").alias("node"), "comp").distinct())
+    return out.unionByName(out.select(F.col("comp").alias("node"), "comp")).groupBy("node").agg(F.min("comp").alias("comp"))
 
 
 def _with_comp(df: DataFrame, comps: DataFrame, column: str, name: str) -> DataFrame:
@@ -290,7 +295,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     active = buckets.select("id").distinct()
     texts = materialize(src.join(active, "id", "left_semi"), "texts")
     links = materialize(confirmed(best, texts, shingle, percent), "links")
-    comps = components(links)
+    comps = components(links, rounds=2)
 
     left = _with_comp(_with_comp(stars.select("a", "b"), comps, "a", "ca"), comps, "b", "cb").filter("ca <> cb").select("a", "b")
     more = materialize(confirmed(materialize(left.join(best, ["a", "b"], "left_anti"), "pairs"), texts, shingle, percent), "links")
@@ -298,7 +303,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     several = rows.groupBy("id").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y")).filter("x <> y").select("id")
     same_id = full.join(several, "id", "left_semi").join(first, "set_id").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     links = links.unionByName(more).unionByName(materialize(same_id.distinct(), "links"))
-    comps = components(links)
+    comps = components(links, rounds=2)
 
     cross = cross_candidates(buckets.select("key", "id"), reps, comps, percent)
     tested = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
