@@ -5,7 +5,7 @@ user, database, as-of date) is known when the query is built, so each policy
 resolves on the driver to either "all rows", "no rows", a literal
 ``hospital_id = 'X'`` filter (pushed down to the scan), or - for generic
 analysts - a left-semi join with that user's currently valid grants (a
-handful of rows, broadcast). De-identification (M05-M07) and cross-tenant
+handful of rows). De-identification (M05-M07) and cross-tenant
 reference drop (M08) live in the staging layer.
 """
 
@@ -82,7 +82,7 @@ def apply_decision(df: DataFrame, decision, ctx: AccessContext, mapping: DataFra
     grants = (mapping.filter((c("user_name") == F.lit(arg))
                              & today.between(c("access_start_date"), c("access_end_date")))
               .select(c("hospital_id").alias(tenant_column)).distinct())
-    # one user's grants: bounded by the number of tenants -> broadcast semi join
+    # one user's grants
     return df.join(grants, tenant_column, "left_semi")
 
 

@@ -15,7 +15,7 @@ def encounters_enriched(enc_attrs: DataFrame, hospitals: DataFrame, diagnoses: D
 
     ``enc_attrs`` is B05 computed with the validation joins' attributes kept,
     so patients/providers/facilities are not joined a second time. Tenants and
-    diagnosis codes are bounded dimensions and are broadcast."""
+    diagnosis codes are small dimensions; the optimizer chooses their join."""
     h = hospitals.select("hospital_id", "hospital_name", "hospital_type", "region", "teaching_hospital")
     d = diagnoses.select(F.col("diagnosis_code").alias("primary_diagnosis_code"), "diagnosis_description",
                          F.col("category").alias("diagnosis_category"), "severity_level", "is_chronic")
@@ -64,7 +64,6 @@ def patient_journey(enriched: DataFrame) -> DataFrame:
 
 
 def _hosp(hospitals: DataFrame) -> DataFrame:
-    # tenants are bounded (one row per hospital): broadcast
     return hospitals.select("hospital_id", "hospital_name", "hospital_type", "region")
 
 

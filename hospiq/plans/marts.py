@@ -710,7 +710,8 @@ def fct_billing_transactions(rc: DataFrame) -> DataFrame:
 
 
 # K15 ----------------------------------------------------------------------
-def sla_monitoring(encounters: DataFrame, patients: DataFrame, billing: DataFrame, fct_enc: DataFrame) -> DataFrame:
+def sla_monitoring(encounters: DataFrame, patients: DataFrame, billing: DataFrame, fct_enc: DataFrame,
+                   checked_at: str) -> DataFrame:
     """G03 union of per-table freshness rows (NULL-padded) + data quality over
     the encounter fact, combined with the I18 three-state statuses."""
     from ..functions.scores import sla_status
@@ -752,7 +753,7 @@ def sla_monitoring(encounters: DataFrame, patients: DataFrame, billing: DataFram
             .select("hospital_id", "encounters_freshness_minutes", "patients_last_load", "billing_last_load",
                     "freshness_sla_status", "total_encounters", "total_patients", "data_quality_score_pct",
                     "quality_sla_status", "invalid_los_count", "invalid_charges_count", "invalid_dates_count",
-                    "overall_sla_status"))
+                    "overall_sla_status", F.lit(checked_at).cast("timestamp_ntz").alias("check_timestamp")))
 
 
 # ---------------------------------------------------------------------------

@@ -246,7 +246,7 @@ class Warehouse:
 
     @cached_property
     def sla_monitoring(self) -> DataFrame:
-        return K.sla_monitoring(self.encounters, self.patients, self.billing, self.fct_encounters)
+        return K.sla_monitoring(self.encounters, self.patients, self.billing, self.fct_encounters, f"{self.as_of} 00:00:00")
 
     # ---- observability (event-derived logs; their own as-of)
     event_as_of = "2024-01-31"

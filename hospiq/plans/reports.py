@@ -14,15 +14,13 @@ from ..functions import core as fn
 c = F.col
 
 
-def _latest_per_tenant(df: DataFrame, order_col: str | None) -> DataFrame:          # D18
-    if order_col is None or order_col not in df.columns:
-        return df
+def _latest_per_tenant(df: DataFrame, order_col: str) -> DataFrame:          # D18
     w = Window.partitionBy("hospital_id").orderBy(c(order_col).desc_nulls_last())
     return df.withColumn("_rn", F.row_number().over(w)).filter(c("_rn") == 1).drop("_rn")
 
 
 # O01 ----------------------------------------------------------------------
-def sla_overview(sla: DataFrame, order_col: str | None = "check_timestamp") -> DataFrame:
+def sla_overview(sla: DataFrame, order_col: str = "check_timestamp") -> DataFrame:
     latest = _latest_per_tenant(sla, order_col)
     s = latest.agg(F.count(F.lit(1)).alias("hospitals"),
                    F.count(F.when(c("overall_sla_status") == "COMPLIANT", 1)).alias("compliant_hospitals"),
@@ -126,7 +124,7 @@ def top_hospitals(comparison: DataFrame, metric: str, k: int = 5, largest: bool
 def alert_list(sla: DataFrame, quality: DataFrame, ops: DataFrame, as_of: str, days: int = 1) -> DataFrame:
     since = F.date_sub(F.lit(as_of).cast("date"), days)
     fmt1 = lambda x: F.format_number(x, 1)
-    s = sla.filter(c("overall_sla_status").isin("BREACH", "WARNING")).select(
+    s = _latest_per_tenant(sla, "check_timestamp").filter(c("overall_sla_status").isin("BREACH", "WARNING")).select(
         F.when(c("overall_sla_status") == "BREACH", "Critical").otherwise("Warning").alias("severity"),
         F.lit("SLA").alias("category"), "hospital_id",
         F.when(c("overall_sla_status") == "BREACH",
@@ -136,7 +134,7 @@ def alert_list(sla: DataFrame, quality: DataFrame, ops: DataFrame, as_of: str, d
                         F.coalesce(F.concat(F.format_number(c("encounters_freshness_minutes").cast("double"), 0),
                                             F.lit(" min")), F.lit("N/A"))))
         .otherwise(F.concat(F.lit("SLA warning - Quality: "), fmt1(c("data_quality_score_pct")), F.lit("%")))
-        .alias("message"), F.lit(None).cast("date").alias("alert_date"))
+        .alias("message"), F.to_date("check_timestamp").alias("alert_date"))
     rq = quality.filter(c("metric_date") >= since)
     q1 = rq.filter(c("readmission_rate_30day_pct") > 10).select(
         F.lit("Critical").alias("severity"), F.lit("Clinical Quality").alias("category"), "hospital_id",

@@ -95,7 +95,7 @@ def encounters_validated(raw_enc: DataFrame, patients: DataFrame, providers: Dat
     enrichment layer can reuse them instead of joining the dimensions again.
 
     Join order is chosen for the shuffle plan: provider (shuffle on
-    provider_id), facility (bounded: 5 units per tenant -> broadcast), patient
+    provider_id), facility, patient
     last, so the encounter rows end hash-partitioned on patient_id - which
     already satisfies the per-patient windows below and J02's per-patient
     aggregates (no further exchange)."""

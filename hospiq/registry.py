@@ -325,6 +325,15 @@ def _n21f(w: Warehouse) -> DataFrame:
     return N.readmission_rate_in_range(w.encounters, low=99, high=100, min_encounters=10)
 
 
+@query("k15_sla_monitoring_late_sources")
+def _k15f(w: Warehouse) -> DataFrame:
+    from .plans import marts as K
+    late = (F.when(_faulty("hospital_id", "3"), F.expr("INTERVAL 5 HOURS")).when(_faulty("hospital_id", "7"), F.expr("INTERVAL 10 HOURS"))
+            .otherwise(F.expr("INTERVAL 0 HOURS")))
+    e = w.encounters.withColumn("source_updated_at_timestamp", F.col("source_updated_at_timestamp") - late)
+    return K.sla_monitoring(e, w.patients, w.billing, w.fct_encounters, f"{w.as_of} 00:00:00")
+
+
 @query("n22_validation_report_all_fail")
 def _n22f(w: Warehouse) -> DataFrame:
     b = _backfill_batch(w)
