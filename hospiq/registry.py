@@ -675,6 +675,55 @@ def _a07(w: Warehouse) -> DataFrame:
     return conform(w.raw.encounters, "raw_encounters")
 
 
+# Config-driven loads of files written from the driver tables.
+def _loaded(w: Warehouse, batches: list[tuple[DataFrame, dict]], columns: list, fmt: str = "parquet") -> DataFrame:
+    """Lands each batch as files, loads it by its configuration, returns the target."""
+    import uuid
+
+    from .session import checkpoint_dir
+    base = f"{checkpoint_dir(w.spark)}/loads/{uuid.uuid4().hex}"
+    target = L.VersionedTable(w.spark, f"{base}/raw")
+    for k, (df, how) in enumerate(batches):
+        df.write.format(fmt).option("header", True).save(f"{base}/landing/{k}")
+        cfg = A.SourceConfig(k, "customers", f"{base}/landing/{k}", fmt.upper(), "raw_customers", columns=columns, **how)
+        run = A.load_raw_table(w.spark, cfg, target, f"2001-08-0{k + 1} 00:00:00")
+        if run["status"] != "SUCCESS":
+            raise RuntimeError(run["error_message"])
+    return target.read()
+
+
+@query("a08_config_load_csv")
+def _a08(w: Warehouse) -> DataFrame:
+    m = A.ColumnMapping
+    cols = [m("customer_id", "c_custkey", "INTEGER"), m("name", "c_name"), m("balance", "c_acctbal", "NUMBER", precision=15, scale=2),
+            m("segment", "c_mktsegment")]
+    df = w.raw._t("customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    return _loaded(w, [(df, {"load_type": "FULL_REFRESH"})], cols, "csv").drop("_loaded_at", "_source_file")
+
+
+@query("a09_column_rules")
+def _a09(w: Warehouse) -> DataFrame:
+    m = A.ColumnMapping
+    cols = [m("event_id", data_type="INTEGER"), m("happened_at", "ts_micros", "TIMESTAMP"),
+            m("kind", transformation_rule="upper(event_type)"), m("origin", default_value="LANDING"),
+            m("tag", default_value="concat('e-', event_id)")]
+    df = w.raw._t("events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_micros"), "event_type")
+    return _loaded(w, [(df, {"load_type": "FULL_REFRESH"})], cols).drop("_loaded_at", "_source_file")
+
+
+@query("a12_merge_load")
+def _a12(w: Warehouse) -> DataFrame:
+    """Half of the customers, then all of them with a newer version, a late
+    older one for every seventh; the first load's audit columns stay."""
+    m = A.ColumnMapping
+    cols = [m("customer_id", "c_custkey", "INTEGER"), m("balance", "bal", "NUMBER", precision=15, scale=2), m("version", "v", "INTEGER")]
+    cust = w.raw._t("customer").select("c_custkey", "c_acctbal")
+    first = cust.filter("c_custkey % 2 = 0").select("c_custkey", F.col("c_acctbal").alias("bal"), F.lit(5).alias("v"))
+    late = cust.select("c_custkey", (F.col("c_acctbal") + 1).alias("bal"), F.when(F.expr("c_custkey % 7 = 0"), 1).otherwise(9).alias("v"))
+    how = {"merge_key_fields": "customer_id", "order_fields": "version"}
+    return _loaded(w, [(first, {"load_type": "MERGE", **how}), (late, {"load_type": "MERGE", **how})], cols).drop("_source_file")
+
+
 @query("a05_epoch_micros_roundtrip")
 def _a05(w: Warehouse) -> DataFrame:
     ev = w.raw._t("events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_micros"))
