@@ -15,10 +15,6 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def lit_date(d: str) -> Column:
-    return F.lit(d).cast("date")
-
-
 # ---------------------------------------------------------------------------
 # H06 date difference counted in unit *boundaries* (warehouse semantics):
 # 10:59 -> 11:01 is one hour, 23:59 -> 00:01 is one day.
@@ -38,14 +34,6 @@ def boundary_diff(unit: str, start: ColumnOrName, end: ColumnOrName) -> Column:
     raise ValueError(f"unsupported unit {unit}")
 
 
-def add_hours(ts: ColumnOrName, n: ColumnOrName) -> Column:
-    return F.timestamp_add("HOUR", col(n), col(ts))
-
-
-def add_minutes(ts: ColumnOrName, n: ColumnOrName) -> Column:
-    return F.timestamp_add("MINUTE", col(n), col(ts))
-
-
 # ---------------------------------------------------------------------------
 # H10 guarded division / percentages
 # ---------------------------------------------------------------------------
@@ -105,12 +93,6 @@ def least_strict(*cols: ColumnOrName) -> Column:
     return F.when(any_null, F.lit(None)).otherwise(F.least(*cs))
 
 
-def greatest_strict(*cols: ColumnOrName) -> Column:
-    cs = [col(c) for c in cols]
-    any_null = reduce(lambda x, y: x | y, [c.isNull() for c in cs])
-    return F.when(any_null, F.lit(None)).otherwise(F.greatest(*cs))
-
-
 # ---------------------------------------------------------------------------
 # H08 age
 # ---------------------------------------------------------------------------

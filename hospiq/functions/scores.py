@@ -381,12 +381,6 @@ def charlson_condition(icd10, normalized: bool = False) -> Column:
     return _charlson_chain(icd10, normalized, lambda i, n: F.lit(n)).otherwise(F.lit(None))
 
 
-def charlson_bit(icd10, normalized: bool = False) -> Column:
-    """1 << (index of the first matching condition), 0 if none: a patient's
-    condition set then reduces with one ``bit_or``."""
-    return _charlson_chain(icd10, normalized, lambda i, n: F.lit(1 << i)).otherwise(F.lit(0))
-
-
 def charlson_prefix_rows() -> list[tuple[int, str, int]]:
     """(prefix length, prefix, rule index) generated from CHARLSON: 3-char
     codes, 4-char codes and 3-char ranges expanded (letter + 2 digits).
