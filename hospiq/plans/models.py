@@ -15,7 +15,7 @@ from . import staging as B
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = STAR_AS_OF):
-        self.spark = spark
+        self.spark, self.sf_dir = spark, sf_dir
         self.raw = HospitalSource(spark, sf_dir)
         self.as_of = as_of
 

@@ -15,14 +15,15 @@ from .functions import core as fn
 from .plans.models import Warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+# held with its session, so that another session never meets a stale model graph
+_WAREHOUSES: dict[SparkSession, dict[str, Warehouse]] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    key = (id(spark), sf_dir)
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse(spark, sf_dir)
-    return _WAREHOUSES[key]
+    mine = _WAREHOUSES.setdefault(spark, {})
+    if sf_dir not in mine:
+        mine[sf_dir] = Warehouse(spark, sf_dir)
+    return mine[sf_dir]
 
 
 def query(qid: str):
@@ -529,6 +530,7 @@ def _two_loads(w: Warehouse, name: str, early) -> DataFrame:
     from .plans.build import maintain, mart_table
     from .session import checkpoint_dir
     base = f"{checkpoint_dir(w.spark)}/two_loads/{uuid.uuid4().hex}"
+    w = Warehouse(w.spark, w.sf_dir, w.as_of)               # a graph of its own: the shared one stays as it is
     full = w.materialize(name, f"{base}/stage/{name}")     # written once, read by both loads
     table = mart_table(w.spark, base, name, full.columns, buckets=8)
     table.commit(full.filter(early))
