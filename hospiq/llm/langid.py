@@ -29,7 +29,7 @@ PER_LANGUAGE = 500      # labelled documents of a language to learn from, at mos
 WINDOWS_PER_DOC = 3     # windows of each of them
 MAX_LANGUAGES = 64
 STEPS, BATCH, RATE = 500, 64, 0.01
-MIN_SCORE = 0.3         # below it the pipeline rejects a document
+MIN_SCORE = 0.25        # below it the pipeline rejects a document
 _LETTER = re.compile(r"[^\W\d_]")
 
 
