@@ -9,7 +9,9 @@ probabilities by their bytes.
 
 from __future__ import annotations
 
+import random
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +31,24 @@ PER_LANGUAGE = 500      # labelled documents of a language to learn from, at mos
 WINDOWS_PER_DOC = 3     # windows of each of them
 MAX_LANGUAGES = 64
 STEPS, BATCH, RATE = 500, 64, 0.01
-MIN_SCORE = 0.25        # below it the pipeline rejects a document
+NOISE = 1500            # junk windows that a network with a background class learns from
+SIZES = (16, 64, 256)   # bytes: texts under each, and longer ones, are rejected by a bound of their own
+CUTS = (8, 16, 64, 256)  # bytes of the set-aside texts that set these bounds
+SET_ASIDE = 50          # fewer labelled documents set aside: no bound
+RARE = 0.002            # a bound is half the score that this share of the set-aside texts stays under
 _LETTER = re.compile(r"[^\W\d_]")
+# first and last letters of alphabets; a learned one among them does no harm
+_ALPHABETS = ((0x61, 0x7A), (0x370, 0x3FF), (0x400, 0x45F), (0x5D0, 0x5EA), (0x620, 0x64A), (0x904, 0x939), (0xE01, 0xE2E),
+              (0x3041, 0x3096), (0x4E00, 0x9FA0), (0xAC00, 0xD7A3), (0xC0, 0x17F))
 
 
 class ByteCNN:
-    def __init__(self, languages: list[str], seed: int = 7):
+    def __init__(self, languages: list[str], background: bool = False, seed: int = 7):
+        """``background``: one more class, after the languages, for junk."""
         rng = np.random.default_rng(seed)
-        self.languages = languages
+        self.languages, self.background = languages, background
+        self.classes = len(languages) + background
+        self.least = None       # by SIZES: the smallest share of all languages of a text that is kept
         span, n = max(WIDTHS), FILTERS * len(WIDTHS)
         self.embed = rng.normal(0, 0.5, (PAD + 1, DIM)).astype(np.float32)
         self.embed[PAD] = 0
@@ -46,8 +58,8 @@ class ByteCNN:
         self.mask = self.mask.reshape(span * DIM, n)
         self.conv = (rng.normal(0, 0.3, (span * DIM, n)) * self.mask).astype(np.float32)
         self.bias = np.zeros(n, np.float32)
-        self.out = rng.normal(0, 0.1, (n, len(languages))).astype(np.float32)
-        self.out_bias = np.zeros(len(languages), np.float32)
+        self.out = rng.normal(0, 0.1, (n, self.classes)).astype(np.float32)
+        self.out_bias = np.zeros(self.classes, np.float32)
 
     def _columns(self, windows: np.ndarray) -> np.ndarray:
         """(window, place, span * DIM): the embedded bytes under a filter."""
@@ -59,7 +71,7 @@ class ByteCNN:
         return np.ascontiguousarray(view)
 
     def probabilities(self, windows: np.ndarray) -> np.ndarray:
-        out = np.empty((len(windows), len(self.languages)), np.float32)
+        out = np.empty((len(windows), self.classes), np.float32)
         for i in range(0, len(windows), 128):
             x = self._columns(windows[i:i + 128])
             top = (x.reshape(-1, x.shape[2]) @ self.conv).reshape(x.shape[0], x.shape[1], -1).max(1)
@@ -73,10 +85,13 @@ class ByteCNN:
         names = ("embed", "conv", "bias", "out", "out_bias")
         m = {k: np.zeros_like(getattr(self, k)) for k in names}
         v = {k: np.zeros_like(getattr(self, k)) for k in names}
-        by_label = [np.flatnonzero(labels == c) for c in range(len(self.languages))]
+        by_label = [np.flatnonzero(labels == c) for c in range(self.classes)]
         for t in range(1, steps + 1):
             # balanced batches; a third of the windows is cut short, as ends of texts are
-            pick = np.concatenate([rng.choice(b, BATCH // len(by_label) + 1) for b in by_label])
+            each = [BATCH // len(by_label) + 1] * len(by_label)
+            if self.background:
+                each[-1] = max(each[-1], BATCH // 5)
+            pick = np.concatenate([rng.choice(b, k) for b, k in zip(by_label, each, strict=True)])
             w = windows[pick].copy()
             cut = rng.random(len(w)) < 0.33
             w[cut[:, None] & (np.arange(WINDOW) >= rng.integers(8, WINDOW, len(w))[:, None])] = PAD
@@ -128,10 +143,36 @@ def windows_of(data: np.ndarray, offsets: np.ndarray):
     return w, row, length
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteCNN | None:
+def noise(passages: list[str], n: int = NOISE, seed: int = 5) -> list[str]:
+    """Junk for the background class: passages with their letters shuffled (as
+    a whole, and inside each word) and random letters, with and without spaces
+    and signs, of the passages' own alphabet and of others."""
+    rng = random.Random(seed)
+    own = "".join(sorted({c for t in passages for c in t if c.isalpha()})) or "a"
+    others = ["".join(c for c in map(chr, range(a, b + 1)) if c.isalpha()) for a, b in _ALPHABETS]
+    out = []
+    for i in range(n):
+        t = rng.choice(passages)
+        if i % 4 == 0:
+            t = "".join(rng.sample(t, len(t)))
+        elif i % 4 == 1:
+            t = " ".join("".join(rng.sample(w, len(w))) for w in t.split(" "))
+        else:
+            letters = rng.choice([own, others[0], "bcdfghjklmnpqrstvwxz"]) if i % 4 == 2 else rng.choice(others)
+            if rng.random() < 0.3:
+                letters = "".join(rng.choices(letters, k=rng.randint(1, 8)))
+            more = rng.choice(["", " " * max(1, len(letters) // 5), string.digits + string.punctuation + "   "])
+            t = "".join(rng.choices(letters + more, k=WINDOW))
+        out.append(t)
+    return out
+
+
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+        background: bool = False) -> ByteCNN | None:
     """A network trained on at most PER_LANGUAGE documents of each of the
     MAX_LANGUAGES most frequent languages, WINDOWS_PER_DOC windows from
-    pseudorandom places of each. None without labelled text."""
+    pseudorandom places of each; with ``background`` also on junk made from
+    them. None without labelled text."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND length(text) > 0")
     sample = bounded_sample(rows, "lang", "id", PER_LANGUAGE, MAX_LANGUAGES)
@@ -142,20 +183,59 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         return None
     languages = sorted({r["lang"] for r in got})
     raw = [(t.encode()[:WINDOW], languages.index(r["lang"])) for r in got for t in r["w"]]
+    if background:
+        raw += [(t.encode()[:WINDOW], len(languages)) for t in noise([t for r in got for t in r["w"]])]
     w = np.full((len(raw), WINDOW), PAD, np.int16)
     for i, (b, _) in enumerate(raw):
         w[i, : len(b)] = np.frombuffer(b, np.uint8)
-    model = ByteCNN(languages)
+    model = ByteCNN(languages, background)
     model.train(w, np.array([y for _, y in raw]))
     return model
 
 
+def shares(model: ByteCNN, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(row, class): the classes' probabilities, averaged by bytes over all
+    windows; 0 for an empty row."""
+    w, row, length = windows_of(data, offsets)
+    p = model.probabilities(w).astype(np.float64) * length[:, None]
+    total = np.stack([np.bincount(row, p[:, c], len(offsets) - 1) for c in range(model.classes)], axis=1)
+    return total / np.maximum(total.sum(1, keepdims=True), 1e-12)
+
+
+def least_shares(model: ByteCNN, texts: list[str]) -> np.ndarray | None:
+    """The smallest share of the languages together that a text of each size
+    may have, from clean ``texts`` cut to that size: half of what next to all
+    of them reach. None for too few texts."""
+    raw = [t.encode() for t in texts]
+    if len(raw) < SET_ASIDE:
+        return None
+    out = []
+    for cut in CUTS:
+        part = [r[:cut] for r in raw]
+        known = shares(model, np.frombuffer(b"".join(part), np.uint8), np.cumsum([0, *map(len, part)]))[:, :-1].sum(1)
+        out.append(min(0.5, np.quantile(known, RARE) / 2))
+    return np.array(out)
+
+
+def fit_stage(docs: DataFrame) -> ByteCNN | None:
+    """A network with a background class, and the bounds that the labelled rows
+    set aside from training give it (at most PER_LANGUAGE of a language)."""
+    model = fit(training_rows(docs), background=True)
+    if model is not None:
+        rows = docs.select("doc_id", "lang", F.substring("text", 1, max(CUTS)).alias("start"))
+        rows = rows.filter((F.crc32(F.col("doc_id").cast("string")) % 3 == 1) & F.col("lang").isin(model.languages)
+                           & F.col("start").rlike(r"\p{L}"))
+        sample = bounded_sample(rows, "lang", "doc_id", PER_LANGUAGE, MAX_LANGUAGES)
+        model.least = least_shares(model, [r["start"] for r in sample.collect()])
+    return model
+
+
 def predict(docs: DataFrame, model: ByteCNN | None, keep: list[str], text_col: str = "text",
             names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``keep`` columns, the predicted language and its probability for every
     row. A null or empty text and one without a letter are ``und`` with score
-    0, as is every text when there was nothing to learn from. Rows that repeat
-    are predicted alike."""
+    0, as is every text when there was nothing to learn from, and one under the
+    model's bound if it has bounds. Rows that repeat are predicted alike."""
     def fn(data, offsets):
         n = len(offsets) - 1
         ascii_letter = ((data | 32) >= 97) & ((data | 32) <= 122) & (data < 128)
@@ -165,13 +245,12 @@ def predict(docs: DataFrame, model: ByteCNN | None, keep: list[str], text_col: s
             has[i] = any(m.group().isalpha() for m in _LETTER.finditer(t))
         lang, score = ["und"] * n, np.zeros(n)
         if model is not None and has.any():
-            w, row, length = windows_of(data, offsets)
-            p = model.probabilities(w).astype(np.float64) * length[:, None]
-            total = np.zeros((n, p.shape[1]))
-            for c in range(p.shape[1]):
-                total[:, c] = np.bincount(row, p[:, c], n)
-            best = total.argmax(1)
-            share = total[np.arange(n), best] / np.maximum(total.sum(1), 1e-12)
+            share = shares(model, data, offsets)
+            best = share[:, :len(model.languages)].argmax(1)
+            if model.least is not None:
+                known = share[:, :len(model.languages)].sum(1)
+                has &= known >= model.least[np.searchsorted(SIZES, np.diff(offsets), side="right")]
+            share = share[np.arange(n), best]
             lang = [model.languages[b] if h else "und" for b, h in zip(best.tolist(), has.tolist(), strict=True)]
             score = np.where(has, np.clip(share, 0, 1), 0.0)
         return [pa.array(lang), pa.array(score, pa.float64())]
@@ -183,11 +262,14 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows of no language: ``und``, or scored under
-    MIN_SCORE (all text kept whole, columns as given)."""
+    """``docs`` without the rows of no language (all text kept whole, columns
+    as given): null texts, texts without a letter, and texts that the network
+    takes for junk or for no language it learned, by bounds set from the
+    labelled rows set aside (under SET_ASIDE of them: no bounds)."""
+    model = fit_stage(docs)
     names = tuple(f"__{x}_{len(docs.columns)}" for x in ("lang", "score"))
-    out = predict(docs, fit(training_rows(docs)), docs.columns, "text", names)
-    return out.filter((F.col(names[0]) != "und") & (F.col(names[1]) >= MIN_SCORE)).select(*docs.columns)
+    out = predict(docs, model, docs.columns, "text", names)
+    return out.filter(F.col(names[0]) != "und").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,19 @@ def test_language_id_edge_cases(spark, corpus):
     assert langid.fit(empty) is None and langid.keep_identified(spark, empty).collect() == []
 
 
+def test_language_stage_drops_letter_junk_and_keeps_clean_texts(spark):
+    rng = random.Random(13)
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text", "lang")
+    letters, cyrillic = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшыэюя"
+    junk = ["".join(rng.choices(al + " " * gap, k=k)) for al in (letters, cyrillic) for gap in (0, 5) for k in (150, 400, 3000)
+            for _ in range(10)]
+    planted = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(junk)], "doc_id long, text string, lang string")
+    clean = {r.doc_id for r in docs.filter("text rlike '[a-zA-Z]'").collect()}
+    got = {r.doc_id for r in langid.keep_identified(spark, docs.unionByName(planted)).collect()}
+    assert len([i for i in got if i < 0]) <= 1
+    assert got - clean <= {-1 - i for i in range(len(junk))} and len(clean - got) <= 0.003 * len(clean)
+
+
 def test_windows_cover_every_byte_once():
     data = np.random.default_rng(0).integers(0, 256, 3000).astype(np.uint8)
     offsets = np.array([0, 0, 10, 256, 2000, 3000])
