@@ -265,8 +265,12 @@ def keep_identified(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` without the rows of no language (all text kept whole, columns
     as given): null texts, texts without a letter, and texts that the network
     takes for junk or for no language it learned, by bounds set from the
-    labelled rows set aside (under SET_ASIDE of them: no bounds)."""
+    labelled rows set aside. Without labelled rows to learn from (lang null in
+    all, or none among the training rows) or to set the bounds (under
+    SET_ASIDE), only null texts and texts without a letter are dropped."""
     model = fit_stage(docs)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     names = tuple(f"__{x}_{len(docs.columns)}" for x in ("lang", "score"))
     out = predict(docs, model, docs.columns, "text", names)
     return out.filter(F.col(names[0]) != "und").select(*docs.columns)

@@ -50,6 +50,18 @@ def test_language_stage_drops_letter_junk_and_keeps_clean_texts(spark):
     assert got - clean <= {-1 - i for i in range(len(junk))} and len(clean - got) <= 0.003 * len(clean)
 
 
+def test_language_stage_without_labels_keeps_texts_with_a_letter(spark):
+    rows = [(1, "clean text", None), (2, "ёлка", None), (3, None, None), (4, "", None), (5, "123 !!", None), (None, "no id", None)]
+    schema = "doc_id long, text string, lang string"
+    docs = spark.createDataFrame(rows, schema)
+    kept = langid.keep_identified(spark, docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 2, None}
+    # labels, but of rows that are all set aside from training
+    aside = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 == 1]
+    docs = spark.createDataFrame([(i, "clean text" if i != aside[0] else "1", "en") for i in aside], schema)
+    assert {r.doc_id for r in langid.keep_identified(spark, docs).collect()} == set(aside[1:])
+
+
 def test_windows_cover_every_byte_once():
     data = np.random.default_rng(0).integers(0, 256, 3000).astype(np.uint8)
     offsets = np.array([0, 0, 10, 256, 2000, 3000])
