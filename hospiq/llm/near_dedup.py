@@ -21,7 +21,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bytetext import blocks, buffers, mix, shingle_sets
@@ -34,7 +34,6 @@ SAMPLES = 256           # MinHash samples; the first BANDS * ROWS make the bands
 BITS = 1024             # of an odd sketch
 SALT = 500              # pairs of one hub that are confirmed in one task
 BLOCK = 1024            # members of a hot bucket compared in one task
-NO_ID = (1 << 63) - 1   # stands for a null id inside
 
 _RNG = np.random.default_rng(99)
 _XOR = _RNG.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
@@ -83,22 +82,22 @@ def fixed_lists(a: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, a.size + 1, a.shape[1]), pa.int32()), pa.array(a.ravel()))
 
 
-SET_ROWS = "id long, n long, set_id binary, bands array<long>, sketch array<long>"
+SET_ROWS = "id long, key binary, n long, set_id binary, bands array<long>, sketch array<long>"
 
 
 def set_rows(docs: DataFrame, shingle: int) -> DataFrame:
-    """``docs``: id, text. One row a document: size and digest of its set, its
+    """``docs``: id, key, text. One row a document: size and digest of its set, its
     band keys and its sketch (both empty for an empty set)."""
     def run(batches):
         for b in batches:
-            data, o = buffers(b.column(1))
+            data, o = buffers(b.column(2))
             for i, j in blocks(o):
                 sets = shingle_sets(data[o[i]:o[j]], o[i:j + 1] - o[i], shingle)
                 sig = signatures(sets)
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
+                    b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                    fixed_lists(band_keys(sig)), fixed_lists(odd_sketches(sig))], names=["id", "n", "set_id", "bands", "sketch"])
+                    fixed_lists(band_keys(sig)), fixed_lists(odd_sketches(sig))], names=["id", "key", "n", "set_id", "bands", "sketch"])
     return docs.mapInArrow(run, SET_ROWS)
 
 
@@ -234,7 +233,8 @@ def cross_candidates(buckets: DataFrame, reps: DataFrame, comps: DataFrame, perc
             key = g.column(0)[0].as_py()
             role, ids, n, comp = (g.column(k).to_numpy() for k in (3, 4, 5, 6))
             bands = g.column(7).chunk(0).flatten().to_numpy().reshape(len(ids), BANDS)
-            sketch = g.column(8).chunk(0).flatten().to_numpy().reshape(len(ids), BITS // 64)
+            # unsigned: of a negative number bitwise_count counts the bits of its absolute value
+            sketch = g.column(8).chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(ids), BITS // 64)
             m = np.flatnonzero(role == 1)
             found_a, found_b = [], []
             for x in np.flatnonzero(role == 0):
@@ -255,26 +255,28 @@ def cross_candidates(buckets: DataFrame, reps: DataFrame, comps: DataFrame, perc
         F.when(F.col("b") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("a"), "b")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-               percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every document.
+def text_key(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
-    Documents link when 100 * common shingles >= percent * all shingles of the
-    two. component_id is the smallest id reachable over links, itself included;
-    kept marks that document. A-Z count as a-z. A text of fewer words than a
-    shingle is one shingle, a null or empty one (or of separators only) has
-    none and links with nothing. Rows that repeat id and set give one row; rows
-    of one id with different texts are one document for links. Rows without an
-    id are one document, with a null component_id unless linked to another.
-    Other columns are not read. An empty table gives an empty result.
-    """
-    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, one_per_id: bool) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (id, key, n, set_id ...) of every document and ``nodes``: for
+    each set that is not empty its first row (id, key; null ids last) and of
+    its component the first row (top_id, top_set). Links are between sets,
+    whatever the ids; ``one_per_id`` links the sets of one id too."""
+    src = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("key"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = materialize(set_rows(src, shingle), "sets")
     full = rows.filter("n > 0")
-    first = full.groupBy("set_id").agg(F.min("id").alias("rep"))
-    reps = materialize(full.join(first, (full["set_id"] == first["set_id"]) & (F.col("id") == F.col("rep")), "left_semi")
-                       .drop("set_id"), "reps")
+    first = full.groupBy("set_id").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first"))
+    # a number for each set: 60 bits of a hash, and its place among the sets of equal bits
+    high = first.select("set_id", "first.*", F.xxhash64("set_id").bitwiseAND(F.lit(-16)).alias("high"))
+    place = F.row_number().over(Window.partitionBy("high").orderBy("set_id"))
+    nodes = materialize(high.select("set_id", "no_id", "id", "key", (F.col("high") + place - 1).alias("node")), "nodes")
+    rep = nodes.select(F.col("set_id").alias("r_set"), F.col("id").alias("r_id"), F.col("key").alias("r_key"), "node")
+    reps = materialize(full.join(rep, (F.col("set_id") == F.col("r_set")) & F.col("id").eqNullSafe(F.col("r_id"))
+                                 & (F.col("key") == F.col("r_key")))
+                       .select(F.col("node").alias("id"), "n", "bands", "sketch"), "reps")
 
     # buckets of two representatives or more
     keys = reps.select("id", F.explode("bands").alias("key"))
@@ -292,17 +294,22 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = stars.groupBy("a").agg(F.min(F.struct("far", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
 
     # texts of all that may still be compared; the rest is never moved again
-    active = buckets.select("id").distinct()
-    texts = materialize(src.join(active, "id", "left_semi"), "texts")
+    active = rep.join(buckets.select(F.col("id").alias("node")).distinct(), "node", "left_semi")
+    texts = materialize(src.join(active, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")))
+                        .select(F.col("node").alias("id"), "text"), "texts")
     links = materialize(confirmed(best, texts, shingle, percent), "links")
     comps = components(links, rounds=2)
 
     left = _with_comp(_with_comp(stars.select("a", "b"), comps, "a", "ca"), comps, "b", "cb").filter("ca <> cb").select("a", "b")
     more = materialize(confirmed(materialize(left.join(best, ["a", "b"], "left_anti"), "pairs"), texts, shingle, percent), "links")
-    # rows of one id with different texts: the id is linked to all its sets
-    several = rows.groupBy("id").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y")).filter("x <> y").select("id")
-    same_id = full.join(several, "id", "left_semi").join(first, "set_id").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    links = links.unionByName(more).unionByName(materialize(same_id.distinct(), "links"))
+    links = links.unionByName(more)
+    if one_per_id:
+        several = (full.filter("id IS NOT NULL").groupBy("id").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y"))
+                   .filter("x <> y").select("id", "x"))
+        same_id = (full.join(several, "id").select("set_id", "x").distinct()
+                   .join(nodes.select("set_id", F.col("node").alias("a")), "set_id")
+                   .join(nodes.select(F.col("set_id").alias("x"), F.col("node").alias("b")), "x").select("a", "b"))
+        links = links.unionByName(materialize(same_id, "links"))
     comps = components(links, rounds=2)
 
     cross = cross_candidates(buckets.select("key", "id"), reps, comps, percent)
@@ -311,21 +318,55 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     last = materialize(confirmed(cross, texts, shingle, percent), "links")
     comps = components(links.unionByName(last))
 
-    each = rows.groupBy("id", "set_id", "n").agg(F.lit(1).alias("one")).drop("one")
-    f = first.select(F.col("set_id").alias("f_set"), "rep")
-    out = each.join(f, F.col("set_id") == F.col("f_set"), "left").withColumn("rep", F.coalesce("rep", "id"))
-    out = _with_comp(out, comps, "rep", "component_id")
+    joined = nodes.join(comps, "node")
+    tops = joined.groupBy("comp").agg(F.min(F.struct("no_id", "id", "set_id")).alias("top"))
+    tops = joined.select("node", "comp").join(tops, "comp").select("node", "top")
+    own = F.struct("no_id", "id", "set_id")
+    nodes = nodes.join(tops, "node", "left").withColumn("top", F.coalesce("top", own))
+    return rows, nodes.select("set_id", "id", "key", F.col("top.id").alias("top_id"), F.col("top.set_id").alias("top_set"))
+
 
-    def back(c):
-        return F.when(F.col(c) != NO_ID, F.col(c))
-    return out.select(back("id").alias("doc_id"), F.col("n").alias("n_shingles"), back("component_id").alias("component_id"),
-                      (F.col("id") == F.col("component_id")).alias("kept"))
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+               percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every document.
+
+    Documents link when 100 * common shingles >= percent * all shingles of the
+    two. component_id is the smallest id reachable over links, itself included;
+    kept marks that document. A-Z count as a-z. A text of fewer words than a
+    shingle is one shingle, a null or empty one (or of separators only) has
+    none and links with nothing. Rows that repeat id and set give one row; rows
+    of one id with different texts are one document for links. Rows without an
+    id are a document for each set; one whose component has no id has a null
+    component_id, and one of them is kept. Other columns are not read. An empty
+    table gives an empty result.
+    """
+    rows, nodes = _linked(docs, id_col, text_col, shingle, percent, one_per_id=True)
+    # an empty text of an id that has others too belongs to their component
+    empty = rows.filter("n = 0 AND id IS NOT NULL").select("id").distinct()
+    other = (rows.filter("n > 0").join(empty, "id", "left_semi").groupBy("id").agg(F.min("set_id").alias("other"))
+             .select(F.col("id").alias("o_id"), "other"))
+    each = rows.groupBy("id", "set_id", "n").agg(F.lit(1).alias("one")).drop("one")
+    each = each.join(other, (F.col("n") == 0) & (F.col("id") == F.col("o_id")), "left")
+    each = each.withColumn("set", F.coalesce("other", "set_id")).drop("other", "o_id")
+    f = nodes.select(F.col("set_id").alias("f_set"), "top_id", "top_set")
+    out = each.join(f, F.col("set") == F.col("f_set"), "left")
+    component = F.when(F.col("f_set").isNull(), F.col("id")).otherwise(F.col("top_id"))
+    out = out.select("id", "n", "set", "top_set", component.alias("component_id"))
+    kept = F.when(F.col("component_id").isNull(), F.coalesce(F.col("set") == F.col("top_set"), F.lit(True))).otherwise(
+        F.col("id").isNotNull() & (F.col("id") == F.col("component_id")))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
+                      F.coalesce(kept, F.lit(False)).alias("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group, columns as given."""
-    keep = near_dedup(docs).filter("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    """``docs`` with one text of each group of near copies, that of the smallest
+    id (null ids last), columns as given. Texts are linked, not ids: rows that
+    share an id, or have none, are documents of their own. Texts without a word
+    are kept; rows that repeat id and text stay together."""
+    rows, nodes = _linked(docs, "doc_id", "text", SHINGLE, PERCENT, one_per_id=False)
+    keep = nodes.filter("set_id = top_set").select("id", "key").unionByName(rows.filter("n = 0").select("id", "key"))
+    keep = keep.select(F.col("id").alias("__keep_id"), F.col("key").alias("__keep_key"))
+    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (text_key("text") == F.col("__keep_key")), "left_semi")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

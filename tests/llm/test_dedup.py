@@ -75,6 +75,29 @@ def test_near_dedup_empty_table_null_and_shared_ids(spark):
     assert got == {(3, 3, True), (5, 3, False), (9, 3, False), (None, None, True)}
 
 
+def test_near_dedup_rows_without_an_id_are_documents_of_their_own(spark):
+    rng = random.Random(31)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [(7, a), (9, b), (None, edited(rng, a, 1)), (None, edited(rng, b, 1)), (None, c), (None, edited(rng, c, 1)), (None, d),
+            (3, prose(rng, 60)), (5, d + " x"), (None, None), (11, ""), (11, a + " y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in near_dedup.near_dedup(df).collect())
+    assert got == sorted([(7, 7, True), (9, 9, True), (0, 7, False), (0, 9, False), (0, 0, True), (0, 0, False), (0, 5, False),
+                          (3, 3, True), (5, 5, True), (0, 0, True), (11, 7, False), (11, 7, False)])
+    kept = near_dedup.drop_near_copies(spark, df).collect()
+    left = [r.text for r in kept if r.doc_id is None]
+    assert len(left) == 2 and None in left and set(left) & {c, rows[5][1]}
+    assert {(r.doc_id, r.text) for r in kept if r.doc_id} == {(7, a), (9, b), rows[7], (5, d + " x"), (11, "")}
+
+
+def test_near_copies_stage_links_texts_of_a_repeated_id_separately(spark):
+    rng = random.Random(32)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(3, a), (5, edited(rng, a, 1)), (5, b), (9, edited(rng, b, 1)), (5, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in near_dedup.drop_near_copies(spark, df).collect()} == {(3, a), (5, b), (5, c)}
+
+
 @pytest.mark.parametrize("hot", [50_000, 1])
 def test_long_repeats(spark, corpus, hot):
     rows, df, _ = corpus
