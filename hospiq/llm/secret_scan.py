@@ -310,26 +310,28 @@ def learn(passages: list[str], seed: int = 17) -> CRF:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> CRF | None:
     """A CRF learned from at most PASSAGES passages around a base span and as
-    many from other texts, those of the smallest hash of the id. None for a
+    many from other texts, those of the smallest hash of the id. One pass over
+    all rows searches the pattern and counts both kinds; a threshold on the
+    hash then lets little more than the sample of each through. None for a
     table without any base span."""
-    from .maptext import bounded_sample
     pattern = r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{8}|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("length(text) > 0")
     # a text's passage: around its first base span, else at a pseudorandom place
     at = F.regexp_instr("text", F.lit(pattern))
     place = F.when(at > 0, F.greatest(at - F.lit(PASSAGE // 2), F.lit(1))).otherwise(
         (F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - PASSAGE, F.lit(0)) + 1) + 1).cast("int"))
-    # thin by hash before the pattern is searched; both kinds keep their bound
-    total = docs.count()
-    if not total:
-        return None
-    share = min(1.0, 40.0 * PASSAGES / total)
-    thin = rows.filter(F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 30)) <= F.lit(int(share * (1 << 30))))
-    picked = thin.select("id", F.substring("text", place, F.lit(PASSAGE)).alias("passage"),
-                         F.when(at > 0, 1).otherwise(0).alias("has"))
-    got = bounded_sample(picked, "has", "id", PASSAGES, 2).orderBy("has", "id").collect()
-    if not any(r["has"] for r in got):
+    has = F.col("text").rlike(pattern)
+    n = rows.agg(F.count_if(has).alias("with"), F.count_if(~has).alias("without")).first()
+    if not n["with"]:
         return None
+    got = []
+    for kind, of in ((~has, n["without"]), (has, n["with"])):
+        share = min(1.0, 2.0 * PASSAGES / max(of, 1))
+        by_hash = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 30))
+        # the hash first: the pattern is searched in the rows that it lets through
+        thin = rows.filter((by_hash <= F.lit(int(share * (1 << 30)))) & kind)
+        picked = thin.select("id", by_hash.alias("h"), F.substring("text", place, F.lit(PASSAGE)).alias("passage"))
+        got += picked.orderBy("h", "id", "passage").limit(PASSAGES).collect()
     return learn([r["passage"] for r in got])
 
 
