@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -50,6 +50,44 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
     return df.mapInArrow(run, schema)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``name``: each row's place (0, 1, 2 ...) in the order.
+
+    Rows are range-partitioned and sorted, so no task holds more than its range;
+    a row's place is its place in the range plus the sizes of the ranges before
+    it (one number for each partition goes over the driver). Columns of ``order`` should tell all rows
+    apart that may not change places. ``df`` is read twice (the ranges are
+    sampled), so give a written table."""
+    spark = df.sparkSession
+    at = F.monotonically_increasing_id()
+    placed = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, at), name)
+    part, inside = F.shiftright(F.col(name), 33), F.col(name).bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = sorted((r["part"], r["count"]) for r in placed.groupBy(part.alias("part")).count().collect())
+    before, rows = 0, []
+    for p, n in sizes:
+        rows.append((p, before))
+        before += n
+    base = spark.createDataFrame(rows, "range_part long, range_base long")
+    return (placed.join(F.broadcast(base), part == F.col("range_part"))
+            .withColumn(name, F.col("range_base") + inside).drop("range_part", "range_base"))
+
+
+def segments(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """``text`` in pieces of about ``size`` characters, cut after a space or a
+    line break; a stretch without any stays whole."""
+    at, n = 0, len(text)
+    while n - at > size:
+        cut = max(text.rfind(" ", at, at + size), text.rfind("\n", at, at + size))
+        if cut < 0:
+            ahead = [c for c in (text.find(" ", at + size), text.find("\n", at + size)) if c >= 0]
+            if not ahead:
+                break
+            cut = min(ahead)
+        yield text[at:cut + 1]
+        at = cut + 1
+    yield text[at:]
+
+
 def text_rows(docs: DataFrame, *columns: str, text: str = "text") -> DataFrame:
     """Only the needed columns, text null as empty (the scan reads no more)."""
     return docs.select(*columns, F.coalesce(F.col(text), F.lit("")).alias(text))

@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontam, exact_dedup, langid, mixing, near_dedup, quality, secret_scan, suffix_dedup, token_count
+from . import (
+    chat_format,
+    decontam,
+    exact_dedup,
+    langid,
+    mixing,
+    near_dedup,
+    packing,
+    prefix_trie,
+    quality,
+    resample,
+    secret_scan,
+    suffix_dedup,
+    token_count,
+)
 from .common import ship_package
 
 
@@ -24,6 +38,9 @@ _OPERATORS = {
     "op8_suffix_dedup": suffix_dedup.query,
     "op9_near_dedup": near_dedup.query,
     "op10_mixing": mixing.query,
+    "op11_prefix_trie": prefix_trie.query,
+    "op12_resample": resample.query,
+    "op13_packing": packing.query,
 }
 
 QUERIES = {name: _shipped(fn) for name, fn in _OPERATORS.items()}
@@ -33,4 +50,6 @@ SQL = {
     "op2_decontamination": decontam.SQL,
     "op3_chat_format": chat_format.SQL,
     "op9_near_dedup": near_dedup.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
+    "op12_resample": resample.SQL,
 }
