@@ -8,9 +8,12 @@ longer document makes a block of its own.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
+LONG_WORD = 64          # bytes of a word above which its hash is cryptographic
 BLOCK = 2 << 20
 _X = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _XINV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -130,6 +133,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarr
     no word: empty."""
     s, e, row = words(data, offsets)
     h = Rolling(data, LOWER_VALUE).ranges(s, e)
+    # a polynomial modulo 2**64 has equal values for some long strings that differ in a regular way
+    for k in np.flatnonzero(e - s > LONG_WORD).tolist():
+        word = data[s[k]:e[k]].tobytes().lower()
+        h[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
     all_sh = shingles(h, n)
     bound = np.searchsorted(row, np.arange(len(offsets)))
     out = []

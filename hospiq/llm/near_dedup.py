@@ -11,8 +11,12 @@
 All pairs of a bucket are never written out. First each representative meets
 the smallest one of its buckets, the likeliest first; after that only members
 of *different* components of a bucket are compared, in blocks of bounded size,
-those outside a bucket's main component against all. So no link between
-documents that share a bucket is lost, and a hot bucket is split over tasks.
+those outside a bucket's main component against all. A block holds the full
+sets: an index of rare shingles and the sketches leave out what cannot be
+similar, the rest is confirmed on the spot, and only links that join two
+components of the block leave it, fewer than it has members. So no link
+between documents that share a bucket is lost, and a hot bucket is split over
+tasks.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bytetext import blocks, buffers, mix, shingle_sets
-from .common import materialize, read_table
+from .common import fresh_names, materialize, read_table
 
 SHINGLE = 2             # words
 PERCENT = 80            # similarity to link, of 100
@@ -34,6 +38,7 @@ SAMPLES = 256           # MinHash samples; the first BANDS * ROWS make the bands
 BITS = 1024             # of an odd sketch
 SALT = 500              # pairs of one hub that are confirmed in one task
 BLOCK = 1024            # members of a hot bucket compared in one task
+BLOCK_SHINGLES = 1 << 19    # shingles of these members, unless one has more
 
 _RNG = np.random.default_rng(99)
 _XOR = _RNG.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
@@ -133,40 +138,67 @@ def _groups(batches, n_keys: int):
         yield pa.Table.from_batches(held)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. ``texts``: id, text.
-    Pairs are dealt by b, the hub; one with many pairs is salted, and its text
-    goes to each salt once."""
+SETS = "id long, n long, shingles binary"
+
+
+def full_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """``texts`` (id, text) as sorted shingle sets of 64-bit numbers."""
+    def run(batches):
+        for b in batches:
+            data, o = buffers(b.column(1))
+            for i, j in blocks(o):
+                sets = shingle_sets(data[o[i]:o[j]], o[i:j + 1] - o[i], shingle)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "n", "shingles"])
+    return texts.mapInArrow(run, SETS)
+
+
+def flat_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all shingles, borders) of a column of sets, without copying."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    o = np.frombuffer(offsets, np.int64, len(column) + 1 + column.offset)[column.offset:]
+    return np.frombuffer(data, np.uint64, int(o[-1]) // 8) if o[-1] else np.zeros(0, np.uint64), o // 8
+
+
+def alike(one: np.ndarray, flat: np.ndarray, start: np.ndarray, end: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets flat[start:end] are similar enough to ``one``."""
+    n = end - start
+    at = np.repeat(start - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+    x = flat[at]
+    place = np.minimum(np.searchsorted(one, x), len(one) - 1)
+    both = np.add.reduceat(one[place] == x, np.cumsum(n) - n)
+    return 100 * both >= percent * (len(one) + n - both)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough. ``sets``: as
+    ``full_sets`` gives them. Pairs are dealt by b, the hub; one with many
+    pairs is salted, and its set goes to each salt once."""
     salts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SALT).alias("salts"))
-    member = (pairs.join(salts, "b").join(texts, F.col("a") == F.col("id"))
-              .select("b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"), F.lit(1).alias("role"), "a", "text"))
-    hub = (salts.join(texts, F.col("b") == F.col("id"))
+    member = (pairs.join(salts, "b").join(sets, F.col("a") == F.col("id"))
+              .select("b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"), F.lit(1).alias("role"), "a", "shingles"))
+    hub = (salts.join(sets, F.col("b") == F.col("id"))
            .select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
-                   F.lit(0).alias("role"), F.col("b").alias("a"), "text"))
+                   F.lit(0).alias("role"), F.col("b").alias("a"), "shingles"))
     dealt = member.unionByName(hub).repartition("b", "salt").sortWithinPartitions("b", "salt", "role")
 
     def run(batches):
-        at, hubs = None, []
+        at, hub = None, None
         for batch in batches:
-            data, o = buffers(batch.column(4))
-            b, salt, role, a = (batch.column(k).to_pylist() for k in range(4))
-            out_a, out_b = [], []
-            for i, j in blocks(o):
-                sets = shingle_sets(data[o[i]:o[j]], o[i:j + 1] - o[i], shingle)
-                for k, s in zip(range(i, j), sets, strict=True):
-                    if (b[k], salt[k]) != at:
-                        at, hubs = (b[k], salt[k]), []
-                    if role[k] == 0:
-                        hubs.append(s)
-                        continue
-                    for h in hubs:
-                        both = len(np.intersect1d(h, s, assume_unique=True))
-                        if both and 100 * both >= percent * (len(h) + len(s) - both):
-                            out_a.append(a[k])
-                            out_b.append(b[k])
-                            break
-            if out_a:
-                yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+            flat, o = flat_sets(batch.column(4))
+            b, salt, role, a = (batch.column(k).to_numpy() for k in range(4))
+            new = np.ones(len(b), bool)
+            new[1:] = (b[1:] != b[:-1]) | (salt[1:] != salt[:-1])
+            edges = [*np.flatnonzero(new).tolist(), len(b)]
+            for i, e in zip(edges, edges[1:], strict=False):
+                if role[i] == 0:
+                    at, hub = (b[i], salt[i]), flat[o[i]:o[i + 1]].copy()
+                    i += 1
+                if i < e and (b[i], salt[i]) == at:
+                    ok = np.flatnonzero(alike(hub, flat, o[i:e], o[i + 1:e + 1], percent))
+                    if len(ok):
+                        yield pa.RecordBatch.from_arrays([pa.array(a[i + ok]), pa.array(b[i + ok])], names=["a", "b"])
     return dealt.mapInArrow(run, "a long, b long")
 
 
@@ -203,24 +235,99 @@ def _with_comp(df: DataFrame, comps: DataFrame, column: str, name: str) -> DataF
     return df.join(c, F.col(column) == F.col("__n"), "left").withColumn(name, F.coalesce("__c", column)).drop("__n", "__c")
 
 
-def cross_candidates(buckets: DataFrame, reps: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket but different components that the sketches
-    allow, each from the first band that it shares; b is outside the bucket's
-    main component. ``buckets``: key, id."""
+def prefix_lists(flat: np.ndarray, o: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, owners) of the prefixes of some sets. With the shingles of all
+    sets in one order, the rarest first, two sets at the similarity share one
+    of the first n - ceil(n * percent / 100) + 1 of each: a pair that shares
+    none of these needs no comparison."""
+    n = np.diff(o)
+    owner = np.repeat(np.arange(len(n)), n)
+    _, token, often = np.unique(flat[o[0]:o[-1]], return_inverse=True, return_counts=True)
+    rank = np.empty(len(often), np.int64)
+    rank[np.argsort(often, kind="stable")] = np.arange(len(often))
+    token = rank[token]
+    token = token[np.lexsort((token, owner))]
+    place = np.arange(len(token)) - np.repeat(o[:-1] - o[0], n)
+    first = place < np.repeat(n - -(-n * percent // 100) + 1, n)
+    return token[first], owner[first]
+
+
+class _Labels:
+    """Union-find over the component labels of one block."""
+
+    def __init__(self, labels: np.ndarray):
+        self.root = {int(x): int(x) for x in np.unique(labels)}
+
+    def find(self, x: int) -> int:
+        while self.root[x] != x:
+            self.root[x] = x = self.root[self.root[x]]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        if x != y:
+            self.root[max(x, y)] = min(x, y)
+        return x != y
+
+
+def block_links(g: pa.Table, percent: int, limit: int) -> list[tuple[int, int]]:
+    """Links of one block that join two component labels: fewer than it has
+    members. A pair is compared in the first bucket that it shares."""
+    g = g.combine_chunks()
+    key = g.column(0)[0].as_py()
+    role, ids, n, comp = (g.column(k).to_numpy() for k in (3, 4, 5, 6))
+    bands = g.column(7).chunk(0).flatten().to_numpy().reshape(len(ids), BANDS)
+    # unsigned: of a negative number bitwise_count counts the bits of its absolute value
+    sketch = g.column(8).chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(ids), BITS // 64)
+    flat, o = flat_sets(g.column(9).chunk(0))
+    token, owner = prefix_lists(flat, o, percent)
+    listed = owner[np.lexsort((owner, token))]
+    listed_token = np.sort(token)
+    own_end = np.searchsorted(owner, np.arange(len(ids) + 1))
+    labels, out = _Labels(comp), []
+    member = role == 1
+    for x in np.flatnonzero(role == 0):
+        mine = token[own_end[x]:own_end[x + 1]]
+        lo, hi = np.searchsorted(listed_token, mine), np.searchsorted(listed_token, mine, side="right")
+        y = np.unique(np.concatenate([listed[p:q] for p, q in zip(lo.tolist(), hi.tolist(), strict=True)]))
+        y = y[member[y] & (comp[y] != comp[x])]
+        y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * percent]
+        y = y[np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1) <= limit]
+        if len(out):
+            top = labels.find(int(comp[x]))
+            y = y[[labels.find(c) != top for c in comp[y].tolist()]] if len(y) else y
+        if not len(y):
+            continue
+        y = y[bands[x][(bands[y] == bands[x]).argmax(axis=1)] == key]
+        if len(y):
+            y = y[alike(flat[o[x]:o[x + 1]], flat, o[y], o[y + 1], percent)]
+            out += [(int(ids[k]), int(ids[x])) for k in y.tolist() if labels.join(int(comp[k]), int(comp[x]))]
+    return out
+
+
+def cross_links(buckets: DataFrame, reps: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of one bucket but different components.
+    ``buckets``: key, id, n. Members outside the bucket's main component meet
+    all others in blocks of bounded size, which hold the full sets, so only
+    links leave a block."""
     rows = _with_comp(buckets, comps, "id", "comp")
-    by_comp = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    by_comp = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+
+    def in_blocks(members, shingles):
+        return F.ceil(F.greatest(members / BLOCK, shingles / BLOCK_SHINGLES))
     # the main component of a bucket: the largest, then the smallest id
-    stats = (by_comp.groupBy("key").agg(F.sum("c").alias("size"), F.count(F.lit(1)).alias("parts"),
-                                        F.max(F.struct("c", -F.col("comp"))).alias("top"))
+    stats = (by_comp.groupBy("key").agg(F.sum("c").alias("size"), F.sum("s").alias("shingles"), F.count(F.lit(1)).alias("parts"),
+                                        F.max(F.struct("c", -F.col("comp"), "s")).alias("top"))
              .filter("parts > 1 AND size > 2")
-             .select("key", (-F.col("top.col2")).alias("main"), F.ceil(F.col("size") / BLOCK).alias("member_blocks"),
-                     F.ceil((F.col("size") - F.col("top.c")) / BLOCK).alias("out_blocks")))
-    rows = rows.join(stats, "key").join(reps.select("id", "n", "bands", "sketch"), "id")
+             .select("key", (-F.col("top.col2")).alias("main"), in_blocks(F.col("size"), F.col("shingles")).alias("member_blocks"),
+                     in_blocks(F.col("size") - F.col("top.c"), F.col("shingles") - F.col("top.s")).alias("out_blocks")))
+    rows = (rows.join(stats, "key").join(reps.select("id", "bands", "sketch"), "id")
+            .join(sets.select("id", "shingles"), "id"))
     h = F.xxhash64("id", F.lit(4))
 
     def up_to(c):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    cols = ["key", "mb", "ob", "role", "id", "n", "comp", "bands", "sketch"]
+    cols = ["key", "mb", "ob", "role", "id", "n", "comp", "bands", "sketch", "shingles"]
     members = rows.select("*", F.pmod(h, F.col("member_blocks")).alias("mb"), F.lit(1).alias("role"), up_to("out_blocks").alias("ob"))
     outer = (rows.filter("comp <> main")
              .select("*", F.pmod(h, F.col("out_blocks")).alias("ob"), F.lit(0).alias("role"), up_to("member_blocks").alias("mb")))
@@ -229,30 +336,17 @@ def cross_candidates(buckets: DataFrame, reps: DataFrame, comps: DataFrame, perc
 
     def run(batches):
         for g in _groups(batches, 3):
-            g = g.combine_chunks()
-            key = g.column(0)[0].as_py()
-            role, ids, n, comp = (g.column(k).to_numpy() for k in (3, 4, 5, 6))
-            bands = g.column(7).chunk(0).flatten().to_numpy().reshape(len(ids), BANDS)
-            # unsigned: of a negative number bitwise_count counts the bits of its absolute value
-            sketch = g.column(8).chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(ids), BITS // 64)
-            m = np.flatnonzero(role == 1)
-            found_a, found_b = [], []
-            for x in np.flatnonzero(role == 0):
-                far = np.bitwise_count(sketch[m] ^ sketch[x]).sum(axis=1)
-                ok = (far <= limit) & (comp[m] != comp[x])
-                ok &= np.minimum(n[m], n[x]) * 100 >= np.maximum(n[m], n[x]) * percent
-                y = m[ok]
-                if len(y):
-                    same = bands[y] == bands[x]
-                    y = y[bands[x][same.argmax(axis=1)] == key]
-                    found_a.append(ids[y])
-                    found_b.append(np.full(len(y), ids[x]))
-            if found_a and sum(map(len, found_a)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], names=["a", "b"])
-    got = dealt.mapInArrow(run, "a long, b long")
-    # a pair of two outer members comes both ways
-    return got.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.max("b").alias("b")).select(
-        F.when(F.col("b") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("a"), "b")
+            got = block_links(g, percent, limit)
+            if got:
+                a, b = zip(*got, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _once(rows: DataFrame, expected: int) -> DataFrame:
+    """``rows`` with one row for each id; there are more than ``expected`` only
+    where the table repeats rows of one id and text."""
+    return rows if rows.count() == expected else materialize(rows.dropDuplicates(["id"]), "once")
 
 
 def text_key(text: str) -> Column:
@@ -277,9 +371,10 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     reps = materialize(full.join(rep, (F.col("set_id") == F.col("r_set")) & F.col("id").eqNullSafe(F.col("r_id"))
                                  & (F.col("key") == F.col("r_key")))
                        .select(F.col("node").alias("id"), "n", "bands", "sketch"), "reps")
+    reps = _once(reps, nodes.count())
 
     # buckets of two representatives or more
-    keys = reps.select("id", F.explode("bands").alias("key"))
+    keys = reps.select("id", "n", F.explode("bands").alias("key"))
     hubs = (keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
             .filter("hub <> last").select("key", "hub"))
     buckets = materialize(keys.join(hubs, "key"), "buckets")
@@ -293,15 +388,16 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     stars = materialize(stars, "stars")
     best = stars.groupBy("a").agg(F.min(F.struct("far", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
 
-    # texts of all that may still be compared; the rest is never moved again
+    # the sets of all that may still be compared; other texts are never moved again
     active = rep.join(buckets.select(F.col("id").alias("node")).distinct(), "node", "left_semi")
-    texts = materialize(src.join(active, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")))
-                        .select(F.col("node").alias("id"), "text"), "texts")
-    links = materialize(confirmed(best, texts, shingle, percent), "links")
+    texts = src.join(active, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")))
+    sets = materialize(full_sets(texts.select(F.col("node").alias("id"), "text"), shingle), "full")
+    sets = _once(sets, buckets.select("id").distinct().count())
+    links = materialize(confirmed(best, sets, percent), "links")
     comps = components(links, rounds=2)
 
     left = _with_comp(_with_comp(stars.select("a", "b"), comps, "a", "ca"), comps, "b", "cb").filter("ca <> cb").select("a", "b")
-    more = materialize(confirmed(materialize(left.join(best, ["a", "b"], "left_anti"), "pairs"), texts, shingle, percent), "links")
+    more = materialize(confirmed(materialize(left.join(best, ["a", "b"], "left_anti"), "pairs"), sets, percent), "links")
     links = links.unionByName(more)
     if one_per_id:
         several = (full.filter("id IS NOT NULL").groupBy("id").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y"))
@@ -312,10 +408,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
         links = links.unionByName(materialize(same_id, "links"))
     comps = components(links, rounds=2)
 
-    cross = cross_candidates(buckets.select("key", "id"), reps, comps, percent)
-    tested = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    cross = materialize(cross.join(tested, ["a", "b"], "left_anti"), "pairs")
-    last = materialize(confirmed(cross, texts, shingle, percent), "links")
+    last = materialize(cross_links(buckets.select("key", "id", "n"), reps, sets, comps, percent), "links")
     comps = components(links.unionByName(last))
 
     joined = nodes.join(comps, "node")
@@ -365,8 +458,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     are kept; rows that repeat id and text stay together."""
     rows, nodes = _linked(docs, "doc_id", "text", SHINGLE, PERCENT, one_per_id=False)
     keep = nodes.filter("set_id = top_set").select("id", "key").unionByName(rows.filter("n = 0").select("id", "key"))
-    keep = keep.select(F.col("id").alias("__keep_id"), F.col("key").alias("__keep_key"))
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (text_key("text") == F.col("__keep_key")), "left_semi")
+    k_id, k_key = fresh_names(docs, "keep_id", "keep_key")
+    keep = keep.select(F.col("id").alias(k_id), F.col("key").alias(k_key))
+    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col(k_id)) & (text_key("text") == F.col(k_key)), "left_semi")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,6 +66,61 @@ def test_near_dedup_chains_hot_buckets_and_hubs(spark, monkeypatch):
     assert got == brute.near(rows)
 
 
+def test_near_dedup_writes_links_not_pairs(spark, monkeypatch):
+    """Many documents that share most of a text, few of them similar enough:
+    what leaves the blocks stays below the number of members."""
+    rng = random.Random(21)
+    base = prose(rng, 40)
+    rows = [(i, edited(rng, base, rng.randint(3, 7))) for i in range(300)]
+    made = []
+    real = near_dedup.cross_links
+
+    def counted(buckets, *more):
+        out = real(buckets, *more)
+        made.append((buckets.count(), out.count()))
+        return out
+    monkeypatch.setattr(near_dedup, "cross_links", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_dedup(df).collect()}
+    assert got == brute.near(rows)
+    assert made and all(links < members for members, links in made)
+
+
+def test_prefixes_share_a_shingle_where_sets_are_similar():
+    import numpy as np
+    rng = random.Random(2)
+    for _ in range(200):
+        base = rng.sample(range(400), rng.randint(1, 60))
+        sets = [np.unique(np.array(base + rng.sample(range(400), rng.randint(0, 12)), np.uint64)) for _ in range(6)]
+        flat, o = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        token, owner = near_dedup.prefix_lists(flat, o, 80)
+        have = [set(token[owner == k].tolist()) for k in range(6)]
+        for a in range(6):
+            alike = near_dedup.alike(sets[a], flat, o[:-1], o[1:], 80)
+            for b in range(6):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                want = 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)
+                assert alike[b] == want and (not want or have[a] & have[b])
+
+
+def test_long_words_of_a_regular_pattern_differ(spark):
+    """Thue-Morse words and their complements have equal polynomial hashes."""
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    one, other = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    df = spark.createDataFrame([(1, one), (2, other), (3, one.upper())], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(df).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_near_dedup_repeated_rows(spark):
+    rng = random.Random(5)
+    a, b = prose(rng, 60), prose(rng, 60)
+    rows = [(1, a)] * 40 + [(2, edited(rng, a, 2))] * 40 + [(3, b), (4, edited(rng, b, 1)), (None, edited(rng, b, 1))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.component_id) for r in near_dedup.near_dedup(df).collect())
+    assert got == [(0, 3), (1, 1), (2, 1), (3, 3), (4, 3)]
+
+
 def test_near_dedup_empty_table_null_and_shared_ids(spark):
     assert near_dedup.near_dedup(spark.createDataFrame([], SCHEMA)).collect() == []
     rng = random.Random(3)
