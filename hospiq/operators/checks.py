@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import core as fn
+from .quantiles import grouped_percentiles
 
 c = F.col
 
@@ -337,7 +338,7 @@ def validation_report(staging: DataFrame, patients: DataFrame, start: str, end:
         "stack(4, 'Total Rows', cast(n as string), if(n > 0, 'PASS', 'FAIL'), "
         "'Date Range Valid', cast(in_range as string), if(in_range = n, 'PASS', 'FAIL'), "
         "'No Duplicates', cast(nd as string), if(n = nd, 'PASS', 'FAIL'), "
-        "'No Orphaned Patients', '0', if(orphans = 0, 'PASS', 'FAIL')) as (check_name, result, status)"))
+        "'No Orphaned Patients', cast(orphans as string), if(orphans = 0, 'PASS', 'FAIL')) as (check_name, result, status)"))
 
 
 def load_profile(staging: DataFrame, existing: DataFrame, patients: DataFrame, providers: DataFrame,
@@ -367,6 +368,67 @@ def load_profile(staging: DataFrame, existing: DataFrame, patients: DataFrame, p
         F.count(F.when(c("_e"), 1)).alias("overlap_count"))
 
 
+BATCH = ["hospital_id", "window_start"]
+
+
+def _in_window():
+    """Admitted in the window's quarter, or up to 31 days before it: loads come later."""
+    day = F.to_date("admission_date")
+    return day.between(F.date_sub("window_start", 31), F.date_sub(F.add_months("window_start", 3), 1))
+
+
+def _reference(df: DataFrame, key: str, flag: str) -> DataFrame:
+    return df.select(key, "hospital_id", F.lit(True).alias(flag)).distinct()
+
+
+def _distinct_keys(rows: DataFrame, key: str, out: str) -> DataFrame:
+    """Distinct keys of each batch, by two plain aggregations."""
+    return rows.groupBy(*BATCH, key).agg(F.lit(1).alias("_one")).groupBy(*BATCH).agg(F.count(key).alias(out))
+
+
+def validation_by_batch(staging: DataFrame, patients: DataFrame) -> DataFrame:   # N22
+    """The validation rows of every batch (tenant and load window) of a staging
+    table: ``hospital_id, window_start, check_name, result, status``. One pre-
+    aggregate by encounter and patient holds all that the checks count, so a
+    batch of any size is reduced before it meets in one row."""
+    p = _reference(patients, "patient_id", "_known")
+    per = (staging.join(p, ["patient_id", "hospital_id"], "left")
+           .groupBy(*BATCH, "encounter_id").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(_in_window(), 1)).alias("ok")))
+    strangers = _distinct_keys(staging.join(p, ["patient_id", "hospital_id"], "left_anti"), "patient_id", "orphans")
+    a = (per.groupBy(*BATCH).agg(F.sum("n").alias("n"), F.count("encounter_id").alias("nd"), F.sum("ok").alias("in_range"))
+         .join(strangers, BATCH, "left").withColumn("orphans", F.coalesce("orphans", F.lit(0))))
+    return a.select(*BATCH, F.expr(
+        "stack(4, 'Total Rows', cast(n as string), if(n > 0, 'PASS', 'FAIL'), "
+        "'Date Range Valid', cast(in_range as string), if(in_range = n, 'PASS', 'FAIL'), "
+        "'No Duplicates', cast(nd as string), if(n = nd, 'PASS', 'FAIL'), "
+        "'No Orphaned Patients', cast(orphans as string), if(orphans = 0, 'PASS', 'FAIL')) as (check_name, result, status)"))
+
+
+def profile_by_batch(staging: DataFrame, existing: DataFrame, patients: DataFrame, providers: DataFrame,
+                     facilities: DataFrame) -> DataFrame:   # N23
+    """The load profile of every batch: date and stay sanity, charges, orphans
+    and overlap with the existing table. Sums are plain aggregates; the median
+    comes from counted values (``quantiles``), orphans from anti joins."""
+    known = _reference(existing, "encounter_id", "_e")
+    day = F.to_date("admission_date")
+    sums = staging.join(known, ["encounter_id", "hospital_id"], "left").groupBy(*BATCH).agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count(F.when(day < F.date_sub("window_start", 31), 1)).alias("before_window"),
+        F.count(F.when(day >= F.add_months("window_start", 3), 1)).alias("after_window"),
+        F.count(F.when(c("discharge_date") < c("admission_date"), 1)).alias("invalid_dates"),
+        F.count(F.when(c("length_of_stay") < 0, 1)).alias("negative_los"),
+        F.count(F.when(c("total_charges") < 0, 1)).alias("negative_charges"),
+        F.count(F.when(c("total_charges").isNull(), 1)).alias("null_charges"),
+        fn.r2(fn.mean("total_charges")).alias("avg_charges"), F.count(F.when(c("_e"), 1)).alias("overlap_count"))
+    out = sums.join(grouped_percentiles(staging, BATCH, {"median_charges": ("total_charges", 0.5)}, parts=64), BATCH, "left")
+    out = out.withColumn("median_charges", fn.r2(fn.r4("median_charges")))
+    for df, key, name in ((patients, "patient_id", "orphaned_patients"), (providers, "provider_id", "orphaned_providers"),
+                          (facilities, "facility_id", "orphaned_facilities")):
+        lost = staging.filter(c(key).isNotNull()).join(df.select(key, "hospital_id"), [key, "hospital_id"], "left_anti")
+        out = out.join(_distinct_keys(lost, key, name), BATCH, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return out
+
+
 def completeness_by_month(encounters: DataFrame, hospital_id: str | None = None, since: str | None = None) -> DataFrame:  # N24
     e = encounters
     if hospital_id:

@@ -10,9 +10,11 @@ Two layers:
   manifests. A commit writes a folder of its own (a normal Spark job, so lost
   executors are simply retried) and then publishes a manifest that lists the
   folders of the new version: an append adds one folder, a keyed merge rewrites
-  only the key buckets it touches. Manifests are only ever added, so readers
-  always see a complete version and a failed commit leaves nothing behind but
-  an unlisted folder.
+  only the key buckets it touches. The manifest of the version after the one
+  that was read is put in place whole and only if nobody else has put one
+  there, so of two writers one has to read again, and readers always see a
+  complete version. A failed commit leaves nothing behind but an unlisted
+  folder. The difference of two manifests is a change set.
 
 All folders live on the shared filesystem the caller names (on a cluster:
 the same store as ``spark.checkpoint.dir``), never on a machine-local path.
@@ -27,6 +29,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions import core as fn
 
@@ -78,12 +81,13 @@ def upsert_counts(target: DataFrame, source: DataFrame, key: list[str]) -> DataF
 def delete_insert(target: DataFrame, source: DataFrame, key: list[str], watermark: str,
                   target_watermark=None) -> DataFrame:                                      # L01
     """Rows of ``source`` loaded after the target's high-water mark replace
-    target rows with the same key. The mark is a scalar (one aggregate of the
-    target) folded in as a literal by the caller or computed here as a scalar
-    subquery-style broadcast value."""
+    target rows with the same key. The mark is a literal of the caller's, or a
+    scalar subquery of the plan (an empty target has none and takes all)."""
     if target_watermark is None:
-        target_watermark = target.agg(F.max(watermark)).first()[0]
-    new = source if target_watermark is None else source.filter(c(watermark) > F.lit(target_watermark))
+        mark = target.agg(F.max(watermark)).scalar()
+        new = source.filter(mark.isNull() | (c(watermark) > mark))
+    else:
+        new = source.filter(c(watermark) > F.lit(target_watermark))
     new = new.select(*target.columns)
     return target.join(new.select(*key).distinct(), key, "left_anti").unionByName(new)
 
@@ -188,18 +192,74 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write ``path`` in one step with its whole content; False if it exists.
+
+    The text goes to a file of its own first. On local disks that file gets a
+    second name by a hard link, elsewhere it is renamed without overwriting;
+    both fail when the name is taken, so of two writers one wins."""
+    fs, final = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(final.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(tmp, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            files = jvm.java.nio.file.Files
+            files.createLink(jvm.java.io.File(final.toUri().getPath()).toPath(), jvm.java.io.File(tmp.toUri().getPath()).toPath())
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+            context.rename(tmp, final, none)
+        return True
+    except Exception as e:  # noqa: BLE001 - told apart by the Java class
+        if "AlreadyExists" in str(e):
+            return False
+        raise
+    finally:
+        fs.delete(tmp, False)
+
+
+def _comparable(col, kind):
+    """A column as numbers or texts that JSON keeps and that order alike."""
+    if kind.typeName() in ("byte", "short", "integer", "long", "float", "double"):
+        return col
+    if kind.typeName() not in ("string", "date", "timestamp", "timestamp_ntz"):
+        raise ValueError(f"no file bounds for {kind.simpleString()}")
+    return col.cast("string")
+
+
+class CommitConflict(RuntimeError):
+    """Another writer published a version since this commit's was read."""
+
+
+_COMMIT = "_commit"     # folder level above partitions, so that all folders read as one relation
+RETRIES = 20
+
+
 @dataclass
 class VersionedTable:
-    """``buckets`` > 0 with ``key``: rows carry a hidden bucket of the key, and
-    ``merge`` rewrites only the buckets its source touches."""
+    """A Parquet table as data folders and numbered manifests.
+
+    ``key`` and ``buckets`` > 0: rows carry a hidden bucket of the key, and
+    ``merge`` rewrites only the buckets its source touches. ``partition_by``:
+    a folder for each value; ``drop_partition`` unlists such folders.
+    ``stats``: columns of which each file's least and greatest value are kept,
+    so ``read(where=...)`` leaves files out. ``feed``: merges keep their source
+    rows too, for ``changes``."""
 
     spark: SparkSession
     base: str
     partition_by: tuple[str, ...] = ()
     key: tuple[str, ...] = ()
     buckets: int = 0
+    stats: tuple[str, ...] = ()
+    feed: bool = False
 
-    # ---- manifests: <base>/_manifests/<version>, published by create-if-absent
+    # ---- manifests: <base>/_manifests/<version>
     def _folder(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
 
@@ -210,8 +270,8 @@ class VersionedTable:
         names = [f.getPath().getName() for f in fs.listStatus(p)]
         return sorted(int(n) for n in names if n.isdigit())
 
-    def _load(self, version: int) -> list[dict] | None:
-        """The entries of a manifest, None for one whose writer never finished."""
+    def _manifest(self, version: int) -> dict | None:
+        """A manifest, None for one that is not there or is not whole."""
         fs, p = _fs(self.spark, self._folder(f"_manifests/{version:09d}"))
         if not fs.exists(p):
             return None
@@ -220,53 +280,126 @@ class VersionedTable:
             text = bytes(stream.readAllBytes()).decode()
         finally:
             stream.close()
-        return json.loads(text)["entries"] if text.endswith("\n") else None
-
-    def _publish(self, entries: list[dict], after: int) -> int:
-        """Claim the next version number; another writer that published since
-        ``after`` makes this commit fail instead of being overwritten."""
-        if self.current_version() != after:
-            raise RuntimeError(f"{self.base}: version {after} is no longer the latest")
-        version = max([0, *self._manifests()]) + 1
-        fs, p = _fs(self.spark, self._folder(f"_manifests/{version:09d}"))
-        out = fs.create(p, False)                      # fails if it exists
-        try:
-            out.write(bytearray((json.dumps({"entries": entries}) + "\n").encode()))
-        finally:
-            out.close()
+        return json.loads(text) if text.endswith("\n") else None
+
+    def _load(self, version: int) -> list[dict] | None:
+        found = self._manifest(version)
+        return None if found is None else found["entries"]
+
+    def _publish(self, entries: list[dict], after: int, op: str = "replace", changes: list[str] | None = None,
+                 tags: dict | None = None, schema: str | None = None) -> int:
+        """Publish the version that follows ``after``, and no other: the number
+        is taken only if nobody has it. A number whose manifest is not whole
+        belongs to a writer that died, since manifests appear whole; it is
+        passed over. ``CommitConflict`` if another writer was first."""
+        old = self._manifest(after) or {}
+        text = json.dumps({"entries": entries, "op": op, "changes": changes, "tags": {**old.get("tags", {}), **(tags or {})},
+                           "schema": schema or old.get("schema"), "after": after}) + "\n"
+        version, taken = after + 1, set(self._manifests())
+        while version in taken and self._manifest(version) is None:
+            version += 1
+        if version in taken or any(v > version and self._manifest(v) is not None for v in taken) \
+                or not _put_if_absent(self.spark, self._folder(f"_manifests/{version:09d}"), text):
+            raise CommitConflict(f"{self.base}: version {after} is no longer the latest")
         return version
 
     def current_version(self) -> int:
         for v in reversed(self._manifests()):
-            if self._load(v) is not None:
+            if self._manifest(v) is not None:
                 return v
         return 0
 
     def exists(self) -> bool:
         return self.current_version() > 0
 
+    def tag(self, name: str):
+        """A value that a commit left with the table (None: never)."""
+        return ((self._manifest(self.current_version()) or {}).get("tags") or {}).get(name)
+
     # ---- reading
-    def read(self, version: int | None = None) -> DataFrame | None:
+    def _leaves(self, e: dict) -> list[str]:
+        if e["buckets"] is None:
+            return [f"{e['path']}/{x}" if x else e["path"] for x in e["leaves"]]
+        live = {f"{_BUCKET}={b}" for b in e["buckets"]}
+        return [f"{e['path']}/{x}" for x in e["leaves"] if x.split("/")[0] in live]
+
+    def _files(self, e: dict, where: dict) -> list[str]:
+        """The files of an entry that may hold rows within ``where``: column ->
+        (least, greatest), None for no bound."""
+        out = []
+        for leaf in self._leaves(e):
+            for f in e["files"].get(leaf[len(e["path"]):].lstrip("/"), []):
+                if all(k not in f["stats"] or ((lo is None or f["stats"][k][1] is None or f["stats"][k][1] >= lo)
+                                               and (hi is None or f["stats"][k][0] is None or f["stats"][k][0] <= hi))
+                       for k, (lo, hi) in where.items()):
+                    out.append(f"{leaf}/{f['name']}")
+        return out
+
+    def _relation(self, paths: list[str], schema: str) -> DataFrame:
+        st = StructType.fromJson(json.loads(schema))
+        if not paths:
+            return self.spark.createDataFrame([], st)
+        whole = StructType([*st.fields, StructField(_COMMIT, StringType())])
+        if self.buckets:
+            whole = whole.add(_BUCKET, IntegerType())
+        df = self.spark.read.schema(whole).option("basePath", self._folder("data")).parquet(*[self._folder(x) for x in paths])
+        return df.select(*st.fieldNames())
+
+    def read(self, version: int | None = None, where: dict | None = None) -> DataFrame | None:
+        """All rows of a version (the latest) as one relation. With ``where``
+        (column -> (least, greatest)) files that hold no such row are not
+        listed; the rows are filtered too."""
         v = self.current_version() if version is None else version
-        entries = self._load(v) if v else None
-        if not entries:
+        m = self._manifest(v) if v else None
+        if m is None or not m["schema"]:
             return None
-        whole = [e["path"] for e in entries if e["buckets"] is None]
-        # folders with partition directories are tables of their own to the reader
-        groups = [[x] for x in whole] if self.partition_by else [whole] if whole else []
-        parts = [self.spark.read.parquet(*[self._folder(x) for x in g]) for g in groups]
-        for e in entries:
-            if e["buckets"] is not None:               # a partition filter: other buckets are not read
-                parts.append(self.spark.read.parquet(self._folder(e["path"])).filter(c(_BUCKET).isin(e["buckets"])))
-        out = reduce(lambda x, y: x.unionByName(y), parts)
-        return out.drop(_BUCKET)
+        if not where:
+            return self._relation([x for e in m["entries"] for x in self._leaves(e)], m["schema"])
+        known = {k: self._bounds(m["schema"], k, b) for k, b in where.items() if k in self.stats}
+        rows = self._relation([x for e in m["entries"] for x in (self._files(e, known) if known else self._leaves(e))], m["schema"])
+        for k, (lo, hi) in where.items():
+            kind = rows.schema[k].dataType
+            if lo is not None:
+                rows = rows.filter(c(k) >= F.lit(lo).cast(kind))
+            if hi is not None:
+                rows = rows.filter(c(k) <= F.lit(hi).cast(kind))
+        return rows
+
+    def _bounds(self, schema: str, column: str, bounds: tuple) -> list:
+        """``bounds`` as they stand in a manifest."""
+        kind = StructType.fromJson(json.loads(schema))[column].dataType
+        return list(self.spark.range(1).select(*[_comparable(F.lit(b).cast(kind), kind) for b in bounds]).first())
+
+    def changes(self, since: int, until: int | None = None) -> DataFrame | None:
+        """Rows that versions after ``since`` added or gave a new content, read
+        from the folders that these versions added; nothing else is read. None
+        where they cannot be told: a replaced table, a dropped partition, a
+        merge without ``feed``, folders no longer kept."""
+        until = self.current_version() if until is None else until
+        paths, schema = [], None
+        for v in self._manifests():
+            m = self._manifest(v) if since < v <= until else None
+            if m is None:
+                continue
+            if m["op"] not in ("append", "merge", "compact") or m["changes"] is None:
+                return None
+            paths += m["changes"]
+            schema = m["schema"]
+        for x in paths:
+            fs, p = _fs(self.spark, self._folder(x))
+            if not fs.exists(p):
+                return None
+        if schema is None:
+            now = self.read(until)
+            return None if now is None else now.limit(0)
+        return self._relation(paths, schema)
 
     # ---- writing
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")) if self.buckets else df
 
     def _write(self, df: DataFrame) -> str:
-        name = f"data/{uuid.uuid4().hex}"
+        name = f"data/{_COMMIT}={uuid.uuid4().hex}"
         parts = [*([_BUCKET] if self.buckets else []), *self.partition_by]
         df = self._bucketed(df)
         if parts:
@@ -277,45 +410,164 @@ class VersionedTable:
         w.parquet(self._folder(name))
         return name
 
-    def _entry(self, path: str, buckets: list[int] | None = None) -> dict:
-        return {"path": path, "buckets": sorted(buckets) if buckets is not None else
-                (list(range(self.buckets)) if self.buckets else None)}
-
-    def commit(self, df: DataFrame) -> int:
-        """Replace the table by ``df``."""
-        after = self.current_version()
-        return self._publish([self._entry(self._write(df))], after)
-
-    def append(self, df: DataFrame) -> int:
-        """Add rows: only they are written."""
+    def _listing(self, path: str) -> list[str]:
+        """Folders with data files under ``path``, relative to it."""
+        fs, top = _fs(self.spark, self._folder(path))
+        depth, found = len(self.partition_by) + bool(self.buckets), [("", top)]
+        for _ in range(depth):
+            found = [(f"{name}/{f.getPath().getName()}".lstrip("/"), f.getPath()) for name, p in found for f in fs.listStatus(p)
+                     if f.isDirectory()]
+        return [name for name, _ in found]
+
+    def _entry(self, path: str, schema: StructType, buckets: list[int] | None = None) -> dict:
+        out = {"path": path, "buckets": sorted(buckets) if buckets is not None else
+               (list(range(self.buckets)) if self.buckets else None), "leaves": self._listing(path), "files": {}}
+        if self.stats:
+            whole = StructType([*schema.fields, StructField(_COMMIT, StringType())])
+            rows = self.spark.read.schema(whole).option("basePath", self._folder("data")).parquet(self._folder(path))
+            bounds = [f(_comparable(c(k), rows.schema[k].dataType)).alias(f"{n}_{k}")
+                      for k in self.stats for n, f in (("lo", F.min), ("hi", F.max))]
+            # one row for each file that this commit wrote
+            for r in rows.groupBy(c("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *bounds).collect():
+                inside = r["file"].split(path.split("/", 1)[1] + "/", 1)[1]
+                leaf, _, name = inside.rpartition("/")
+                out["files"].setdefault(leaf, []).append(
+                    {"name": name, "rows": r["rows"], "stats": {k: [r[f"lo_{k}"], r[f"hi_{k}"]] for k in self.stats}})
+        return out
+
+    def _fitted(self, df: DataFrame, schema: str | None) -> DataFrame:
+        """``df`` in the table's columns and types."""
+        if schema is None:
+            return df
+        st = StructType.fromJson(json.loads(schema))
+        if set(df.columns) != set(st.fieldNames()):
+            raise ValueError(f"{self.base}: columns {sorted(set(df.columns) ^ set(st.fieldNames()))} do not fit the table")
+        return df.select(*[c(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
+
+    def _done(self, tag: tuple | None) -> bool:
+        """A batch counts as done when its number, or a later one, is kept."""
+        if tag is None:
+            return False
+        seen = self.tag(tag[0])
+        return seen is not None and seen >= tag[1]
+
+    def commit(self, df: DataFrame, tag: tuple | None = None) -> int:
+        """Replace the table by ``df``; a conflict is the caller's, who may
+        have made ``df`` from rows that are no longer the latest."""
         after = self.current_version()
-        old = self._load(after) if after else []
-        return self._publish([*old, self._entry(self._write(df))], after)
-
-    def merge(self, source: DataFrame, combine) -> int:
+        if self._done(tag):
+            return after
+        path = self._write(df)
+        return self._publish([self._entry(path, df.schema)], after, tags=dict([tag]) if tag else None, schema=df.schema.json())
+
+    def append(self, df: DataFrame, tag: tuple | None = None) -> int:
+        """Add rows: only they are written, once, however often other writers
+        come first. ``tag`` (name, number): a batch whose number is kept with
+        the table already is skipped."""
+        entry = None
+        for _ in range(RETRIES):
+            after = self.current_version()
+            if self._done(tag):
+                return after
+            m = self._manifest(after) or {"entries": [], "schema": None}
+            if entry is None:
+                df = self._fitted(df, m["schema"])
+                entry = self._entry(self._write(df), df.schema)
+            try:
+                return self._publish([*m["entries"], entry], after, "append", self._leaves(entry), dict([tag]) if tag else None,
+                                     m["schema"] or df.schema.json())
+            except CommitConflict:
+                continue
+        raise CommitConflict(f"{self.base}: still not the latest after {RETRIES} attempts")
+
+    def merge(self, source: DataFrame, combine, tag: tuple | None = None) -> int:
         """Replace the rows of the buckets that ``source`` touches by
         ``combine(rows of these buckets, source)``; other buckets keep their
-        files. Without buckets the whole table is combined."""
-        after = self.current_version()
-        old = self._load(after) if after else []
-        if not old:
-            return self.commit(source)
-        if not self.buckets:
-            return self.commit(combine(self.read(after), source))
-        touched = [r[0] for r in self._bucketed(source).select(_BUCKET).distinct().collect()]   # at most ``buckets`` numbers
-        if not touched:
-            return after
-        read = [self.spark.read.parquet(self._folder(e["path"])).filter(c(_BUCKET).isin(sorted(set(e["buckets"]) & set(touched))))
-                for e in old if set(e["buckets"]) & set(touched)]
-        rows = reduce(lambda x, y: x.unionByName(y), read).drop(_BUCKET) if read else self.read(after).limit(0)
-        new = self._entry(self._write(combine(rows, source)), touched)
-        kept = [{**e, "buckets": [b for b in e["buckets"] if b not in set(touched)]} for e in old]
-        return self._publish([*[e for e in kept if e["buckets"]], new], after)
+        files. Without buckets the whole table is combined. When another
+        writer was first, the rows are combined anew with its version."""
+        changed = None
+        for _ in range(RETRIES):
+            after = self.current_version()
+            if self._done(tag):
+                return after
+            m = self._manifest(after)
+            if m is None or not m["entries"]:
+                return self.commit(source if m is None or not m["schema"] else self._fitted(source, m["schema"]), tag)
+            old, names = m["entries"], StructType.fromJson(json.loads(m["schema"])).fieldNames()
+            if self.feed and changed is None:
+                changed = self._write(source.select(*names))
+            if self.buckets:
+                touched = [r[0] for r in self._bucketed(source).select(_BUCKET).distinct().collect()]   # at most ``buckets`` numbers
+                if not touched:
+                    return self._publish(old, after, "compact", [], dict([tag])) if tag else after
+                live = set(touched)
+                parts = [{**e, "buckets": sorted(set(e["buckets"]) & live)} for e in old]
+                rows = self._relation([x for e in parts for x in self._leaves(e)], m["schema"])
+                kept = [{**e, "buckets": [b for b in e["buckets"] if b not in live]} for e in old]
+                kept = [e for e in kept if e["buckets"]]
+            else:
+                touched, kept, rows = None, [], self.read(after)
+            out = self._fitted(combine(rows, source), m["schema"])
+            entry = self._entry(self._write(out), out.schema, touched)
+            try:
+                return self._publish([*kept, entry], after, "merge", [changed] if changed else None, dict([tag]) if tag else None)
+            except CommitConflict:
+                continue
+        raise CommitConflict(f"{self.base}: still not the latest after {RETRIES} attempts")
+
+    def drop_partition(self, column: str, value: str) -> int:
+        """Unlist the folders of one partition value: nothing is written."""
+        if column not in self.partition_by:
+            raise ValueError(f"{self.base} is not partitioned by {column}")
+        for _ in range(RETRIES):
+            after = self.current_version()
+            old = self._load(after) or []
+            mark = f"{column}={value}"
+            kept = [{**e, "leaves": [x for x in e["leaves"] if mark not in x.split("/")]} for e in old]
+            if kept == old:
+                return after
+            try:
+                return self._publish([e for e in kept if e["leaves"]], after, "drop")
+            except CommitConflict:
+                continue
+        raise CommitConflict(f"{self.base}: still not the latest after {RETRIES} attempts")
+
+    def partition_rows(self, column: str, value: str) -> int:
+        """Rows of one partition value, from its own files' footers."""
+        m = self._manifest(self.current_version())
+        if m is None:
+            return 0
+        leaves = [x for e in m["entries"] for x in self._leaves(e) if f"{column}={value}" in x.split("/")]
+        return self._relation(leaves, m["schema"]).count() if leaves else 0
+
+    def compact(self, at_least: int = 8) -> int:
+        """Write the folders of many small commits anew as one, when there are
+        ``at_least``; the rows stay as they are, which ``changes`` knows.
+        Appends that come meanwhile are kept."""
+        first = self.current_version()
+        m = self._manifest(first)
+        if m is None or len(m["entries"]) < at_least:
+            return first
+        rows = self._relation([x for e in m["entries"] for x in self._leaves(e)], m["schema"])
+        entry = self._entry(self._write(rows), rows.schema)
+        for _ in range(RETRIES):
+            after = self.current_version()
+            now = self._load(after)
+            if now[:len(m["entries"])] != m["entries"]:
+                raise CommitConflict(f"{self.base}: rows were rewritten while they were compacted")
+            try:
+                return self._publish([entry, *now[len(m["entries"]):]], after, "compact", [])
+            except CommitConflict:
+                continue
+        raise CommitConflict(f"{self.base}: still not the latest after {RETRIES} attempts")
 
     def retain(self, versions: int = 10) -> int:
         """Delete data folders that none of the latest versions lists; the
         number deleted. Run it when no commit is under way."""
-        live = {e["path"] for v in self._manifests()[-versions:] for e in (self._load(v) or [])}
+        live = set()
+        for v in self._manifests()[-versions:]:
+            m = self._manifest(v) or {"entries": [], "changes": None}
+            live |= {"/".join(x.split("/")[:2]) for x in [*(e["path"] for e in m["entries"]), *(m["changes"] or [])]}
         fs, p = _fs(self.spark, self._folder("data"))
         gone = [f.getPath() for f in fs.listStatus(p) if f"data/{f.getPath().getName()}" not in live] if fs.exists(p) else []
         for x in gone:
@@ -360,6 +612,44 @@ def incremental_merge(table: VersionedTable, source: DataFrame, key: list[str],
             "version": table.current_version()}
 
 
+def maintain_from_changes(table: VersionedTable, feed: VersionedTable, derive, key: list[str],
+                          order_by: list[str] | None = None, affected=None) -> dict:
+    """K09 / K10 maintenance from a change set: rows that versions of ``feed``
+    added since the table last looked are read from their own folders, so a
+    late row counts whatever its load time, and only the buckets of changed
+    keys are rewritten. ``derive`` makes rows of the table from feed rows;
+    ``affected(changed, all)`` widens the changed rows to all feed rows that
+    must be derived anew (a patient's encounters). The version of the feed is
+    kept with the table in the same commit."""
+    name, now = f"feed:{feed.base}", feed.current_version()
+    seen = table.tag(name)
+    if seen == now:
+        return {"mode": "unchanged", "version": table.current_version()}
+    changed = feed.changes(seen, now) if seen is not None and table.exists() else None
+    if changed is None:
+        rows = derive(feed.read(now))
+        table.commit(keep_latest(rows, key, order_by) if order_by else rows, (name, now))
+        return {"mode": "full", "version": table.current_version()}
+    rows = derive(changed if affected is None else affected(changed, feed.read(now)))
+    if order_by:
+        table.merge(rows, lambda t, n: upsert(t, n, key, order_by), (name, now))
+    else:
+        table.merge(rows, lambda t, n: replace_keys(t, n, key), (name, now))
+    return {"mode": "changes", "version": table.current_version()}
+
+
+def capture(feed: VersionedTable, source: DataFrame) -> int:
+    """Append to ``feed`` the rows of ``source`` that it does not hold yet,
+    compared by all columns: for sources that only show their whole state."""
+    if not feed.exists():
+        return feed.append(source)
+    same = F.xxhash64(*source.columns)
+    held = feed.read().select(same.alias("_same"), F.struct(*source.columns).alias("_row"))
+    new = (source.withColumn("_same", same).withColumn("_row", F.struct(*source.columns))
+           .join(held, ["_same", "_row"], "left_anti").drop("_same", "_row"))
+    return feed.append(new) if not new.limit(1).isEmpty() else feed.current_version()
+
+
 def incremental_append(table: VersionedTable, source: DataFrame, ts: str, initial_since=None) -> dict:
     cur = table.read()
     new = append_new(cur, source, ts, initial_since)
@@ -372,17 +662,75 @@ def snapshot(table: VersionedTable, incoming: DataFrame, key: str, snapshot_ts:
     return {"mode": "snapshot", "version": table.current_version()}
 
 
+class HistoryTable:
+    """Type-2 history with open and closed versions apart.
+
+    Open versions are a table in key buckets, of which a snapshot rewrites only
+    those with a changed key; closed versions are only ever appended. The
+    closed rows of a run are committed first, the open ones, with the run's
+    number, last: readers leave out closed rows of a run whose number the open
+    table does not have yet, and a run that died is made again under the same
+    number, so its closed rows are not added twice."""
+
+    def __init__(self, spark: SparkSession, base: str, key: str, buckets: int = 64):
+        self.spark, self.base, self.key = spark, base.rstrip("/"), key
+        self.open = VersionedTable(spark, f"{self.base}/open", key=(key,), buckets=buckets)
+        self.closed = VersionedTable(spark, f"{self.base}/closed")
+
+    def read(self) -> DataFrame | None:
+        now, run = self.open.read(), self.open.tag("snapshot")
+        if now is None:
+            return None
+        past = self.closed.read()
+        return now if past is None else now.unionByName(past.filter(c("_run") <= run).drop("_run"))
+
+    def snapshot(self, incoming: DataFrame, snapshot_ts: str, check_cols: list[str] | None = None,
+                 updated_at: str | None = None, invalidate_hard_deletes: bool = True) -> dict:
+        """One run: as ``scd2_snapshot``, but only changes are written."""
+        run = (self.open.tag("snapshot") or 0) + 1
+        how = {"check_cols": check_cols, "updated_at": updated_at, "invalidate_hard_deletes": invalidate_hard_deletes}
+        now = self.open.read()
+        if now is None:
+            self.open.commit(scd2_snapshot(None, incoming, self.key, snapshot_ts, **how), ("snapshot", run))
+            return {"mode": "full", "run": run}
+        after = scd2_snapshot(now, incoming, self.key, snapshot_ts, **how)
+        # rows of the new state that the open table does not hold as they are: closed versions and new ones
+        held = now.select("dbt_scd_id", F.lit(True).alias("_held"))
+        delta = (after.join(held, "dbt_scd_id", "left")
+                 .filter(c("_held").isNull() | c("dbt_valid_to").isNotNull()).drop("_held"))
+        path = f"{self.base}/delta/{run}-{uuid.uuid4().hex}"
+        delta.write.parquet(path)
+        delta = self.spark.read.schema(delta.schema).parquet(path)
+        if not delta.limit(1).isEmpty():
+            ended = delta.filter(c("dbt_valid_to").isNotNull()).withColumn("_run", F.lit(run).cast("bigint"))
+            self.closed.append(ended, ("snapshot", run))
+
+            def replaced(rows, changed):
+                fresh = changed.filter(c("dbt_valid_to").isNull()).select(*rows.columns)
+                return rows.join(changed.select(self.key).distinct(), self.key, "left_anti").select(*rows.columns).unionByName(fresh)
+            self.open.merge(delta.select(*now.columns), replaced, ("snapshot", run))
+        fs, p = _fs(self.spark, path)
+        fs.delete(p, True)
+        return {"mode": "changes", "run": run}
+
+
 def offboard_tenant(spark: SparkSession, tables: dict[str, VersionedTable], tenant: str) -> DataFrame:
     """Remove a tenant from each table (children first, in the given
-    order) and return the evidence log: rows before / after per table."""
+    order) and return the evidence log: rows before / after per table. A table
+    partitioned by tenant only unlists the tenant's folders."""
     rows = []
     for name, t in tables.items():
-        cur = t.read()
-        if cur is None:
+        if not t.exists():
             continue
-        before = cur.filter(c("hospital_id") == tenant).count()
-        t.commit(remove_tenant(cur, tenant))
-        after = t.read().filter(c("hospital_id") == tenant).count()
+        if "hospital_id" in t.partition_by:
+            before = t.partition_rows("hospital_id", tenant)
+            t.drop_partition("hospital_id", tenant)
+            after = t.partition_rows("hospital_id", tenant)
+        else:
+            cur = t.read()
+            before = cur.filter(c("hospital_id") == tenant).count()
+            t.commit(remove_tenant(cur, tenant))
+            after = t.read().filter(c("hospital_id") == tenant).count()
         rows.append((name, tenant, before, after))
     return spark.createDataFrame(rows, "table_name string, hospital_id string, rows_before bigint, rows_after bigint")
 

@@ -3,8 +3,8 @@
 Aggregations are plain ``groupBy().agg()`` (partial aggregation before the
 shuffle, so a hot tenant is pre-reduced on every map task). Count-distinct
 is used only for ids that repeat within a group (patients, providers);
-ids unique per row are counted with ``count``/``count_if``, which avoids the
-Expand rewrite of distinct aggregates."""
+ids unique per row are counted with ``count``/``count_if``. Marts with several
+distinct counts or percentiles use ``grouped_summary``: no Expand, no buffer."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import core as fn
+from ..operators.quantiles import grouped_summary
 
 
 def _cnt_if(cond) -> F.Column:
@@ -73,35 +74,30 @@ def _band(x, bands, otherwise) -> F.Column:
 def early_warning_surveillance(vitals: DataFrame) -> DataFrame:
     c = F.col
     cat = c("news_risk_category")
-    agg = (vitals.filter(c("measurement_datetime").isNotNull())
-           .groupBy("hospital_id", F.to_date(F.date_trunc("day", "measurement_datetime")).alias("metric_date"))
-           .agg(F.count("vital_id").alias("total_vital_measurements"),
-                F.countDistinct("patient_id").alias("unique_patients_monitored"),
-                F.countDistinct("encounter_id").alias("encounters_monitored"),
-                _cnt_if(cat == "High Risk").alias("high_risk_measurements"),
-                _cnt_if(cat == "Medium Risk").alias("medium_risk_measurements"),
-                _cnt_if(cat == "Low Risk").alias("low_risk_measurements"),
-                _cnt_if(cat == "Normal").alias("normal_measurements"),
-                F.countDistinct(F.when(cat == "High Risk", c("patient_id"))).alias("high_risk_patients"),
-                F.countDistinct(F.when(cat == "Medium Risk", c("patient_id"))).alias("medium_risk_patients"),
-                fn.mean("total_news_score").alias("avg_news"),
-                F.max("total_news_score").alias("max_news_score"),
-                F.percentile("total_news_score", 0.5).alias("median_news"),
-                F.percentile("total_news_score", 0.95).alias("p95_news"),
-                *[_cnt_if(c(f)).alias(a) for f, a in [
-                    ("is_febrile", "febrile_measurements"), ("is_hypothermic", "hypothermic_measurements"),
-                    ("is_tachycardic", "tachycardic_measurements"), ("is_bradycardic", "bradycardic_measurements"),
-                    ("is_tachypneic", "tachypneic_measurements"), ("is_hypotensive", "hypotensive_measurements"),
-                    ("is_hypertensive", "hypertensive_measurements"), ("is_hypoxic", "hypoxic_measurements"),
-                    ("sepsis_alert", "sepsis_alerts")]],
-                F.countDistinct(F.when(c("sepsis_alert"), c("patient_id"))).alias("patients_with_sepsis_alert"),
-                _cnt_if(c("respiratory_distress_alert")).alias("respiratory_alerts"),
-                F.countDistinct(F.when(c("respiratory_distress_alert"), c("patient_id"))).alias("patients_with_respiratory_alert"),
-                _cnt_if(c("hypertensive_crisis_alert")).alias("hypertensive_crisis_alerts"),
-                _cnt_if(c("rapid_deterioration_flag")).alias("rapid_deterioration_events"),
-                F.countDistinct(F.when(c("rapid_deterioration_flag"), c("patient_id"))).alias("patients_with_rapid_deterioration"),
-                _cnt_if(c("has_severe_pain")).alias("severe_pain_measurements"),
-                fn.mean("pain_score").alias("avg_pain")))
+    rows = vitals.filter(c("measurement_datetime").isNotNull()).withColumn(
+        "metric_date", F.to_date(F.date_trunc("day", "measurement_datetime")))
+    flags = {"febrile_measurements": "is_febrile", "hypothermic_measurements": "is_hypothermic",
+             "tachycardic_measurements": "is_tachycardic", "bradycardic_measurements": "is_bradycardic",
+             "tachypneic_measurements": "is_tachypneic", "hypotensive_measurements": "is_hypotensive",
+             "hypertensive_measurements": "is_hypertensive", "hypoxic_measurements": "is_hypoxic", "sepsis_alerts": "sepsis_alert",
+             "respiratory_alerts": "respiratory_distress_alert", "hypertensive_crisis_alerts": "hypertensive_crisis_alert",
+             "rapid_deterioration_events": "rapid_deterioration_flag", "severe_pain_measurements": "has_severe_pain"}
+    levels = {"high_risk_measurements": "High Risk", "medium_risk_measurements": "Medium Risk", "low_risk_measurements": "Low Risk",
+              "normal_measurements": "Normal"}
+    agg = grouped_summary(
+        rows, ["hospital_id", "metric_date"],
+        {"total_vital_measurements": ("count", "vital_id"),
+         **{a: ("count", F.when(cat == k, 1)) for a, k in levels.items()}, **{a: ("count", F.when(c(f), 1)) for a, f in flags.items()},
+         "_news": ("sum", "total_news_score"), "_news_n": ("count", "total_news_score"), "max_news_score": ("max", "total_news_score"),
+         "_pain": ("sum", "pain_score"), "_pain_n": ("count", "pain_score")},
+        {"unique_patients_monitored": ("patient_id", None), "encounters_monitored": ("encounter_id", None),
+         "high_risk_patients": ("patient_id", cat == "High Risk"), "medium_risk_patients": ("patient_id", cat == "Medium Risk"),
+         "patients_with_sepsis_alert": ("patient_id", c("sepsis_alert")),
+         "patients_with_respiratory_alert": ("patient_id", c("respiratory_distress_alert")),
+         "patients_with_rapid_deterioration": ("patient_id", c("rapid_deterioration_flag"))},
+        {"median_news": ("total_news_score", 0.5), "p95_news": ("total_news_score", 0.95)})
+    agg = (agg.withColumn("avg_news", c("_news").cast("double") / c("_news_n")).withColumn("avg_pain", c("_pain").cast("double") / c("_pain_n"))
+           .drop("_news", "_news_n", "_pain", "_pain_n"))
     tot = "total_vital_measurements"
     r = (agg.withColumn("avg_measurements_per_encounter", c(tot) * 1.0 / c("encounters_monitored"))
          .withColumn("high_risk_rate_pct", _rate("high_risk_measurements", tot))
@@ -141,36 +137,28 @@ def laboratory_quality_metrics(labs: DataFrame) -> DataFrame:
     panel = c("lab_panel_category")
     tat = c("turnaround_time_hours")
     stat_tat = F.when(c("order_completion_hours") <= 1, tat)
-    agg = (labs.filter(c("result_datetime").isNotNull())
-           .groupBy("hospital_id", F.to_date(F.date_trunc("day", "result_datetime")).alias("metric_date"))
-           .agg(F.count("result_id").alias("total_lab_results"),
-                F.countDistinct("patient_id").alias("unique_patients_tested"),
-                F.countDistinct("encounter_id").alias("encounters_with_labs"),
-                F.countDistinct("test_code").alias("unique_tests_performed"),
-                *[_cnt_if(panel == p).alias(a) for p, a in [
-                    ("Complete Blood Count", "cbc_count"), ("Basic Metabolic Panel", "bmp_count"),
-                    ("Comprehensive Metabolic Panel", "cmp_count"), ("Liver Function Panel", "lft_count"),
-                    ("Lipid Panel", "lipid_count"), ("Cardiac Marker", "cardiac_marker_count"),
-                    ("Coagulation Panel", "coag_count")]],
-                *[_cnt_if(c(f)).alias(a) for f, a in [
-                    ("is_final", "final_results"), ("is_preliminary", "preliminary_results"),
-                    ("is_abnormal", "abnormal_results"), ("is_high", "high_results"), ("is_low", "low_results"),
-                    ("is_critical_value", "critical_values")]],
-                F.countDistinct(F.when(c("is_critical_value"), c("patient_id"))).alias("patients_with_critical_values"),
-                fn.mean(tat).alias("avg_tat"),
-                F.percentile(tat, 0.5).alias("median_tat"),
-                F.percentile(tat, 0.95).alias("p95_tat"),
-                F.max(tat).alias("max_turnaround_hours"),
-                fn.mean(stat_tat).alias("avg_stat_tat"),
-                F.percentile(stat_tat, 0.5).alias("median_stat_turnaround_hours"),
-                _cnt_if(tat <= 2).alias("results_within_2hrs"),
-                _cnt_if(tat <= 4).alias("results_within_4hrs"),
-                _cnt_if(tat <= 24).alias("results_within_24hrs"),
-                _cnt_if(c("result_sequence") > 1).alias("repeat_tests"),
-                _cnt_if(c("trend_direction") == "Increasing").alias("increasing_trends"),
-                _cnt_if(c("trend_direction") == "Decreasing").alias("decreasing_trends"),
-                fn.mean(F.when(c("is_abnormal"), c("out_of_range_value"))).alias("avg_oor"),
-                F.max(F.when(c("is_abnormal"), c("out_of_range_value"))).alias("max_oor")))
+    rows = labs.filter(c("result_datetime").isNotNull()).withColumn("metric_date", F.to_date(F.date_trunc("day", "result_datetime")))
+    oor = F.when(c("is_abnormal"), c("out_of_range_value"))
+    counts = {
+        "cbc_count": panel == "Complete Blood Count", "bmp_count": panel == "Basic Metabolic Panel",
+        "cmp_count": panel == "Comprehensive Metabolic Panel", "lft_count": panel == "Liver Function Panel",
+        "lipid_count": panel == "Lipid Panel", "cardiac_marker_count": panel == "Cardiac Marker", "coag_count": panel == "Coagulation Panel",
+        "final_results": c("is_final"), "preliminary_results": c("is_preliminary"), "abnormal_results": c("is_abnormal"),
+        "high_results": c("is_high"), "low_results": c("is_low"), "critical_values": c("is_critical_value"),
+        "results_within_2hrs": tat <= 2, "results_within_4hrs": tat <= 4, "results_within_24hrs": tat <= 24,
+        "repeat_tests": c("result_sequence") > 1, "increasing_trends": c("trend_direction") == "Increasing",
+        "decreasing_trends": c("trend_direction") == "Decreasing"}
+    agg = grouped_summary(
+        rows, ["hospital_id", "metric_date"],
+        {"total_lab_results": ("count", "result_id"), **{a: ("count", F.when(x, 1)) for a, x in counts.items()},
+         "_tat": ("sum", tat), "_tat_n": ("count", tat), "max_turnaround_hours": ("max", tat),
+         "_stat": ("sum", stat_tat), "_stat_n": ("count", stat_tat), "_oor": ("sum", oor), "_oor_n": ("count", oor), "max_oor": ("max", oor)},
+        {"unique_patients_tested": ("patient_id", None), "encounters_with_labs": ("encounter_id", None),
+         "unique_tests_performed": ("test_code", None), "patients_with_critical_values": ("patient_id", c("is_critical_value"))},
+        {"median_tat": ("turnaround_time_hours", 0.5), "p95_tat": ("turnaround_time_hours", 0.95),
+         "median_stat_turnaround_hours": (stat_tat, 0.5)})
+    for name, part in (("avg_tat", "_tat"), ("avg_stat_tat", "_stat"), ("avg_oor", "_oor")):
+        agg = agg.withColumn(name, c(part).cast("double") / c(f"{part}_n")).drop(part, f"{part}_n")
     tot = "total_lab_results"
     w4 = fn.rate_or_zero("results_within_4hrs", tot)
     med_stat = c("median_stat_turnaround_hours")
@@ -209,25 +197,22 @@ def laboratory_quality_metrics(labs: DataFrame) -> DataFrame:
 def financial_performance(rc: DataFrame) -> DataFrame:
     c = F.col
     pt = c("payer_type")
-    agg = (rc.groupBy("hospital_id", F.to_date(F.date_trunc("day", "transaction_date")).alias("metric_date"))
-           .agg(F.count("transaction_id").alias("total_transactions"),
-                F.countDistinct("encounter_id").alias("encounters_billed"),
-                F.sum("charge_amount").alias("tc"), F.sum("payment_amount").alias("tp"),
-                F.sum("adjustment_amount").alias("ta"), F.sum("collected_amount").alias("tcol"),
-                F.sum("denied_amount").alias("td"),
-                fn.mean("charge_amount").alias("ac"), fn.mean("payment_amount").alias("ap"),
-                _cnt_if(c("is_denied")).alias("denial_count"),
-                F.count(F.lit(1)).alias("n"),
-                fn.mean("days_in_ar").alias("adar"), F.percentile("days_in_ar", 0.5).alias("mdar"),
-                _sum_if(c("is_over_30_days"), c("charge_amount")).alias("a30"),
-                _sum_if(c("is_over_60_days"), c("charge_amount")).alias("a60"),
-                _sum_if(c("is_over_90_days"), c("charge_amount")).alias("a90"),
-                _cnt_if(pt == "Government").alias("government_payer_count"),
-                _cnt_if(pt == "Commercial").alias("commercial_payer_count"),
-                _cnt_if(pt == "Self-Pay").alias("self_pay_count"),
-                _cnt_if(c("is_paid")).alias("paid_count"),
-                _cnt_if(c("is_pending")).alias("pending_count"),
-                F.sum("payment_variance").alias("tpv"), fn.mean("payment_variance").alias("apv")))
+    def late(flag):
+        return F.when(c(flag), c("charge_amount")).otherwise(0)
+    sums = {"tc": "charge_amount", "tp": "payment_amount", "ta": "adjustment_amount", "tcol": "collected_amount", "td": "denied_amount",
+            "a30": late("is_over_30_days"), "a60": late("is_over_60_days"), "a90": late("is_over_90_days"), "tpv": "payment_variance",
+            "_dar": "days_in_ar"}
+    counts = {"denial_count": F.when(c("is_denied"), 1), "n": F.lit(1), "government_payer_count": F.when(pt == "Government", 1),
+              "commercial_payer_count": F.when(pt == "Commercial", 1), "self_pay_count": F.when(pt == "Self-Pay", 1),
+              "paid_count": F.when(c("is_paid"), 1), "pending_count": F.when(c("is_pending"), 1),
+              "total_transactions": "transaction_id", "_nc": "charge_amount", "_np": "payment_amount", "_ndar": "days_in_ar",
+              "_npv": "payment_variance"}
+    rows = rc.withColumn("metric_date", F.to_date(F.date_trunc("day", "transaction_date")))
+    agg = grouped_summary(rows, ["hospital_id", "metric_date"],
+                          {**{k: ("sum", v) for k, v in sums.items()}, **{k: ("count", v) for k, v in counts.items()}},
+                          {"encounters_billed": ("encounter_id", None)}, {"mdar": ("days_in_ar", 0.5)})
+    for name, total, n in (("ac", "tc", "_nc"), ("ap", "tp", "_np"), ("adar", "_dar", "_ndar"), ("apv", "tpv", "_npv")):
+        agg = agg.withColumn(name, c(total).cast("double") / c(n))
     return agg.select(
         "hospital_id", "metric_date", "total_transactions", "encounters_billed",
         fn.r2("tc").alias("total_charges"), fn.r2("tp").alias("total_payments"),
@@ -485,18 +470,19 @@ def provider_performance(journey: DataFrame) -> DataFrame:
     from pyspark.sql import Window
     c = F.col
     keys = ["hospital_id", "provider_id", "provider_full_name", "specialty", "department", "provider_type"]
-    agg = journey.groupBy(*keys).agg(
-        F.min("admission_date").alias("first_encounter_date"), F.max("admission_date").alias("last_encounter_date"),
-        F.count("encounter_id").alias("total_encounters"), F.countDistinct("patient_id").alias("unique_patients"),
-        _cnt_if(c("encounter_type") == "Inpatient").alias("inpatient_encounters"),
-        _cnt_if(c("encounter_type") == "Emergency").alias("emergency_encounters"),
-        _sum_if(c("is_30day_return")).cast("bigint").alias("readmissions_30day"),
-        _sum_if(c("is_mortality")).cast("bigint").alias("mortality_count"),
-        fn.mean("length_of_stay").alias("_alos"), F.percentile("length_of_stay", 0.5).alias("_mlos"),
-        F.sum("total_charges").alias("_charges"), fn.mean("total_charges").alias("_avg_charge"),
-        _cnt_if(c("severity_level") == "Critical").alias("critical_cases"),
-        _cnt_if(c("severity_level") == "High").alias("high_severity_cases"),
-        F.countDistinct(F.when(c("patient_risk_category") == "High Risk", c("patient_id"))).alias("high_risk_patients"))
+    inpatient, risky = c("encounter_type") == "Inpatient", c("patient_risk_category") == "High Risk"
+    agg = grouped_summary(
+        journey, keys,
+        {"first_encounter_date": ("min", "admission_date"), "last_encounter_date": ("max", "admission_date"),
+         "total_encounters": ("count", "encounter_id"), "inpatient_encounters": ("count", F.when(inpatient, 1)),
+         "emergency_encounters": ("count", F.when(c("encounter_type") == "Emergency", 1)),
+         "readmissions_30day": ("count", F.when(c("is_30day_return"), 1)), "mortality_count": ("count", F.when(c("is_mortality"), 1)),
+         "_los": ("sum", "length_of_stay"), "_los_n": ("count", "length_of_stay"), "_charges": ("sum", "total_charges"),
+         "_charges_n": ("count", "total_charges"), "critical_cases": ("count", F.when(c("severity_level") == "Critical", 1)),
+         "high_severity_cases": ("count", F.when(c("severity_level") == "High", 1))},
+        {"unique_patients": ("patient_id", None), "high_risk_patients": ("patient_id", risky)}, {"_mlos": ("length_of_stay", 0.5)})
+    agg = (agg.withColumn("_alos", c("_los").cast("double") / c("_los_n"))
+           .withColumn("_avg_charge", c("_charges").cast("double") / c("_charges_n")))
     days = fn.boundary_diff("day", "first_encounter_date", "last_encounter_date")
     m = (agg.withColumn("days_active", days)
          .withColumn("readmission_rate_pct", fn.rate_or_zero("readmissions_30day", "inpatient_encounters"))

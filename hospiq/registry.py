@@ -252,13 +252,10 @@ def _n21(w: Warehouse) -> DataFrame:
     return N.readmission_rate_in_range(w.encounters)
 
 
-BACKFILL = ("HOSP_0003", "2000-07-01", "2000-12-31")
-
-
-def _backfill_batch(w: Warehouse) -> DataFrame:
-    h, start, end = BACKFILL
+# every load of every tenant is a batch: its window is the quarter of the load time
+def _load_batches(w: Warehouse) -> DataFrame:
     e = w.raw.encounters
-    return e.filter((F.col("hospital_id") == h) & (F.to_date("admission_date").between(start, end)))
+    return e.withColumn("window_start", F.to_date(F.date_trunc("quarter", "_loaded_at")))
 
 
 # The same checks on inputs with faults that follow from the data (ids ending
@@ -337,23 +334,23 @@ def _k15f(w: Warehouse) -> DataFrame:
 
 @query("n22_validation_report_all_fail")
 def _n22f(w: Warehouse) -> DataFrame:
-    b = _backfill_batch(w)
-    stray = w.raw.encounters.filter(F.to_date("admission_date") > BACKFILL[2])
-    return N.validation_report(b.unionByName(b).unionByName(stray.withColumn("patient_id", F.concat(F.lit("X"), "patient_id"))),
-                               w.raw.patients, BACKFILL[1], BACKFILL[2])
+    """Every batch twice, with admissions of unknown patients a year too late."""
+    b = _load_batches(w)
+    stray = (b.filter(_faulty("encounter_id", "7")).withColumn("patient_id", F.concat(F.lit("X"), "patient_id"))
+             .withColumn("admission_date", F.col("admission_date") + F.expr("INTERVAL 365 DAYS")))
+    return N.validation_by_batch(b.unionByName(b).unionByName(stray), w.raw.patients)
 
 
 @query("n22_validation_report")
 def _n22(w: Warehouse) -> DataFrame:
-    return N.validation_report(_backfill_batch(w), w.raw.patients, BACKFILL[1], BACKFILL[2])
+    return N.validation_by_batch(_load_batches(w), w.raw.patients)
 
 
 @query("n23_load_profile")
 def _n23(w: Warehouse) -> DataFrame:
     # an earlier, partial load reached into the window
     existing = w.raw.encounters.filter(F.to_date("admission_date") < "2000-10-01")
-    return N.load_profile(_backfill_batch(w), existing, w.raw.patients, w.raw.providers, w.raw.facilities,
-                          BACKFILL[1], BACKFILL[2])
+    return N.profile_by_batch(_load_batches(w), existing, w.raw.patients, w.raw.providers, w.raw.facilities)
 
 
 @query("n24_completeness_by_month")
@@ -407,8 +404,7 @@ from .plans import staging as B  # noqa: E402
 def _l01(w: Warehouse) -> DataFrame:
     fct = w.fct_encounters
     target = fct.filter(F.col("loaded_at_timestamp") < F.lit("2000-01-01").cast("timestamp_ntz"))
-    mark = target.agg(F.max("loaded_at_timestamp")).first()[0]
-    return L.delete_insert(target, fct, ["encounter_id"], "loaded_at_timestamp", mark).select(
+    return L.delete_insert(target, fct, ["encounter_id"], "loaded_at_timestamp").select(
         "encounter_id", "hospital_id", "loaded_at_timestamp")
 
 
@@ -446,6 +442,14 @@ def K_phi_log(w: Warehouse) -> DataFrame:
     return K.phi_access_log(w.raw.query_history, None, w.raw.CURRENT_DATABASE)
 
 
+def _scratch(w: Warehouse, name: str) -> str:
+    """A new folder in the shared checkpoint folder."""
+    import uuid
+
+    from .session import checkpoint_dir
+    return f"{checkpoint_dir(w.spark)}/{name}/{uuid.uuid4().hex}"
+
+
 def _hospital_snapshots(w: Warehouse):
     """Two snapshot runs of the tenant master: the second changes the tier of
     every 5th tenant, the bed count of every 7th, and drops the last one."""
@@ -460,10 +464,10 @@ def _hospital_snapshots(w: Warehouse):
 @query("l04_scd2_check_strategy")
 def _l04(w: Warehouse) -> DataFrame:
     h1, h2 = _hospital_snapshots(w)
-    hist = L.scd2_snapshot(None, h1, "hospital_id", "2001-01-01 00:00:00")
-    hist = L.scd2_snapshot(hist, h2, "hospital_id", "2001-06-01 00:00:00",
-                           check_cols=["contract_tier", "bed_count", "is_active"])
-    return hist.drop("dbt_scd_id")
+    hist = L.HistoryTable(w.spark, _scratch(w, "history"), "hospital_id", buckets=8)
+    for rows, at in ((h1, "2001-01-01 00:00:00"), (h2, "2001-06-01 00:00:00")):
+        hist.snapshot(rows, at, check_cols=["contract_tier", "bed_count", "is_active"])
+    return hist.read().drop("dbt_scd_id")
 
 
 @query("l05_scd2_timestamp_strategy")
@@ -476,8 +480,10 @@ def _l05(w: Warehouse) -> DataFrame:
                              F.col("loaded_at_timestamp") + F.expr("INTERVAL 1 DAY"))
                       .otherwise(F.col("loaded_at_timestamp")))
           .filter(F.expr("cast(substring(provider_id, 5) as int) % 13 <> 0")))
-    hist = L.scd2_snapshot(None, p1, "provider_id", "2001-01-01 00:00:00", updated_at="loaded_at_timestamp")
-    return L.scd2_snapshot(hist, p2, "provider_id", "2002-01-01 00:00:00", updated_at="loaded_at_timestamp").drop("dbt_scd_id")
+    hist = L.HistoryTable(w.spark, _scratch(w, "history"), "provider_id", buckets=8)
+    for rows, at in ((p1, "2001-01-01 00:00:00"), (p2, "2002-01-01 00:00:00")):
+        hist.snapshot(rows, at, updated_at="loaded_at_timestamp")
+    return hist.read().drop("dbt_scd_id")
 
 
 @query("l06_point_in_time")
@@ -538,15 +544,33 @@ def _two_loads(w: Warehouse, name: str, early) -> DataFrame:
     return table.read().select(*full.columns)
 
 
+def _fed_loads(w: Warehouse, name: str, raw: DataFrame, late) -> DataFrame:
+    """The raw rows arrive in two appends; the second holds ``late`` rows, among
+    them some with old load times. The fact follows the change sets."""
+    import uuid
+
+    from .plans.build import maintain, mart_table
+    from .session import checkpoint_dir
+    base = f"{checkpoint_dir(w.spark)}/fed/{uuid.uuid4().hex}"
+    feed = L.VersionedTable(w.spark, f"{base}/raw")
+    table = mart_table(w.spark, base, name, [], buckets=8)
+    for rows in (raw.filter(~late), raw.filter(late)):
+        feed.append(rows)
+        maintain(w, name, table, feed)
+    return table.read()
+
+
 @query("k09_incremental")
 def _k09i(w: Warehouse) -> DataFrame:
-    return _two_loads(w, "fct_encounters", F.col("loaded_at_timestamp") < F.lit("2000-06-01").cast("timestamp_ntz"))
+    late = (F.col("_loaded_at") >= F.lit("2001-06-01").cast("timestamp_ntz")) | _faulty("encounter_id", "77")
+    return _fed_loads(w, "fct_encounters", w.raw.encounters, late).select(*w.fct_encounters.columns)
 
 
 @query("k10_incremental")
 def _k10i(w: Warehouse) -> DataFrame:
-    return _rounded_billing(_two_loads(w, "fct_billing_transactions",
-                                       F.col("transaction_date") < F.lit("1999-01-01").cast("timestamp_ntz")))
+    late = (F.col("transaction_date") >= F.lit("2001-01-01").cast("timestamp_ntz")) | _faulty("transaction_id", "77")
+    return _rounded_billing(_fed_loads(w, "fct_billing_transactions", w.raw.billing_transactions, late)
+                            .select(*w.fct_billing_transactions.columns))
 
 
 @query("k17_incremental")
@@ -1054,3 +1078,239 @@ def _d18(w: Warehouse) -> DataFrame:
     win = Window.partitionBy("patient_id", "hospital_id").orderBy(F.col("measurement_datetime").desc(),
                                                                   F.col("vital_id").desc())
     return v.withColumn("_rn", F.row_number().over(win)).filter(F.col("_rn") == 1).drop("_rn")
+
+
+# ------------------------------------------------------------------ loads through tables (A, L, P)
+_CUSTOMER_COLUMNS = [A.ColumnMapping("customer_id", "c_custkey", "INTEGER"),
+                     A.ColumnMapping("balance", "c_acctbal", "NUMBER", precision=15, scale=2),
+                     A.ColumnMapping("segment", "c_mktsegment")]
+
+
+def _customers(w: Warehouse) -> DataFrame:
+    return w.raw._t("customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+
+
+@query("a01_typed_parquet")
+def _a01(w: Warehouse) -> DataFrame:
+    """Files that lack the load-time columns, read by the table's DDL."""
+    base = _scratch(w, "typed")
+    conform(w.raw.encounters, "raw_encounters").drop("_source_updated_at").write.parquet(base)
+    return A.read_typed_parquet(w.spark, base, "raw_encounters").select(
+        "encounter_id", "hospital_id", "admission_date", "total_charges", "_loaded_at", "_source_updated_at")
+
+
+@query("a02_csv_to_parquet")
+def _a02(w: Warehouse) -> DataFrame:
+    base = _scratch(w, "csv")
+    enc = conform(w.raw.encounters, "raw_encounters")
+    enc.write.option("header", True).option("sep", "|").option("nullValue", "NULL").csv(f"{base}/in")
+    A.csv_to_parquet(w.spark, f"{base}/in", "raw_encounters", f"{base}/out", A.CsvOptions(delimiter="|"))
+    return w.spark.read.parquet(f"{base}/out").select("encounter_id", "discharge_date", "length_of_stay", "total_charges")
+
+
+@query("a03_quarantine")
+def _a03(w: Warehouse) -> DataFrame:
+    """Latin-1 lines, some with a cell too many or a number that is none: all
+    lines are loaded or rejected with a reason."""
+    base = _scratch(w, "rejects")
+    key = F.col("c_custkey")
+    line = F.concat_ws(";", F.when(key % 7 == 0, F.concat(F.lit("n"), key)).otherwise(key.cast("string")),
+                       F.col("c_acctbal").cast("string"), F.concat(F.lit("\u00e9 "), F.col("c_mktsegment")),
+                       F.when(key % 11 == 0, F.lit("more")))
+    lines = w.raw._t("customer").select(line.alias("value"))
+    (lines.write.option("sep", "\u0001").option("quote", "").option("escape", "").option("encoding", "ISO-8859-1")
+     .csv(f"{base}/in"))
+    columns = [A.ColumnMapping("customer_id", "_c0", "INTEGER"), A.ColumnMapping("balance", "_c1", "NUMBER", precision=15, scale=2),
+               A.ColumnMapping("segment", "_c2")]
+    cfg = A.SourceConfig(1, "customers", f"{base}/in", "CSV", "raw_customers", "APPEND", columns=columns,
+                         csv=A.CsvOptions(delimiter=";", header=False, encoding="ISO-8859-1", skip_bad_rows=True))
+    target, rejects = (L.VersionedTable(w.spark, f"{base}/{x}") for x in ("raw", "rejects"))
+    run = A.load_raw_table(w.spark, cfg, target, "2001-08-05 00:00:00", rejects)
+    if run["status"] != "SUCCESS":
+        raise RuntimeError(run["error_message"])
+    good = target.read().select(F.lit("loaded").alias("outcome"), F.col("customer_id").cast("string").alias("record"),
+                                "segment", F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(rejects.read().select(F.lit("rejected").alias("outcome"), F.col("raw_line").alias("record"),
+                                                  F.lit(None).cast("string").alias("segment"), "reason"))
+
+
+@query("a04_json_array")
+def _a04(w: Warehouse) -> DataFrame:
+    """The payers and, as one array file of nested documents, the orders' texts
+    with quotes, brackets and commas in them."""
+    base = _scratch(w, "array")
+    o = w.raw._t("orders").select("o_orderkey", F.struct(F.concat(F.lit('a "b", [c] {'), F.col("o_orderpriority")).alias("note"),
+                                                         F.array("o_orderkey", "o_custkey").alias("ids")).alias("doc"))
+    # a document a line; the array's brackets and commas stand on lines of their own
+    rows = o.select("o_orderkey", F.concat(F.lit(",\n"), F.to_json(F.struct("o_orderkey", "doc"))).alias("value"))
+    first = o.agg(F.min("o_orderkey")).first()[0]
+    rows = rows.select("o_orderkey", F.when(F.col("o_orderkey") == first, F.concat(F.lit("["), F.substring("value", 3, 1 << 30)))
+                       .otherwise(F.col("value")).alias("value"))
+    last = w.spark.range(1).select(F.lit(1 << 62).alias("o_orderkey"), F.lit("\n]").alias("value"))
+    one = rows.unionByName(last).repartitionByRange(1, "o_orderkey").sortWithinPartitions("o_orderkey")
+    one.select("value").write.option("lineSep", " ").text(base)
+    from .sources.json_array import read_json_array
+    st = "o_orderkey long, doc struct<note: string, ids: array<long>>"
+    back = read_json_array(w.spark, base, w.spark.createDataFrame([], st).schema)
+    return back.select("o_orderkey", F.col("doc.note").alias("note"), F.col("doc.ids")[1].alias("second_id"))
+
+
+@query("a06_load_columns")
+def _a06(w: Warehouse) -> DataFrame:
+    base = _scratch(w, "stamped")
+    _customers(w).write.parquet(base)
+    return A.with_load_columns(w.spark.read.parquet(base), "2001-08-05 12:00:00").select(
+        "c_custkey", "_loaded_at", F.col("_source_file").endswith(".parquet").alias("has_file"))
+
+
+def _two_batches(w: Warehouse, load_type: str) -> DataFrame:
+    c1 = _customers(w).filter("c_custkey % 3 = 0")
+    c2 = _customers(w).filter("c_custkey % 3 = 1")
+    return _loaded(w, [(c1, {"load_type": load_type}), (c2, {"load_type": load_type})], _CUSTOMER_COLUMNS).select(
+        "customer_id", "balance", "segment", "_loaded_at")
+
+
+@query("a10_full_refresh_load")
+def _a10(w: Warehouse) -> DataFrame:
+    return _two_batches(w, "FULL_REFRESH")
+
+
+@query("a11_append_load")
+def _a11(w: Warehouse) -> DataFrame:
+    return _two_batches(w, "APPEND")
+
+
+@query("a13_load_active_sources")
+def _a13(w: Warehouse) -> DataFrame:
+    """Sources, formats and columns come from the three configuration tables;
+    one source is switched off, one has no files."""
+    base = _scratch(w, "sources")
+    _customers(w).write.parquet(f"{base}/customers")
+    w.raw._t("orders").select("o_orderkey", "o_totalprice").write.option("header", True).csv(f"{base}/orders")
+    spark = w.spark
+    formats = spark.createDataFrame([(1, "PARQUET", *[None] * 7), (2, "CSV", ",", True, '"', True, ",NULL", "UTF-8", False)], A.FORMAT_TABLE)
+    sources = spark.createDataFrame([
+        (1, "customers", f"{base}/customers", 1, "raw_customers", "FULL_REFRESH", None, None, True),
+        (2, "orders", f"{base}/orders", 2, "raw_orders", "MERGE", "order_id", None, True),
+        (3, "idle", f"{base}/customers", 1, "raw_idle", "APPEND", None, None, False),
+        (4, "missing", f"{base}/nothing", 1, "raw_missing", "APPEND", None, None, True)], A.SOURCE_TABLE)
+    columns = spark.createDataFrame([
+        (1, 1, "customer_id", "c_custkey", "INTEGER", None, None, None, None, None, True),
+        (1, 2, "segment", None, "VARCHAR", None, None, None, "lower(c_mktsegment)", None, False),
+        (2, 1, "order_id", "o_orderkey", "INTEGER", None, None, None, None, None, True),
+        (2, 2, "price", "o_totalprice", "NUMBER", None, 12, 2, None, None, False),
+        (4, 1, "x", None, "VARCHAR", None, None, None, None, None, False)], A.COLUMN_TABLE)
+    targets = {n: L.VersionedTable(spark, f"{base}/{n}") for n in ("raw_customers", "raw_orders", "raw_idle", "raw_missing")}
+    runs = A.load_all_active_sources(spark, A.configs_from_tables(sources, formats, columns), targets, "2001-08-05 00:00:00")
+    return runs.select("source_name", "load_type", "status", "rows_staged", "rows_inserted", "rows_updated")
+
+
+@query("a14_run_log")
+def _a14(w: Warehouse) -> DataFrame:
+    """A run that ends, one that fails and one that died after its start."""
+    base = _scratch(w, "runs")
+    _customers(w).write.parquet(f"{base}/customers")
+    log = A.RunLog(L.VersionedTable(w.spark, f"{base}/log"))
+    target = L.VersionedTable(w.spark, f"{base}/raw")
+    good = A.SourceConfig(1, "customers", f"{base}/customers", "PARQUET", "raw_customers", "APPEND", columns=_CUSTOMER_COLUMNS)
+    lost = A.SourceConfig(2, "lost", f"{base}/nothing", "PARQUET", "raw_lost", "APPEND", columns=_CUSTOMER_COLUMNS)
+    for cfg in (good, lost):
+        A.load_raw_table(w.spark, cfg, target, "2001-08-05 00:00:00", log=log)
+    log.write({"batch_id": "killed", "source_id": 3, "source_name": "killed", "load_type": "APPEND", "status": "STARTED",
+               "rows_staged": 0, "rows_inserted": 0, "rows_updated": 0, "start_time": A._now()})
+    return log.history().select("source_id", "source_name", "status", "rows_inserted", F.col("error_message").isNotNull().alias("has_error"))
+
+
+@query("a15_windows_already_loaded")
+def _a15(w: Warehouse) -> DataFrame:
+    e = w.raw.encounters
+    found = [(p, A.window_already_loaded(e, "encounter_id", p)) for p in ("ENC_1", "ENC_99", "BATCH_2001080500", "ENC_X")]
+    return w.spark.createDataFrame(found, "prefix string, already_loaded boolean")
+
+
+@query("a16_seed_empty_targets")
+def _a16(w: Warehouse) -> DataFrame:
+    base = _scratch(w, "seed")
+    tables = {n: L.VersionedTable(w.spark, f"{base}/{n}") for n in ("customers", "nations")}
+    tables["nations"].commit(w.raw._t("nation").limit(3))
+    rows = A.seed_empty_targets({"customers": (_customers(w), tables["customers"]), "nations": (w.raw._t("nation"), tables["nations"])})
+    return w.spark.createDataFrame(rows, "target string, outcome string, row_count long")
+
+
+@query("a17_export_tenant")
+def _a17(w: Warehouse) -> DataFrame:
+    base = _scratch(w, "export")
+    A.export_tenant(w.raw.encounters, "HOSP_0004", base)
+    return w.spark.read.parquet(base).groupBy("hospital_id").agg(F.count(F.lit(1)).alias("encounters"), F.sum("total_charges").alias("charges"))
+
+
+@query("l09_offboard_tenant_log")
+def _l09t(w: Warehouse) -> DataFrame:
+    """Two tables in tenant folders: the tenant's folders are unlisted."""
+    base = _scratch(w, "offboard")
+    e = conform(w.raw.encounters, "raw_encounters").select("encounter_id", "hospital_id", "patient_id")
+    tables = {n: L.VersionedTable(w.spark, f"{base}/{n}", partition_by=("hospital_id",)) for n in ("encounters", "patients")}
+    tables["encounters"].commit(e)
+    tables["patients"].append(w.raw.patients.select("patient_id", "hospital_id"))
+    log = L.offboard_tenant(w.spark, tables, "HOSP_0003")
+    left = [tables[n].read().groupBy().agg(F.count(F.lit(1)).alias("rows_left")).select(F.lit(n).alias("table_name"), "rows_left") for n in tables]
+    return log.join(left[0].unionByName(left[1]), "table_name")
+
+
+@query("l11_backfill_quarter")
+def _l11(w: Warehouse) -> DataFrame:
+    """Two batches into one table: a clean one, and one with rows of a later
+    quarter, which is refused."""
+    target = L.VersionedTable(w.spark, _scratch(w, "backfill"))
+    e = w.raw.encounters
+    out = []
+    for name, start, end, until in (("clean", "2000-01-01", "2000-03-31", "2000-03-31"), ("stray", "2000-04-01", "2000-06-30", "2000-07-15")):
+        batch = e.filter(F.to_date("admission_date").between(start, until))
+        s = L.backfill(target, batch, N.validation_report(batch, w.raw.patients, start, end))
+        out.append(s.select(F.lit(name).alias("batch"), "*"))
+    return out[0].unionByName(out[1])
+
+
+@query("l12_compacted_appends")
+def _l12(w: Warehouse) -> DataFrame:
+    """Twelve appends by month, compacted, then two months read by file bounds."""
+    t = L.VersionedTable(w.spark, _scratch(w, "compact"), stats=("transaction_date",))
+    b = conform(w.raw.billing_transactions, "raw_billing_transactions").select("transaction_id", "transaction_date", "charge_amount")
+    for month in range(1, 13):
+        t.append(b.filter(F.month("transaction_date") == month))
+        if month == 9:
+            t.compact()
+    rows = t.read(where={"transaction_date": ("2000-02-01", "2000-03-31")})
+    return rows.groupBy(F.to_date(F.date_trunc("month", "transaction_date")).alias("month")).agg(
+        F.count(F.lit(1)).alias("transactions"), F.sum("charge_amount").alias("charges"))
+
+
+@query("l13_change_sets")
+def _l13(w: Warehouse) -> DataFrame:
+    """What changed between versions: an append, a merge and a compaction."""
+    t = L.VersionedTable(w.spark, _scratch(w, "changes"), key=("customer_id",), buckets=8, feed=True)
+    rows = _customers(w).select(F.col("c_custkey").cast("long").alias("customer_id"), F.col("c_mktsegment").alias("segment"), F.lit(1).alias("v"))
+    t.commit(rows.filter("customer_id % 2 = 0"))
+    first = t.current_version()
+    t.append(rows.filter("customer_id % 2 = 1 AND customer_id % 3 = 0"))
+    changed = rows.filter("customer_id % 10 = 0").withColumn("v", F.lit(2))
+    t.merge(changed, lambda old, new: L.replace_keys(old, new, ["customer_id"]))
+    t.compact(1)
+    return t.changes(first).select("customer_id", "segment", "v")
+
+
+@query("p02_file_ingest_replayed")
+def _p02(w: Warehouse) -> DataFrame:
+    """New files in two drops, each batch added once though the first is
+    delivered again."""
+    base = _scratch(w, "ingest")
+    enc = conform(w.raw.encounters, "raw_encounters")
+    target = L.VersionedTable(w.spark, f"{base}/target")
+    early = F.col("admission_date") < F.lit("2000-01-01").cast("timestamp_ntz")
+    for k, rows in enumerate((enc.filter(early), enc.filter(~early))):
+        rows.write.parquet(f"{base}/landing/{k}")
+        for _ in range(2):
+            P.incremental_file_ingest(w.spark, f"{base}/landing/*", "raw_encounters", target, ["encounter_id"], f"{base}/progress",
+                                      mode="append").awaitTermination()
+    target.append(enc.filter(early), (f"stream:{base}/progress", 0))       # the first batch once more
+    return target.read().groupBy("hospital_id").agg(F.count(F.lit(1)).alias("encounters"), F.sum("total_charges").alias("charges"))

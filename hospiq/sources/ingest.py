@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from ..functions import core as fn
 from ..operators.state import VersionedTable, require_unique, upsert, upsert_counts
+from .json_array import read_json_array
 from .schemas import conform, schema
 
 c = F.col
@@ -90,10 +92,12 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, table: str, out_path: str
 
 # A04 -----------------------------------------------------------------------
 def read_json(spark: SparkSession, path: str, table: str, strip_outer_array: bool = True) -> DataFrame:
-    """JSON documents (outer array stripped -> multiLine). Invalid UTF-8 is
-    replaced by the reader; malformed records become NULL rows (PERMISSIVE)."""
-    df = spark.read.schema(schema(table)).option("multiLine", strip_outer_array).option("mode", "PERMISSIVE").json(path)
-    return conform(df, table)
+    """JSON documents. An outer array is read in byte ranges, so one large file
+    makes many tasks; without ``strip_outer_array`` each line is a document.
+    Malformed records become NULL rows."""
+    if strip_outer_array:
+        return conform(read_json_array(spark, path, schema(table)), table)
+    return conform(spark.read.schema(schema(table)).option("mode", "PERMISSIVE").json(path), table)
 
 
 # A05 / A06 ------------------------------------------------------------------
@@ -177,13 +181,44 @@ def column_expression(m: ColumnMapping, file_types: dict[str, str] | None = None
     return e.cast(_spark_type(m)).alias(m.target_column)
 
 
+def csv_lines(spark: SparkSession, path: str, names: list[str], o: CsvOptions) -> DataFrame:
+    """Each line of the files with its cells as texts: ``_line, _file, _whole``
+    (the line has as many cells as it should) and a column for each name. Lines
+    that repeat the header are left out. A record is one line."""
+    lines = (spark.read.option("sep", "\u0001").option("quote", "").option("escape", "").option("encoding", o.encoding)
+             .option("maxCharsPerColumn", -1).schema("_line string").csv(path)
+             .select("_line", c("_metadata.file_name").alias("_file")).filter(c("_line").isNotNull()))
+    cells = ", ".join(f"`{n}` STRING" for n in [*names, "_broken"])
+    how = {"sep": o.delimiter, "quote": o.quote, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken",
+           "ignoreLeadingWhiteSpace": str(o.trim_space).lower(), "ignoreTrailingWhiteSpace": str(o.trim_space).lower()}
+    rows = lines.select("_line", "_file", F.from_csv("_line", cells, how).alias("r"))
+    if o.header:
+        head = F.lit(True)
+        for n in names:
+            head = head & c(f"r.{n}").eqNullSafe(F.lit(n))
+        rows = rows.filter(~head)
+    nulls = list(o.null_if)
+    return rows.select("_line", "_file", c("r._broken").isNull().alias("_whole"),
+                       *[F.when(c(f"r.{n}").isin(nulls), F.lit(None)).otherwise(c(f"r.{n}")).alias(n) for n in names])
+
+
+def csv_names(spark: SparkSession, path: str, o: CsvOptions, mapped: list[ColumnMapping] = ()) -> list[str]:
+    """The header's names. A file without header has as many columns as the
+    mappings name (``_c0``, ``_c1`` ...), however many its first line has."""
+    places = [re.fullmatch(r"_c(\d+)", m.file_column or m.target_column) for m in mapped]
+    if not o.header and any(places):
+        return [f"_c{k}" for k in range(1 + max(int(m[1]) for m in places if m))]
+    return (spark.read.option("sep", o.delimiter).option("header", o.header).option("quote", o.quote).option("encoding", o.encoding)
+            .option("ignoreLeadingWhiteSpace", o.trim_space).option("ignoreTrailingWhiteSpace", o.trim_space).csv(path).columns)
+
+
 def read_source(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
     fmt = cfg.format_type.upper()
     if fmt == "PARQUET":
         raw = spark.read.parquet(cfg.landing_path)
     elif fmt == "CSV":
         o = cfg.csv
-        raw = (spark.read.option("sep", o.delimiter).option("header", o.header).option("quote", o.quote)
+        raw = (spark.read.option("sep", o.delimiter).option("header", o.header).option("quote", o.quote).option("encoding", o.encoding)
                .option("ignoreLeadingWhiteSpace", o.trim_space).option("ignoreTrailingWhiteSpace", o.trim_space)
                .option("nullValue", o.null_if[0] if o.null_if else None).option("mode", "PERMISSIVE")
                .csv(cfg.landing_path))
@@ -206,15 +241,53 @@ def staged_frame(spark: SparkSession, cfg: SourceConfig, loaded_at: str) -> Data
                       F.col("_metadata.file_name").alias("_source_file"))
 
 
+REJECTS = "source_id int, batch_id string, raw_line string, file_name string, reason string, rejected_at timestamp_ntz"
+
+
+def staged_and_rejected(spark: SparkSession, cfg: SourceConfig, loaded_at: str, batch_id: str) -> tuple[DataFrame, DataFrame]:
+    """ON_ERROR = CONTINUE: (rows to load, rejected lines with file and reason).
+    Every line but the header is one or the other. A line is rejected when it
+    has not as many cells as the file has columns, or when a mapped cell is not
+    of its column's type."""
+    lines = csv_lines(spark, cfg.landing_path, csv_names(spark, cfg.landing_path, cfg.csv, cfg.columns), cfg.csv)
+    reason = F.when(~c("_whole"), F.lit("number of cells"))
+    for m in cfg.columns:
+        if not m.transformation_rule and m.default_value is None:
+            cell = c(m.file_column or m.target_column)
+            reason = reason.when(cell.isNotNull() & cell.try_cast(_spark_type(m)).isNull(), F.lit(f"type of {m.target_column}"))
+    judged = lines.withColumn("_reason", reason)
+    at = F.lit(loaded_at).cast("timestamp_ntz")
+    good = judged.filter("_reason IS NULL").select(*[column_expression(m) for m in cfg.columns], at.alias("_loaded_at"),
+                                                   c("_file").alias("_source_file"))
+    bad = judged.filter("_reason IS NOT NULL").select(
+        F.lit(cfg.source_id).alias("source_id"), F.lit(batch_id).alias("batch_id"), c("_line").alias("raw_line"),
+        c("_file").alias("file_name"), c("_reason").alias("reason"), at.alias("rejected_at"))
+    return good, bad
+
+
 # A10 - A12, A14 -------------------------------------------------------------
-def load_raw_table(spark: SparkSession, cfg: SourceConfig, target: VersionedTable, loaded_at: str) -> dict:
-    """SP_LOAD_RAW_TABLE: stage the files, apply the load type, return the run log row."""
-    start = _dt.datetime.now(_dt.UTC).replace(tzinfo=None)
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.UTC).replace(tzinfo=None)
+
+
+def load_raw_table(spark: SparkSession, cfg: SourceConfig, target: VersionedTable, loaded_at: str,
+                   quarantine: VersionedTable | None = None, log: RunLog | None = None) -> dict:
+    """SP_LOAD_RAW_TABLE: stage the files, apply the load type, return the run
+    log row. With ``log`` a STARTED row is committed before anything is read
+    and the outcome after it. With ``csv.skip_bad_rows`` rejected lines go to
+    ``quarantine`` (they are counted even without one)."""
+    start = _now()
     run = {"batch_id": str(uuid.uuid4()), "source_id": cfg.source_id, "source_name": cfg.source_name,
            "load_type": cfg.load_type, "status": "STARTED", "rows_staged": 0, "rows_inserted": 0,
-           "rows_updated": 0, "error_message": None, "start_time": start}
+           "rows_updated": 0, "rows_rejected": 0, "error_message": None, "start_time": start}
+    if log is not None:
+        log.write(run)
     try:
-        staged = staged_frame(spark, cfg, loaded_at)
+        rejected = None
+        if cfg.format_type.upper() == "CSV" and cfg.csv.skip_bad_rows:
+            staged, rejected = staged_and_rejected(spark, cfg, loaded_at, run["batch_id"])
+        else:
+            staged = staged_frame(spark, cfg, loaded_at)
         run["rows_staged"] = staged.count()
         cur = target.read()
         lt = cfg.load_type.upper()
@@ -238,18 +311,25 @@ def load_raw_table(spark: SparkSession, cfg: SourceConfig, target: VersionedTabl
             run["rows_inserted"], run["rows_updated"] = counts["rows_inserted"], counts["rows_updated"]
         else:
             raise ValueError(f"unknown load type {cfg.load_type}")
+        if rejected is not None:
+            if quarantine is not None:
+                quarantine.append(rejected)
+                rejected = quarantine.read().filter(c("batch_id") == run["batch_id"])
+            run["rows_rejected"] = rejected.count()
         run["status"] = "SUCCESS"
     except Exception as e:  # noqa: BLE001 - the failure is the run's result
         run["status"] = "FAILED"
         run["error_message"] = str(e)
-    end = _dt.datetime.now(_dt.UTC).replace(tzinfo=None)
+    end = _now()
     run["end_time"] = end
     run["duration_seconds"] = round((end - start).total_seconds(), 3)
+    if log is not None:
+        log.write(run)
     return run
 
 
 RUN_LOG_SCHEMA = ("batch_id string, source_id int, source_name string, load_type string, status string, "
-                  "rows_staged bigint, rows_inserted bigint, rows_updated bigint, error_message string, "
+                  "rows_staged bigint, rows_inserted bigint, rows_updated bigint, rows_rejected bigint, error_message string, "
                   "start_time timestamp, end_time timestamp, duration_seconds double")
 
 
@@ -258,16 +338,79 @@ def run_log_frame(spark: SparkSession, runs: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(r.get(k) for k in cols) for r in runs], RUN_LOG_SCHEMA)
 
 
+class RunLog:
+    """Write-ahead run log: one committed row when a run starts, one with its
+    outcome. A run without the second died."""
+
+    def __init__(self, table: VersionedTable):
+        self.table = table
+
+    def write(self, run: dict) -> None:
+        self.table.append(run_log_frame(self.table.spark, [run]))
+
+    def history(self) -> DataFrame:
+        """One row for each run: its outcome, ``DIED`` if it has none."""
+        rows = self.table.read()
+        if rows is None:
+            return run_log_frame(self.table.spark, [])
+        done = c("status") != "STARTED"
+        picked = [F.max(F.when(done, c(x))).alias(x) for x in
+                  ("status", "rows_staged", "rows_inserted", "rows_updated", "rows_rejected", "error_message", "end_time",
+                   "duration_seconds")]
+        return (rows.groupBy("batch_id", "source_id", "source_name", "load_type", "start_time").agg(*picked)
+                .withColumn("status", F.coalesce("status", F.lit("DIED")))
+                .select(*[x.split()[0] for x in RUN_LOG_SCHEMA.split(", ")]))
+
+
 def load_all_active_sources(spark: SparkSession, configs: list[SourceConfig], targets: dict[str, VersionedTable],
-                            loaded_at: str, log_path: str | None = None) -> DataFrame:
-    """Every active source in id order; a failing source does not stop
-    the others. Returns (and optionally appends) the run log."""
-    runs = [load_raw_table(spark, cfg, targets[cfg.raw_table], loaded_at)
-            for cfg in sorted(configs, key=lambda x: x.source_id) if cfg.active]
-    log = run_log_frame(spark, runs)
-    if log_path:
-        log.write.mode("append").parquet(log_path)
-    return log
+                            loaded_at: str, log: RunLog | None = None, quarantine: VersionedTable | None = None,
+                            parallel: int = 4) -> DataFrame:
+    """Every active source, ``parallel`` loads at a time; those into one
+    target follow each other in id order. A failing source does not stop the
+    others. Returns the run log in id order."""
+    per_target: dict[str, list[SourceConfig]] = {}
+    for cfg in sorted(configs, key=lambda x: x.source_id):
+        if cfg.active:
+            per_target.setdefault(cfg.raw_table, []).append(cfg)
+
+    def load(some: list[SourceConfig]) -> list[dict]:
+        return [load_raw_table(spark, cfg, targets[cfg.raw_table], loaded_at, quarantine, log) for cfg in some]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        runs = [r for some in pool.map(load, per_target.values()) for r in some]
+    return run_log_frame(spark, sorted(runs, key=lambda r: r["source_id"]))
+
+
+# The three configuration tables
+SOURCE_TABLE = ("source_id int, source_name string, landing_path string, format_id int, raw_table string, load_type string, "
+                "merge_key_fields string, order_fields string, active boolean")
+FORMAT_TABLE = ("format_id int, format_type string, delimiter string, header boolean, quote string, trim_space boolean, "
+                "null_if string, encoding string, skip_bad_rows boolean")
+COLUMN_TABLE = ("source_id int, ordinal int, target_column string, file_column string, data_type string, length int, "
+                "precision int, scale int, transformation_rule string, default_value string, is_primary_key boolean")
+
+
+def configs_from_tables(sources: DataFrame, formats: DataFrame, columns: DataFrame) -> list[SourceConfig]:
+    """Configurations from the tables of sources, file formats and column
+    mappings (a row for each source and column: small by nature). Fields that
+    are NULL have their defaults; ``null_if`` is a comma list, of which an
+    empty item is the empty text."""
+    def given(row, *names):
+        return {n: row[n] for n in names if row[n] is not None}
+    kinds = {r["format_id"]: r for r in formats.collect()}
+    maps: dict[int, list[ColumnMapping]] = {}
+    for r in columns.orderBy("source_id", "ordinal").collect():
+        maps.setdefault(r["source_id"], []).append(ColumnMapping(r["target_column"], **given(
+            r, "file_column", "data_type", "length", "precision", "scale", "transformation_rule", "default_value", "is_primary_key")))
+    out = []
+    for r in sources.orderBy("source_id").collect():
+        f = kinds[r["format_id"]]
+        csv = CsvOptions(**given(f, "delimiter", "header", "quote", "trim_space", "encoding", "skip_bad_rows"))
+        if f["null_if"] is not None:
+            csv.null_if = tuple(x.strip() for x in f["null_if"].split(","))
+        out.append(SourceConfig(r["source_id"], r["source_name"], r["landing_path"], f["format_type"], r["raw_table"], r["load_type"],
+                                columns=maps.get(r["source_id"], []), csv=csv,
+                                **given(r, "merge_key_fields", "order_fields", "active")))
+    return out
 
 
 # A15 / A16 / A17 --------------------------------------------------------------

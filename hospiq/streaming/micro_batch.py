@@ -40,9 +40,15 @@ def windowed_counts(df: DataFrame, ts: str, hours: int = 3, by: tuple[str, ...]
 # P02 ----------------------------------------------------------------------
 def incremental_file_ingest(spark: SparkSession, landing: str, table: str, target: VersionedTable, key: list[str],
                             checkpoint: str, log: list | None = None, file_format: str = "parquet",
-                            loaded_at_col: str = "_loaded_at"):
+                            loaded_at_col: str = "_loaded_at", mode: str = "upsert"):
     """Start an availableNow streaming load of new files into ``target``.
 
+    The number of the last batch of this query (known by its checkpoint) is
+    kept with the table in the commit that holds the batch's rows. A batch that
+    is run again, because the driver died between that commit and the stream's
+    own, is skipped: each file counts once, also with ``mode="append"``, which
+    adds all rows.
+
     Each micro-batch: stamp ``_loaded_at`` / ``_source_file`` if missing,
     upsert by ``key`` (latest ``_loaded_at`` wins, also over earlier batches;
     a target with key buckets rewrites only those touched) and record the row count. Returns the StreamingQuery (call
@@ -59,9 +65,12 @@ def incremental_file_ingest(spark: SparkSession, landing: str, table: str, targe
         n = b.count()
         if n == 0:
             return
-        first = keep_latest(b, key, [loaded_at_col])
-        target.merge(first, lambda t, n: upsert(t, n, key, [loaded_at_col]))
-        if log is not None:
+        before, tag = target.current_version(), (f"stream:{checkpoint}", batch_id)
+        if mode == "append":
+            target.append(b, tag)
+        else:
+            target.merge(keep_latest(b, key, [loaded_at_col]), lambda t, n: upsert(t, n, key, [loaded_at_col]), tag)
+        if log is not None and target.current_version() > before:
             log.append({"batch_id": batch_id, "table": table, "rows": n, "version": target.current_version()})
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
