@@ -25,7 +25,8 @@ from .common import read_table
 class Template:
     """``start role newline text end newline``; ``control`` opens every control
     string. ``turns`` lists the transitions of the state machine (the state is
-    the last role, at first ``""``)."""
+    the last role, at first ``""``); a conversation may end in the ``accepting``
+    ones."""
 
     start: str = "<|im_start|>"
     end: str = "<|im_end|>"
@@ -34,6 +35,7 @@ class Template:
     turns: tuple[tuple[str, str], ...] = field(default=(
         ("", "system"), ("", "user"), ("system", "user"), ("user", "assistant"), ("assistant", "user"),
         ("assistant", "tool"), ("tool", "assistant"), ("tool", "tool")))
+    accepting: tuple[str, ...] = ("user", "assistant", "tool")
 
 
 CHATML = Template()
@@ -89,11 +91,13 @@ class _Reader:
     def __init__(self, template: Template):
         self.t, self.buffer = template, ""
         self.turns = self.loss_chars = self.chars = 0
-        self.turn_sha, self.loss_sha, self.ok = hashlib.sha256(), hashlib.sha256(), True
+        self.turn_sha, self.loss_sha = hashlib.sha256(), hashlib.sha256()
+        self.first_bad, self.role = None, ""
 
     def feed(self, text: str, loss: bool, ok: bool) -> None:
         self.chars += len(text)
-        self.ok &= ok
+        if not ok and self.first_bad is None:
+            self.first_bad = self.turns + 1
         if loss:
             plain = unescape(text)
             self.loss_chars += len(plain)
@@ -105,26 +109,30 @@ class _Reader:
             assert turn.startswith(self.t.start), "not a formatted conversation"
             role, _, body = turn[len(self.t.start):].partition("\n")
             self.turns += 1
-            self.turn_sha.update(f"{unescape_role(role)}\n{unescape(body)}\n".encode())
+            self.role = unescape_role(role)
+            self.turn_sha.update(f"{self.role}\n{unescape(body)}\n".encode())
 
 
 DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-          "formatted_chars long, valid boolean")
+          "formatted_chars long, valid boolean, first_bad_turn long")
 
 
 def read_back(segments: DataFrame, template: Template = CHATML) -> DataFrame:
     """One row per conversation, parsed from the formatted text and its loss
-    mask. Segments stream by in order, so a task holds one turn at a time,
-    however long a conversation is."""
+    mask. ``valid``: the state machine allows every turn and may end in the
+    last; ``first_bad_turn`` counts from 1 (null where each turn is allowed).
+    Segments stream by in order, so a task holds one turn at a time, however
+    long a conversation is."""
     ordered = (segments.select(F.col("conv_id").cast("long").alias("conv_id"), "position", "segment", "text", "loss", "turn_ok")
                .repartition("conv_id").sortWithinPartitions("conv_id", "position", "segment"))
 
     def row(key, r):
-        return (key, r.turns, r.turn_sha.hexdigest(), r.loss_chars, r.loss_sha.hexdigest(), r.chars, r.ok)
+        return (key, r.turns, r.turn_sha.hexdigest(), r.loss_chars, r.loss_sha.hexdigest(), r.chars,
+                r.first_bad is None and r.role in template.accepting, r.first_bad)
 
     def pack(rows):
         cols = list(zip(*rows, strict=True))
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
                                           names=[x.split()[0] for x in DIGEST.split(", ")])
 
@@ -155,7 +163,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
-    return read_back(chat_segments(conv.unionByName(probe))).drop("valid")
+    return read_back(chat_segments(conv.unionByName(probe)))
 
 
 SQL = """
@@ -165,11 +173,15 @@ WITH c AS (
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 e AS (
   SELECT *, replace(replace(text, '\\', '\\\\'), '<|', '<\\|') AS body,
-         replace(replace(replace(role, '\\', '\\\\'), '<|', '<\\|'), chr(10), '\\n') AS head FROM c)
+         replace(replace(replace(role, '\\', '\\\\'), '<|', '<\\|'), chr(10), '\\n') AS head,
+         row_number() OVER w AS pos, (coalesce(lag(role) OVER w, ''), role) IN (('', 'system'), ('', 'user'), ('system', 'user'),
+           ('user', 'assistant'), ('assistant', 'user'), ('assistant', 'tool'), ('tool', 'assistant'), ('tool', 'tool')) AS ok
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(length('<|im_start|>') + length(head) + 1 + length(body) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+       CAST(sum(length('<|im_start|>') + length(head) + 1 + length(body) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars,
+       bool_and(ok) AND arg_max(role, pos) IN ('user', 'assistant', 'tool') AS valid, min(pos) FILTER (WHERE NOT ok) AS first_bad_turn
 FROM e GROUP BY conv_id
 """
