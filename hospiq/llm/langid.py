@@ -1,7 +1,9 @@
 """Operator 4: language identification with a byte convolutional network.
 
-Bytes are embedded, filters of several widths slide over fixed-length windows,
-each filter keeps its maximum, and a softmax layer names the language. The
+Bytes are embedded, filters of several widths slide byte by byte over
+fixed-length windows (and into the next one, so that no stretch of the text is
+left out), each filter keeps its maximum, and a softmax layer names the
+language. The
 network is trained in numpy on a bounded sample of labelled rows; prediction
 reads every window of the whole text in batches and averages the windows'
 probabilities by their bytes.
@@ -18,23 +20,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import fresh_names, read_table
 from .maptext import bounded_sample, map_text, texts_of
 
 WINDOW = 256            # bytes
 WIDTHS = (2, 3, 4, 5)   # of the filters, in bytes
 FILTERS = 8             # of each width
 DIM = 8                 # of a byte's embedding
-STRIDE = 2
+SEEN = WINDOW + max(WIDTHS) - 1     # bytes that the filters of a window read: also those that start at its last byte
 PAD = 256
 PER_LANGUAGE = 500      # labelled documents of a language to learn from, at most
 WINDOWS_PER_DOC = 3     # windows of each of them
-MAX_LANGUAGES = 64
 STEPS, BATCH, RATE = 500, 64, 0.01
 NOISE = 1500            # junk windows that a network with a background class learns from
-SIZES = (16, 64, 256)   # bytes: texts under each, and longer ones, are rejected by a bound of their own
-CUTS = (8, 16, 64, 256)  # bytes of the set-aside texts that set these bounds
-SET_ASIDE = 50          # fewer labelled documents set aside: no bound
+CUTS = (8, 16, 32, 64, 128, 256)    # bytes of the clean texts at which the bound is measured; between them it is interpolated
+SET_ASIDE = 50          # fewer labelled documents set aside: the training rows set the bound
 RARE = 0.002            # a bound is half the score that this share of the set-aside texts stays under
 _LETTER = re.compile(r"[^\W\d_]")
 # first and last letters of alphabets; a learned one among them does no harm
@@ -48,7 +48,7 @@ class ByteCNN:
         rng = np.random.default_rng(seed)
         self.languages, self.background = languages, background
         self.classes = len(languages) + background
-        self.least = None       # by SIZES: the smallest share of all languages of a text that is kept
+        self.least = None       # at CUTS: the smallest share of all languages of a text that is kept
         span, n = max(WIDTHS), FILTERS * len(WIDTHS)
         self.embed = rng.normal(0, 0.5, (PAD + 1, DIM)).astype(np.float32)
         self.embed[PAD] = 0
@@ -62,12 +62,12 @@ class ByteCNN:
         self.out_bias = np.zeros(self.classes, np.float32)
 
     def _columns(self, windows: np.ndarray) -> np.ndarray:
-        """(window, place, span * DIM): the embedded bytes under a filter."""
+        """(window, place, span * DIM): the embedded bytes under a filter, which
+        starts at every byte of the window."""
         e = self.embed[windows]
         span = max(WIDTHS)
-        places = (WINDOW - span) // STRIDE + 1
         s = e.strides
-        view = np.lib.stride_tricks.as_strided(e, (len(e), places, span * DIM), (s[0], s[1] * STRIDE, s[2]))
+        view = np.lib.stride_tricks.as_strided(e, (len(e), windows.shape[1] - span + 1, span * DIM), s)
         return np.ascontiguousarray(view)
 
     def probabilities(self, windows: np.ndarray) -> np.ndarray:
@@ -94,7 +94,7 @@ class ByteCNN:
             pick = np.concatenate([rng.choice(b, k) for b, k in zip(by_label, each, strict=True)])
             w = windows[pick].copy()
             cut = rng.random(len(w)) < 0.33
-            w[cut[:, None] & (np.arange(WINDOW) >= rng.integers(8, WINDOW, len(w))[:, None])] = PAD
+            w[cut[:, None] & (np.arange(SEEN) >= rng.integers(8, WINDOW, len(w))[:, None])] = PAD
             y = labels[pick]
             x = self._columns(w)
             a = (x.reshape(-1, x.shape[2]) @ self.conv).reshape(x.shape[0], x.shape[1], -1)
@@ -113,7 +113,7 @@ class ByteCNN:
             g["conv"] = np.einsum("nfk,nf->kf", under, gh) * self.mask
             back = gh[:, :, None] * self.conv.T[None]                    # (window, filter, span * DIM)
             span = max(WIDTHS)
-            places = at[:, :, None] * STRIDE + np.arange(span)
+            places = at[:, :, None] + np.arange(span)
             bytes_at = w[np.arange(len(w))[:, None, None], places]
             ge = np.zeros_like(self.embed)
             np.add.at(ge, bytes_at.ravel(), back.reshape(-1, DIM))
@@ -143,6 +143,19 @@ def windows_of(data: np.ndarray, offsets: np.ndarray):
     return w, row, length
 
 
+def seen_windows(data: np.ndarray, offsets: np.ndarray):
+    """``windows_of`` with the next bytes of the same row behind each window,
+    so that filters start at every byte of the text."""
+    w, row, length = windows_of(data, offsets)
+    more = SEEN - WINDOW
+    first = np.concatenate([[0], np.cumsum(-(-np.diff(offsets) // WINDOW))])
+    start = offsets[row] + (np.arange(len(row)) - first[row] + 1) * WINDOW
+    padded = np.concatenate([data.astype(np.int16), np.full(more + WINDOW, PAD, np.int16)])
+    at = start[:, None] + np.arange(more)
+    ahead = np.where(at < offsets[row + 1][:, None], padded[np.minimum(at, len(padded) - 1)], PAD)
+    return np.concatenate([w, ahead.astype(np.int16)], axis=1), row, length
+
+
 def noise(passages: list[str], n: int = NOISE, seed: int = 5) -> list[str]:
     """Junk for the background class: passages with their letters shuffled (as
     a whole, and inside each word) and random letters, with and without spaces
@@ -169,23 +182,23 @@ def noise(passages: list[str], n: int = NOISE, seed: int = 5) -> list[str]:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         background: bool = False) -> ByteCNN | None:
-    """A network trained on at most PER_LANGUAGE documents of each of the
-    MAX_LANGUAGES most frequent languages, WINDOWS_PER_DOC windows from
-    pseudorandom places of each; with ``background`` also on junk made from
+    """A network trained on at most PER_LANGUAGE documents of each language
+    (all languages), WINDOWS_PER_DOC windows from pseudorandom places of each; with ``background`` also on junk made from
     them. None without labelled text."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND length(text) > 0")
-    sample = bounded_sample(rows, "lang", "id", PER_LANGUAGE, MAX_LANGUAGES)
-    place = [F.substring("text", (F.pmod(F.xxhash64("id", F.lit(k)), F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1)
-                                  + 1).cast("int"), F.lit(WINDOW)) for k in range(WINDOWS_PER_DOC)]
+    sample = bounded_sample(rows, "lang", "id", PER_LANGUAGE)
+    place = [F.substring("text", (F.pmod(F.xxhash64("id", F.lit(k)), F.greatest(F.length("text") - SEEN, F.lit(0)) + 1)
+                                  + 1).cast("int"), F.lit(SEEN)) for k in range(WINDOWS_PER_DOC)]
     got = sample.select("id", "lang", F.array(*place).alias("w")).orderBy("lang", "id").collect()
     if not got:
         return None
     languages = sorted({r["lang"] for r in got})
-    raw = [(t.encode()[:WINDOW], languages.index(r["lang"])) for r in got for t in r["w"]]
+    number = {x: k for k, x in enumerate(languages)}
+    raw = [(t.encode()[:SEEN], number[r["lang"]]) for r in got for t in r["w"]]
     if background:
-        raw += [(t.encode()[:WINDOW], len(languages)) for t in noise([t for r in got for t in r["w"]])]
-    w = np.full((len(raw), WINDOW), PAD, np.int16)
+        raw += [(t.encode()[:SEEN], len(languages)) for t in noise([t for r in got for t in r["w"]])]
+    w = np.full((len(raw), SEEN), PAD, np.int16)
     for i, (b, _) in enumerate(raw):
         w[i, : len(b)] = np.frombuffer(b, np.uint8)
     model = ByteCNN(languages, background)
@@ -196,37 +209,52 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 def shares(model: ByteCNN, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """(row, class): the classes' probabilities, averaged by bytes over all
     windows; 0 for an empty row."""
-    w, row, length = windows_of(data, offsets)
+    w, row, length = seen_windows(data, offsets)
     p = model.probabilities(w).astype(np.float64) * length[:, None]
     total = np.stack([np.bincount(row, p[:, c], len(offsets) - 1) for c in range(model.classes)], axis=1)
     return total / np.maximum(total.sum(1, keepdims=True), 1e-12)
 
 
 def least_shares(model: ByteCNN, texts: list[str]) -> np.ndarray | None:
-    """The smallest share of the languages together that a text of each size
-    may have, from clean ``texts`` cut to that size: half of what next to all
-    of them reach. None for too few texts."""
+    """The smallest share of the languages together that a text may have, at
+    CUTS: half of what next to all of the clean ``texts``, cut to that size,
+    reach, never more for a shorter text than for a longer one. None without
+    texts."""
     raw = [t.encode() for t in texts]
-    if len(raw) < SET_ASIDE:
+    if not raw:
         return None
     out = []
     for cut in CUTS:
         part = [r[:cut] for r in raw]
         known = shares(model, np.frombuffer(b"".join(part), np.uint8), np.cumsum([0, *map(len, part)]))[:, :-1].sum(1)
         out.append(min(0.5, np.quantile(known, RARE) / 2))
-    return np.array(out)
+    return np.minimum.accumulate(np.array(out)[::-1])[::-1]
+
+
+def bound_of(model: ByteCNN, n_bytes: np.ndarray) -> np.ndarray:
+    """The bound for texts of these sizes: one function of the size."""
+    return np.interp(np.log2(np.maximum(n_bytes, 1)), np.log2(CUTS), model.least)
 
 
 def fit_stage(docs: DataFrame) -> ByteCNN | None:
-    """A network with a background class, and the bounds that the labelled rows
-    set aside from training give it (at most PER_LANGUAGE of a language)."""
+    """A network with a background class, and the bound that the labelled rows
+    set aside from training give it (at most PER_LANGUAGE of a language). With
+    fewer than SET_ASIDE of these the training rows give it; as the network
+    knows them, their bound is halved once more."""
     model = fit(training_rows(docs), background=True)
     if model is not None:
         rows = docs.select("doc_id", "lang", F.substring("text", 1, max(CUTS)).alias("start"))
-        rows = rows.filter((F.crc32(F.col("doc_id").cast("string")) % 3 == 1) & F.col("lang").isin(model.languages)
-                           & F.col("start").rlike(r"\p{L}"))
-        sample = bounded_sample(rows, "lang", "doc_id", PER_LANGUAGE, MAX_LANGUAGES)
-        model.least = least_shares(model, [r["start"] for r in sample.collect()])
+        rows = rows.filter(F.col("lang").isNotNull() & F.col("start").rlike(r"\p{L}"))
+        aside = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+        known = [r["start"] for r in bounded_sample(rows.filter(aside & F.col("lang").isin(model.languages)), "lang", "doc_id",
+                                                    PER_LANGUAGE).collect()]
+        if len(known) >= SET_ASIDE:
+            model.least = least_shares(model, known)
+        else:
+            seen = [r["start"] for r in bounded_sample(rows.filter(~aside), "lang", "doc_id", PER_LANGUAGE).collect()]
+            model.least = least_shares(model, known + seen)
+            if model.least is not None:
+                model.least = model.least / 2
     return model
 
 
@@ -249,7 +277,7 @@ def predict(docs: DataFrame, model: ByteCNN | None, keep: list[str], text_col: s
             best = share[:, :len(model.languages)].argmax(1)
             if model.least is not None:
                 known = share[:, :len(model.languages)].sum(1)
-                has &= known >= model.least[np.searchsorted(SIZES, np.diff(offsets), side="right")]
+                has &= known >= bound_of(model, np.diff(offsets))
             share = share[np.arange(n), best]
             lang = [model.languages[b] if h else "und" for b, h in zip(best.tolist(), has.tolist(), strict=True)]
             score = np.where(has, np.clip(share, 0, 1), 0.0)
@@ -264,14 +292,14 @@ def training_rows(docs: DataFrame) -> DataFrame:
 def keep_identified(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` without the rows of no language (all text kept whole, columns
     as given): null texts, texts without a letter, and texts that the network
-    takes for junk or for no language it learned, by bounds set from the
-    labelled rows set aside. Without labelled rows to learn from (lang null in
-    all, or none among the training rows) or to set the bounds (under
-    SET_ASIDE), only null texts and texts without a letter are dropped."""
+    takes for junk or for no language it learned, by a bound set from the
+    labelled rows set aside (``fit_stage``). Without labelled rows to learn from
+    (lang null in all, or none among the training rows) only null texts and
+    texts without a letter are dropped."""
     model = fit_stage(docs)
     if model is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    names = tuple(f"__{x}_{len(docs.columns)}" for x in ("lang", "score"))
+    names = tuple(fresh_names(docs, "stage_lang", "stage_score"))
     out = predict(docs, model, docs.columns, "text", names)
     return out.filter(F.col(names[0]) != "und").select(*docs.columns)
 

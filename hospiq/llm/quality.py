@@ -196,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, table: np.ndarray) -> Network | None
     """A network from at most PER_LABEL rows of each label (``labels``: doc_id,
     quality 0 or 1; nulls do not count). None unless both labels occur."""
     lab = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sample = bounded_sample(lab, "quality", "doc_id", PER_LABEL, 2)
+    sample = bounded_sample(lab, "quality", "doc_id", PER_LABEL)
     # at most 2 * PER_LABEL short rows: a proven bound, so the texts stay where they are
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text")
 
