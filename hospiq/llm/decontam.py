@@ -7,7 +7,9 @@ out first; that bound loses nothing. The rest get a SimHash, found from
 prefix sums of the shingles' signs. Items are kept in a multi-index: the
 fingerprint is cut into bytes, and each byte value leads to the items whose
 byte is within a small radius, so that every item within RADIUS of a window is
-found (pigeonhole). The candidates' exact weighted-shingle similarity decides.
+found (pigeonhole). A fingerprint says little where one shingle counts many
+times: windows or items with repeated shingles are candidates without it. The
+candidates' exact weighted-shingle similarity decides.
 """
 
 from __future__ import annotations
@@ -18,12 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytetext import Rolling, shingles, words
-from .common import read_table
+from .common import fresh_names, materialize, read_table
 from .maptext import map_text, texts_of
 
 SHINGLE = 5             # words
 SIMILARITY = 0.8        # sum of smaller over sum of larger shingle counts
 RADIUS = 23             # bits of 64; a window at the similarity is 10 off on average, 3 being the deviation
+HEAVY = 2               # repeated shingles of an item or a window that make its fingerprint no guide
 BYTE_RADIUS = 2         # 8 bytes that all differ by 3 bits or more make 24
 ITEM_CHARS = 16 << 20   # benchmark text of one block of items, at most (plus one item)
 
@@ -58,12 +61,22 @@ def fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1)
 
 
+def _previous(sh: np.ndarray) -> np.ndarray:
+    """For each shingle the place of the last equal one before it, or -1."""
+    order = np.argsort(sh, kind="stable")
+    out = np.full(len(sh), -1, np.int64)
+    same = sh[order[1:]] == sh[order[:-1]]
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
+
 class ItemIndex:
     """The items of one block: shingle filter, exact counts and multi-index."""
 
     def __init__(self, items: list[tuple[int, str]]):
         hashes, bound = word_hashes([t for _, t in items])
         self.ids = [i for i, _ in items]
+        self.heavy = np.zeros(len(items), bool)
         self.counts: list[tuple[np.ndarray, np.ndarray]] = []
         self.by_length: dict[int, dict] = {}
         self.short: dict[int, dict[int, list[int]]] = {}
@@ -73,6 +86,7 @@ class ItemIndex:
             if len(h) >= SHINGLE:
                 sh = shingles(h, SHINGLE)
                 self.counts.append(np.unique(sh, return_counts=True))
+                self.heavy[k] = len(sh) - len(self.counts[-1][0]) >= HEAVY
                 lengths.setdefault(len(h), []).append(k)
             else:
                 self.counts.append((np.zeros(0, np.uint64), np.zeros(0, int)))
@@ -120,6 +134,9 @@ class ItemIndex:
             lo, hi = max(int(part[0]) - longest, 0), min(int(part[-1]) + longest + 1, len(sh))
             piece, counts = sh[lo:hi], np.concatenate([[0], np.cumsum(hit[lo:hi])])
             sums = None
+            # of windows with the same shingles one is looked at: equal sums of hashes
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(piece, dtype=np.uint64)])
+            before = _previous(piece)
             for n_words, group in self.by_length.items():
                 n_item = n_words - SHINGLE + 1
                 n = min(n_item, len(piece))
@@ -128,15 +145,20 @@ class ItemIndex:
                 starts = np.flatnonzero(counts[n:] - counts[:-n] >= needed(n, n_item, similarity))
                 if not len(starts):
                     continue
+                starts = starts[np.unique(total[starts + n] - total[starts], return_index=True)[1]]
                 if sums is None:
                     sums = sign_sums(piece)
                 prints = fingerprints(sums[starts + n] - sums[starts])
                 near = np.zeros((len(starts), len(group["items"])), bool)
                 for b in range(8):
                     near |= group["near"][b][prints[:, b]]
-                w, k = np.nonzero(near)
-                apart = np.bitwise_count(prints[w] ^ group["prints"][k]).sum(axis=1)
-                for x, y in zip(w[apart <= RADIUS].tolist(), k[apart <= RADIUS].tolist(), strict=True):
+                # one shingle with a high count may make up the whole difference of two alike
+                # windows and turn their fingerprints apart: these go to the exact similarity
+                repeats = np.array([int((before[s:s + n] >= s).sum()) for s in starts.tolist()])
+                heavy = (repeats >= HEAVY)[:, None] | self.heavy[group["items"]][None, :]
+                w, k = np.nonzero(near | heavy)
+                ok = heavy[w, k] | (np.bitwise_count(prints[w] ^ group["prints"][k]).sum(axis=1) <= RADIUS)
+                for x, y in zip(w[ok].tolist(), k[ok].tolist(), strict=True):
                     item = int(group["items"][y])
                     if found.get(item, 0) < 1:
                         s = self.similarity(item, piece[starts[x]:starts[x] + n])
@@ -169,11 +191,11 @@ class ItemIndex:
 def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text"):
     """The benchmark in blocks of bounded size, each small enough for every
     task; a benchmark of any size is searched, block after block."""
-    rows = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).alias("t")).filter("id IS NOT NULL AND length(t) > 0")
+    rows = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).alias("t")).filter("length(t) > 0")
     total = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     n = max(1, -(-int(total) // ITEM_CHARS))
     for k in range(n if total else 0):
-        got = rows.filter(F.pmod(F.xxhash64("id"), F.lit(n)) == k).orderBy("id", "t").collect()
+        got = rows.filter(F.pmod(F.xxhash64("id", "t"), F.lit(n)) == k).orderBy("id", "t").collect()
         if got:
             yield ItemIndex([(r["id"], r["t"]) for r in got])
 
@@ -187,28 +209,36 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col:
     A null or empty text matches nothing, a null or empty item is matched by
     nothing. A text shorter than an item is one window. An item of fewer than
     five words is one shingle, matched by the same words in a row. Items that
-    repeat an id count once. Rows that repeat are judged alike. An empty
-    benchmark leaves every document clean.
+    repeat an id count once; items without an id are searched like others and
+    stand in ``items`` as one null, the last. Rows that repeat are judged
+    alike. An empty benchmark leaves every document clean. A benchmark of more
+    than one block is searched block by block: the driver holds one, and the
+    rows with what was found so far are written in between.
     """
     items, best = names
-    out = docs.select(*keep, *([] if text_col in keep else [F.col(text_col).alias("__t")]),
+    t, new_items, new_best = fresh_names(docs.select(*keep, F.lit(0).alias(items), F.lit(0).alias(best)), "searched", "found", "found_best")
+    cols = [*keep, *([] if text_col in keep else [t])]
+    out = docs.select(*keep, *([] if text_col in keep else [F.col(text_col).alias(t)]),
                       F.array().cast("array<long>").alias(items), F.lit(0.0).alias(best))
-    text = text_col if text_col in keep else "__t"
-    for index in item_blocks(benchmark):
+    text = text_col if text_col in keep else t
+    for n, index in enumerate(item_blocks(benchmark)):
         def fn(data, offsets, index=index):
             got = index.scan(texts_of(data, offsets), similarity)
-            return [pa.array([sorted({index.ids[k] for k in g}) for g in got], pa.list_(pa.int64())),
+            ids = [{index.ids[k] for k in g} for g in got]
+            return [pa.array([sorted(x - {None}) + [None] * (None in x) for x in ids], pa.list_(pa.int64())),
                     pa.array([max(g.values(), default=0.0) for g in got], pa.float64())]
-        cols = [*keep, *([] if text_col in keep else ["__t"])]
-        found = map_text(out, [*cols, items, best], fn, "__items array<long>, __best double", text)
-        out = found.select(*cols, F.array_sort(F.array_union(items, "__items")).alias(items),
-                           F.greatest(F.col(best), F.col("__best")).alias(best))
+        if n:
+            out = materialize(out, "leaks")
+        found = map_text(out, [*cols, items, best], fn, f"{new_items} array<long>, {new_best} double", text)
+        both = F.array_union(items, new_items)
+        ordered = F.concat(F.array_sort(F.filter(both, lambda x: x.isNotNull())), F.filter(both, lambda x: x.isNull()))
+        out = found.select(*cols, ordered.alias(items), F.greatest(F.col(best), F.col(new_best)).alias(best))
     return out.select(*keep, items, best)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that contain a benchmark item."""
-    names = tuple(f"__{x}_{len(docs.columns)}" for x in ("items", "best"))
+    names = tuple(fresh_names(docs, "leak_items", "leak_similarity"))
     return find_leaks(docs, benchmark, docs.columns, names=names).filter(F.size(names[0]) == 0).select(*docs.columns)
 
 
@@ -221,8 +251,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # the same answer without fingerprints: windows counted shingle by shingle
 SQL = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10FFFF}]+') AS words FROM documents),
-iw AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10FFFF}]+') AS words FROM benchmark
-       WHERE item_id IS NOT NULL AND length(text) > 0),
+-- items without an id are searched too, under an id of their own that is not shown
+iw AS (SELECT coalesce(item_id, -9223372036854775807) AS item_id,
+              regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10FFFF}]+') AS words FROM benchmark WHERE length(text) > 0),
 il AS (SELECT item_id, least(len(words), 5) AS k, len(words) - least(len(words), 5) + 1 AS n, words FROM iw WHERE len(words) > 0),
 ish AS (SELECT item_id, sh, count(*) AS ci FROM (
           SELECT item_id, unnest([array_to_string(words[i:i + k - 1], ' ') FOR i IN range(1, n + 1)]) AS sh FROM il)
@@ -242,7 +273,7 @@ sim AS (SELECT p.doc_id, p.item_id, p.p0, sum(least(p.cw, i.ci)) AS both_, any_v
         FROM part p JOIN ish i ON i.item_id = p.item_id AND i.sh = p.sh GROUP BY ALL),
 best AS (SELECT doc_id, item_id, max(both_ / (total - both_)) AS s FROM sim GROUP BY doc_id, item_id HAVING max(both_ / (total - both_)) >= 0.8)
 SELECT d.doc_id, count(b.item_id) > 0 AS contaminated, CAST(count(b.item_id) AS INTEGER) AS n_items,
-       coalesce(string_agg(CAST(b.item_id AS VARCHAR), ',' ORDER BY b.item_id), '') AS items,
+       coalesce(string_agg(CAST(b.item_id AS VARCHAR), ',' ORDER BY b.item_id) FILTER (WHERE b.item_id > -9223372036854775807), '') AS items,
        CAST(coalesce(max(b.s), 0) AS DOUBLE) AS similarity
 FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id GROUP BY d.doc_id
 """
