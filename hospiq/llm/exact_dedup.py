@@ -16,10 +16,11 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bytetext import IS_WORD, Rolling, blocks, buffers
-from .common import map_arrow, materialize, read_table, text_rows
+from .common import fresh_names, map_arrow, materialize, read_table, text_rows
 
 WINDOW = 32
 AVERAGE = 1024          # mean chunk bytes, a power of two
@@ -59,21 +60,23 @@ def _block(data: np.ndarray, offsets: np.ndarray):
                [weak[8 * j: 8 * j + 8] for j in range(a, b)], strong[a:b])
 
 
-def chunk_recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def chunk_recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_raw: bool = False) -> DataFrame:
     """One row per row of ``docs``: its code points, the SHA-256 of the
-    normalised text and the ordered weak and strong chunk identifiers."""
+    normalised text and the ordered weak and strong chunk identifiers;
+    ``with_raw`` adds the MD5 of the text as it is."""
     def fn(batch: pa.RecordBatch):
         data, o = buffers(batch.column(1))
         ids = batch.column(0)
         for i, j in blocks(o):
             rows = list(_block(data[o[i]:o[j]], o[i:j + 1] - o[i]))
+            raw = [pa.array([hashlib.md5(data[a:b].tobytes()).digest() for a, b in zip(o[i:j], o[i + 1:j + 1], strict=True)])] if with_raw else []
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(i, j - i), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]),
                  pa.array([r[2] for r in rows], pa.list_(pa.binary())),
-                 pa.array([r[3] for r in rows], pa.list_(pa.binary()))],
-                names=["id", "n_chars", "text_sha256", "weak", "strong"])
+                 pa.array([r[3] for r in rows], pa.list_(pa.binary())), *raw],
+                names=["id", "n_chars", "text_sha256", "weak", "strong"] + ["raw"] * with_raw)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return map_arrow(text_rows(src, "id"), fn, RECIPE)
+    return map_arrow(text_rows(src, "id"), fn, RECIPE + (", raw binary" if with_raw else ""))
 
 
 def verified_recipes(recipes: DataFrame) -> DataFrame:
@@ -87,7 +90,7 @@ def verified_recipes(recipes: DataFrame) -> DataFrame:
                 .select(F.col("id").alias("a_id"), F.col("text_sha256").alias("a_sha"), F.lit(True).alias("amb")))
     return (recipes.join(affected, F.col("id").eqNullSafe(F.col("a_id")) & (F.col("text_sha256") == F.col("a_sha")),
                          "left")
-            .select("id", "n_chars", "text_sha256",
+            .select("id", "n_chars", "text_sha256", *(["raw"] if "raw" in recipes.columns else []),
                     F.when(F.col("amb"), F.col("strong")).otherwise(F.col("weak")).alias("ids")))
 
 
@@ -114,15 +117,24 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` without the copies, columns as given: one row per group."""
-    from pyspark.sql import Window as W
-
-    keep = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("_k_id"), F.col("text_sha256").alias("_k_sha"))
-    sha = F.sha2(F.translate(F.coalesce("text", F.lit("")), " \t\n\x0b\x0c\r", "").cast("binary"), 256)
-    marked = docs.withColumn("_sha", sha).join(
-        keep, F.col("doc_id").eqNullSafe(F.col("_k_id")) & (F.col("_sha") == F.col("_k_sha")), "left_semi")
-    w = W.partitionBy("doc_id", "_sha").orderBy(F.length("text").desc_nulls_last())
-    return marked.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(*docs.columns)
+    """``docs`` without the copies, columns as given: of each group the row
+    with the most code points, then the smallest id (null ids last), then the
+    smallest digest of the text as it is; of rows that repeat id and text, one.
+
+    Groups are found from the recipes alone. A row is known by its id and the
+    digest of its text, by which the texts move once, to meet the kept keys."""
+    recipes = verified_recipes(materialize(chunk_recipes(docs, with_raw=True), "recipes"))
+    keys = recipes.groupBy("id", "raw", "ids").agg(F.max("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("copies"))
+    top = F.max(F.struct("n_chars", (-F.col("id")).alias("neg"), "raw", "copies"))
+    k_id, k_raw, place = fresh_names(docs, "kept_id", "kept_raw", "kept_place")
+    keep = materialize(keys.groupBy("ids").agg(top.alias("top")).select((-F.col("top.neg")).alias(k_id), F.col("top.raw").alias(k_raw),
+                                                                        F.col("top.copies").alias("copies")), "kept")
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    out = docs.join(keep.select(k_id, k_raw), F.col("doc_id").eqNullSafe(F.col(k_id)) & (digest == F.col(k_raw)), "left_semi")
+    if keep.filter("copies > 1").limit(1).isEmpty():
+        return out
+    one = W.partitionBy("doc_id", digest).orderBy(F.col("text").isNull())
+    return out.withColumn(place, F.row_number().over(one)).filter(F.col(place) == 1).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
