@@ -228,3 +228,52 @@ def test_benchmark_in_blocks(spark, corpus, monkeypatch):
     assert len(list(decontam.item_blocks(bench))) > 1
     got = {r.doc_id: set(r["items"]) for r in decontam.find_leaks(df, bench, ["doc_id"]).collect()}
     assert got == {r[0]: brute.leaks(r[1], items) for r in rows}
+
+
+def test_decontamination_with_repeated_words_and_null_ids(spark):
+    """One shingle that counts many times on one side, items without an id."""
+    rng = random.Random(33)
+    items, docs = [], []
+    for k, (n, run) in enumerate([(40, 6), (60, 12), (90, 22), (150, 36)]):
+        base, word = prose(rng, n), "zz"
+        heavy = base + " " + " ".join([word] * (run + 4))
+        items.append((k, heavy))
+        for drop in range(0, run, 3):
+            cut = base + " " + " ".join([word] * (run + 4 - drop))
+            docs.append(prose(rng, 30) + " " + cut + " " + prose(rng, 30))
+            docs.append(cut)
+        items.append((100 + k, base))
+        docs.append(prose(rng, 10) + " " + base + " " + " ".join([word] * run))
+    items += [(None, prose(rng, 25)), (None, prose(rng, 25))]
+    docs += [prose(rng, 9) + " " + items[-1][1] + " " + prose(rng, 9), prose(rng, 80), "zz " * 300]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: set(r["items"]) for r in decontam.find_leaks(df, bench, ["doc_id"]).collect()}
+    want = {k: brute.leaks(t, items) for k, t in enumerate(docs)}
+    assert got == want and any(None in v for v in want.values()) and sum(map(bool, want.values())) > 10
+    assert {r.doc_id for r in decontam.drop_leaks(spark, df, bench).collect()} == {k for k, v in want.items() if not v}
+
+
+CLASH = ["_sha", "_rn", "__items", "__best", "__keep_id", "__keep_key", "__t", "__text", "kept_id", "kept_raw", "kept_place", "keep_id", "keep_key",
+         "leak_items", "leak_similarity", "found", "found_best", "searched", "map_text", "stage_lang", "stage_score", "sample_rank", "id", "key", "n", "items"]
+
+
+@pytest.mark.parametrize("stage", ["language", "exact", "near", "leaks"])
+def test_stages_leave_columns_of_any_name_alone(spark, corpus, stage):
+    from hospiq.llm import langid
+    rows, df, item = corpus
+    from pyspark.sql import functions as F
+    wide = df.filter("doc_id < 60").select("doc_id", "text", "lang", "source", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASH])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    out = {"language": lambda: langid.keep_identified(spark, wide), "exact": lambda: exact_dedup.drop_exact_copies(spark, wide),
+           "near": lambda: near_dedup.drop_near_copies(spark, wide), "leaks": lambda: decontam.drop_leaks(spark, wide, bench)}[stage]()
+    assert out.columns == wide.columns
+    got = out.collect()
+    assert got and all(r[c] == f"{c}{r.doc_id}" for r in got for c in CLASH)
+
+
+def test_exact_stage_keeps_one_of_repeated_rows(spark):
+    rows = [(1, "a b"), (1, "a b"), (1, "a  b"), (2, "ab"), (3, None), (3, ""), (3, None), (None, "q"), (None, "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.text or "") for r in exact_dedup.drop_exact_copies(spark, df).collect())
+    assert got == [(0, "q"), (1, "a  b"), (3, "")]

@@ -72,6 +72,41 @@ def test_windows_cover_every_byte_once():
     assert all((x[n:] == langid.PAD).all() for x, n in zip(w, size, strict=True))
 
 
+def test_filters_start_at_every_byte():
+    data = np.random.default_rng(1).integers(0, 256, 1500).astype(np.uint8)
+    offsets = np.array([0, 3, 3, 700, 956, 1500])
+    w, row, size = langid.seen_windows(data, offsets)
+    span = max(langid.WIDTHS)
+    assert w.shape[1] == langid.WINDOW + span - 1
+    for r in range(5):
+        text = np.concatenate([data[offsets[r]:offsets[r + 1]].astype(np.int16), np.full(span, langid.PAD)])
+        starts = [tuple(x[k:k + span]) for x, n in zip(w[row == r], size[row == r], strict=True) for k in range(n)]
+        assert starts == [tuple(text[k:k + span]) for k in range(offsets[r + 1] - offsets[r])]
+
+
+def test_all_languages_are_learned(spark):
+    """Seventy languages, told apart by their alphabets' order of letters."""
+    rng = random.Random(17)
+    rows, k = [], 0
+    for lang in range(70):
+        word = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(3)]
+        rows += [(k + i, " ".join(rng.choices(word, k=60)), f"l{lang:02d}") for i in range(6)]
+        k += 6
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert model.languages == [f"l{x:02d}" for x in range(70)]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(df, model, ["doc_id"]).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) > 0.5 * len(rows)
+
+
+def test_the_bound_is_one_function_of_the_size():
+    model = langid.ByteCNN(["a"], background=True)
+    model.least = np.array([0.1, 0.2, 0.3, 0.3, 0.4, 0.5])
+    n = np.arange(0, 2000)
+    got = langid.bound_of(model, n)
+    assert (np.diff(got) >= 0).all() and np.diff(got).max() < 0.02 and got[0] == 0.1 and got[-1] == 0.5
+
+
 # ---------------------------------------------------------------- token counts
 def test_token_counts_equal_the_library(spark, corpus):
     rows, df, _ = corpus
@@ -111,6 +146,10 @@ def test_chat_round_trip_with_control_strings(spark):
         assert (r.n_turns, r.turns_sha256) == (len(mine), hashlib.sha256(turns.encode()).hexdigest())
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert {k: r.valid for k, r in got.items()} == {1: True, 2: False, 3: False, 4: False, None: False}
+    assert {k: r.first_bad_turn for k, r in got.items()} == {1: None, 2: 1, 3: 2, 4: 2, None: 1}
+    only = chat_format.chat_segments(spark.createDataFrame([(9, 0, "system", "s")], "conv_id long, turn long, role string, text string"))
+    r = chat_format.read_back(only).first()
+    assert (r.valid, r.first_bad_turn) == (False, None)         # the machine may not end here
     assert chat_format.read_back(chat_format.chat_segments(df.limit(0))).collect() == []
 
 
@@ -292,6 +331,59 @@ def test_mixing_capped_sources_and_edge_cases(spark):
     assert len(got) == 3 and all(r.taken == r["size"] for r in got)
 
 
+def test_mixing_shards_hold_drawn_counts_and_fixed_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 8)
+    rng = random.Random(3)
+    rows = [(k, prose(rng, 700), None, "abcd"[k % 4], "") for k in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    sizes = mixing.sized(df).cache()
+    planned = mixing.plan(mixing.targets(spark, sizes), 5)
+    counts = mixing.shard_counts(planned, 5)
+    per_shard, per_source = {}, {}
+    for r in counts.collect():
+        per_shard[r.shard] = per_shard.get(r.shard, 0) + r.slots
+        per_source.setdefault(r.source, []).append(r.slots)
+    want = {r.source: r.n_slots for r in planned.collect()}
+    assert {s: sum(v) for s, v in per_source.items()} == want
+    full = [per_shard[k] for k in sorted(per_shard)]
+    assert full[:-1] == [8] * (len(full) - 1) and 0 < full[-1] <= 8 and len(full) > 5
+    assert any(len(set(v)) > 1 for v in per_source.values())        # drawn, not dealt in proportion
+    deal = mixing.slots(planned, counts, 5).collect()
+    assert len(deal) == sum(want.values()) and sum(1 for r in deal if r.words_taken) <= 4
+    decisions, manifest = mixing.mix(df)
+    check_mix(rows, decisions.collect())
+    per = {}
+    for r in manifest.collect():
+        per.setdefault((r.shard, r.slot_key, r.block), 0)
+        per[r.shard, r.slot_key, r.block] += r.words
+    assert max(per.values()) == mixing.BLOCK_WORDS
+
+
+def test_mixing_targets_equal_sql(spark):
+    """source_size and target, recomputed by DuckDB on the same table."""
+    import duckdb
+    got = {(r.source, r.source_size): r.target for r in mixing.query(spark, SF_ORACLE).join(
+        spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "source"), "doc_id").select(
+            "source", "source_size", "target").distinct().collect()}
+    sql = f"""
+    WITH RECURSIVE d AS (SELECT source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS n
+      FROM read_parquet('{SF_ORACLE}/documents.parquet') GROUP BY source),
+    w AS (SELECT source, n, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w FROM d),
+    r AS (SELECT w.source, w.n, w.w, ratio, (sum(n) OVER () - coalesce(sum(3 * n) OVER before, 0)) / (sum(w.w) OVER () - coalesce(sum(w.w) OVER before, 0)) AS level
+          FROM (SELECT *, 3 * n / w AS ratio FROM w) w WINDOW before AS (ORDER BY ratio, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT source, n, least(3.0 * n, w * (SELECT level FROM r WHERE level <= ratio ORDER BY ratio, source LIMIT 1)) FROM r"""
+    want = {(s, n): t for s, n, t in duckdb.sql(sql.replace("\\\\", "\\")).fetchall()}
+    assert set(got) == set(want) and all(abs(got[k] - float(want[k])) < 1e-6 * (1 + got[k]) for k in got)
+
+
+def test_permutation_has_an_inverse(spark):
+    from pyspark.sql import functions as F
+    for n in (1, 5, 333):
+        there = mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(9))
+        got = spark.range(n).select("id", there.alias("x")).select("id", mixing.permuted(F.col("x"), F.lit(n).cast("long"), F.lit(9), back=True).alias("y"))
+        assert all(r.id == r.y for r in got.collect())
+
+
 def test_permutation_is_one(spark):
     from pyspark.sql import functions as F
     for n in (1, 2, 7, 100, 1000):
