@@ -101,6 +101,7 @@ def age_years(dob: ColumnOrName, as_of: ColumnOrName) -> Column:
     return F.floor(F.months_between(col(as_of), col(dob)) / 12).cast("int")
 
 
+# The published age groups and ten-year age bands.
 def age_group(age: ColumnOrName) -> Column:
     a = col(age)
     return (F.when(a < 18, "Pediatric").when(a.between(18, 64), "Adult")
@@ -148,6 +149,7 @@ def los_midnights(admission: ColumnOrName, discharge: ColumnOrName) -> Column:
             .otherwise(F.datediff(F.to_date(d), F.to_date(a))))
 
 
+# The published ageing bands.
 def ar_aging_bucket(days: ColumnOrName) -> Column:
     d = col(days)
     return (F.when(d.isNull(), "Unknown").when(d <= 30, "0-30").when(d <= 60, "31-60")
@@ -173,6 +175,7 @@ def tenant_surrogate_key(*cols: ColumnOrName) -> Column:
 # ---------------------------------------------------------------------------
 # H14 severity rank; I13 readmission rate (aggregate expression)
 # ---------------------------------------------------------------------------
+# The order of severities.
 SEVERITY_RANK = {"LIFE_THREATENING": 1, "SEVERE": 2, "MODERATE": 3, "MILD": 4}
 
 

@@ -169,10 +169,10 @@ def critical_lab_response(labs: DataFrame, orders: DataFrame, as_of_ts: str, loo
                     "first_order_after_result", fn.r4("response_time_hours").alias("response_time_hours"),
                     "orders_within_timeframe", "violation_type",
                     F.when(c("violation_type") == "NO FOLLOW-UP ORDERS",
-                           "CRITICAL: Verify provider was notified. Document acknowledgment. Review patient status.")
+                           "no order in 24 hours: ask for an acknowledgement and see the patient")
                     .when(c("response_time_hours") > c("expected_response_hours") * 2,
-                          "SEVERE DELAY: Investigate notification process. Patient safety review required.")
-                    .otherwise("DELAYED RESPONSE: Review notification workflow. Ensure timely provider response.")
+                          "more than twice the allowed time: find out how the result was passed on")
+                    .otherwise("late order: see how results are passed on")
                     .alias("action_required"),
                     since_h.alias("hours_since_critical_value")))
 
@@ -187,12 +187,12 @@ def los_by_encounter_type(encounters: DataFrame) -> DataFrame:               # N
 
 def los_with_issue(encounters: DataFrame) -> DataFrame:                      # N14
     los, et = c("length_of_stay"), c("encounter_type")
-    issue = (F.when((et == "Inpatient") & (los > 365), "Inpatient LOS > 365 days")
-             .when((et == "Inpatient") & (los == 0) & c("discharge_date").isNotNull(), "Inpatient same-day discharge (unusual)")
-             .when((et == "Outpatient") & (los > 1), "Outpatient LOS > 1 day")
-             .when((et == "Emergency") & (los > 2), "Emergency LOS > 2 days (should be admitted)")
-             .when((et == "Observation") & (los > 3), "Observation LOS > 3 days")
-             .when(los < 0, "Negative LOS (data error)"))
+    issue = (F.when((et == "Inpatient") & (los > 365), "inpatient stay of over a year")
+             .when((et == "Inpatient") & (los == 0) & c("discharge_date").isNotNull(), "inpatient stay of no day")
+             .when((et == "Outpatient") & (los > 1), "outpatient stay of over a day")
+             .when((et == "Emergency") & (los > 2), "emergency stay of over two days")
+             .when((et == "Observation") & (los > 3), "observation stay of over three days")
+             .when(los < 0, "negative stay"))
     return (encounters.withColumn("issue_type", issue).filter(c("issue_type").isNotNull())
             .select("encounter_id", "hospital_id", "encounter_type", "length_of_stay", "admission_date",
                     "discharge_date", "issue_type"))
@@ -233,9 +233,9 @@ def high_risk_unverified(med_admin: DataFrame) -> DataFrame:                 # N
                     klass.alias("high_risk_class"), risk.alias("risk_level"), "administered_datetime",
                     "administered_by_provider_id", "barcode_scanned")
             .withColumn("action_required",
-                        F.when(c("risk_level") == "CRITICAL", "CRITICAL: Immediate supervisor notification and incident report required")
-                        .when(c("risk_level") == "HIGH", "HIGH: Incident report required, additional training for staff")
-                        .otherwise("MODERATE: Re-education on high-risk medication protocols")))
+                        F.when(c("risk_level") == "CRITICAL", "tell the supervisor now and file a report")
+                        .when(c("risk_level") == "HIGH", "file a report, train the staff")
+                        .otherwise("go over the rules for high-risk medication")))
 
 
 def iv_without_witness(med_admin: DataFrame) -> DataFrame:                   # N16
@@ -259,9 +259,9 @@ def cross_hospital_encounters(raw_encounters: DataFrame, patients: DataFrame, pr
     h = c("encounter_hospital_id")
     return (e.filter((h != c("ph")) | (h != c("vh")) | (h != c("fh")))
             .select("encounter_id", "encounter_hospital_id", "patient_id", "provider_id", "facility_id",
-                    F.when(h != c("ph"), F.concat(F.lit("Patient from different hospital: "), c("ph"))).alias("patient_violation"),
-                    F.when(h != c("vh"), F.concat(F.lit("Provider from different hospital: "), c("vh"))).alias("provider_violation"),
-                    F.when(h != c("fh"), F.concat(F.lit("Facility from different hospital: "), c("fh"))).alias("facility_violation")))
+                    F.when(h != c("ph"), F.concat(F.lit("patient belongs to "), c("ph"))).alias("patient_violation"),
+                    F.when(h != c("vh"), F.concat(F.lit("provider belongs to "), c("vh"))).alias("provider_violation"),
+                    F.when(h != c("fh"), F.concat(F.lit("facility belongs to "), c("fh"))).alias("facility_violation")))
 
 
 def given_despite_allergy(med_admin: DataFrame, allergies: DataFrame) -> DataFrame:   # N18
@@ -275,8 +275,8 @@ def given_despite_allergy(med_admin: DataFrame, allergies: DataFrame) -> DataFra
         c("m.patient_id").alias("patient_id"), c("m.medication_name").alias("administered_medication"),
         c("a.allergen_name").alias("known_allergy"), c("a.severity").alias("allergy_severity"),
         c("a.reaction_type").alias("expected_reaction"), c("a.allergy_id").alias("allergy_id"),
-        F.when(med == agn, "Exact Match").when(med.contains(agn), "Partial Match (Med contains Allergen)")
-        .when(agn.contains(med), "Partial Match (Allergen contains Med)").otherwise("No Match").alias("match_type"),
+        F.when(med == agn, "same name").when(med.contains(agn), "allergen within medication")
+        .when(agn.contains(med), "medication within allergen").otherwise("no match").alias("match_type"),
         c("m.administered_datetime").alias("administered_datetime"), c("m.barcode_scanned").alias("barcode_scanned"),
         F.coalesce(c("a.severity").isin("SEVERE", "LIFE_THREATENING"), F.lit(False)).alias("is_critical_severity"))
 
@@ -308,8 +308,8 @@ def readmission_recomputation(encounters: DataFrame) -> DataFrame:           # N
                     c("is_readmission").alias("actual_flag"), "expected_flag", "prior_encounter_id",
                     "prior_discharge_date", "days_since_prior_inpatient",
                     F.when(c("is_readmission") & ~c("expected_flag"),
-                           "Flagged as readmission but no prior inpatient discharge 1-30 days earlier")
-                    .otherwise("Prior inpatient discharge 1-30 days earlier but not flagged").alias("validation_error")))
+                           "flag set without an inpatient discharge 1 to 30 days before")
+                    .otherwise("inpatient discharge 1 to 30 days before, flag not set").alias("validation_error")))
 
 
 def readmission_rate_in_range(encounters: DataFrame, low: float = 1, high: float = 15,

@@ -870,6 +870,7 @@ def hipaa_audit_trail(log: DataFrame, sample_chars: int | None = None) -> DataFr
         c("total_elapsed_time").alias("total_elapsed_time_ms"), "access_duration_seconds",
         fn.r4("estimated_cost_usd").alias("estimated_cost_usd"),
         (c("query_text") if sample_chars is None else F.substring("query_text", 1, sample_chars)).alias("query_text_sample"),
+        # The published compliance notes.
         F.when(c("is_unauthorized"), "ALERT: Unauthorized PHI access detected")
         .when(c("is_bulk_access") & ~st.isin("AUTHORIZED_ADMIN", "AUTHORIZED_AUDITOR"), "WARNING: Bulk PHI access by non-admin role")
         .when((c("access_type") == "WRITE") & ~c("role_name").like("DBT_%"), "NOTICE: Direct PHI modification (non-ETL)")
