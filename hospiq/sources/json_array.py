@@ -13,14 +13,19 @@ piece, whose element reaches over the border, are joined with the neighbours'.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# the functions below go to executors that need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 c = F.col
 _TOKEN = re.compile(r'\\.|["{}\[\]]', re.S)
 _STEP = {"{": 1, "[": 1, "}": -1, "]": -1}
