@@ -31,10 +31,13 @@ def running_counts(counts: DataFrame, group: list[str], parts: int = 1) -> DataF
         by = Window.partitionBy(*group)
         run = by.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return counts.withColumn("_before", F.sum("_n").over(run) - c("_n")).withColumn("_total", F.sum("_n").over(by))
-    span = counts.groupBy(*group).agg(F.min(c("_v").cast("double")).alias("_lo"), F.max(c("_v").cast("double")).alias("_hi"))
+    v = c("_v").cast("double")
+    finite = F.when(F.abs(v) < float("inf"), v)
+    span = counts.groupBy(*group).agg(F.min(finite).alias("_lo"), F.max(finite).alias("_hi"))
     same = reduce(lambda a, b: a & b, [c(f"a.{g}").eqNullSafe(c(f"b.{g}")) for g in group])
     width = c("_hi") - c("_lo")
-    part = F.when(width > 0, F.least(F.floor((c("_v").cast("double") - c("_lo")) / width * parts), F.lit(parts - 1))).otherwise(0)
+    part = (F.when(v == float("-inf"), 0).when(v == float("inf"), parts - 1)
+            .when(width > 0, F.least(F.floor((v - c("_lo")) / width * parts), F.lit(parts - 1))).otherwise(0))
     ranged = (counts.alias("a").join(span.alias("b"), same).select("a.*", "_lo", "_hi").withColumn("_part", part.cast("int"))
               .drop("_lo", "_hi"))
     sums = ranged.groupBy(*group, "_part").agg(F.sum("_n").alias("_s"))
@@ -85,6 +88,27 @@ def grouped_percentiles(df: DataFrame, group: list[str], wanted: dict[str, tuple
     return out
 
 
+def percent_ranks(df: DataFrame, group: list[str], wanted: dict[str, tuple[str, bool]], parts: int = 64) -> DataFrame:
+    """``df`` with percent ranks in its groups, ``name -> (number column,
+    descending)``: rows before a value over all other rows, 0 in a group of one.
+    NULLs come last, with ``descending`` first.
+
+    A rank is read from the counted values of the group, which are dealt by
+    size over ``parts`` ranges; so a task sorts the different values of one
+    range and never the rows of a group. ``df`` is read once a column and once
+    more: pass a written table, or a cheap one."""
+    keys = {name: F.coalesce(-c(v).cast("double"), F.lit(float("-inf"))) if desc else
+            F.coalesce(c(v).cast("double"), F.lit(float("inf"))) for name, (v, desc) in wanted.items()}
+    out = df.withColumns({f"_key_{name}": key for name, key in keys.items()})
+    same = reduce(lambda a, b: a & b, [c(f"a.{g}").eqNullSafe(c(f"b.{g}")) for g in group])
+    for name, key in keys.items():
+        places = running_counts(counted(df, group, key), group, parts)
+        rank = F.when(c("_total") > 1, c("_before") / (c("_total") - 1)).otherwise(0.0)
+        places = places.select(*group, "_v", rank.alias(name))
+        out = out.alias("a").join(places.alias("b"), same & (c(f"a._key_{name}") == c("b._v")), "left").select("a.*", f"b.{name}")
+    return out.drop(*(f"_key_{name}" for name in keys))
+
+
 def grouped_summary(df: DataFrame, group: list[str], plain: dict[str, tuple[str, str | Column]],
                     distinct: dict[str, tuple[str, Column | None]] | None = None,
                     percentile: dict[str, tuple[str | Column, float]] | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import core as fn
-from ..operators.quantiles import grouped_summary
+from ..operators.quantiles import grouped_summary, percent_ranks
 
 
 def _cnt_if(cond) -> F.Column:
@@ -464,12 +464,13 @@ def population_health(profiles: DataFrame, hospitals: DataFrame) -> DataFrame:
 
 
 # K08 ----------------------------------------------------------------------
-def provider_performance(journey: DataFrame) -> DataFrame:
-    """Per-provider volumes and rates, then E08 percent ranks within tenant
-    and specialty (a window over provider-level rows: bounded per group)."""
-    from pyspark.sql import Window
+PROVIDER_KEYS = ["hospital_id", "provider_id", "provider_full_name", "specialty", "department", "provider_type"]
+
+
+def provider_summary(journey: DataFrame) -> DataFrame:
+    """Volumes and rates, one row a provider: all of K08 but its ranks."""
     c = F.col
-    keys = ["hospital_id", "provider_id", "provider_full_name", "specialty", "department", "provider_type"]
+    keys = PROVIDER_KEYS
     inpatient, risky = c("encounter_type") == "Inpatient", c("patient_risk_category") == "High Risk"
     agg = grouped_summary(
         journey, keys,
@@ -484,26 +485,35 @@ def provider_performance(journey: DataFrame) -> DataFrame:
     agg = (agg.withColumn("_alos", c("_los").cast("double") / c("_los_n"))
            .withColumn("_avg_charge", c("_charges").cast("double") / c("_charges_n")))
     days = fn.boundary_diff("day", "first_encounter_date", "last_encounter_date")
-    m = (agg.withColumn("days_active", days)
-         .withColumn("readmission_rate_pct", fn.rate_or_zero("readmissions_30day", "inpatient_encounters"))
-         .withColumn("mortality_rate_pct", fn.rate_or_zero("mortality_count", "total_encounters"))
-         .withColumn("complex_case_rate_pct", fn.rate_or_zero(c("critical_cases") + c("high_severity_cases"),
-                                                              "total_encounters"))
-         .withColumn("encounters_per_day", F.when(c("days_active") > 0, c("total_encounters") * 1.0 / c("days_active"))
-                     .otherwise(F.lit(0.0))))
-    w = Window.partitionBy("hospital_id", "specialty")
+    return (agg.withColumn("days_active", days)
+            .withColumn("readmission_rate_pct", fn.rate_or_zero("readmissions_30day", "inpatient_encounters"))
+            .withColumn("mortality_rate_pct", fn.rate_or_zero("mortality_count", "total_encounters"))
+            .withColumn("complex_case_rate_pct", fn.rate_or_zero(c("critical_cases") + c("high_severity_cases"),
+                                                                 "total_encounters"))
+            .withColumn("encounters_per_day", F.when(c("days_active") > 0, c("total_encounters") * 1.0 / c("days_active"))
+                        .otherwise(F.lit(0.0))))
+
+
+def provider_performance(summary: DataFrame) -> DataFrame:
+    """K08 from the provider summary: percent ranks (E08) within tenant and
+    specialty from counted values, so no task holds a group. The summary is
+    read four times; the build writes it first."""
+    c = F.col
+    m = percent_ranks(summary, ["hospital_id", "specialty"],
+                      {"_rr_rank": ("readmission_rate_pct", False), "_los_rank": ("_alos", False),
+                       "_volume_rank": ("total_encounters", True)})
     rr, epd = c("readmission_rate_pct"), c("encounters_per_day")
     return m.select(
-        *keys, "first_encounter_date", "last_encounter_date", "days_active", "total_encounters", "unique_patients",
+        *PROVIDER_KEYS, "first_encounter_date", "last_encounter_date", "days_active", "total_encounters", "unique_patients",
         "inpatient_encounters", "emergency_encounters", "readmissions_30day", "mortality_count",
         fn.r4("_alos").alias("avg_length_of_stay"), fn.r4("_mlos").alias("median_length_of_stay"),
         fn.r2("_charges").alias("total_charges"), fn.r4("_avg_charge").alias("avg_charge_per_encounter"),
         "critical_cases", "high_severity_cases", "high_risk_patients",
         fn.r4(rr).alias("readmission_rate_pct"), fn.r4("mortality_rate_pct").alias("mortality_rate_pct"),
         fn.r4("complex_case_rate_pct").alias("complex_case_rate_pct"), fn.r4(epd).alias("encounters_per_day"),
-        fn.r4(F.percent_rank().over(w.orderBy(rr.asc_nulls_last()))).alias("readmission_rate_percentile"),
-        fn.r4(F.percent_rank().over(w.orderBy(c("_alos").asc_nulls_last()))).alias("los_percentile"),
-        fn.r4(F.percent_rank().over(w.orderBy(c("total_encounters").desc_nulls_first()))).alias("volume_percentile"),
+        fn.r4("_rr_rank").alias("readmission_rate_percentile"),
+        fn.r4("_los_rank").alias("los_percentile"),
+        fn.r4("_volume_rank").alias("volume_percentile"),
         F.when(rr < 5, "Excellent").when(rr < 10, "Good").when(rr < 15, "Needs Improvement").otherwise("Critical")
         .alias("readmission_performance"),
         F.when(epd >= 15, "High Volume").when(epd >= 10, "Medium Volume").otherwise("Low Volume")

@@ -220,9 +220,13 @@ class Warehouse:
     def referrals_enriched(self) -> DataFrame:
         return J.referrals_enriched(self.referrals, self.encounters, self.providers)
 
+    @cached_property
+    def provider_summary(self) -> DataFrame:
+        return K.provider_summary(self.patient_journey)
+
     @cached_property
     def provider_performance(self) -> DataFrame:
-        return K.provider_performance(self.patient_journey)
+        return K.provider_performance(self.provider_summary)
 
     @cached_property
     def prior_authorization_metrics(self) -> DataFrame:

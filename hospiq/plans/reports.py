@@ -157,13 +157,15 @@ def alert_list(sla: DataFrame, quality: DataFrame, ops: DataFrame, as_of: str, d
 
 # O06 / O07 -------------------------------------------------------------------
 def clinical_latest_day(quality: DataFrame) -> DataFrame:
-    last = quality.agg(F.max("metric_date").alias("metric_date"))
-    day = quality.join(F.broadcast(last), "metric_date")        # one-row side
-    return day.agg(F.sum("total_encounters").alias("total_encounters"),
-                   fn.r4(fn.mean4("readmission_rate_30day_pct")).alias("avg_readmission_rate"),
-                   fn.r4(fn.mean4("mortality_rate_pct")).alias("avg_mortality_rate"),
-                   fn.r4(fn.mean4("avg_length_of_stay")).alias("avg_los"),
-                   F.sum("high_risk_patients").alias("high_risk_patients"))
+    """The last day's figures over all tenants: days are summed in one pass and
+    the last of them is taken (an empty mart gives one row of NULLs)."""
+    days = quality.filter(c("metric_date").isNotNull()).groupBy("metric_date").agg(
+        F.sum("total_encounters").alias("total_encounters"),
+        fn.r4(fn.mean4("readmission_rate_30day_pct")).alias("avg_readmission_rate"),
+        fn.r4(fn.mean4("mortality_rate_pct")).alias("avg_mortality_rate"),
+        fn.r4(fn.mean4("avg_length_of_stay")).alias("avg_los"),
+        F.sum("high_risk_patients").alias("high_risk_patients"))
+    return days.agg(F.max_by(F.struct(*days.columns[1:]), "metric_date").alias("d")).select("d.*")
 
 
 def financial_summary(fin: DataFrame) -> DataFrame:

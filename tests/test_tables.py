@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hospiq.operators import quantiles as Q
@@ -269,3 +270,33 @@ def test_grouped_summary_equals_plain_aggregates(spark):
     assert Counter(map(key, got.collect())) == Counter(map(key, want.collect()))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan and "percentile" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_percent_ranks_equal_the_window_function(spark, parts):
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "b", None]), rng.choice([None, 0.0, 0.0, -2.5, 1e9, float(rng.randint(0, 60))]), rng.choice([None, rng.randint(1, 9)]))
+            for _ in range(500)] + [("one", 1.0, 1), ("nulls", None, None), ("nulls", None, None)]
+    df = spark.createDataFrame(data, "g string, v double, n int")
+    by = Window.partitionBy("g")
+    want = df.withColumn("rv", F.percent_rank().over(by.orderBy(F.col("v").asc_nulls_last()))).withColumn(
+        "rn", F.percent_rank().over(by.orderBy(F.col("n").desc_nulls_first())))
+    got = Q.percent_ranks(df, ["g"], {"rv": ("v", False), "rn": ("n", True)}, parts)
+    assert got.columns == want.columns
+    assert Counter(got.collect()) == Counter(want.collect())
+
+
+def test_reports_on_committed_marts_compute_no_mart(spark, tmpdir_path):
+    from hospiq.plans import reports as O
+    from hospiq.plans.build import build_all, served
+    names = ["clinical_quality_metrics", "provider_performance"]
+    build_all(spark, SF_SMALL, out_base=f"{tmpdir_path}/served", marts=names, shared=["provider_summary"])
+    direct = Warehouse(spark, SF_SMALL)
+    on = served(direct, f"{tmpdir_path}/served", names)
+    got = O.clinical_latest_day(on.clinical_quality_metrics)
+    assert rows(got) == rows(O.clinical_latest_day(direct.clinical_quality_metrics))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "orders.parquet" not in plan and "Join" not in plan
+    assert rows(on.provider_performance.select(*direct.provider_performance.columns)) == rows(direct.provider_performance)
+    empty = O.clinical_latest_day(on.clinical_quality_metrics.filter("false")).collect()
+    assert len(empty) == 1 and set(empty[0]) == {None}
