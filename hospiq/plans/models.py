@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.adapters import STAR_AS_OF, HospitalSource
 from . import intermediate as J
 from . import marts as K
+from . import risk as R
 from . import staging as B
 
 
@@ -220,6 +221,15 @@ class Warehouse:
     def referrals_enriched(self) -> DataFrame:
         return J.referrals_enriched(self.referrals, self.encounters, self.providers)
 
+    @cached_property
+    def encounter_severity(self) -> DataFrame:
+        return R.encounter_severity(self.encounters, self.patients, self.vital_signs, self.clinical_results, self.comorbidity_index)
+
+    @cached_property
+    def stroke_and_bleeding_risk(self) -> DataFrame:
+        return R.stroke_and_bleeding_risk(self.patients, self.comorbidity_index, self.vital_signs, self.medication_administration,
+                                          self.problem_list, self.encounters)
+
     @cached_property
     def provider_summary(self) -> DataFrame:
         return K.provider_summary(self.patient_journey)

@@ -816,6 +816,23 @@ def _p03(w: Warehouse) -> DataFrame:
     return P.freshness_per_tenant(w.raw.encounters)
 
 
+@query("p03_streaming_freshness")
+def _p03_streaming(w: Warehouse) -> DataFrame:
+    """Freshness by load window over landed files, as a stream that ends: the
+    first run closes the windows its watermark has passed, a second run over a
+    late marker file closes the others. Only real feeds are returned."""
+    base = _scratch(w, "freshness")
+    enc = conform(w.raw.encounters, "raw_encounters")
+    enc.write.parquet(f"{base}/landing/0")
+    P.run_streaming_freshness(w.spark, f"{base}/landing/*", "raw_encounters", f"{base}/out", f"{base}/progress")
+    marker = enc.agg(F.max("_loaded_at").alias("_loaded_at")).select(
+        *[(F.col("_loaded_at") + F.expr("interval 30 days")).alias(x) if x == "_loaded_at" else F.lit(None).cast(enc.schema[x].dataType).alias(x)
+          for x in enc.columns])
+    marker.write.parquet(f"{base}/landing/1")
+    P.run_streaming_freshness(w.spark, f"{base}/landing/*", "raw_encounters", f"{base}/out", f"{base}/progress")
+    return w.spark.read.parquet(f"{base}/out").filter(F.col("hospital_id").isNotNull())
+
+
 # ------------------------------------------------------------------ staging (B)
 @query("b01_stg_billing")
 def _b01(w: Warehouse) -> DataFrame:
@@ -1059,6 +1076,16 @@ def _i08(w: Warehouse) -> DataFrame:
             .withColumn("annual_bleeding_risk_pct", S.hasbled_annual_bleeding_risk("hasbled_score")))
 
 
+@query("i01_encounter_severity")
+def _i01(w: Warehouse) -> DataFrame:
+    return w.encounter_severity
+
+
+@query("i09_stroke_and_bleeding_risk")
+def _i09(w: Warehouse) -> DataFrame:
+    return w.stroke_and_bleeding_risk
+
+
 @query("i10_charlson_conditions")
 def _i10(w: Warehouse) -> DataFrame:
     from .functions import scores as S

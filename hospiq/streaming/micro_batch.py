@@ -93,6 +93,17 @@ def streaming_freshness(spark: SparkSession, landing: str, table: str, watermark
                  F.max(lag).alias("max_freshness_lag_minutes")))
 
 
+def run_streaming_freshness(spark: SparkSession, landing: str, table: str, out: str, checkpoint: str, watermark: str = "6 hours") -> None:
+    """One scheduled run of ``streaming_freshness``: files that arrived since the
+    last run are read, load windows that the watermark has passed are added to
+    ``out`` once (file sink), and the run ends."""
+    fresh = streaming_freshness(spark, landing, table, watermark)
+    (fresh.select(c("w.start").cast("timestamp_ntz").alias("window_start"), "hospital_id", "last_load_timestamp",
+                  "last_source_update_timestamp", c("max_freshness_lag_minutes").cast("bigint").alias("max_freshness_lag_minutes"))
+     .writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
 def freshness_per_tenant(df: DataFrame) -> DataFrame:
     """Batch form of P03 (same columns as the SLA mart's freshness rows)."""
     from ..functions.core import boundary_diff

@@ -163,3 +163,41 @@ def test_sla_status(spark):
     assert one(spark, S.sla_status(F.lit(240), 240, 360)) == "COMPLIANT"
     assert one(spark, S.sla_status(F.lit(361), 240, 360)) == "BREACH"
     assert one(spark, S.sla_status(F.lit(96.0), 99, 95, higher_is_better=True)) == "WARNING"
+
+
+def test_every_organ_and_flag_reaches_the_scores(spark):
+    """Stays and patients made so that each input alone changes its score."""
+    from pyspark.sql import functions as F
+
+    from hospiq.plans import risk as R
+    who = "hospital_id string, encounter_id string"
+    enc = spark.createDataFrame([("H", "E1", "P1", "Emergency", None), ("H", "E2", "P2", "Inpatient", "I10")],
+                                f"{who}, patient_id string, encounter_type string, primary_diagnosis_code string")
+    pat = spark.createDataFrame([("H", "P1", 80, "F"), ("H", "P2", None, None)], "hospital_id string, patient_id string, age_years int, gender string")
+    vit = spark.createDataFrame([("H", "E1", "P1", 104.0, 60, 150, 40, 70, 80, 10, True), ("H", "E1", "P1", None, None, None, None, 170, None, None, True)],
+                                f"{who}, patient_id string, temperature_f double, map_mmhg int, heart_rate_bpm int, respiratory_rate int, "
+                                "systolic_bp int, oxygen_saturation_pct int, pain_score int, is_hypertensive boolean")
+    labs = {"Sodium": 185.0, "Potassium": 7.5, "Creatinine": 6.0, "Hemoglobin": 5.0, "Platelets": 10.0, "Bilirubin": 13.0, "WBC": 45.0, "Arterial pH": 7.8}
+    res = spark.createDataFrame([("H", "E1", t, v, "LAB", False) for t, v in labs.items()] + [("H", "E2", "Creatinine", 9.0, "LAB", True)],
+                                f"{who}, test_name string, result_value_numeric double, result_type string, is_preliminary boolean")
+    flags = [f"has_{n}" for n, *_ in S.CHARLSON]
+    com = spark.createDataFrame([("H", "P1", 80), ("H", "P2", None)], "hospital_id string, patient_id string, age_years int")
+    for f in flags:
+        com = com.withColumn(f, F.lit(f in ("has_renal_disease",)) & (F.col("patient_id") == "P1"))
+    got = {r.encounter_id: r for r in R.encounter_severity(enc, pat, vit, res, com).collect()}
+    pf = (80 / 0.6 - 64) / 0.84                                   # saturation 80 %: FiO2 0.6
+    assert 0 <= pf < 100 and got["E1"].sofa_score == 4 + 4 + 4 + 1 + 3 + 4      # gcs 15 - 2 * 4 = 7
+    oxygen = 3                                                    # 713 * 0.6 - pf * 0.6 is 378
+    assert got["E1"].apache_ii_score == 3 + 2 + 3 + 3 + oxygen + 4 + 4 + 4 + 4 + 4 + 4 + 8 + 6 + 5
+    assert got["E1"].news2_score == 3 + 3 + 2 + 2 + 3 + 3 + 3 and got["E1"].mews_score == 3 + 2 + 3 + 2 + 3
+    assert (got["E2"].apache_ii_score, got["E2"].sofa_score, got["E2"].news2_score) == (0, 0, 0)   # nothing released, nothing scored
+    med = spark.createDataFrame([("H", "P1", "Aspirin", True, False, False, False, True), ("H", "P1", "warfarin", True, False, False, False, False),
+                                 ("H", "P1", "Warfarin", False, True, False, False, False)],
+                                "hospital_id string, patient_id string, medication_name string, is_given boolean, is_missed boolean, "
+                                "is_held boolean, is_refused boolean, adverse_reaction_flag boolean")
+    prob = spark.createDataFrame([("H", "P1", "F10.2", True), ("H", "P2", "K70.3", False)],
+                                 "hospital_id string, patient_id string, diagnosis_code string, is_active boolean")
+    risk = {r.patient_id: r for r in R.stroke_and_bleeding_risk(pat, com, vit, med, prob, enc).collect()}
+    assert risk["P1"].has_hypertension and risk["P1"].cha2ds2_vasc_score == 1 + 2 + 1
+    assert risk["P1"].hasbled_score == 7                          # all but liver and stroke
+    assert risk["P2"].has_hypertension and (risk["P2"].cha2ds2_vasc_score, risk["P2"].hasbled_score) == (1, 0)
