@@ -18,17 +18,24 @@ in them), document and position.
   contents is compared window by window in an aggregation over all tasks.
 
 Every window that occurs twice is found; positions are bytes of the input.
+
+``remove_repeats`` adds a table in a few batches and forgets the family.
+``SuffixIndex`` keeps it in a shared folder: later sessions add their batches,
+only the levels that grow are rewritten, and the spans are those of one run
+over all texts added.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.state import CommitConflict, VersionedTable
 from .bytetext import BLOCK, Rolling, blocks, buffers, mix
 from .common import materialize, read_table
 
@@ -104,16 +111,15 @@ def entries(docs: DataFrame, length: int, gram: int) -> DataFrame:
 class LevelFamily:
     """Suffix arrays of doubling sizes: level k holds 2**k batches or nothing.
     A level is a Parquet table ``key, cid, n, rep`` in key order: how often a
-    content occurs and the smallest row key that has it."""
+    content occurs and the smallest row key that has it. ``write`` puts a table
+    into a folder and returns it as read from there."""
 
-    def __init__(self):
-        self.levels: list[DataFrame | None] = []
-        self.shared: list[DataFrame] = []
+    def __init__(self, levels: list[DataFrame | None] | None = None, shared: list[DataFrame] | None = None, write=materialize):
+        self.levels, self.shared, self.put = levels or [], shared or [], write
 
-    @staticmethod
-    def _write(rows: DataFrame) -> DataFrame:
+    def _write(self, rows: DataFrame) -> DataFrame:
         merged = rows.repartition("key").groupBy("key", "cid").agg(F.sum("n").alias("n"), F.min("rep").alias("rep"))
-        return materialize(merged.sortWithinPartitions("key", "cid"), "level")
+        return self.put(merged.sortWithinPartitions("key", "cid"), "level")
 
     def add(self, batch: DataFrame) -> None:
         """``batch``: entries. Finds the keys it repeats, in itself or from
@@ -164,7 +170,7 @@ def _unpack(size: int, packed) -> bytes:
 CONTENTS = "key long, cid long, d int, n long, id long, rk long, lo long, hot boolean, content binary"
 
 
-def _contents(asked: DataFrame, docs: DataFrame, length: int) -> DataFrame:
+def _contents(asked: DataFrame, packed: DataFrame, length: int) -> DataFrame:
     """The bytes of the asked entries, cut from their documents."""
     wanted = asked.groupBy("id", "rk").agg(F.collect_list(F.struct("key", "cid", "d", "n", "lo", "w", "hot")).alias("asked"))
 
@@ -180,7 +186,7 @@ def _contents(asked: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                     out = []
             if out:
                 yield _batch(out, CONTENTS)
-    rows = _packed(docs).join(wanted, ["id", "rk"]).select("id", "rk", "size", "packed", "asked")
+    rows = packed.join(wanted, ["id", "rk"]).select("id", "rk", "size", "packed", "asked")
     return rows.mapInArrow(run, CONTENTS)
 
 
@@ -304,18 +310,29 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batche
     family = LevelFamily()
     for k in range(batches):
         family.add(found.filter(F.col("batch") == k))
+    return _spans(found.drop("batch"), family, _packed(docs), length, hot)
+
+
+def _spans(found: DataFrame, family: LevelFamily, packed: DataFrame, length: int, hot: int) -> DataFrame:
+    """The spans of the entries ``found``, all of which the family holds."""
     contents = materialize(family.repeated(), "repeated")
     open_keys = (contents.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("n") == 1).alias("single"))
                  .filter("c > 1 AND single > 0").select("key", (F.col("c") > hot).alias("hot")))
-    status = found.drop("batch").join(contents, ["key", "cid"])
+    status = found.join(contents, ["key", "cid"])
     whole = (F.col("lo") + F.col("w") + (length - 1)).alias("e")
     full = status.filter("n > 1").select("id", "rk", F.col("lo").alias("s"), whole)
     asked = status.filter("n = 1 OR rk = rep").join(open_keys, "key")
-    got = materialize(_contents(asked, docs, length), "contents")
+    got = materialize(_contents(asked, packed, length), "contents")
     return (full.unionByName(_compared(got.filter("NOT hot"), length))
             .unionByName(_aggregated(got.filter("hot"), length)))
 
 
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
+                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return src.select("id", F.xxhash64("id", "text").alias("rk"), "text")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
                    batches: int = BATCHES, hot: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row.
@@ -327,12 +344,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lose their repeated bytes. A null id stays null. Other columns are not
     read; an empty table gives an empty result.
     """
-    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
-                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    src = src.select("id", F.xxhash64("id", "text").alias("rk"), "text")
-    spans = repeat_spans(src, length, gram, batches, hot)
+    src = _source(docs, id_col, text_col)
+    return _kept(_packed(src), repeat_spans(src, length, gram, batches, hot))
+
+
+def _kept(packed: DataFrame, spans: DataFrame) -> DataFrame:
+    """What is left of each text without its spans."""
     per = spans.groupBy("id", "rk").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    rows = _packed(src).join(per, ["id", "rk"], "left").select("id", "size", "packed", "spans")
+    rows = packed.join(per, ["id", "rk"], "left").select("id", "size", "packed", "spans")
 
     def run(batches):
         for b in batches:
@@ -357,5 +376,87 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.mapInArrow(run, RESULT)
 
 
+LOG = "batch int, name string, kind string, slot int, path string, length int, gram int"
+
+
+class SuffixIndex:
+    """The family kept in a shared folder, to which any session adds batches.
+
+    A batch's entries and packed texts are written once and stay; of the levels
+    only those that merge are written anew. A log (a few rows a batch) names
+    the folders of the last complete batch. The batch's number is taken when
+    its rows are logged: of two sessions that add at once the second is told by
+    ``CommitConflict`` and adds again; a session that dies leaves unlisted
+    folders only. A batch whose name the log holds is skipped."""
+
+    def __init__(self, spark: SparkSession, base: str, length: int = LENGTH, gram: int = GRAM):
+        self.spark, self.base, self.length, self.gram = spark, base.rstrip("/"), length, gram
+        self.log = VersionedTable(spark, f"{self.base}/log")
+
+    def _listed(self) -> list:
+        log = self.log.read()
+        rows = [] if log is None else log.collect()
+        if any((r.length, r.gram) != (self.length, self.gram) for r in rows):
+            raise ValueError(f"{self.base} was made for repeats of other sizes")
+        return rows
+
+    def _read(self, rows: list, kind: str) -> DataFrame | None:
+        paths = [r.path for r in rows if r.kind == kind]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def _family(self, rows: list, write=materialize) -> LevelFamily:
+        last = max((r.batch for r in rows), default=0)
+        at = {r.slot: r.path for r in rows if r.kind == "level" and r.batch == last}
+        levels = [self.spark.read.parquet(at[k]) if k in at else None for k in range(max(at, default=-1) + 1)]
+        shared = self._read(rows, "shared")
+        return LevelFamily(levels, [] if shared is None else [shared], write)
+
+    def add(self, docs: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text") -> bool:
+        """Add a batch of documents; False if a batch of this name is there."""
+        rows = self._listed()
+        if any(r.name == name for r in rows):
+            return False
+        number, paths = max((r.batch for r in rows), default=0) + 1, {}
+
+        def write(df: DataFrame, kind: str) -> DataFrame:
+            path = f"{self.base}/{kind}/{uuid.uuid4().hex}"
+            df.write.parquet(path)
+            out = self.spark.read.schema(df.schema).parquet(path)
+            paths[id(out)] = path
+            return out
+        src = _source(docs, id_col, text_col)
+        found, texts = write(entries(src, self.length, self.gram), "entries"), write(_packed(src), "texts")
+        family = self._family(rows, write)
+        old = {r.slot: r.path for r in rows if r.kind == "level" and r.batch == number - 1}
+        before, known = list(family.levels), len(family.shared)
+        family.add(found)
+        keys = family.shared[known]
+        for x in family.shared[known + 1:]:
+            keys = keys.unionByName(x)
+        keys = write(keys.distinct(), "shared")
+        listed = [("entries", 0, paths[id(found)]), ("texts", 0, paths[id(texts)]), ("shared", 0, paths[id(keys)])]
+        for k, level in enumerate(family.levels):
+            if level is not None:
+                kept = k < len(before) and level is before[k]
+                listed.append(("level", k, old[k] if kept else paths[id(level)]))
+        mine = [(number, name, *x, self.length, self.gram) for x in listed]
+        self.log.append(self.spark.createDataFrame(mine, LOG), ("batch", number))
+        if listed[0][2] not in {r.path for r in self._listed()}:
+            raise CommitConflict(f"{self.base}: another batch {number} was first")
+        return True
+
+    def spans(self, hot: int = HOT) -> DataFrame | None:
+        """As ``repeat_spans`` over all texts added; None before the first batch."""
+        rows = self._listed()
+        if not rows:
+            return None
+        return _spans(self._read(rows, "entries"), self._family(rows), self._read(rows, "texts"), self.length, hot)
+
+    def remove_repeats(self, hot: int = HOT) -> DataFrame | None:
+        """As the function of this name over all texts added."""
+        spans = self.spans(hot)
+        return None if spans is None else _kept(self._read(self._listed(), "texts"), spans)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"))

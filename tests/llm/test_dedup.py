@@ -277,3 +277,44 @@ def test_exact_stage_keeps_one_of_repeated_rows(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.text or "") for r in exact_dedup.drop_exact_copies(spark, df).collect())
     assert got == [(0, "q"), (1, "a  b"), (3, "")]
+
+
+def test_suffix_index_in_batches_equals_one_run(spark, corpus, tmp_path):
+    """Every batch is added by an index object of its own, as by another session."""
+    rows, df, _ = corpus
+    base = f"{tmp_path}/suffixes"
+    assert suffix_dedup.SuffixIndex(spark, base, 60, 16).remove_repeats() is None
+    parts = [df.filter(f"coalesce(pmod(doc_id, 4), 0) = {k}") for k in range(4)] + [df.limit(0)]
+    for k in range(3):
+        assert suffix_dedup.SuffixIndex(spark, base, 60, 16).add(parts[k], f"part {k}")
+        assert not suffix_dedup.SuffixIndex(spark, base, 60, 16).add(parts[k], f"part {k}")     # a batch counts once
+    files = {p for p in (tmp_path / "suffixes" / "level").rglob("*.parquet")}
+    index = suffix_dedup.SuffixIndex(spark, base, 60, 16)
+    levels = index._family(index._listed()).levels
+    assert [x is not None for x in levels] == [True, True]
+    for k in (3, 4):
+        assert suffix_dedup.SuffixIndex(spark, base, 60, 16).add(parts[k], f"part {k}")
+    assert files <= {p for p in (tmp_path / "suffixes" / "level").rglob("*.parquet")}          # what is written stays
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.SuffixIndex(spark, base, 60, 16).remove_repeats().collect()}
+    assert got == dict(zip([r[0] for r in rows], brute.repeats([r[1] for r in rows], 60), strict=True))
+    with pytest.raises(ValueError):
+        suffix_dedup.SuffixIndex(spark, base, 80, 16).add(parts[0], "other")
+
+
+def test_suffix_index_two_writers_at_once(spark, tmp_path):
+    from hospiq.operators.state import CommitConflict
+    text = prose(random.Random(3), 300)
+    first, second = (spark.createDataFrame([(k, text)], "doc_id long, text string") for k in (1, 2))
+    base = f"{tmp_path}/suffixes"
+    slow = suffix_dedup.SuffixIndex(spark, base, 60, 16)
+    real = slow._family
+
+    def family(rows, write):
+        suffix_dedup.SuffixIndex(spark, base, 60, 16).add(first, "first")      # another session comes between
+        return real(rows, write)
+    slow._family = family
+    with pytest.raises(CommitConflict):
+        slow.add(second, "second")
+    slow._family = real
+    assert slow.add(second, "second")
+    assert {(r.doc_id, r.n_removed) for r in slow.remove_repeats().collect()} == {(1, len(text.encode())), (2, len(text.encode()))}
