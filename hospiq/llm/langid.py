@@ -4,8 +4,8 @@ Bytes are embedded, filters of several widths slide byte by byte over
 fixed-length windows (and into the next one, so that no stretch of the text is
 left out), each filter keeps its maximum, and a softmax layer names the
 language. The
-network is trained in numpy on a bounded sample of labelled rows; prediction
-reads every window of the whole text in batches and averages the windows'
+network learns from every window of all labelled rows, in passes whose
+gradients the tasks add up; prediction reads every window of the whole text in batches and averages the windows'
 probabilities by their bytes.
 """
 
@@ -17,10 +17,13 @@ import string
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_names, read_table
+from ..operators.quantiles import grouped_percentiles
+from .bytetext import blocks, buffers
+from .common import fresh_names, materialize, read_table
 from .maptext import bounded_sample, map_text, texts_of
 
 WINDOW = 256            # bytes
@@ -29,9 +32,11 @@ FILTERS = 8             # of each width
 DIM = 8                 # of a byte's embedding
 SEEN = WINDOW + max(WIDTHS) - 1     # bytes that the filters of a window read: also those that start at its last byte
 PAD = 256
-PER_LANGUAGE = 500      # labelled documents of a language to learn from, at most
+PER_LANGUAGE = 500      # labelled documents of a language in the start, at most
 WINDOWS_PER_DOC = 3     # windows of each of them
 STEPS, BATCH, RATE = 500, 64, 0.01
+PASSES = 1              # over all windows of all labelled rows, after the start on some of them
+PARAMETERS = ("embed", "conv", "bias", "out", "out_bias")
 NOISE = 1500            # junk windows that a network with a background class learns from
 CUTS = (8, 16, 32, 64, 128, 256)    # bytes of the clean texts at which the bound is measured; between them it is interpolated
 SET_ASIDE = 50          # fewer labelled documents set aside: the training rows set the bound
@@ -80,9 +85,35 @@ class ByteCNN:
             out[i:i + 128] = z / z.sum(1, keepdims=True)
         return out
 
+    def gradient(self, w: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the weighted log loss of windows ``w`` with classes ``y``, for each parameter."""
+        x = self._columns(w)
+        a = (x.reshape(-1, x.shape[2]) @ self.conv).reshape(x.shape[0], x.shape[1], -1)
+        at = a.argmax(1)
+        top = np.take_along_axis(a, at[:, None, :], 1)[:, 0] + self.bias
+        h = np.maximum(top, 0)
+        z = h @ self.out + self.out_bias
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        p[np.arange(len(y)), y] -= 1
+        p *= weight.astype(np.float32)[:, None]
+        g = {"out": h.T @ p, "out_bias": p.sum(0)}
+        gh = (p @ self.out.T) * (top > 0)
+        g["bias"] = gh.sum(0)
+        under = np.take_along_axis(x, at[:, :, None], 1)            # (window, filter, span * DIM)
+        g["conv"] = np.einsum("nfk,nf->kf", under, gh) * self.mask
+        back = gh[:, :, None] * self.conv.T[None]                    # (window, filter, span * DIM)
+        places = at[:, :, None] + np.arange(max(WIDTHS))
+        bytes_at = w[np.arange(len(w))[:, None, None], places]
+        back = back.reshape(-1, DIM)
+        ge = np.stack([np.bincount(bytes_at.ravel(), back[:, d], PAD + 1) for d in range(DIM)], axis=1)
+        ge[PAD] = 0
+        g["embed"] = ge
+        return g
+
     def train(self, windows: np.ndarray, labels: np.ndarray, steps: int = STEPS, seed: int = 11) -> None:
         rng = np.random.default_rng(seed)
-        names = ("embed", "conv", "bias", "out", "out_bias")
+        names = PARAMETERS
         m = {k: np.zeros_like(getattr(self, k)) for k in names}
         v = {k: np.zeros_like(getattr(self, k)) for k in names}
         by_label = [np.flatnonzero(labels == c) for c in range(self.classes)]
@@ -96,29 +127,8 @@ class ByteCNN:
             cut = rng.random(len(w)) < 0.33
             w[cut[:, None] & (np.arange(SEEN) >= rng.integers(8, WINDOW, len(w))[:, None])] = PAD
             y = labels[pick]
-            x = self._columns(w)
-            a = (x.reshape(-1, x.shape[2]) @ self.conv).reshape(x.shape[0], x.shape[1], -1)
-            at = a.argmax(1)
-            top = np.take_along_axis(a, at[:, None, :], 1)[:, 0] + self.bias
-            h = np.maximum(top, 0)
-            z = h @ self.out + self.out_bias
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(y)), y] -= 1
-            p /= len(y)
-            g = {"out": h.T @ p + 1e-4 * self.out, "out_bias": p.sum(0)}
-            gh = (p @ self.out.T) * (top > 0)
-            g["bias"] = gh.sum(0)
-            under = np.take_along_axis(x, at[:, :, None], 1)            # (window, filter, span * DIM)
-            g["conv"] = np.einsum("nfk,nf->kf", under, gh) * self.mask
-            back = gh[:, :, None] * self.conv.T[None]                    # (window, filter, span * DIM)
-            span = max(WIDTHS)
-            places = at[:, :, None] + np.arange(span)
-            bytes_at = w[np.arange(len(w))[:, None, None], places]
-            ge = np.zeros_like(self.embed)
-            np.add.at(ge, bytes_at.ravel(), back.reshape(-1, DIM))
-            ge[PAD] = 0
-            g["embed"] = ge
+            g = self.gradient(w, y, np.full(len(y), 1 / len(y)))
+            g["out"] += 1e-4 * self.out
             rate = RATE * (1 - t / (steps + 1))
             for k in names:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -182,9 +192,10 @@ def noise(passages: list[str], n: int = NOISE, seed: int = 5) -> list[str]:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         background: bool = False) -> ByteCNN | None:
-    """A network trained on at most PER_LANGUAGE documents of each language
-    (all languages), WINDOWS_PER_DOC windows from pseudorandom places of each; with ``background`` also on junk made from
-    them. None without labelled text."""
+    """A network that learns from every window of every labelled row
+    (``learn_all``); with ``background`` also from junk made of them. It starts
+    from steps over WINDOWS_PER_DOC windows of at most PER_LANGUAGE documents of
+    each language (all languages). None without labelled text."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND length(text) > 0")
     sample = bounded_sample(rows, "lang", "id", PER_LANGUAGE)
@@ -203,9 +214,68 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         w[i, : len(b)] = np.frombuffer(b, np.uint8)
     model = ByteCNN(languages, background)
     model.train(w, np.array([y for _, y in raw]))
+    learn_all(model, rows)
     return model
 
 
+def learn_all(model: ByteCNN, rows: DataFrame, passes: int = PASSES) -> None:
+    """Steps over all windows of all ``rows`` (text, lang). Each task adds up the
+    gradients of its blocks, languages weighing alike however many windows they
+    have; what goes over the driver are these sums, one set a task. A parameter
+    moves by the mean gradient over the root of the blocks' mean square, as
+    Adam's steps do. Junk is made of each block's own passages."""
+    number = {x: k for k, x in enumerate(model.languages)}
+    windows = F.ceil(F.octet_length("text") / WINDOW)
+    count = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(windows).alias("n")).collect()}
+    weight = np.array([1 / (model.classes * count[x]) for x in model.languages])
+    total, background = sum(count.values()), model.background
+    shapes = {k: getattr(model, k).shape for k in PARAMETERS}
+
+    def sums(batches):
+        part = TaskContext.get().partitionId()
+        # of the languages, of junk; then the squares of both, and their windows
+        acc, n = np.zeros((4, sum(int(np.prod(x)) for x in shapes.values()))), [0, 0]
+
+        def add(kind, w, y, each):
+            g = model.gradient(w, y, each)
+            g = np.concatenate([g[k].ravel() for k in PARAMETERS]).astype(np.float64)
+            acc[kind] += g
+            acc[2 + kind] += g * g / len(y)
+            n[kind] += len(y)
+        for b in batches:
+            labels = np.array([number[x] for x in b.column(1).to_pylist()], np.int64)
+            data, o = buffers(b.column(0))
+            for i, j in blocks(o, 1 << 20):
+                w, row, _ = seen_windows(data[o[i]:o[j]], o[i:j + 1] - o[i])
+                y = labels[i:j][row]
+                for k in range(0, len(w), 128):
+                    add(0, w[k:k + 128], y[k:k + 128], weight[y[k:k + 128]])
+                if background and len(w):
+                    own = [bytes(x[x < PAD].astype(np.uint8)).decode(errors="ignore") or " " for x in w[::20]]
+                    junk = [x.encode()[:SEEN] for x in noise(own, len(own))]
+                    z = np.full((len(junk), SEEN), PAD, np.int16)
+                    for k, x in enumerate(junk):
+                        z[k, :len(x)] = np.frombuffer(x, np.uint8)
+                    for k in range(0, len(z), 128):
+                        m = len(z[k:k + 128])
+                        add(1, z[k:k + 128], np.full(m, len(number)), np.ones(m))
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([acc.tobytes()]), *(pa.array([x], pa.int64()) for x in n)],
+                                         names=["part", "sums", "windows", "junk"])
+    for _ in range(passes):
+        got = rows.select("text", "lang").mapInArrow(sums, "part int, sums binary, windows long, junk long").collect()
+        got.sort(key=lambda r: r["part"])
+        acc = sum(np.frombuffer(r["sums"]).reshape(4, -1) for r in got)
+        junk = sum(r["junk"] for r in got)
+        share = 1 / (model.classes * junk) if junk else 0.0
+        mean, square = acc[0] + acc[1] * share, acc[2] * total + acc[3] * share * share * junk
+        step = RATE * mean / (np.sqrt(square) + 1e-8)
+        at = 0
+        for k in PARAMETERS:
+            size = int(np.prod(shapes[k]))
+            setattr(model, k, (getattr(model, k) - step[at:at + size].reshape(shapes[k])).astype(np.float32))
+            at += size
+
+
 def shares(model: ByteCNN, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """(row, class): the classes' probabilities, averaged by bytes over all
     windows; 0 for an empty row."""
@@ -215,19 +285,25 @@ def shares(model: ByteCNN, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total / np.maximum(total.sum(1, keepdims=True), 1e-12)
 
 
-def least_shares(model: ByteCNN, texts: list[str]) -> np.ndarray | None:
+def least_shares(model: ByteCNN, rows: DataFrame) -> np.ndarray | None:
     """The smallest share of the languages together that a text may have, at
-    CUTS: half of what next to all of the clean ``texts``, cut to that size,
-    reach, never more for a shorter text than for a longer one. None without
-    texts."""
-    raw = [t.encode() for t in texts]
-    if not raw:
+    CUTS: half of what next to all of the clean texts of ``rows`` (their first
+    bytes in ``start``), cut to that size, reach, never more for a shorter text
+    than for a longer one. All rows are counted; None without rows."""
+    def known(data, offsets):
+        size, out = np.diff(offsets), []
+        for cut in CUTS:
+            part = np.concatenate([[0], np.cumsum(np.minimum(size, cut))])
+            inside = np.arange(len(data)) - np.repeat(offsets[:-1], size) < cut
+            out.append(pa.array(shares(model, data[inside], part)[:, :-1].sum(1), pa.float64()))
+        return out
+    names = [f"known{k}" for k in range(len(CUTS))]
+    each = map_text(rows.select("start"), [], known, ", ".join(f"{x} double" for x in names), "start")
+    each = materialize(each, "language_shares").select(F.posexplode(F.array(*names)).alias("cut", "known"))
+    got = grouped_percentiles(each, ["cut"], {"rare": ("known", RARE)}, parts=64).collect()
+    if not got:
         return None
-    out = []
-    for cut in CUTS:
-        part = [r[:cut] for r in raw]
-        known = shares(model, np.frombuffer(b"".join(part), np.uint8), np.cumsum([0, *map(len, part)]))[:, :-1].sum(1)
-        out.append(min(0.5, np.quantile(known, RARE) / 2))
+    out = [min(0.5, r["rare"] / 2) for r in sorted(got, key=lambda r: r["cut"])]
     return np.minimum.accumulate(np.array(out)[::-1])[::-1]
 
 
@@ -238,21 +314,19 @@ def bound_of(model: ByteCNN, n_bytes: np.ndarray) -> np.ndarray:
 
 def fit_stage(docs: DataFrame) -> ByteCNN | None:
     """A network with a background class, and the bound that the labelled rows
-    set aside from training give it (at most PER_LANGUAGE of a language). With
-    fewer than SET_ASIDE of these the training rows give it; as the network
-    knows them, their bound is halved once more."""
+    set aside from training give it, all of them. With fewer than SET_ASIDE of
+    these the training rows give it too; as the network knows them, their bound
+    is halved once more."""
     model = fit(training_rows(docs), background=True)
     if model is not None:
         rows = docs.select("doc_id", "lang", F.substring("text", 1, max(CUTS)).alias("start"))
         rows = rows.filter(F.col("lang").isNotNull() & F.col("start").rlike(r"\p{L}"))
         aside = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
-        known = [r["start"] for r in bounded_sample(rows.filter(aside & F.col("lang").isin(model.languages)), "lang", "doc_id",
-                                                    PER_LANGUAGE).collect()]
-        if len(known) >= SET_ASIDE:
+        known = rows.filter(aside & F.col("lang").isin(model.languages))
+        if known.limit(SET_ASIDE).count() >= SET_ASIDE:
             model.least = least_shares(model, known)
         else:
-            seen = [r["start"] for r in bounded_sample(rows.filter(~aside), "lang", "doc_id", PER_LANGUAGE).collect()]
-            model.least = least_shares(model, known + seen)
+            model.least = least_shares(model, known.unionByName(rows.filter(~aside)))
             if model.least is not None:
                 model.least = model.least / 2
     return model

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hospiq.llm import chat_format, langid, mixing, quality, secret_scan, token_count
 
@@ -84,6 +85,42 @@ def test_filters_start_at_every_byte():
         assert starts == [tuple(text[k:k + span]) for k in range(offsets[r + 1] - offsets[r])]
 
 
+def _labelled(spark, n):
+    rng = random.Random(9)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghij" if i % 2 else "klmnopqrst", k=rng.randint(2, 7))) for _ in range(60)),
+             ("xx", "yy")[i % 2]) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3, "doc_id")
+
+
+def test_network_learns_from_rows_outside_its_start(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 4)
+    monkeypatch.setattr(langid, "STEPS", 20)
+    rows, df = _labelled(spark, 120)
+    from hospiq.llm.maptext import bounded_sample
+    first = {r.id for r in bounded_sample(df.withColumnRenamed("doc_id", "id"), "lang", "id", 4).collect()}
+    other = next(i for i, _, _ in rows if i not in first)
+    changed = df.withColumn("text", F.when(F.col("doc_id") == other, F.lit("qzwx " * 80)).otherwise(F.col("text")))
+    one, again, two = (langid.fit(x) for x in (df, df, changed))
+    assert all((getattr(one, k) == getattr(again, k)).all() for k in langid.PARAMETERS)
+    assert any((getattr(one, k) != getattr(two, k)).any() for k in langid.PARAMETERS)
+
+
+def test_bound_counts_all_rows_set_aside(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 4)
+    monkeypatch.setattr(langid, "STEPS", 20)
+    monkeypatch.setattr(langid, "RARE", 0.3)
+    rows, df = _labelled(spark, 240)
+    model = langid.fit_stage(df)
+    texts = [t.encode() for i, t, _ in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert len(texts) > langid.SET_ASIDE
+    want = []
+    for cut in langid.CUTS:
+        part = [t[:cut] for t in texts]
+        share = langid.shares(model, np.frombuffer(b"".join(part), np.uint8), np.cumsum([0, *map(len, part)]))[:, :-1].sum(1)
+        want.append(min(0.5, np.quantile(share, 0.3) / 2))
+    assert np.allclose(model.least, np.minimum.accumulate(want[::-1])[::-1], atol=1e-6)
+
+
 def test_all_languages_are_learned(spark):
     """Seventy languages, told apart by their alphabets' order of letters."""
     rng = random.Random(17)
