@@ -159,3 +159,14 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataF
     """The elements as rows of ``schema``; one that does not parse gives NULLs."""
     parsed = array_elements(spark, path).select(F.from_json("text", schema, {"mode": "PERMISSIVE"}).alias("r"))
     return parsed.select("r.*")
+
+
+def array_lines(batches):
+    """A partition's documents as the lines of one JSON array; they stream by."""
+    lead = "["
+    for b in batches:
+        if b.num_rows:
+            lines = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([lead + lines[0], *(",\n" + x for x in lines[1:])], pa.string())], names=["value"])
+            lead = ",\n"
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if lead == "[" else "\n]"], pa.string())], names=["value"])

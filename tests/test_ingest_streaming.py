@@ -125,3 +125,17 @@ def test_streaming_window_counts_match_batch(spark, tmpdir_path):
     got = rows(spark.table("wc_test"))
     want = rows(P.windowed_counts(ev, "ts", 3, ("event_type",)))
     assert got == want
+
+
+def test_json_arrays_are_written_in_several_files(spark, tmp_path, monkeypatch):
+    import glob
+
+    from hospiq import registry
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [(i, i * 3, f"{i % 5}-P, [{i}] \"") for i in range(40)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    monkeypatch.setattr(registry, "_ARRAY_DOCUMENTS", 15)
+    monkeypatch.setattr(registry, "_scratch", lambda w, name: out)
+    got = registry.QUERIES["a04_json_array"](spark, folder).collect()
+    assert sorted(tuple(r) for r in got) == [(k, 'a "b", [c] {' + p, c) for k, c, p in rows]
+    assert len(glob.glob(f"{out}/part-*")) == 3
