@@ -33,3 +33,21 @@ def test_incremental_facts_equal_the_full_build(spark, tmpdir_path):
         want = getattr(direct, name)
         assert rows(got[name].select(*want.columns)) == rows(want), name
     assert got["snap_hospitals"].count() == direct.hospitals.count()
+
+
+def test_shuffles_start_with_partitions_in_step_with_the_input(spark, tmp_path, monkeypatch):
+    from hospiq import session
+    folder = str(tmp_path / "tables")
+    spark.range(20000).write.parquet(f"{folder}/orders.parquet")
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    names = [name, "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = {x: spark.conf.get(x, None) for x in names}
+    try:
+        session.size_shuffles(spark, folder)
+        least = int(spark.conf.get(name))
+        monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", 2000)
+        session.size_shuffles(spark, folder)
+        assert least == int(spark.conf.get("spark.sql.shuffle.partitions")) < int(spark.conf.get(name))
+    finally:
+        for x, v in before.items():
+            spark.conf.unset(x) if v is None else spark.conf.set(x, v)
