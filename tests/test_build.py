@@ -51,3 +51,13 @@ def test_shuffles_start_with_partitions_in_step_with_the_input(spark, tmp_path,
     finally:
         for x, v in before.items():
             spark.conf.unset(x) if v is None else spark.conf.set(x, v)
+
+
+def test_daily_marts_repeat_no_row_for_a_distinct_count(spark):
+    from hospiq.plans.models import Warehouse
+
+    from .conftest import SF_SMALL
+    w = Warehouse(spark, SF_SMALL)
+    for df in (w.clinical_quality_metrics, w.operational_metrics):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "median" not in plan.lower().replace("median_los", "")
