@@ -22,6 +22,7 @@ import os
 import re
 import zlib
 from bisect import bisect_right, insort
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,12 @@ CAPACITY = 4096
 END_ID = 1              # closes each document
 MEMO = 600_000          # words remembered by a worker
 LONGEST = 200           # characters of a remembered word
-_MARKS = ".,;:!?"
-_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_LATIN = re.compile(_LETTERS)
+# marks, letters, marks: no quote, after which a contraction may follow, and
+# no character with which a special token starts or ends
+_MARKS = r"[!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]*"
+_FORM = re.compile(f"({_MARKS})({_LETTERS})({_MARKS})")
 
 
 def default_tokenizer() -> str:
@@ -48,8 +53,9 @@ def default_tokenizer() -> str:
 class Encoder:
     """Token ids of one worker's texts. The tokenizer's words hold no white
     space and its normaliser joins nothing across a space, so the library sees
-    each distinct stretch between spaces once; a mark after a letter is a word
-    of its own."""
+    each distinct stretch between spaces once. Letters and the marks before and
+    after them are words of their own, and letters count in lower case, so it
+    sees the letters once however they are written and marked."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,25 +69,34 @@ class Encoder:
         self.memo: dict[str, bytes] = {"": b""}
 
     def _each(self, words: list[str]) -> None:
-        for w, e in zip(words, self.tok.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.memo[w] = np.array(e.ids, "<u4").tobytes()
-
-    def _learn(self, new: set[str]) -> None:
-        plain, odd, marked = set(), [], []
+        for i in range(0, len(words), 4096):
+            part = words[i:i + 4096]
+            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.memo[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn(self, new: list[str]) -> list[str]:
+        """Remember ``new``; the long words among what was added."""
+        stems, marks, odd, built = set(), set(), [], []
         for w in new:
-            # a mark is a word of its own after a letter that stays one letter
-            stem = w[:-1] if w[-1] in _MARKS and _LATIN.fullmatch(w, 0, len(w) - 1) else w
-            if stem.isalpha():
-                if stem not in self.memo:
-                    plain.add(stem)
-                if stem is not w:
-                    marked.append(w)
+            if w.isalpha():
+                lead, stem, tail = "", w, ""
+            elif form := _FORM.fullmatch(w):
+                lead, stem, tail = form.groups()
+                marks.add(lead)
+                marks.add(tail)
             else:
                 odd.append(w)
-        words = list(plain)
+                continue
+            low = stem.lower()
+            if low != stem and not _LATIN.fullmatch(stem):      # of these letters it is sure that the library lowers them alike
+                low = stem
+            stems.add(low)
+            if low != w:
+                built.append((w, lead, low, tail))
+        words = list(stems.difference(self.memo))
         for i in range(0, len(words), 1000):        # letters only: one word each, so many go in one text
             part = words[i:i + 1000]
-            ids = np.array(self.tok.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             stop = np.flatnonzero(self.ends[ids]) + 1
             if len(stop) != len(part):              # a normalised letter is more than a letter
                 self._each(part)
@@ -90,28 +105,48 @@ class Encoder:
             for w, b in zip(part, (4 * stop).tolist(), strict=True):
                 self.memo[w] = raw[a:b]
                 a = b
-        for i in range(0, len(odd), 4096):
-            self._each(odd[i:i + 4096])
-        if marked:
-            self._each([m for m in _MARKS if m not in self.memo])
-            for w in marked:
-                self.memo[w] = self.memo[w[:-1]] + self.memo[w[-1]]
+        self._each(odd + list(marks.difference(self.memo)))
+        memo = self.memo
+        for w, lead, low, tail in built:
+            memo[w] = memo[lead] + memo[low] + memo[tail]
+        return [w for w in (*new, *words, *marks) if len(w) > LONGEST]
+
+    def block(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """The ids of the texts of a block as little-endian 32-bit numbers.
+        Each distinct stretch of the block is looked up once."""
+        if len(self.memo) > MEMO:                   # common words came early, so the first ones stay
+            self.memo = dict(islice(self.memo.items(), MEMO // 2))
+        apart = (data == 32) | (data == 10)
+        before = np.concatenate([[0], np.cumsum(~apart)])           # bytes of stretches before a place
+        limit = np.append(apart, False)
+        limit[offsets] = True
+        edges = before[limit]
+        edges = edges[np.append(True, edges[1:] > edges[:-1])]
+        letters = np.ascontiguousarray(data[~apart])
+        words = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(letters))
+        words = words.dictionary_encode()
+        distinct, index = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
+        got = list(map(self.memo.get, distinct))
+        if None in got:
+            new = [k for k, g in enumerate(got) if g is None]
+            long = self._learn([distinct[k] for k in new])
+            for k in new:
+                got[k] = self.memo[distinct[k]]
+            for w in long:
+                self.memo.pop(w, None)
+        each = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        ids, first = np.frombuffer(b"".join(got), "<u4"), np.cumsum(each) - each
+        size = each[index]
+        end = np.concatenate([[0], np.cumsum(size)])
+        raw = ids[np.repeat(first[index] - end[:-1], size) + np.arange(end[-1])].tobytes()
+        at = (4 * end[np.searchsorted(edges, before[offsets])]).tolist()
+        return [raw[x:y] for x, y in zip(at, at[1:], strict=False)]
 
     def ids(self, text: str):
         """The ids of a text as little-endian 32-bit numbers, piece by piece."""
         for part in segments(text):
-            if len(self.memo) > MEMO:
-                self.memo = {"": b""}
-            words = part.replace("\n", " ").split(" ")
-            got = list(map(self.memo.get, words))
-            if None in got:
-                new = {w for w, g in zip(words, got, strict=True) if g is None}
-                self._learn(new)
-                got = list(map(self.memo.__getitem__, words))
-                for w in new:
-                    if len(w) > LONGEST:
-                        del self.memo[w]
-            yield b"".join(got)
+            data = np.frombuffer(part.encode(), np.uint8)
+            yield self.block(data, np.array([0, len(data)]))[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -155,9 +190,12 @@ def pieces(docs: DataFrame, keep: list[str], text_col: str = "text", tokenizer:
             data, o = buffers(b.column(len(keep)))
             for i, j in blocks(o):
                 rows, out = [], []
-                for k, text in enumerate(texts_of(data[o[i]:o[j]], o[i:j + 1] - o[i])):
+                part, at = data[o[i]:o[j]], o[i:j + 1] - o[i]
+                # a block of one document, which may be huge, is encoded piece by piece
+                encoded = [enc.ids(x) for x in texts_of(part, at)] if j == i + 1 else [[x] for x in enc.block(part, at)]
+                for k, parts in enumerate(encoded):
                     start = 0
-                    for n, raw in enumerate(cut(enc.ids(text), end_id, capacity)):
+                    for n, raw in enumerate(cut(parts, end_id, capacity)):
                         rows.append(i + k)
                         out.append((n, start, len(raw) // 4, zlib.crc32(raw), raw if with_ids else None))
                         start += len(raw) // 4
