@@ -142,6 +142,25 @@ def test_bucketed_merge_rewrites_touched_buckets_only(spark, tmpdir_path):
     assert {r.k: r.v for r in t.read().collect()}[300] == "again" and t.read().count() == 102
 
 
+def test_merge_of_new_keys_rewrites_no_bucket(spark, tmpdir_path):
+    import os
+    schema = "k int, v string, ts int"
+    t = L.VersionedTable(spark, f"{tmpdir_path}/added", key=("k",), buckets=8)
+    t.commit(spark.createDataFrame([(k, "old", 5) for k in range(50)] + [(None, "none", 5)], schema))
+    before = t._load(t.current_version())
+    # new keys, a row older than the table's, a key without a value
+    L.incremental_merge(t, spark.createDataFrame([(100, "a", 1), (100, "b", 2), (3, "late", 4), (None, "more", 6)], schema), ["k"],
+                        order_by=["ts"])
+    entries = t._load(t.current_version())
+    assert entries[:1] == before and len(entries) == 2
+    got = sorted(((r.k, r.v) for r in t.read().collect()), key=str)
+    assert got == sorted([(k, "old") for k in range(50)] + [(None, "none"), (None, "more"), (100, "b")], key=str)
+    L.incremental_merge(t, spark.createDataFrame([(3, "new", 5), (101, "c", 1), (4, "late", 1)], schema), ["k"], order_by=["ts"])
+    got = {r.k: r.v for r in t.read().filter("k IS NOT NULL").collect()}
+    assert (got[3], got[4], got[101], got[100], len(got)) == ("new", "old", "c", "b", 52) and t.read().count() == 54
+    assert not os.listdir(f"{t.base}/staged")
+
+
 def test_an_older_row_never_replaces_a_newer_one(spark):
     s = "k string, v string, ts timestamp_ntz"
     t = spark.createDataFrame([("a", "feb", dt.datetime(2024, 2, 1)), ("b", "jan", dt.datetime(2024, 1, 1))], s)
