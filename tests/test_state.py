@@ -158,6 +158,8 @@ def test_merge_of_new_keys_rewrites_no_bucket(spark, tmpdir_path):
     L.incremental_merge(t, spark.createDataFrame([(3, "new", 5), (101, "c", 1), (4, "late", 1)], schema), ["k"], order_by=["ts"])
     got = {r.k: r.v for r in t.read().filter("k IS NOT NULL").collect()}
     assert (got[3], got[4], got[101], got[100], len(got)) == ("new", "old", "c", "b", 52) and t.read().count() == 54
+    L.incremental_merge(t, spark.sql("SELECT 3 k, NULL v, 9 ts"), ["k"], order_by=["ts"])       # a column without a type
+    assert [r.v for r in t.read().filter("k = 3").collect()] == [None]
     assert not os.listdir(f"{t.base}/staged")
 
 
