@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bytetext import Rolling, shingles, words
-from .common import fresh_names, materialize, read_table
+from .bytetext import SMALL_BLOCK, Rolling, shingles, words
+from .common import bound_batches, fresh_names, materialize, read_table
 from .maptext import map_text, texts_of
 
 SHINGLE = 5             # words
@@ -215,6 +215,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col:
     than one block is searched block by block: the driver holds one, and the
     rows with what was found so far are written in between.
     """
+    bound_batches(docs.sparkSession)
     items, best = names
     t, new_items, new_best = fresh_names(docs.select(*keep, F.lit(0).alias(items), F.lit(0).alias(best)), "searched", "found", "found_best")
     cols = [*keep, *([] if text_col in keep else [t])]
@@ -229,7 +230,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col:
                     pa.array([max(g.values(), default=0.0) for g in got], pa.float64())]
         if n:
             out = materialize(out, "leaks")
-        found = map_text(out, [*cols, items, best], fn, f"{new_items} array<long>, {new_best} double", text)
+        found = map_text(out, [*cols, items, best], fn, f"{new_items} array<long>, {new_best} double", text, SMALL_BLOCK)
         both = F.array_union(items, new_items)
         ordered = F.concat(F.array_sort(F.filter(both, lambda x: x.isNotNull())), F.filter(both, lambda x: x.isNull()))
         out = found.select(*cols, ordered.alias(items), F.greatest(F.col(best), F.col(new_best)).alias(best))

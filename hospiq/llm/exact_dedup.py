@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .bytetext import IS_WORD, Rolling, blocks, buffers
-from .common import fresh_names, map_arrow, materialize, read_table, text_rows
+from .bytetext import IS_WORD, SMALL_BLOCK, Rolling, blocks, buffers
+from .common import bound_batches, fresh_names, map_arrow, materialize, read_table, text_rows
 
 WINDOW = 32
 AVERAGE = 1024          # mean chunk bytes, a power of two
@@ -67,7 +67,7 @@ def chunk_recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def fn(batch: pa.RecordBatch):
         data, o = buffers(batch.column(1))
         ids = batch.column(0)
-        for i, j in blocks(o):
+        for i, j in blocks(o, SMALL_BLOCK):
             rows = list(_block(data[o[i]:o[j]], o[i:j + 1] - o[i]))
             raw = [pa.array([hashlib.md5(data[a:b].tobytes()).digest() for a, b in zip(o[i:j], o[i + 1:j + 1], strict=True)])] if with_raw else []
             yield pa.RecordBatch.from_arrays(
@@ -75,6 +75,7 @@ def chunk_recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  pa.array([r[2] for r in rows], pa.list_(pa.binary())),
                  pa.array([r[3] for r in rows], pa.list_(pa.binary())), *raw],
                 names=["id", "n_chars", "text_sha256", "weak", "strong"] + ["raw"] * with_raw)
+    bound_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return map_arrow(text_rows(src, "id"), fn, RECIPE + (", raw binary" if with_raw else ""))
 

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import grouped_percentiles
-from .bytetext import blocks, buffers
-from .common import fresh_names, materialize, read_table
+from .bytetext import SMALL_BLOCK, blocks, buffers
+from .common import bound_batches, fresh_names, materialize, read_table
 from .maptext import bounded_sample, map_text, texts_of
 
 WINDOW = 256            # bytes
@@ -196,6 +196,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     (``learn_all``); with ``background`` also from junk made of them. It starts
     from steps over WINDOWS_PER_DOC windows of at most PER_LANGUAGE documents of
     each language (all languages). None without labelled text."""
+    bound_batches(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND length(text) > 0")
     sample = bounded_sample(rows, "lang", "id", PER_LANGUAGE)
@@ -298,7 +299,7 @@ def least_shares(model: ByteCNN, rows: DataFrame) -> np.ndarray | None:
             out.append(pa.array(shares(model, data[inside], part)[:, :-1].sum(1), pa.float64()))
         return out
     names = [f"known{k}" for k in range(len(CUTS))]
-    each = map_text(rows.select("start"), [], known, ", ".join(f"{x} double" for x in names), "start")
+    each = map_text(rows.select("start"), [], known, ", ".join(f"{x} double" for x in names), "start", SMALL_BLOCK)
     each = materialize(each, "language_shares").select(F.posexplode(F.array(*names)).alias("cut", "known"))
     got = grouped_percentiles(each, ["cut"], {"rare": ("known", RARE)}, parts=64).collect()
     if not got:
@@ -338,6 +339,8 @@ def predict(docs: DataFrame, model: ByteCNN | None, keep: list[str], text_col: s
     row. A null or empty text and one without a letter are ``und`` with score
     0, as is every text when there was nothing to learn from, and one under the
     model's bound if it has bounds. Rows that repeat are predicted alike."""
+    bound_batches(docs.sparkSession)
+
     def fn(data, offsets):
         n = len(offsets) - 1
         ascii_letter = ((data | 32) >= 97) & ((data | 32) <= 122) & (data < 128)
@@ -356,7 +359,7 @@ def predict(docs: DataFrame, model: ByteCNN | None, keep: list[str], text_col: s
             lang = [model.languages[b] if h else "und" for b, h in zip(best.tolist(), has.tolist(), strict=True)]
             score = np.where(has, np.clip(share, 0, 1), 0.0)
         return [pa.array(lang), pa.array(score, pa.float64())]
-    return map_text(docs, keep, fn, f"{names[0]} string, {names[1]} double", text_col)
+    return map_text(docs, keep, fn, f"{names[0]} string, {names[1]} double", text_col, SMALL_BLOCK)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

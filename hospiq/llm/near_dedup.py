@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bytetext import blocks, buffers, mix, shingle_sets
-from .common import fresh_names, materialize, read_table
+from .bytetext import SMALL_BLOCK, blocks, buffers, mix, shingle_sets
+from .common import bound_batches, fresh_names, materialize, read_table
 
 SHINGLE = 2             # words
 PERCENT = 80            # similarity to link, of 100
@@ -96,7 +96,7 @@ def set_rows(docs: DataFrame, shingle: int) -> DataFrame:
     def run(batches):
         for b in batches:
             data, o = buffers(b.column(2))
-            for i, j in blocks(o):
+            for i, j in blocks(o, SMALL_BLOCK):
                 sets = shingle_sets(data[o[i]:o[j]], o[i:j + 1] - o[i], shingle)
                 sig = signatures(sets)
                 yield pa.RecordBatch.from_arrays([
@@ -146,7 +146,7 @@ def full_sets(texts: DataFrame, shingle: int) -> DataFrame:
     def run(batches):
         for b in batches:
             data, o = buffers(b.column(1))
-            for i, j in blocks(o):
+            for i, j in blocks(o, SMALL_BLOCK):
                 sets = shingle_sets(data[o[i]:o[j]], o[i:j + 1] - o[i], shingle)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "n", "shingles"])
@@ -358,6 +358,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     each set that is not empty its first row (id, key; null ids last) and of
     its component the first row (top_id, top_set). Links are between sets,
     whatever the ids; ``one_per_id`` links the sets of one id too."""
+    bound_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("key"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = materialize(set_rows(src, shingle), "sets")
