@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -50,6 +51,57 @@ def test_interleaved_appends_and_merges_lose_no_row(spark, tmpdir_path):
     assert rows(t.read()) == [(0, "merged"), (100, "b"), (200, "c"), (300, "d")]
 
 
+def test_large_changes_are_made_in_parts_of_the_keys(spark, tmpdir_path, monkeypatch):
+    rng = random.Random(3)
+
+    def batch(n, keys, times):      # repeated keys, keys without a value
+        return [(rng.randrange(keys) if rng.random() < 0.95 else None, f"v{t}", t) for t in rng.sample(times, n)]
+    # the second has keys that are there, newer and older, and new ones; the third only new ones
+    first, second = batch(900, 300, range(0, 2000, 2)), batch(300, 400, range(1, 2000, 2))
+    third = [(1000 + k, "new", 1) for k in range(200)]
+    monkeypatch.setattr(L, "PART_BYTES", 2000)
+    feed = L.VersionedTable(spark, f"{tmpdir_path}/feed")
+    table = L.VersionedTable(spark, f"{tmpdir_path}/table", key=("k",), buckets=4)
+    writes, real = [], table._write
+    table._write = lambda df: writes.append(1) or real(df)
+    want = {}
+    for rows_, mode in ((first, "full"), (second, "changes"), (third, "changes")):
+        feed.append(spark.createDataFrame(rows_, "k long, v string, ts int").repartition(3))
+        writes.clear()
+        assert L.maintain_from_changes(table, feed, lambda x: x, ["k"], ["ts"], by_key=True)["mode"] == mode
+        assert len(writes) > 1
+        nulls = [x for x in rows_ if x[0] is None]      # no key equals a missing one: each load adds its latest
+        for x in [*(x for x in rows_ if x[0] is not None), *([max(nulls, key=lambda x: x[2])] if nulls else [])]:
+            at = x[0] if x[0] is not None else ("null", mode)
+            if at not in want or want[at][2] < x[2]:
+                want[at] = x
+        assert sorted(map(tuple, table.read().collect()), key=str) == sorted(want.values(), key=str)
+    assert not os.listdir(f"{table.base}/staged")
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmpdir_path):
+    def shuffles():
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {x for x in found.split("\n") if "/shuffle_" in x}
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    t = L.VersionedTable(spark, f"{tmpdir_path}/t", key=("k",), buckets=4)
+    before = shuffles()
+    t.commit(spark.range(2000).selectExpr("cast(id as int) k", "'a' v"))
+    t.upsert(spark.range(1990, 2010).selectExpr("cast(id as int) k", "'b' v"), ["k"], ["v"])
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)     # they are deleted beside what runs
+    assert not shuffles() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == setting
+    assert t.read().count() == 2010
+
+
+def test_billing_rows_are_not_dealt_by_payer(spark):
+    plan = Warehouse(spark, SF_SMALL).revenue_cycle._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(payer_id" not in plan
+
+
 def test_a_replacing_commit_fails_when_it_is_not_the_next(spark, tmpdir_path):
     t = L.VersionedTable(spark, f"{tmpdir_path}/t")
     t.commit(kv(spark, [(0, "a")]))
