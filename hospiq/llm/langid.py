@@ -38,7 +38,8 @@ STEPS, BATCH, RATE = 500, 64, 0.01
 PASSES = 1              # over all windows of all labelled rows, after the start on some of them
 PARAMETERS = ("embed", "conv", "bias", "out", "out_bias")
 NOISE = 1500            # junk windows that a network with a background class learns from
-CUTS = (8, 16, 32, 64, 128, 256)    # bytes of the clean texts at which the bound is measured; between them it is interpolated
+# bytes of the clean texts at which the bound is measured, and on, doubled, until the longest is whole; between them it is interpolated
+CUTS = (8, 16, 32, 64, 128, 256)
 SET_ASIDE = 50          # fewer labelled documents set aside: the training rows set the bound
 RARE = 0.002            # a bound is half the score that this share of the set-aside texts stays under
 _LETTER = re.compile(r"[^\W\d_]")
@@ -54,6 +55,7 @@ class ByteCNN:
         self.languages, self.background = languages, background
         self.classes = len(languages) + background
         self.least = None       # at CUTS: the smallest share of all languages of a text that is kept
+        self.longer = np.zeros(0)   # at twice the last of CUTS, four times and so on
         span, n = max(WIDTHS), FILTERS * len(WIDTHS)
         self.embed = rng.normal(0, 0.5, (PAD + 1, DIM)).astype(np.float32)
         self.embed[PAD] = 0
@@ -197,7 +199,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     from steps over WINDOWS_PER_DOC windows of at most PER_LANGUAGE documents of
     each language (all languages). None without labelled text."""
     bound_batches(labelled.sparkSession)
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    # rows without an id are told apart by their texts
+    own = F.pmod(F.xxhash64(text_col), F.lit(1 << 30)).cast(labelled.schema[id_col].dataType)
+    rows = labelled.select(F.coalesce(F.col(id_col), own).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND length(text) > 0")
     sample = bounded_sample(rows, "lang", "id", PER_LANGUAGE)
     place = [F.substring("text", (F.pmod(F.xxhash64("id", F.lit(k)), F.greatest(F.length("text") - SEEN, F.lit(0)) + 1)
@@ -286,50 +290,95 @@ def shares(model: ByteCNN, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total / np.maximum(total.sum(1, keepdims=True), 1e-12)
 
 
+def known_shares(model: ByteCNN, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, row offsets): the share of the languages together of each text
+    cut to the sizes of ``cuts_to``, up to the first that holds it whole."""
+    size, base = np.diff(offsets), len(CUTS)
+    head = np.minimum(size, CUTS[-1])
+    start = np.concatenate([[0], np.cumsum(head)])
+    data_head = data[np.repeat(offsets[:-1] - start[:-1], head) + np.arange(start[-1])]
+    inside = np.arange(start[-1]) - np.repeat(start[:-1], head)
+    n = base + np.maximum(np.ceil(np.log2(np.maximum(size, 1) / CUTS[-1])), 0).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(n)])
+    out = np.empty(first[-1])
+    for k, cut in enumerate(CUTS):
+        part = np.concatenate([[0], np.cumsum(np.minimum(head, cut))])
+        out[first[:-1] + k] = shares(model, data_head[inside < cut], part)[:, :-1].sum(1)
+    if (size > CUTS[-1]).any():
+        w, _, length = seen_windows(data, offsets)
+        p = model.probabilities(w).astype(np.float64)
+        at = np.concatenate([[0], np.cumsum(-(-size // WINDOW))])
+        # all windows, of the languages and of all classes, before each window
+        before = np.concatenate([np.zeros((1, 2)), np.cumsum(np.stack([p[:, :-1].sum(1), p.sum(1)], axis=1) * length[:, None], axis=0)])
+        for k in range(base, int(n.max())):
+            cut = CUTS[-1] << (k - base + 1)
+            rows = np.flatnonzero((n > k) & (size <= cut))
+            both = before[at[rows + 1]] - before[at[rows]]
+            out[first[rows] + k] = both[:, 0] / np.maximum(both[:, 1], 1e-12)
+            rows = np.flatnonzero(size > cut)
+            if not len(rows):
+                continue
+            last = at[rows] + cut // WINDOW - 1
+            # the last window of a text that is cut here sees no byte behind it
+            tail = w[last]
+            tail[:, WINDOW:] = PAD
+            p = model.probabilities(tail).astype(np.float64) * WINDOW
+            both = before[last] - before[at[rows]] + np.stack([p[:, :-1].sum(1), p.sum(1)], axis=1)
+            out[first[rows] + k] = both[:, 0] / np.maximum(both[:, 1], 1e-12)
+    return out, first
+
+
+def cuts_to(n: int) -> list[int]:
+    """CUTS, and doubled on: ``n`` sizes."""
+    return [*CUTS, *(CUTS[-1] << k for k in range(1, n - len(CUTS) + 1))]
+
+
 def least_shares(model: ByteCNN, rows: DataFrame) -> np.ndarray | None:
     """The smallest share of the languages together that a text may have, at
-    CUTS: half of what next to all of the clean texts of ``rows`` (their first
-    bytes in ``start``), cut to that size, reach, never more for a shorter text
-    than for a longer one. All rows are counted; None without rows."""
+    CUTS and on, doubled, until the longest is whole: half of what next to all
+    of the clean texts of ``rows`` (text), cut to that size, reach, never more
+    for a shorter text than for a longer one. All rows are counted, each with
+    its whole text; None without rows."""
     def known(data, offsets):
-        size, out = np.diff(offsets), []
-        for cut in CUTS:
-            part = np.concatenate([[0], np.cumsum(np.minimum(size, cut))])
-            inside = np.arange(len(data)) - np.repeat(offsets[:-1], size) < cut
-            out.append(pa.array(shares(model, data[inside], part)[:, :-1].sum(1), pa.float64()))
-        return out
-    names = [f"known{k}" for k in range(len(CUTS))]
-    each = map_text(rows.select("start"), [], known, ", ".join(f"{x} double" for x in names), "start", SMALL_BLOCK)
-    each = materialize(each, "language_shares").select(F.posexplode(F.array(*names)).alias("cut", "known"))
-    got = grouped_percentiles(each, ["cut"], {"rare": ("known", RARE)}, parts=64).collect()
-    if not got:
+        values, first = known_shares(model, data, offsets)
+        return [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, pa.float64()))]
+    each = materialize(map_text(rows.select("text"), [], known, "known array<double>", "text", SMALL_BLOCK), "language_shares")
+    sizes = each.agg(F.max(F.size("known"))).first()[0]
+    if sizes is None:
         return None
+    # past the size that holds a text whole it counts as it is
+    at = F.explode(F.sequence(F.lit(0), F.lit(sizes - 1)))
+    each = each.select("known", at.alias("cut")).select(
+        "cut", F.element_at("known", F.least(F.col("cut") + 1, F.size("known"))).alias("known"))
+    got = grouped_percentiles(each, ["cut"], {"rare": ("known", RARE)}, parts=64).collect()
     out = [min(0.5, r["rare"] / 2) for r in sorted(got, key=lambda r: r["cut"])]
     return np.minimum.accumulate(np.array(out)[::-1])[::-1]
 
 
 def bound_of(model: ByteCNN, n_bytes: np.ndarray) -> np.ndarray:
     """The bound for texts of these sizes: one function of the size."""
-    return np.interp(np.log2(np.maximum(n_bytes, 1)), np.log2(CUTS), model.least)
+    least = np.concatenate([model.least, model.longer])
+    return np.interp(np.log2(np.maximum(n_bytes, 1)), np.log2(cuts_to(len(least))), least)
 
 
 def fit_stage(docs: DataFrame) -> ByteCNN | None:
     """A network with a background class, and the bound that the labelled rows
-    set aside from training give it, all of them. With fewer than SET_ASIDE of
-    these the training rows give it too; as the network knows them, their bound
-    is halved once more."""
-    model = fit(training_rows(docs), background=True)
+    set aside from training give it, all of them and their whole texts. With
+    fewer than SET_ASIDE of these the training rows give it too; as the network
+    knows them, their bound is halved once more."""
+    # a row without an id is one to learn from
+    aside = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = fit(docs.filter(~aside), background=True)
     if model is not None:
-        rows = docs.select("doc_id", "lang", F.substring("text", 1, max(CUTS)).alias("start"))
-        rows = rows.filter(F.col("lang").isNotNull() & F.col("start").rlike(r"\p{L}"))
-        aside = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+        rows = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
         known = rows.filter(aside & F.col("lang").isin(model.languages))
         if known.limit(SET_ASIDE).count() >= SET_ASIDE:
-            model.least = least_shares(model, known)
+            least = least_shares(model, known)
         else:
-            model.least = least_shares(model, known.unionByName(rows.filter(~aside)))
-            if model.least is not None:
-                model.least = model.least / 2
+            least = least_shares(model, known.unionByName(rows.filter(~aside)))
+            least = None if least is None else least / 2
+        if least is not None:
+            model.least, model.longer = least[:len(CUTS)], least[len(CUTS):]
     return model
 
 

@@ -121,6 +121,45 @@ def test_bound_counts_all_rows_set_aside(spark, monkeypatch):
     assert np.allclose(model.least, np.minimum.accumulate(want[::-1])[::-1], atol=1e-6)
 
 
+def test_bound_counts_whole_texts(spark, monkeypatch):
+    """The bound of long texts is measured on them as far as they go: their ends
+    change it, and each cut gives what the cut text would give."""
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 4)
+    monkeypatch.setattr(langid, "STEPS", 20)
+    monkeypatch.setattr(langid, "RARE", 0.3)
+    rng = random.Random(21)
+
+    def corpus(end):
+        rows = []
+        for i in range(240):
+            text = " ".join("".join(rng.choices("abcdefghij" if i % 2 else "klmnopqrst", k=rng.randint(2, 7))) for _ in range(60))
+            rows.append((i, text + end * rng.randint(0, 150), ("xx", "yy")[i % 2]))
+        return rows
+    for end in (" zebra", " 0!?#"):
+        rows = corpus(end)
+        rows.append((1000000 + next(k for k in range(9) if zlib.crc32(str(1000000 + k).encode()) % 3 == 1), "1" * 400 + " late letters", "xx"))
+        model = langid.fit_stage(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3, "doc_id"))
+        texts = [t.encode() for i, t, _ in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+        least = np.concatenate([model.least, model.longer])
+        cuts, want = langid.cuts_to(len(least)), []
+        assert cuts[-1] >= max(map(len, texts)) > cuts[-2] >= max(langid.CUTS)
+        for cut in cuts:
+            part = [t[:cut] for t in texts]
+            share = langid.shares(model, np.frombuffer(b"".join(part), np.uint8), np.cumsum([0, *map(len, part)]))[:, :-1].sum(1)
+            want.append(min(0.5, np.quantile(share, 0.3) / 2))
+        assert np.allclose(least, np.minimum.accumulate(want[::-1])[::-1], atol=1e-6)
+        n = np.arange(1, 2000)
+        assert np.allclose(langid.bound_of(model, n), np.interp(np.log2(n), np.log2(cuts), least)) and np.diff(least).min() >= 0
+
+
+def test_stage_learns_from_rows_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(langid, "STEPS", 20)
+    rows, _ = _labelled(spark, 60)
+    df = spark.createDataFrame([(None, *r[1:]) for r in rows], "doc_id long, text string, lang string")
+    model = langid.fit_stage(df)
+    assert model.languages == ["xx", "yy"] and model.least is not None
+
+
 def test_all_languages_are_learned(spark):
     """Seventy languages, told apart by their alphabets' order of letters."""
     rng = random.Random(17)
